@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, token_counts, token_files
+from tidemark.llm import media, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.common import scratch_path, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,11 +28,26 @@ def op6_bitpacked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, out))
 
 
+def op7_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored_digests(media.store_bytes(table(spark, sf_dir, "documents")))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixture_packing": op1_mixture_packing,
         "op2_prefix_token_counts": op2_prefix_token_counts,
         "op6_bitpacked_tokens": op6_bitpacked_tokens,
+        "op7_ngram_toxicity": op7_ngram_toxicity,
+        "op9_tiff_media": op9_tiff_media,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
