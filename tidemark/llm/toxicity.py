@@ -23,13 +23,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_or_empty
 
-ORDERS = (3, 4, 5)
+ORDERS = (3, 4, 5, 6)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def gram_hashes(text: str, orders: tuple[int, ...] = ORDERS) -> Iterator[np.ndarray]:
-    """64-bit hashes of the character n-grams of each order, of all places, over the lower-cased text between two spaces."""
+    """64-bit hashes of the character n-grams of each order, of all places, over the lower-cased text between two spaces.
+
+    Line breaks and tabs count as spaces, so that a word begins alike wherever it stands."""
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
+    points[(points >= 9) & (points <= 13)] = 32
     h = np.zeros(len(points), "u8")
     for n in range(1, max(orders) + 1):
         if len(points) < n:
@@ -66,8 +69,11 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.intercept + self.weights[self.features(text)].sum(), -40, 40))))
 
 
-def logistic(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, penalty: float = 0.02, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Coefficients of the scaled features and the intercept, by gradient steps with per-coordinate rates on the whole sample."""
+def logistic(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, penalty: float = 0.02, steps: int = 300, toxic_weight: float = 3.0) -> tuple[np.ndarray, float]:
+    """Coefficients of the scaled features and the intercept, by gradient steps with per-coordinate rates on the whole sample.
+
+    Toxic rows are rarer and weigh ``toxic_weight`` times as much."""
+    weight = np.where(labels > 0, toxic_weight, 1.0)
     index = np.concatenate(rows) if rows else np.zeros(0, "i8")
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     value = ratios[index]
@@ -77,6 +83,7 @@ def logistic(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, pen
     for step in range(1, steps + 1):
         z = w[-1] + np.bincount(row, value * w[index], len(rows))
         error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels
+        error *= weight
         grad = np.append(np.bincount(index, value * error[row], len(ratios)), error.sum()) / len(rows)
         grad[:-1] += penalty / len(ratios) * w[:-1]
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
