@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -79,6 +80,9 @@ _CUT = re.compile(r"(?<=\S)(?= )|(?<=[A-Za-z0-9À-ÖØ-öø-ɏ])(?=[.,])|(?<=\S)
 _IRREGULAR = re.compile(r"[^A-Za-z0-9À-ÖØ-öø-ɏ][.,]|\s\s|\x00|^[\s.,]|\s$")
 
 
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]{1,200}")
+
+
 def segments_of(text: str) -> list[str]:
     """The text as segments that are tokenized independently of each other; joined, they give the text."""
     if _IRREGULAR.search(text):
@@ -91,9 +95,9 @@ class SegmentCoder:
 
     At most ``max_entries`` are kept, those met first; the others are coded anew for each slice of texts."""
 
-    def __init__(self, max_entries: int = 600_000) -> None:
+    def __init__(self, max_entries: int = 800_000) -> None:
         self.max_entries = max_entries
-        self.cache: dict[str, bytes] = {}
+        self.cache = Codes()
 
     def encode_segments(self, segments: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -106,18 +110,31 @@ class SegmentCoder:
             return [b"".join(self._run([part])[0] for part in parts)]
         split = [segments_of(text) for text in texts]
         cache = self.cache
-        missing = list(set(chain.from_iterable(split)).difference(cache))
-        cache.update(zip(missing, self.encode_segments(missing), strict=True))
-        out = [b"".join(map(cache.__getitem__, segments)) for segments in split]
+        cache.missing = []
+        look = cache.__getitem__
+        found = [list(map(look, segments)) for segments in split]
+        if missing := list(dict.fromkeys(cache.missing)):
+            cache.update(zip(missing, self.encode_segments(missing), strict=True))
+            for codes, segments in zip(found, split, strict=True):
+                for n in [n for n, code in enumerate(codes) if code is None]:
+                    codes[n] = look(segments[n])
+        out = list(map(b"".join, found))
         for segment in missing[max(0, len(missing) - max(0, len(cache) - self.max_entries)) :]:
             del cache[segment]
         return out
 
 
+class Codes(dict):
+    """Codes of segments; what is looked up in vain is noted."""
+
+    def __missing__(self, segment: str) -> None:
+        self.missing.append(segment)
+
+
 class IdCoder(SegmentCoder):
     """Token ids of a ``tokenizers`` file as little-endian unsigned 16-bit integers, or 32-bit for large vocabularies."""
 
-    def __init__(self, path: str, max_entries: int = 600_000) -> None:
+    def __init__(self, path: str, max_entries: int = 800_000) -> None:
         super().__init__(max_entries)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -125,14 +142,32 @@ class IdCoder(SegmentCoder):
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.vocab_size <= 1 << 16 else "<u4"
+        # A segment of Latin letters is one pre-token, so the library's model takes it directly, in the form that its steps give.
+        letters = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letter = {b: chr(b) for b in letters} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(letters))}
+        self.letters = {ord(c): "".join(letter[b] for b in c.encode()) for c in map(chr, [32, *range(0xC0, 0x250)])}
+        forms = (lambda s: s.translate(self.letters), lambda s: s.strip(" ").lower().translate(self.letters))
+        probes = [" The", "Was", " \u00c9t\u00e9", "stra\u00dfe", " tHINgs"]
+        self.form = next((f for f in forms if all(self.direct(f(p)) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)), None)
 
-    def encode_segments(self, segments: list[str]) -> list[bytes]:
-        import struct
+    def direct(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
 
+    def encode_segments(self, segments: list[str]) -> list[bytes]:
         kind = "H" if self.dtype == "<u2" else "I"
-        out: list[bytes] = []
-        for at in range(0, len(segments), 20_000):
-            out += [struct.pack(f"<{len(ids)}{kind}", *ids) for ids in (e.ids for e in self.tokenizer.encode_batch_fast(segments[at : at + 20_000], add_special_tokens=False))]
+        out: list[bytes | None] = [None] * len(segments)
+        rest = []
+        tokenize, form, plain = self.tokenizer.model.tokenize, self.form, _WORD.fullmatch
+        for n, segment in enumerate(segments):
+            if form and plain(segment):
+                ids = [t.id for t in tokenize(form(segment))]
+                out[n] = struct.pack(f"<{len(ids)}{kind}", *ids)
+            else:
+                rest.append(n)
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
+            for n, e in zip(part, self.tokenizer.encode_batch_fast([segments[n] for n in part], add_special_tokens=False), strict=True):
+                out[n] = struct.pack(f"<{len(e.ids)}{kind}", *e.ids)
         return out
 
 

@@ -19,6 +19,7 @@ import io
 import json
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
@@ -37,7 +38,6 @@ BLOCK = 4096
 #: Bytes of text that one file should get.
 FILE_TEXT_BYTES = 32_000_000
 NULL_ID = -(1 << 63)
-ROWS = "doc_id long, start long, n_tokens long, ids binary"
 
 
 def bits_for(vocab_size: int) -> int:
@@ -114,25 +114,34 @@ class Written(WriterCommitMessage):
 
 
 class TokenWriter(DataSourceArrowWriter):
-    """Writes (doc_id, ids as little-endian unsigned 32-bit integers) in the order in which the rows come."""
+    """Tokenizes (doc_id, text) and writes the ids in the order in which the rows come."""
 
-    def __init__(self, path: str, bits: int) -> None:
-        self.path, self.bits = path, bits
+    def __init__(self, path: str, vocabulary: str, bits: int, end_id: int | None) -> None:
+        self.path, self.vocabulary, self.bits, self.end_id = path, vocabulary, bits, end_id
+
+    def encoded(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes], str]]:
+        encode = coder(IdCoder, self.vocabulary)
+        end = np.array([] if self.end_id is None else [self.end_id], encode.dtype).tobytes()
+        for batch in batches:
+            ids = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            done = 0
+            for texts in slices(batch.column("text").to_pylist()):
+                yield ids[done : done + len(texts)], [code + end for code in encode(texts)], encode.dtype
+                done += len(texts)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = open_fs(self.path)
         fs.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.tok"
-        doc_ids, lengths, rest = [], [], np.zeros(0, "<u4")
+        doc_ids, lengths, rest = [np.zeros(0, "<i8")], [np.zeros(0, "<i8")], np.zeros(0, "<u4")
         tokens = 0
         with fs.open_output_stream(f"{root}/{name}") as out:
             out.write(MAGIC)
-            for batch in iterator:
-                doc_ids.append(batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False))
-                codes = batch.column("ids").to_pylist()
-                lengths.append(np.array([len(c) // 4 for c in codes], "<i8"))
-                ids = np.concatenate([rest, np.frombuffer(b"".join(codes), "<u4")])
+            for batch_ids, codes, dtype in self.encoded(iterator):
+                doc_ids.append(batch_ids)
+                lengths.append(np.array([len(c) for c in codes], "<i8") // np.dtype(dtype).itemsize)
+                ids = np.concatenate([rest, np.frombuffer(b"".join(codes), dtype)])
                 whole = len(ids) // BLOCK * BLOCK
                 out.write(pack_bits(ids[:whole], self.bits))
                 rest = ids[whole:]
@@ -140,8 +149,8 @@ class TokenWriter(DataSourceArrowWriter):
             out.write(pack_bits(rest, self.bits))
             tokens += len(rest)
             index_at = len(MAGIC) + -(-tokens * self.bits // 8)
-            sizes = np.concatenate([np.zeros(0, "<i8"), *lengths])
-            out.write(np.concatenate([np.zeros(0, "<i8"), *doc_ids]).astype("<i8").tobytes())
+            sizes = np.concatenate(lengths)
+            out.write(np.concatenate(doc_ids).astype("<i8").tobytes())
             out.write(np.concatenate([[0], np.cumsum(sizes)]).astype("<i8").tobytes())
             footer = json.dumps({"bits": self.bits, "block": BLOCK, "rows": len(sizes), "tokens": tokens, "index_at": index_at}).encode()
             out.write(footer + struct.pack("<q8s", len(footer), MAGIC))
@@ -171,8 +180,8 @@ class FilePart(InputPartition):
 
 
 class TokenReader(DataSourceReader):
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, checksums: bool) -> None:
+        self.path, self.checksums = path, checksums
 
     def partitions(self) -> list[FilePart]:
         fs, root = open_fs(self.path)
@@ -188,51 +197,35 @@ class TokenReader(DataSourceReader):
         with fs.open_input_file(f"{root}/{partition.name}") as source:
             file = TokenFile(source)
             for first, end, ids in file.batches():
-                doc_ids = file.doc_ids[first:end]
-                offsets = ((file.starts[first : end + 1] - file.starts[first]) * 4).astype("i4")
-                raw = ids.astype("<u4").tobytes()
+                doc_ids, starts = file.doc_ids[first:end], file.starts[first : end + 1]
+                offsets = (starts - starts[0]) * 4
+                raw = memoryview(ids.astype("<u4").tobytes())
+                if self.checksums:
+                    last = pa.array([zlib.crc32(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.int64())
+                else:
+                    last = pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(offsets.astype("i4").tobytes()), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(doc_ids, pa.int64(), mask=doc_ids == NULL_ID),
-                        pa.array(file.starts[first:end] + partition.base, pa.int64()),
-                        pa.array(np.diff(file.starts[first : end + 1]), pa.int64()),
-                        pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)]),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids"],
+                    [pa.array(doc_ids, pa.int64(), mask=doc_ids == NULL_ID), pa.array(starts[:-1] + partition.base, pa.int64()), pa.array(np.diff(starts), pa.int64()), last],
+                    ["doc_id", "start", "n_tokens", "ids_crc32" if self.checksums else "ids"],
                 )
 
 
 class TokenSource(DataSource):
-    """``df.write.format("tidemark_tokens").option("bits", n).save(path)`` and ``spark.read.format("tidemark_tokens").load(path)``."""
+    """``df.write.format("tidemark_tokens").options(vocabulary=..., bits=...).save(path)`` and ``spark.read.format("tidemark_tokens").load(path)``."""
 
     @classmethod
     def name(cls) -> str:
         return "tidemark_tokens"
 
     def schema(self) -> str:
-        return ROWS
+        return "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if self.options.get("ids") == "crc32" else "ids binary")
 
     def reader(self, schema) -> TokenReader:
-        return TokenReader(self.options["path"])
+        return TokenReader(self.options["path"], self.options.get("ids") == "crc32")
 
     def writer(self, schema, overwrite: bool) -> TokenWriter:
-        return TokenWriter(self.options["path"], int(self.options["bits"]))
-
-
-def encoded(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
-    """Ids (32 bit) of every row of (doc_id, text, ...), in the rows' order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = coder(IdCoder, path)
-        end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
-        for batch in batches:
-            done = 0
-            for texts in slices(batch.column(1).to_pylist()):
-                ids = [np.frombuffer(c, encode.dtype).astype("<u4").tobytes() + end for c in encode(texts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-                done += len(texts)
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+        end_id = self.options.get("end_id")
+        return TokenWriter(self.options["path"], self.options["vocabulary"], int(self.options["bits"]), None if end_id is None else int(end_id))
 
 
 def write_token_files(docs: DataFrame, out: str, path: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -244,23 +237,12 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int | None =
     bits = bits_for(max(coder(IdCoder, path).vocab_size, (end_id or 0) + 1))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
     ordered = rows.repartitionByRange(max(1, -(-size // FILE_TEXT_BYTES)), "doc_id", "place").sortWithinPartitions("doc_id", "place")
-    encoded(ordered, path, end_id).write.format(TokenSource.name()).option("path", out).option("bits", bits).mode("append").save()
+    named = {"path": out, "vocabulary": path, "bits": bits} | ({} if end_id is None else {"end_id": end_id})
+    ordered.select("doc_id", "text").write.format(TokenSource.name()).options(**named).mode("append").save()
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (doc_id, start: ids of all rows before, n_tokens, ids: little-endian unsigned 32-bit integers)."""
+def read_tokens(spark: SparkSession, path: str, ids: str = "ids") -> DataFrame:
+    """Rows (doc_id, start: ids of all rows before, n_tokens) with ids (little-endian unsigned 32-bit integers), or with their
+    checksum when ids = "crc32"."""
     spark.dataSource.register(TokenSource)
-    return spark.read.format(TokenSource.name()).option("path", path).load()
-
-
-def checksums(tokens: DataFrame) -> DataFrame:
-    """crc32 of each row's ids in place of the ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
-        for batch in batches:
-            crc = pa.array([zlib.crc32(memoryview(v.as_buffer())) for v in batch.column("ids")], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], crc], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return tokens.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spark.read.format(TokenSource.name()).option("path", path).option("ids", ids).load()
