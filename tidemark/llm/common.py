@@ -4,20 +4,17 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import tempfile
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Texts are handed to Python code in slices of about so many characters, so that a task's memory doesn't follow the batch.
-SLICE_CHARS = 2_000_000
-#: A single text above this many characters is tokenized in slices.
-LONG_TEXT = 8_000_000
-_SAFE_CUT = re.compile(r"(?<=[^\s]) (?=[^\s])")
+#: Texts are handed to Python code in slices of about so many bytes, so that a task's memory doesn't follow the batch.
+SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,128 +44,213 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(texts: list[str], size: int = SLICE_CHARS) -> Iterator[list[str]]:
-    """Consecutive runs of the texts, of about ``size`` characters each."""
-    run: list[str] = []
-    held = 0
-    for text in texts:
-        run.append(text)
-        held += len(text)
-        if held >= size:
-            yield run
-            run, held = [], 0
-    if run:
-        yield run
-
-
-def long_slices(text: str, size: int = LONG_TEXT // 2) -> Iterator[str]:
-    """Parts of a long text, cut before a lone space between two words, where no token can reach across."""
-    at = 0
-    while len(text) - at > size:
-        found = _SAFE_CUT.search(text, at + size)
-        if not found:
-            break
-        yield text[at : found.start()]
-        at = found.start()
-    yield text[at:]
-
-
-#: Where a text may be cut so that both vocabularies give the parts the tokens that the whole gives: before a space or line break
-#: that follows a non-space, after a lone line break, and before a full stop or comma that follows a Latin letter or digit.
-_CUT = re.compile(r"(?<=\S)(?= )|(?<=[A-Za-z0-9À-ÖØ-öø-ɏ])(?=[.,])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-#: Texts in which marking every space, line break, stop and comma would cut elsewhere too.
-_IRREGULAR = re.compile(r"[^A-Za-z0-9À-ÖØ-öø-ɏ][.,]|\s\s|\x00|^[\s.,]|\s$")
-
-
-_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]{1,200}")
-
-
-def segments_of(text: str) -> list[str]:
-    """The text as segments that are tokenized independently of each other; joined, they give the text."""
-    if _IRREGULAR.search(text):
-        return _CUT.split(text)
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").replace(",", "\x00,").replace(".", "\x00.").split("\x00")
+def row_slices(array: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows (first, end) of a string or binary array, of about ``size`` bytes each."""
+    offsets, _ = raw_bytes(array)
+    first = 0
+    while first < len(array):
+        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
+        yield first, end
+        first = end
+
+
+def raw_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0) and bytes of a string or binary array without nulls."""
+    wide = pa.types.is_large_string(array.type) or pa.types.is_large_binary(array.type)
+    _, offsets, data = array.buffers()
+    if not len(array):
+        return np.zeros(1, "i8"), np.zeros(0, "u1")
+    at = np.frombuffer(offsets, "i8" if wide else "i4")[array.offset : array.offset + len(array) + 1].astype("i8")
+    return at - at[0], (np.frombuffer(data, "u1") if data and data.size else np.zeros(0, "u1"))[at[0] : at[-1]]
+
+
+# Where a text may be cut so that both vocabularies give the parts the tokens that the whole gives: before a space that follows a
+# non-space, around a lone line break, and before a full stop or comma that follows a Latin letter or digit. What stands before is
+# read from its last bytes; characters of the blocks that hold white space count as such.
+_KIND = np.zeros(256, "u1")
+_KIND[ord(" ")], _KIND[ord(".")], _KIND[ord(",")], _KIND[ord("\n")] = 1, 2, 2, 3
+_SOLID = np.zeros(256, bool)
+_SOLID[33:127] = True
+_ALNUM = np.array([chr(b).isascii() and chr(b).isalnum() for b in range(256)])
+_LEADS = np.zeros(256, bool)
+_LEADS[0xC3:0xE0] = _LEADS[0xE4:0xF5] = True
+
+
+def cut_places(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Ascending places at which segments begin. ``starts``: where rows begin."""
+    at = np.flatnonzero(_KIND[data])
+    at = at[at > 0]
+    kind = _KIND[data[at]]
+    back = [data[np.maximum(at - k, 0)] for k in range(1, 5)]
+    inner = [(b & 0xC0) == 0x80 for b in back]
+    pair, three = inner[0] & ~inner[1], inner[0] & inner[1] & ~inner[2]
+    solid = _SOLID[back[0]] | (pair & _LEADS[back[1]]) | (three & _LEADS[back[2]]) | (inner[0] & inner[1] & inner[2] & _LEADS[back[3]])
+    latin = _ALNUM[back[0]] | (pair & (back[1] >= 0xC3) & (back[1] <= 0xC8) & ~((back[1] == 0xC3) & ((back[0] == 0x97) | (back[0] == 0xB7))) & ~((back[1] == 0xC4) & (back[0] == 0xB0)))
+    following = data[np.minimum(at + 1, len(data) - 1)]
+    lone = (kind == 3) & solid & (at + 1 < len(data)) & (_SOLID[following] | _LEADS[following])
+    flag = np.zeros(len(data) + 2, bool)
+    flag[at[((kind == 1) & solid) | ((kind == 2) & latin) | lone]] = True
+    flag[at[lone] + 1] = True
+    flag[starts] = True
+    return np.flatnonzero(flag[: len(data)])
+
+
+_RANDOM = np.random.default_rng(0x7DE)
+_BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, "u8") * np.uint64(2) + np.uint64(1)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+
+
+class Powers:
+    """The powers of the hash's step and of its inverse, modulo 2 to the 64, as far as they were needed."""
+
+    up = down = np.ones(1, "u8")
+
+    @classmethod
+    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, 1 << 21)
+            cls.up, cls.down = (np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, step, "u8"))]).astype("u8") for step in (_STEP, _BACK))
+        return cls.up[:n], cls.down[:n]
+
+
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes, never 0, of the segments' bytes and lengths."""
+    up, down = Powers.to(len(data))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_VALUE[data] * up, dtype="u8")])
+    h = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype("u8") * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    return h | np.uint64(1)
 
 
 class SegmentCoder:
-    """Maps a text to the concatenated codes of its segments (ids, or token-count steps), keeping the codes of segments.
-
-    At most ``max_entries`` are kept, those met first; the others are coded anew for each slice of texts."""
+    """Maps texts to the concatenated codes of their segments (token ids, or token-count steps), by numpy over whole slices.
 
-    def __init__(self, max_entries: int = 800_000) -> None:
-        self.max_entries = max_entries
-        self.cache = Codes()
+    Codes of segments are kept in a table of ``slots`` places, found by a 64-bit hash of the segment; the first segment of a
+    place stays, others are coded anew for each slice. The memory is bounded by ``slots`` and ``most_units``.
+    """
 
-    def encode_segments(self, segments: list[str]) -> list[bytes]:
-        raise NotImplementedError
+    dtype = np.dtype("u1")
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return [code for run in slices(texts) for code in self._run(run)]
+    def __init__(self, slots: int = 1 << 22, most_units: int = 16_000_000) -> None:
+        self.slots, self.most_units = slots, most_units
+        self.keys = np.zeros(slots, "u8")
+        self.places = np.zeros(slots, "i4")
+        self.sizes = np.zeros(slots, "u1")
+        self.flat = np.zeros(1 << 20, self.dtype)
+        self.used = 0
 
-    def _run(self, texts: list[str]) -> list[bytes]:
-        if len(texts) == 1 and len(texts[0]) > LONG_TEXT and len(parts := list(long_slices(texts[0]))) > 1:
-            return [b"".join(self._run([part])[0] for part in parts)]
-        split = [segments_of(text) for text in texts]
-        cache = self.cache
-        cache.missing = []
-        look = cache.__getitem__
-        found = [list(map(look, segments)) for segments in split]
-        if missing := list(dict.fromkeys(cache.missing)):
-            cache.update(zip(missing, self.encode_segments(missing), strict=True))
-            for codes, segments in zip(found, split, strict=True):
-                for n in [n for n, code in enumerate(codes) if code is None]:
-                    codes[n] = look(segments[n])
-        out = list(map(b"".join, found))
-        for segment in missing[max(0, len(missing) - max(0, len(cache) - self.max_entries)) :]:
-            del cache[segment]
-        return out
+    def encode_segments(self, segments: list[str]) -> list[np.ndarray]:
+        raise NotImplementedError
 
+    def __call__(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all rows, and where each row's begin (one more than rows)."""
+        offsets, data = raw_bytes(array)
+        codes, starts = [], [np.zeros(1, "i8")]
+        done = 0
+        for first, end in row_slices(array):
+            a, b = int(offsets[first]), int(offsets[end])
+            if end == first + 1 and b - a > 2 * SLICE_BYTES:
+                parts = [self._run(data[x:y], np.zeros(1, "i8"))[0] for x, y in self._parts(data, a, b)]
+                got, at = np.concatenate(parts), np.array([sum(map(len, parts))])
+            else:
+                got, at = self._run(data[a:b], offsets[first:end] - a)
+            codes.append(got)
+            starts.append(at + done)
+            done += len(got)
+        return np.concatenate([np.zeros(0, self.dtype), *codes]), np.concatenate(starts)
+
+    def _parts(self, data: np.ndarray, a: int, b: int) -> Iterator[tuple[int, int]]:
+        """A long text as parts of about a slice each, cut where segments begin."""
+        while b - a > 2 * SLICE_BYTES:
+            window = 1 << 12
+            while True:
+                cuts = cut_places(data[a + SLICE_BYTES : min(b, a + SLICE_BYTES + window)], np.zeros(0, "i8"))
+                cuts = cuts[cuts >= 4]
+                if len(cuts) or a + SLICE_BYTES + window >= b:
+                    break
+                window *= 4
+            if not len(cuts):
+                break
+            yield a, a + SLICE_BYTES + int(cuts[0])
+            a += SLICE_BYTES + int(cuts[0])
+        yield a, b
+
+    def _run(self, data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the bytes, and where the codes of each row end. ``rows``: where rows begin."""
+        if not len(data):
+            return np.zeros(0, self.dtype), np.zeros(len(rows), "i8")
+        starts = cut_places(data, rows[rows < len(data)])
+        ends = np.append(starts[1:], len(data))
+        hashes = segment_hashes(data, starts, ends)
+        slot = (hashes >> np.uint64(30)).astype("i8") & (self.slots - 1)
+        hit = self.keys[slot] == hashes
+        place, size = self.places[slot].astype("i8"), self.sizes[slot].astype("i8")
+        flat = self.flat
+        if not hit.all():
+            new, first, back = np.unique(hashes[~hit], return_index=True, return_inverse=True)
+            where = np.flatnonzero(~hit)[first]
+            raw = data.tobytes()
+            coded = self.encode_segments([raw[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
+            sizes = np.array([len(c) for c in coded], "i8")
+            more = np.concatenate(coded)
+            at = self.used + np.cumsum(sizes) - sizes
+            while len(flat) < self.used + len(more):
+                flat = np.concatenate([flat, np.zeros(len(flat), self.dtype)])
+            flat[self.used : self.used + len(more)] = more
+            self.flat = flat
+            place[~hit], size[~hit] = at[back], sizes[back]
+            if self.used + len(more) <= self.most_units:
+                slots = slot[where]
+                free = (self.keys[slots] == 0) & (sizes < 256)
+                self.keys[slots[free]] = new[free]
+                # of two new segments for one place the later one wins, in all three columns alike
+                self.places[slots[free]] = at[free]
+                self.sizes[slots[free]] = sizes[free]
+                self.used += len(more)
+        total = np.cumsum(size)
+        codes = flat[np.repeat(place - (total - size), size) + np.arange(total[-1])]
+        return codes, np.concatenate([[0], total])[np.searchsorted(starts, np.append(rows[1:], len(data)))]
 
-class Codes(dict):
-    """Codes of segments; what is looked up in vain is noted."""
 
-    def __missing__(self, segment: str) -> None:
-        self.missing.append(segment)
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]{1,200}")
 
 
 class IdCoder(SegmentCoder):
-    """Token ids of a ``tokenizers`` file as little-endian unsigned 16-bit integers, or 32-bit for large vocabularies."""
+    """Token ids of a ``tokenizers`` file, as 16-bit integers, or 32-bit for large vocabularies."""
 
-    def __init__(self, path: str, max_entries: int = 800_000) -> None:
-        super().__init__(max_entries)
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = "<u2" if self.vocab_size <= 1 << 16 else "<u4"
+        self.dtype = np.dtype("<u2" if self.vocab_size <= 1 << 16 else "<u4")
+        super().__init__()
         # A segment of Latin letters is one pre-token, so the library's model takes it directly, in the form that its steps give.
         letters = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letter = {b: chr(b) for b in letters} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(letters))}
         self.letters = {ord(c): "".join(letter[b] for b in c.encode()) for c in map(chr, [32, *range(0xC0, 0x250)])}
         forms = (lambda s: s.translate(self.letters), lambda s: s.strip(" ").lower().translate(self.letters))
         probes = [" The", "Was", " \u00c9t\u00e9", "stra\u00dfe", " tHINgs"]
-        self.form = next((f for f in forms if all(self.direct(f(p)) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)), None)
-
-    def direct(self, word: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
+        self.form = next((f for f in forms if all([t.id for t in self.tokenizer.model.tokenize(f(p))] == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)), None)
 
-    def encode_segments(self, segments: list[str]) -> list[bytes]:
-        kind = "H" if self.dtype == "<u2" else "I"
-        out: list[bytes | None] = [None] * len(segments)
+    def encode_segments(self, segments: list[str]) -> list[np.ndarray]:
+        out: list = [None] * len(segments)
         rest = []
         tokenize, form, plain = self.tokenizer.model.tokenize, self.form, _WORD.fullmatch
         for n, segment in enumerate(segments):
             if form and plain(segment):
-                ids = [t.id for t in tokenize(form(segment))]
-                out[n] = struct.pack(f"<{len(ids)}{kind}", *ids)
+                out[n] = [t.id for t in tokenize(form(segment))]
             else:
                 rest.append(n)
         for at in range(0, len(rest), 20_000):
             part = rest[at : at + 20_000]
             for n, e in zip(part, self.tokenizer.encode_batch_fast([segments[n] for n in part], add_special_tokens=False), strict=True):
-                out[n] = struct.pack(f"<{len(e.ids)}{kind}", *e.ids)
-        return out
+                out[n] = e.ids
+        return [np.array(ids, self.dtype) for ids in out]
 
 
 _CODERS: dict[tuple, SegmentCoder] = {}

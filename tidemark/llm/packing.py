@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IdCoder, coder, materialise, slices, text_or_empty
+from tidemark.llm.common import IdCoder, coder, materialise, raw_bytes, row_slices, text_or_empty
 
 #: The queues' ends by partition are broadcast up to so many rows (about 40 MB), and joined by a shuffle beyond.
 BROADCAST_ROWS = 500_000
@@ -82,21 +83,28 @@ class Rounds:
             at += self.sent(k + (s < source), s)
         return at + token - self.sent(k, source)
 
-    def pieces(self, first: int, length: int, source: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start within the document, length and place in the stream of each piece of a document that begins at ``first``."""
-        starts = np.unique(np.concatenate([[first], np.arange((first // self.grain + 1) * self.grain, first + length, self.grain)])).astype("i8")
+    def pieces(self, first: np.ndarray, length: np.ndarray, source: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For documents of one source that begin at ``first`` in its queue: of each piece, the document's number here, the start
+        within it, the length, and the place in the stream."""
+        grains = np.where(length > 0, (first + length - 1) // self.grain - first // self.grain + 1, 0)
+        doc = np.repeat(np.arange(len(first)), grains)
+        j = np.arange(len(doc)) - np.repeat(np.cumsum(grains) - grains, grains)
+        starts = np.maximum(first[doc], (first[doc] // self.grain + j) * self.grain)
         k = self.round_of(starts, source)
-        keep = np.concatenate([[True], k[1:] != k[:-1]])
-        starts, k = starts[keep], k[keep]
+        keep = np.concatenate([[True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1])])[: len(doc)]
+        starts, k, doc = starts[keep], k[keep], doc[keep]
         at = self.place(starts, source, k)
-        lengths = np.diff(np.concatenate([starts, [first + length]]))
+        following = np.append(starts[1:], 0)
+        last = np.append(doc[1:] != doc[:-1], True)[: len(doc)]
+        sizes = np.where(last, first[doc] + length[doc], following) - starts
         # cut where a sequence ends
-        cuts = (at + lengths - 1) // self.seq_len - at // self.seq_len
+        cuts = (at + sizes - 1) // self.seq_len - at // self.seq_len
         n = np.repeat(np.arange(len(starts)), cuts + 1)
         j = np.arange(len(n)) - np.repeat(np.cumsum(cuts + 1) - cuts - 1, cuts + 1)
-        begin = np.maximum(at[n], (at[n] // self.seq_len + j) * self.seq_len)
-        end = np.minimum(at[n] + lengths[n], (at[n] // self.seq_len + j + 1) * self.seq_len)
-        return starts[n] - first + begin - at[n], end - begin, begin
+        edge = (at[n] // self.seq_len + j) * self.seq_len
+        begin = np.maximum(at[n], edge)
+        end = np.minimum(at[n] + sizes[n], edge + self.seq_len)
+        return doc[n], starts[n] - first[doc[n]] + begin - at[n], end - begin, begin
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -105,27 +113,27 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(IdCoder, path)
-        width = np.dtype(encode.dtype).itemsize
-        end = np.array([end_id], encode.dtype).tobytes()
         part = TaskContext.get().partitionId()
         queued: dict[str, int] = {}
         for batch in batches:
-            done = 0
-            for texts in slices(batch.column(1).to_pylist()):
-                ids = [code + end for code in encode(texts)]
-                sources = batch.column(2).slice(done, len(texts))
+            for first, end in row_slices(batch.column(1)):
+                rows = batch.slice(first, end - first)
+                codes, at = encode(rows.column(1))
+                ids = np.insert(codes, at[1:], end_id)
+                at = at + np.arange(len(at))
+                sizes = np.diff(at)
                 starts = []
-                for source, code in zip(sources.to_pylist(), ids, strict=True):
+                for source, size in zip(rows.column(2).to_pylist(), sizes.tolist(), strict=True):
                     starts.append(queued.get(source, 0))
-                    queued[source] = starts[-1] + len(code) // width
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(texts)), sources, pa.array([part] * len(texts), pa.int32()), pa.array(starts, pa.int64()), pa.array([len(c) // width for c in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "part", "queue_start", "doc_tokens", "ids"])
-                done += len(texts)
+                    queued[source] = starts[-1] + size
+                held = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((at * ids.itemsize).astype("i4").tobytes()), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), held], ["doc_id", "source", "part", "queue_start", "doc_tokens", "ids"])
 
     frame = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("source"))
     return frame.mapInArrow(run, f"doc_id {kind}, source string, part int, queue_start long, doc_tokens long, ids binary")
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 128, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_sources: int = 10_000) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 256, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_sources: int = 10_000) -> DataFrame:
     """One row per piece. ``shares``: target token proportions by source (default: the sources' shares of all tokens, so that all
     queues empty together); sources without a share follow when the others are empty."""
     spark = docs.sparkSession
@@ -146,22 +154,26 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            taken: list[int] = []
-            columns = {c: batch.column(c).to_pylist() for c in ("source", "first", "doc_tokens")}
-            for n, (source, first, length) in enumerate(zip(*columns.values(), strict=True)):
-                ids = np.frombuffer(batch.column("ids")[n].as_buffer(), dtype).astype("<u4").data.cast("B")
-                start, size, at = plan.pieces(first, length, number[source])
-                out[0] += start.tolist()
-                out[1] += size.tolist()
-                out[2] += [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
-                out[3] += [length] * len(start)
-                out[4] += (at // seq_len).tolist()
-                out[5] += (at % seq_len).tolist()
-                out[6] += [None if source == NO_SOURCE else source] * len(start)
-                taken += [n] * len(start)
-            kinds = [pa.int64()] * 6 + [pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(taken, pa.int32())), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
+            if not batch.num_rows:
+                continue
+            at, raw = raw_bytes(batch.column("ids"))
+            ids = memoryview(raw.view(dtype).astype("<u4")).cast("B")
+            at = at // np.dtype(dtype).itemsize
+            sources = batch.column("source").dictionary_encode()
+            which = sources.indices.to_numpy()
+            first, length = (batch.column(c).to_numpy() for c in ("first", "doc_tokens"))
+            found = []
+            for n, source in enumerate(sources.dictionary.to_pylist()):
+                rows = np.flatnonzero(which == n)
+                doc, *rest = plan.pieces(first[rows], length[rows], number[source])
+                found.append((rows[doc], *rest))
+            row, start, size, place = (np.concatenate(x) for x in zip(*found, strict=True))
+            begin = (at[row] + start) * 4
+            crc = [zlib.crc32(ids[a:b]) for a, b in zip(begin.tolist(), (begin + size * 4).tolist(), strict=True)]
+            taken = pa.array(row)
+            source = pa.compute.if_else(pa.compute.equal(batch.column("source"), NO_SOURCE), pa.scalar(None, pa.string()), batch.column("source"))
+            columns = [start, size, crc, length[row], place // seq_len, place % seq_len]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(taken), *(pa.array(c, pa.int64()) for c in columns), source.take(taken)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
     small = ends.select("source", "part", "base")
     if ends.count() <= BROADCAST_ROWS:

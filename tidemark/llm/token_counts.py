@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SegmentCoder, coder, slices, text_or_empty
+from tidemark.llm.common import SegmentCoder, coder, raw_bytes, row_slices, text_or_empty
 
 #: Prefix tables are kept for the first so many letters of a word.
 HEAD = 6
@@ -32,8 +32,10 @@ _PLAIN = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+)|[.,\n]")
 class PrefixCounter(SegmentCoder):
     """Count steps for a byte-level BPE file of the ``tokenizers`` library, as its default settings count."""
 
-    def __init__(self, path: str, max_entries: int = 1_000_000) -> None:
-        super().__init__(max_entries)
+    dtype = np.dtype("i1")
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
         from tokenizers import Tokenizer
 
         model = json.load(open(path, encoding="utf-8"))
@@ -139,7 +141,7 @@ class PrefixCounter(SegmentCoder):
     def ending(self, text: str) -> int:
         return sum(self.piece_counts(text[a:b])[-1] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(text))
 
-    def encode_segments(self, segments: list[str]) -> list[bytes]:
+    def encode_segments(self, segments: list[str]) -> list[np.ndarray]:
         out = []
         plain, ascii_plain = _PLAIN.fullmatch, _ASCII.fullmatch
         for segment in segments:
@@ -147,11 +149,7 @@ class PrefixCounter(SegmentCoder):
                 counts = self.counts("Ġ" + segment[1:] if segment[0] == " " else segment)
             else:
                 counts = self.piece_counts(segment) if plain(segment) else self.text_counts(segment)
-            before, steps = 0, []
-            for n in counts:
-                steps.append(n - before & 255)
-                before = n
-            out.append(bytes(steps))
+            out.append(np.diff(counts, prepend=0).astype("i1") if len(counts) > 32 else np.array([b - a for a, b in zip([0, *counts], counts, strict=False)], "i1"))
         return out
 
 
@@ -175,21 +173,20 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(PrefixCounter, path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            done = 0
-            for part in slices(texts):
-                rows, kept = [], []
-                for text, steps in zip(part, encode(part), strict=True):
-                    counts = np.frombuffer(steps, "i1").cumsum(dtype="i4")
-                    n = int(counts[-1]) if len(counts) else 0
-                    rows.append((len(text.encode()), n, n > limit, len(counts) if n <= limit else longest_prefix(steps, limit)))
-                    kept.append(steps)
-                columns = [batch.column(0).slice(done, len(part)), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.bool_(), pa.int64()), strict=True))]
+            for first, end in row_slices(batch.column(1)):
+                rows = batch.slice(first, end - first)
+                steps, at = encode(rows.column(1))
+                totals = np.concatenate([[0], np.cumsum(steps, dtype="i8")])
+                n_tokens = totals[at[1:]] - totals[at[:-1]]
+                fits = np.diff(at)
+                for n in np.flatnonzero(n_tokens > limit):
+                    fits[n] = longest_prefix(steps[at[n] : at[n + 1]], limit)
+                n_bytes = np.diff(raw_bytes(rows.column(1))[0])
+                columns = [rows.column(0), pa.array(n_bytes), pa.array(n_tokens), pa.array(n_tokens > limit), pa.array(fits)]
                 names = [id_col, "n_bytes", "n_tokens", "over_limit", "fits_chars"]
                 if keep_steps:
-                    columns.append(pa.array(kept, pa.binary()))
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(fits), [None, pa.py_buffer(at.astype("i4").tobytes()), pa.py_buffer(steps.tobytes())]))
                     names.append("token_steps")
                 yield pa.RecordBatch.from_arrays(columns, names)
-                done += len(part)
 
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)

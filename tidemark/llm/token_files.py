@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from tidemark.llm.common import IdCoder, coder, slices, text_or_empty
+from tidemark.llm.common import IdCoder, coder, row_slices, text_or_empty
 
 MAGIC = b"TDMKTOK1"
 BLOCK = 4096
@@ -119,15 +119,16 @@ class TokenWriter(DataSourceArrowWriter):
     def __init__(self, path: str, vocabulary: str, bits: int, end_id: int | None) -> None:
         self.path, self.vocabulary, self.bits, self.end_id = path, vocabulary, bits, end_id
 
-    def encoded(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes], str]]:
+    def encoded(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Row ids, row lengths and token ids of slices of rows."""
         encode = coder(IdCoder, self.vocabulary)
-        end = np.array([] if self.end_id is None else [self.end_id], encode.dtype).tobytes()
         for batch in batches:
             ids = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-            done = 0
-            for texts in slices(batch.column("text").to_pylist()):
-                yield ids[done : done + len(texts)], [code + end for code in encode(texts)], encode.dtype
-                done += len(texts)
+            for first, end in row_slices(batch.column("text")):
+                codes, at = encode(batch.column("text").slice(first, end - first))
+                if self.end_id is not None:
+                    codes, at = np.insert(codes.astype("<u4"), at[1:], self.end_id), at + np.arange(len(at))
+                yield ids[first:end], np.diff(at), codes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = open_fs(self.path)
@@ -138,10 +139,10 @@ class TokenWriter(DataSourceArrowWriter):
         tokens = 0
         with fs.open_output_stream(f"{root}/{name}") as out:
             out.write(MAGIC)
-            for batch_ids, codes, dtype in self.encoded(iterator):
-                doc_ids.append(batch_ids)
-                lengths.append(np.array([len(c) for c in codes], "<i8") // np.dtype(dtype).itemsize)
-                ids = np.concatenate([rest, np.frombuffer(b"".join(codes), dtype)])
+            for row_ids, sizes, codes in self.encoded(iterator):
+                doc_ids.append(row_ids)
+                lengths.append(sizes)
+                ids = np.concatenate([rest, codes])
                 whole = len(ids) // BLOCK * BLOCK
                 out.write(pack_bits(ids[:whole], self.bits))
                 rest = ids[whole:]
