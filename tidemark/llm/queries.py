@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import media, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import chat, chat_sql, media, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.common import scratch_path, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,13 @@ def op2_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(chat.format_chats(turns))
+
+
 def op6_bitpacked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), out, WORD_BPE, end_id=2)
@@ -44,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixture_packing": op1_mixture_packing,
         "op2_prefix_token_counts": op2_prefix_token_counts,
+        "op3_chat_format": op3_chat_format,
         "op6_bitpacked_tokens": op6_bitpacked_tokens,
         "op7_ngram_toxicity": op7_ngram_toxicity,
         "op9_tiff_media": op9_tiff_media,
@@ -52,4 +60,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_chat_format": chat_sql.ORACLE,
+    }
