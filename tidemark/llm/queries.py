@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, chat_sql, media, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import chat, chat_sql, licenses, media, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.common import scratch_path, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_bitpacked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), out, WORD_BPE, end_id=2)
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixture_packing": op1_mixture_packing,
         "op2_prefix_token_counts": op2_prefix_token_counts,
         "op3_chat_format": op3_chat_format,
+        "op4_license_scan": op4_license_scan,
         "op6_bitpacked_tokens": op6_bitpacked_tokens,
         "op7_ngram_toxicity": op7_ngram_toxicity,
         "op9_tiff_media": op9_tiff_media,
