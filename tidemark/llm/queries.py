@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, chat_sql, licenses, media, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import chat, chat_sql, licenses, media, mixing, mixing_sql, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.common import scratch_path, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op7_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents"), target_entropy=0.9, most_repeats=2.0)
+
+
 def op9_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored_digests(media.store_bytes(table(spark, sf_dir, "documents")))
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_license_scan": op4_license_scan,
         "op6_bitpacked_tokens": op6_bitpacked_tokens,
         "op7_ngram_toxicity": op7_ngram_toxicity,
+        "op8_temperature_mixing": op8_temperature_mixing,
         "op9_tiff_media": op9_tiff_media,
         "op10_quality_rules": op10_quality_rules,
     }
@@ -67,4 +72,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": chat_sql.ORACLE,
+        "op8_temperature_mixing": mixing_sql.ORACLE,
     }
