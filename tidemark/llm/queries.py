@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, chat_sql, licenses, media, mixing, mixing_sql, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import chat, chat_sql, jaccard_join, licenses, media, mixing, mixing_sql, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.common import scratch_path, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op6_bitpacked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), out, WORD_BPE, end_id=2)
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_prefix_token_counts": op2_prefix_token_counts,
         "op3_chat_format": op3_chat_format,
         "op4_license_scan": op4_license_scan,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_bitpacked_tokens": op6_bitpacked_tokens,
         "op7_ngram_toxicity": op7_ngram_toxicity,
         "op8_temperature_mixing": op8_temperature_mixing,
