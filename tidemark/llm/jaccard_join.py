@@ -404,3 +404,15 @@ def similarity_components(docs: DataFrame, words: int = 4, percent: int = 85, id
     of_root = named.groupBy("_root").agg(F.min("_least").alias("component"))
     labels = named.join(of_root.withColumnRenamed("_root", "_r"), F.col("_root") == F.col("_r")).select(F.col("node").alias("_node"), "component")
     return rows.join(labels, (F.col("node") == F.col("_node")) & (F.col("n_shingles") > 0), "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The documents with all their columns, of each component that with the smallest id. Rows with one id are one document."""
+    named = materialise(similarity_components(docs, words, percent, id_col, text_col).select("doc_id", "component_id"), "jaccard-components")
+    gone = named.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    if gone.count() <= broadcast_rows:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    if named.count() != named.select("doc_id").distinct().count():
+        left = left.dropDuplicates([id_col])
+    return left

@@ -222,3 +222,9 @@ def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: st
     frame = with_stats(docs, named, text_col)
     base, rule = base_failed(), verdict(rules, measures())
     return frame.select(*named, *(F.col(f"_s_{c}").alias(c) for c in COUNTS[:5]), base.alias("base_failed"), rule.alias("rule"), (~base & (rule == 0)).alias("kept"))
+
+
+def passing(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are kept, with all their columns."""
+    rules = train(docs, labels, max_rows, id_col, text_col)
+    return with_stats(docs, docs.columns, text_col).where(~base_failed() & (verdict(rules, measures()) == 0)).select(*docs.columns)

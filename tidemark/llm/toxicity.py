@@ -168,3 +168,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: s
     """Per row: id, held_out, score, predicted."""
     scored = score(docs, train(docs, labels, max_rows, id_col, text_col), id_col, text_col)
     return scored.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The documents whose score is below the limit, with all their columns."""
+    names = docs.columns
+    plain = docs.select(*(F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(names)))
+    text = f"c{names.index(text_col)}"
+    scored = score(plain, train(docs, labels, max_rows, id_col, text_col), text_col=text, keep=plain.columns)
+    return scored.where(F.col("score") < limit).select(*(F.col(f"c{n}").alias(c) for n, c in enumerate(names)))
