@@ -7,6 +7,7 @@ import struct
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BinaryType, StringType
 
 KINDS = {1: "POINT", 2: "LINESTRING", 3: "POLYGON"}
 
@@ -68,11 +69,11 @@ def to_wkb(text: str) -> bytes | None:
         return None
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def wkt(column: pd.Series) -> pd.Series:
     return column.map(lambda b: None if b is None else to_wkt(bytes(b)))
 
 
-@pandas_udf("binary")
+@pandas_udf(BinaryType())
 def wkb(column: pd.Series) -> pd.Series:
     return column.map(lambda t: None if t is None else to_wkb(t))

@@ -111,8 +111,7 @@ def ring_aware(bounds: tuple[int, int], segments: DataFrame, parts: int) -> Data
     """Segments (min, max, and others such as replicas) cut to the bounds, each with its share of the parts, at least one."""
     inside = clamped(segments, *bounds)
     size = F.col("max") - F.col("min") + 1
-    total = inside.agg(F.sum(size).alias("_total"))
-    shared = inside.join(F.broadcast(total))  # one row
+    shared = inside.withColumn("_total", F.sum(size).over(Window.partitionBy(F.lit(1))))  # segments are as few as nodes
     k = F.greatest(whole(wide(parts) * size, F.col("_total")), wide(1))
     return equal_parts(shared.withColumn("_parts", k), F.col("_parts")).drop("_parts", "_total")
 

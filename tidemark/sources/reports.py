@@ -61,4 +61,5 @@ def summary(totals: DataFrame, plan: DataFrame, options: str) -> DataFrame:
     """One row: counters, plan, discrepancies outstanding, and a hash of the job's options."""
     left = (F.col("n_missing") - F.col("n_corrected_missing")) + (F.col("n_mismatch") - F.col("n_corrected_mismatch"))
     counters = F.struct(*(c for c in totals.columns if c.startswith("n_")))
-    return totals.select(F.sha2(F.lit(options), 256).alias("config_hash"), counters.alias("counters"), left.alias("outstanding")).join(F.broadcast(plan.select(F.struct(*plan.columns).alias("plan"))))
+    one = totals.select(F.lit(1).alias("_one"), F.sha2(F.lit(options), 256).alias("config_hash"), counters.alias("counters"), left.alias("outstanding"))
+    return one.join(plan.select(F.lit(1).alias("_one"), F.struct(*plan.columns).alias("plan")), "_one").drop("_one")
