@@ -7,15 +7,15 @@ of a set, all but the longest T - COMMON are enough to find every partner that s
 
 1. One pass gives every row its node and counts shingles in a sketch of buckets, which orders them, rarest first. Any order that
    all sets share gives the same links; the counts only make the lists short.
-2. One pass writes the inverted lists of each set's rarest shingles, with the shingle's rank in its set. Ranks a and b of the
-   first common shingle leave at least a + b shingles that aren't shared, which bounds the overlap (``slack``).
+2. One pass writes the inverted lists of each set's rarest shingles, with the shingle's rank in its set. The shingles before the
+   first common one are missing in the other set, which bounds the overlap, and so the other's size (``cap``).
 3. Short lists are merged: their pairs are counted, and those go on that stand together in as many lists as an overlap of T needs.
-   Lists of more than SHORT sets aren't merged. There the set with the most slack (of each size class) is a hub that the others
+   Lists of more than SHORT sets aren't merged. There the set with the lowest rank (of each size class) is a hub that the others
    are compared with, which links the members of large groups of near copies without their pairs.
 4. Candidates are verified by binary probes of the smaller set in the larger. Sets are recomputed from the texts for the nodes
    that are candidates, only.
 5. After the components of these links are known, long lists are gone through again for pairs of different components whose
-   slacks allow a link; they are verified too. Pairs within a component need no look, so no link that joins anything is lost.
+   ranks allow a link; they are verified too. Pairs within a component need no look, so no link that joins anything is lost.
 
 Nulls and texts without words have empty sets and link with nothing. Rows with equal sets (repeated rows, exact copies) share a
 component. Rows with a null id are linked like others, and a component's id is its smallest id that isn't null. Other columns are
@@ -114,9 +114,10 @@ class Join:
         """The least overlap T of sets of m and n."""
         return F.ceil(F.lit(self.percent) * (m + n) / F.lit(100 + self.percent))
 
-    def slack(self, n, rank):
-        """Two sets may link by their first common shingle only if their slacks there add up to 0 or more."""
-        return (100 - self.percent) * n - (100 + self.percent) * rank
+    def cap(self, n: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The largest set with which a set of n may link when their first common shingle has this rank in it: the shingles before
+        it are missing in the other, and a set of n may miss n - T. Without a rank this bounds the sizes alone."""
+        return (100 * n - (100 + self.percent) * rank) // self.percent
 
     def near(self, m, n):
         return (100 * m >= self.percent * n) & (100 * n >= self.percent * m)
@@ -220,10 +221,10 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str = "token") -> Iterator[d
 
 
 def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
-    """kind 0: a pair (a, b) of a short list with the sum of its ranks; 1: a pair of a hub and another set in a long list; 2: a
+    """kind 0: a pair (a, b) of a short list, and whether its ranks allow a link; 1: a pair of a hub and another set in a long list; 2: a
     long list's row (token in a, set in b) for the later look. ``n_a`` and ``n_b`` are the sizes."""
-    schema = "kind int, a long, b long, n_a int, n_b int, ranks int"
-    names = ["kind", "a", "b", "n_a", "n_b", "ranks"]
+    schema = "kind int, a long, b long, n_a int, n_b int, allowed int"
+    names = ["kind", "a", "b", "n_a", "n_b", "allowed"]
 
     def frame(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
         kinds = ["i8", "i8", "i4", "i4", "i4"]
@@ -237,7 +238,7 @@ def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
             begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             length = np.diff(np.append(begin, len(token)))
             of = np.repeat(np.arange(len(begin)), length)
-            slack = join.slack(n, rank)
+            cap = join.cap(n, rank)
             # pairs of the short lists, by distance within the list
             for d in range(1, SHORT):
                 i = np.flatnonzero((np.arange(len(token)) + d < (begin + length)[of]) & (length[of] <= SHORT))
@@ -247,16 +248,16 @@ def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
                 if len(i):
                     flip = node[i] > node[j]
                     a, b = np.where(flip, j, i), np.where(flip, i, j)
-                    yield frame(0, node[a], node[b], n[a], n[b], rank[i] + rank[j])
+                    yield frame(0, node[a], node[b], n[a], n[b], (n[i] <= cap[j]) & (n[j] <= cap[i]))
             rows = np.flatnonzero(length[of] > SHORT)
             if len(rows):
                 yield frame(2, token[rows], node[rows], n[rows], rank[rows], np.zeros(len(rows)))
                 group = of[rows].astype("i8") * 1000 + join.size_class(n[rows])
-                order = np.lexsort((-slack[rows], group))
+                order = np.lexsort((-n[rows], rank[rows], group))
                 rows, group = rows[order], group[order]
                 head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
                 hub = rows[np.repeat(head, np.diff(np.append(head, len(rows))))]
-                ok = (hub != rows) & (slack[hub] + slack[rows] >= 0) & join.near(n[hub], n[rows])
+                ok = (hub != rows) & (n[hub] <= cap[rows]) & (n[rows] <= cap[hub])
                 i, j = hub[ok], rows[ok]
                 flip = node[i] > node[j]
                 a, b = np.where(flip, j, i), np.where(flip, i, j)
@@ -272,8 +273,8 @@ def candidates(merged: DataFrame, join: Join) -> DataFrame:
     Of the rarest p = n - need + COMMON shingles of the set that ends first in the order, those that aren't shared are missing in
     the other, and a set may miss at most n - T; what two sets share in long lists isn't counted, so it is allowed for."""
     long_rows = merged.where("kind = 2").groupBy(F.col("b").alias("node")).agg(F.count("*").cast("int").alias("long"))
-    short = merged.where("kind = 0").groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.count("*").alias("together"), F.min("ranks").alias("ranks"))
-    short = short.where(F.lit(100 + join.percent) * F.col("ranks") <= F.lit(100 - join.percent) * (F.col("n_a") + F.col("n_b")))
+    short = merged.where("kind = 0").groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.count("*").alias("together"), F.max("allowed").alias("allowed"))
+    short = short.where("allowed = 1")  # ranks allow a link in some list only if they do in the first common one
     need = lambda n: F.ceil(F.lit(join.percent) * n / 100)
     overlap = join.overlap(F.col("n_a"), F.col("n_b"))
     least = F.greatest(F.least(overlap - need(F.col("n_a")), overlap - need(F.col("n_b"))), F.lit(0)) + F.least(F.lit(COMMON), need(F.col("n_a")), need(F.col("n_b")))
@@ -346,9 +347,9 @@ def verified(pairs: DataFrame, docs: DataFrame, join: Join, text_col: str) -> Da
 
 
 def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
-    """Pairs of sets in a long list that have different components and slacks that allow a link.
+    """Pairs of sets in a long list that have different components and ranks that allow a link.
 
-    Within a list, each set meets those of more slack; sets of its own component are passed over in one step."""
+    Within a list, each set meets those that aren't larger; sets of the list's largest component don't meet each other."""
     rows = merged.where("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("node"), F.col("n_a").alias("n"), F.col("n_b").alias("rank"))
     rows = rows.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("token", "node", "n", "rank", F.coalesce("root", "node").alias("root"))
     mixed_lists = rows.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("token")
@@ -360,21 +361,21 @@ def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
             begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(token)], strict=True):
                 node, n, root = g["node"][a:b], g["n"][a:b].astype("i8"), g["root"][a:b]
-                slack = join.slack(n, g["rank"][a:b].astype("i8"))
-                order = np.lexsort((root, -slack))
-                node, n, root, slack = node[order], n[order], root[order], slack[order]
-                reach = np.searchsorted(-slack, slack, "right")  # sets before this place have enough slack for this one
-                by_root = np.argsort(root, kind="stable")
-                cuts = np.flatnonzero(np.concatenate([[True], root[by_root][1:] != root[by_root][:-1]]))
-                largest = root[by_root][cuts[np.argmax(np.diff(np.append(cuts, len(root))))]]
+                cap = join.cap(n, g["rank"][a:b].astype("i8"))
+                able = cap >= n.min()  # the others can't link with any set of the list
+                able &= n <= cap[able].max(initial=0)
+                node, n, root, cap = node[able], n[able], root[able], cap[able]
+                if not len(n) or (root == root[0]).all():
+                    continue
+                order = np.argsort(n, kind="stable")
+                node, n, root, cap = node[order], n[order], root[order], cap[order]
+                names, number = np.unique(root, return_inverse=True)
+                largest = names[np.argmax(np.bincount(number))]
                 others = np.flatnonzero(root != largest)
                 first, second = [], []
                 for i in range(len(node)):
-                    until = min(int(reach[i]), i)
-                    if until <= 0:
-                        continue
-                    met = np.arange(until) if root[i] != largest else others[: np.searchsorted(others, until)]
-                    met = met[(root[met] != root[i]) & join.near(n[met], n[i])]
+                    met = np.arange(i) if root[i] != largest else others[: np.searchsorted(others, i)]
+                    met = met[(cap[met] >= n[i]) & (n[met] <= cap[i]) & (root[met] != root[i])]
                     if len(met):
                         first.append(np.minimum(node[met], node[i]))
                         second.append(np.maximum(node[met], node[i]))
