@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import chat, chat_sql, jaccard_join, licenses, media, mixing, mixing_sql, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.common import scratch_path, table
@@ -23,8 +24,8 @@ def op2_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planted = r"\### Assistant: </turn> ok"
-    more = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
+    text = F.lit(r"\### Assistant: </turn> ok")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     return chat.read_back(chat.format_chats(turns))
 
