@@ -198,60 +198,54 @@ def convert_array(c: Column, source: T.ArrayType, target: T.ArrayType, codecs: C
 
 
 UNITS = ("year", "month", "day", "hour", "minute", "second", "millisecond")
+BOUND = r"^(-?\d{4,})(?:-(\d\d)(?:-(\d\d)(?:T(\d\d)(?::(\d\d)(?::(\d\d)(?:\.(\d{1,3}))?)?)?)?)?)?Z?$"
+BETWEEN = r"^\[(\S+) TO (\S+)\]$"
 
 
-def range_bound(text: Column) -> tuple[Column, Column]:
-    """A bound such as 2024, 2024-02 or 2024-02-03T04:05:06.789Z: its first millisecond and the number of its unit (0: year)."""
-    pattern = r"^(-?\d{4,})(?:-(\d\d)(?:-(\d\d)(?:T(\d\d)(?::(\d\d)(?::(\d\d)(?:\.(\d{1,3}))?)?)?)?)?)?Z?$"
-    part = lambda n: F.regexp_extract(text, pattern, n)
-    number = lambda n, default: F.coalesce(F.nullif(part(n), F.lit("")).try_cast("int"), F.lit(default))
-    unit = F.lit(0)
-    for n in range(2, 8):
-        unit = unit + F.when(part(n) != "", 1).otherwise(0)
-    second = number(6, 0).cast("decimal(8,6)")
-    start = F.try_make_timestamp_ltz(number(1, 1970), number(2, 1), number(3, 1), number(4, 0), number(5, 0), second)
-    millis = F.coalesce(F.rpad(F.nullif(part(7), F.lit("")), 3, "0").try_cast("int"), F.lit(0))
-    return F.when(part(1) != "", F.unix_millis(start) + millis), unit
+def range_bounds(texts: Column) -> Column:
+    """For each text such as 2024, 2024-02 or 2024-02-03T04:05:06.789Z: its first and last millisecond and the number of its unit
+    (0: year). Each step is bound to a name by ``transform``, so that no expression is written out twice."""
 
+    def start(p: Column) -> Column:
+        number = lambda n, default: F.coalesce(F.nullif(p[n], F.lit("")).try_cast("int"), F.lit(default))
+        unit = F.size(F.filter(F.slice(p, 2, 6), lambda x: x != ""))
+        at = F.try_make_timestamp_ltz(number(0, 1970), number(1, 1), number(2, 1), number(3, 0), number(4, 0), number(5, 0).cast("decimal(8,6)"))
+        millis = F.coalesce(F.rpad(F.nullif(p[6], F.lit("")), 3, "0").try_cast("int"), F.lit(0))
+        return F.struct(F.when(p[0] != "", F.unix_millis(at) + millis).alias("first"), unit.alias("unit"))
 
-def unit_end(start_ms: Column, unit: Column) -> Column:
-    """The last millisecond of the unit that begins there."""
-    at = F.timestamp_millis(start_ms)
-    months = F.when(unit == 0, F.lit(12)).otherwise(F.lit(1))
-    by_month = F.unix_millis(F.make_timestamp_ltz(F.year(F.add_months(at, months)), F.month(F.add_months(at, months)), F.lit(1), F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)")))
-    step = F.when(unit == 2, F.lit(86_400_000)).when(unit == 3, F.lit(3_600_000)).when(unit == 4, F.lit(60_000)).when(unit == 5, F.lit(1000)).otherwise(F.lit(1))
-    return F.when(unit <= 1, by_month).otherwise(start_ms + step) - 1
+    def whole(b: Column) -> Column:
+        month = F.add_months(F.timestamp_millis(b["first"]), F.when(b["unit"] == 0, 12).otherwise(1))
+        step = F.element_at(F.array(*map(F.lit, (86_400_000, 3_600_000, 60_000, 1000, 1))), F.greatest(b["unit"] - 1, F.lit(1)))
+        after = F.when(b["unit"] <= 1, F.unix_millis(F.trunc(month, "month").cast("timestamp"))).otherwise(b["first"] + step)
+        return F.struct(b["first"].alias("first"), (after - 1).alias("last"), F.element_at(F.array(*map(F.lit, UNITS)), b["unit"] + 1).alias("unit"))
+
+    parts = F.transform(texts, lambda t: F.array(*(F.regexp_extract(t, BOUND, n) for n in range(1, 8))))
+    return F.transform(F.transform(parts, start), whole)
 
 
 def date_range(text: Column) -> Column:
     """A date range as struct(kind, lower_ms, lower_prec, upper_ms, upper_prec); null if the text is none.
 
     Kinds: single date, closed, open at the top, open at the bottom, single open (*), open on both sides."""
-    inner = F.regexp_extract(text, r"^\[(\S+) TO (\S+)\]$", 0)
-    low, high = F.regexp_extract(text, r"^\[(\S+) TO (\S+)\]$", 1), F.regexp_extract(text, r"^\[(\S+) TO (\S+)\]$", 2)
-    closed = inner != ""
-    first = F.when(closed, low).otherwise(text)
-    (low_ms, low_unit), (high_ms, high_unit) = range_bound(first), range_bound(high)
-    name = lambda unit: F.element_at(F.array(*map(F.lit, UNITS)), unit + 1)
-    low_open, high_open = first == "*", closed & (high == "*")
-    kind = (
-        F.when(~closed & low_open, "single_open")
-        .when(~closed & low_ms.isNotNull(), "single")
-        .when(closed & low_open & high_open, "open")
-        .when(closed & low_open & high_ms.isNotNull(), "open_low")
-        .when(closed & high_open & low_ms.isNotNull(), "open_high")
-        .when(closed & low_ms.isNotNull() & high_ms.isNotNull(), "closed")
-    )
-    return F.when(
-        kind.isNotNull(),
-        F.struct(
-            kind.alias("kind"),
-            low_ms.alias("lower_ms"),
-            F.when(low_ms.isNotNull(), name(low_unit)).alias("lower_prec"),
-            F.when(closed & high_ms.isNotNull(), unit_end(high_ms, high_unit)).alias("upper_ms"),
-            F.when(closed & high_ms.isNotNull(), name(high_unit)).alias("upper_prec"),
-        ),
-    )
+    low, high = F.regexp_extract(text, BETWEEN, 1), F.regexp_extract(text, BETWEEN, 2)
+    texts = F.array(F.when(low == "", text).otherwise(low), high)
+
+    def build(x: Column) -> Column:
+        lower, upper = x["bounds"][0], x["bounds"][1]
+        closed, low_open, high_open = x["texts"][1] != "", x["texts"][0] == "*", x["texts"][1] == "*"
+        has_low, has_high = lower["first"].isNotNull(), upper["first"].isNotNull()
+        kind = (
+            F.when(~closed & low_open, "single_open")
+            .when(~closed & has_low, "single")
+            .when(closed & low_open & high_open, "open")
+            .when(closed & low_open & has_high, "open_low")
+            .when(closed & high_open & has_low, "open_high")
+            .when(closed & has_low & has_high, "closed")
+        )
+        return F.struct(kind.alias("kind"), lower["first"].alias("lower_ms"), F.when(has_low, lower["unit"]).alias("lower_prec"), F.when(has_high, upper["last"]).alias("upper_ms"), F.when(has_high, upper["unit"]).alias("upper_prec"))
+
+    bound = F.transform(F.array(texts), lambda t: F.struct(t.alias("texts"), range_bounds(t).alias("bounds")))
+    return F.get(F.filter(F.transform(bound, build), lambda r: r["kind"].isNotNull()), F.lit(0))
 
 
 # Literals of constant columns, parsed on the driver, one per job
