@@ -217,8 +217,9 @@ def brute_components(rows, words, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
-def test_jaccard_components_match_brute_force(spark, words, percent):
+@pytest.mark.parametrize("words, percent, list_rows", [(4, 85, 50_000), (5, 80, 50_000), (4, 85, 3)])
+def test_jaccard_components_match_brute_force(spark, monkeypatch, words, percent, list_rows):
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", list_rows)  # few rows: lists are split
     rng = np.random.default_rng(5)
     vocabulary = [f"w{n}" for n in range(400)]
     passage = [f"p{n}" for n in range(50)]

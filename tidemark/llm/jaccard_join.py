@@ -39,6 +39,8 @@ from tidemark.llm.components import components
 
 SHORT = 12
 COMMON = 3
+#: Lists that should have more rows than this, by the sketch, are split into parts of about so many; a part has hubs of its own.
+LIST_ROWS = 50_000
 CHUNK = 1 << 16
 #: Nodes whose ids tasks may hold in memory (32 MB); beyond, they are selected by a join.
 HELD_NODES = 4_000_000
@@ -119,6 +121,11 @@ class Join:
         it are missing in the other, and a set of n may miss n - T. Without a rank this bounds the sizes alone."""
         return (100 * n - (100 + self.percent) * rank) // self.percent
 
+    def allowed(self, m: str, a: str, n: str, b: str) -> Column:
+        """The same as a condition on both sets' sizes and ranks."""
+        reach = lambda x, r: 100 * F.col(x).cast("long") - (100 + self.percent) * F.col(r).cast("long")
+        return (self.percent * F.col(n).cast("long") <= reach(m, a)) & (self.percent * F.col(m).cast("long") <= reach(n, b))
+
     def near(self, m, n):
         return (100 * m >= self.percent * n) & (100 * n >= self.percent * m)
 
@@ -150,8 +157,9 @@ def first_pass(docs: DataFrame, join: Join, buckets: int, id_col: str, text_col:
     return frame.mapInArrow(run, f"kind int, doc_id {kind}, n long, node long, part int, counts binary")
 
 
-def bucket_levels(first: DataFrame, buckets: int) -> np.ndarray:
-    """The counts of all tasks added up, as ranks of 0 to 255 by their logarithm: one byte a bucket."""
+def bucket_levels(first: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
+    """The counts of all tasks added up, as ranks of 0 to 255 by their logarithm, one byte a bucket; and what to add to a rank to
+    have 16 times the logarithm."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -169,21 +177,24 @@ def bucket_levels(first: DataFrame, buckets: int) -> np.ndarray:
         part = np.frombuffer(zlib.decompress(row["level"]), "<u2")
         levels[row["part"] * CHUNK : row["part"] * CHUNK + len(part)] = part
     base = int(np.median(levels)) if len(levels) else 0
-    return np.clip(levels.astype("i4") - base + 64, 0, 255).astype("u1")
+    return np.clip(levels.astype("i4") - base + 64, 0, 255).astype("u1"), base - 64
 
 
 def inverted_lists(docs: DataFrame, join: Join, levels, buckets: int, text_col: str) -> DataFrame:
-    """(token, node, n, rank) for the rarest shingles of each set, as many as any link leaves, and COMMON - 1 more."""
+    """(token, list, split, node, n, rank) for the rarest shingles of each set, as many as any link leaves, and COMMON - 1 more.
+    ``list`` is the token, or for a frequent token (split) the part of its list that the node falls in."""
+    list_rows = LIST_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels.value
+        level, base = levels.value
+        parts_of = np.maximum(2.0 ** ((np.arange(256) + base) / 16) // list_rows, 1).astype("i8")
         done: set[int] = set()
         for batch in batches:
             for first, end in row_slices(batch.column(0)):
                 at, sets = shingle_sets(batch.column(0).slice(first, end - first), join.words)
                 nodes, sizes = node_ids(at, sets), np.diff(at)
                 rank_of = level[(sets & np.uint64(buckets - 1)).astype("i8")]
-                token, node, size, rank = [], [], [], []
+                token, node, size, rank, parts = [], [], [], [], []
                 for n in np.flatnonzero(sizes):
                     if int(nodes[n]) in done:
                         continue
@@ -197,13 +208,17 @@ def inverted_lists(docs: DataFrame, join: Join, levels, buckets: int, text_col:
                     node.append(np.full(some, nodes[n]))
                     size.append(np.full(some, m, "i4"))
                     rank.append(np.arange(some, dtype="i4"))
+                    parts.append(parts_of[rank_of[own][order]])
                 if token:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in ([t.view("i8") for t in token], node, size, rank)], ["token", "node", "n", "rank"])
+                    tokens, members, k = np.concatenate(token), np.concatenate(node), np.concatenate(parts)
+                    part = members.view("u8") % k.astype("u8")
+                    columns = [tokens.view("i8"), (tokens + part * _MIX).view("i8"), k > 1, members, np.concatenate(size), np.concatenate(rank)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "list", "split", "node", "n", "rank"])
 
-    return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "token long, node long, n int, rank int")
+    return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "token long, list long, split boolean, node long, n int, rank int")
 
 
-def grouped(batches: Iterator[pa.RecordBatch], key: str = "token") -> Iterator[dict[str, np.ndarray]]:
+def grouped(batches: Iterator[pa.RecordBatch], key: str = "list") -> Iterator[dict[str, np.ndarray]]:
     """Sorted batches as runs of whole groups."""
     held: dict[str, np.ndarray] | None = None
     for batch in batches:
@@ -221,8 +236,9 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str = "token") -> Iterator[d
 
 
 def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
-    """kind 0: a pair (a, b) of a short list, and whether its ranks allow a link; 1: a pair of a hub and another set in a long list; 2: a
-    long list's row (token in a, set in b) for the later look. ``n_a`` and ``n_b`` are the sizes."""
+    """kind 0: a pair (a, b) of a short list, and whether its ranks allow a link; 1: a pair of a hub and another set in a long list;
+    2: a long list's row (token in a, set in b, size in n_a, rank in n_b) for the later look; 3: the same of the hubs of split
+    lists, with the size class in ``allowed``. In pairs ``n_a`` and ``n_b`` are the sizes."""
     schema = "kind int, a long, b long, n_a int, n_b int, allowed int"
     names = ["kind", "a", "b", "n_a", "n_b", "allowed"]
 
@@ -232,16 +248,17 @@ def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in grouped(batches):
-            token, node, n, rank = g["token"], g["node"], g["n"].astype("i8"), g["rank"].astype("i8")
-            keep = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
-            token, node, n, rank = token[keep], node[keep], n[keep], rank[keep]
-            begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            length = np.diff(np.append(begin, len(token)))
+            part, token, split, node, n, rank = g["list"], g["token"], g["split"], g["node"], g["n"].astype("i8"), g["rank"].astype("i8")
+            keep = np.concatenate([[True], (part[1:] != part[:-1]) | (node[1:] != node[:-1])])
+            part, token, split, node, n, rank = (x[keep] for x in (part, token, split, node, n, rank))
+            begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            length = np.diff(np.append(begin, len(part)))
             of = np.repeat(np.arange(len(begin)), length)
+            long = (length[of] > SHORT) | split
             cap = join.cap(n, rank)
             # pairs of the short lists, by distance within the list
             for d in range(1, SHORT):
-                i = np.flatnonzero((np.arange(len(token)) + d < (begin + length)[of]) & (length[of] <= SHORT))
+                i = np.flatnonzero((np.arange(len(part)) + d < (begin + length)[of]) & ~long)
                 j = i + d
                 ok = join.near(n[i], n[j])
                 i, j = i[ok], j[ok]
@@ -249,7 +266,7 @@ def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
                     flip = node[i] > node[j]
                     a, b = np.where(flip, j, i), np.where(flip, i, j)
                     yield frame(0, node[a], node[b], n[a], n[b], (n[i] <= cap[j]) & (n[j] <= cap[i]))
-            rows = np.flatnonzero(length[of] > SHORT)
+            rows = np.flatnonzero(long)
             if len(rows):
                 yield frame(2, token[rows], node[rows], n[rows], rank[rows], np.zeros(len(rows)))
                 group = of[rows].astype("i8") * 1000 + join.size_class(n[rows])
@@ -257,14 +274,17 @@ def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
                 rows, group = rows[order], group[order]
                 head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
                 hub = rows[np.repeat(head, np.diff(np.append(head, len(rows))))]
+                far = rows[head][split[rows[head]]]
+                if len(far):
+                    yield frame(3, token[far], node[far], n[far], rank[far], join.size_class(n[far]))
                 ok = (hub != rows) & (n[hub] <= cap[rows]) & (n[rows] <= cap[hub])
                 i, j = hub[ok], rows[ok]
                 flip = node[i] > node[j]
                 a, b = np.where(flip, j, i), np.where(flip, i, j)
                 yield frame(1, node[a], node[b], n[a], n[b], np.zeros(len(a)))
 
-    # sorted by node within a token, so that copies of one set stand together
-    return lists.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, schema)
+    # sorted by node within a list, so that copies of one set stand together
+    return lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(run, schema)
 
 
 def candidates(merged: DataFrame, join: Join) -> DataFrame:
@@ -284,7 +304,12 @@ def candidates(merged: DataFrame, join: Join) -> DataFrame:
     for side in ("a", "b"):
         rest = rest.join(long_rows.select(F.col("node").alias(f"_{side}"), F.col("long").alias(f"_long_{side}")), F.col(side) == F.col(f"_{side}"))
     rest = rest.where(F.col("together") + F.least("_long_a", "_long_b") >= F.col("_least")).select("a", "b")
-    return enough.unionByName(rest).unionByName(merged.where("kind = 1").select("a", "b")).distinct()
+    # the hubs of a split list's parts are compared with the first of them
+    hubs = merged.where("kind = 3").select(F.col("a").alias("token"), F.col("allowed").alias("class"), F.col("b").alias("node"), F.col("n_a").alias("n"), F.col("n_b").alias("rank"))
+    top = hubs.groupBy("token", "class").agg(F.min(F.struct("rank", "n", "node")).alias("top"))
+    met = hubs.join(top, ["token", "class"]).where((F.col("node") != F.col("top.node")) & join.allowed("n", "rank", "top.n", "top.rank"))
+    of_hubs = met.select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b"))
+    return enough.unionByName(rest).unionByName(merged.where("kind = 1").select("a", "b")).unionByName(of_hubs).distinct()
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, join: Join, text_col: str) -> DataFrame:
@@ -349,40 +374,19 @@ def verified(pairs: DataFrame, docs: DataFrame, join: Join, text_col: str) -> Da
 def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
     """Pairs of sets in a long list that have different components and ranks that allow a link.
 
-    Within a list, each set meets those that aren't larger; sets of the list's largest component don't meet each other."""
+    One side of the join is a list's sets outside its most frequent component, so members of one large group aren't paired; sets
+    that no set of another component can link with are left out first. Spark splits the join where a token has many rows."""
     rows = merged.where("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("node"), F.col("n_a").alias("n"), F.col("n_b").alias("rank"))
     rows = rows.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("token", "node", "n", "rank", F.coalesce("root", "node").alias("root"))
-    mixed_lists = rows.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("token")
-    rows = rows.join(mixed_lists, "token", "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in grouped(batches):
-            token = g["token"]
-            begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(token)], strict=True):
-                node, n, root = g["node"][a:b], g["n"][a:b].astype("i8"), g["root"][a:b]
-                cap = join.cap(n, g["rank"][a:b].astype("i8"))
-                able = cap >= n.min()  # the others can't link with any set of the list
-                able &= n <= cap[able].max(initial=0)
-                node, n, root, cap = node[able], n[able], root[able], cap[able]
-                if not len(n) or (root == root[0]).all():
-                    continue
-                order = np.argsort(n, kind="stable")
-                node, n, root, cap = node[order], n[order], root[order], cap[order]
-                names, number = np.unique(root, return_inverse=True)
-                largest = names[np.argmax(np.bincount(number))]
-                others = np.flatnonzero(root != largest)
-                first, second = [], []
-                for i in range(len(node)):
-                    met = np.arange(i) if root[i] != largest else others[: np.searchsorted(others, i)]
-                    met = met[(cap[met] >= n[i]) & (n[met] <= cap[i]) & (root[met] != root[i])]
-                    if len(met):
-                        first.append(np.minimum(node[met], node[i]))
-                        second.append(np.maximum(node[met], node[i]))
-                if first:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.concatenate(second))], ["a", "b"])
-
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long").distinct()
+    rows = rows.withColumn("reach", F.floor((100 * F.col("n").cast("long") - (100 + join.percent) * F.col("rank")) / join.percent).cast("int"))
+    by_root = rows.groupBy("token", "root").agg(F.count("*").alias("_rows"))
+    lists = by_root.groupBy("token").agg(F.max_by("root", F.struct("_rows", "root")).alias("_main"), F.count("*").alias("_roots")).where("_roots > 1").select("token", "_main")
+    bounds = rows.groupBy("token").agg(F.min("n").alias("_least"), F.max("reach").alias("_most"))
+    able = rows.join(lists.join(bounds, "token"), "token").where("reach >= _least and n <= _most")
+    side = lambda f, s: f.select("token", *(F.col(c).alias(c + s) for c in ("node", "n", "reach", "root")))
+    others = side(able.where("root <> _main"), "_o")
+    met = others.join(side(able, "_a"), "token").where("root_o <> root_a and n_a <= reach_o and n_o <= reach_a")
+    return met.select(F.least("node_o", "node_a").alias("a"), F.greatest("node_o", "node_a").alias("b")).distinct()
 
 
 def similarity_components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
