@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Counters by job, in the order in which they are written. UNFLUSHED stands in interim strings only.
+#: The counters of each job and their titles, in the order in which stored metric strings hold them.
 REGISTERED = {
     "migrate": ["READ", "WRITE", "SKIPPED", "ERROR", "PASSED", "FAILED"],
     "validate": ["READ", "MISMATCH", "CORRECTED_MISMATCH", "MISSING", "CORRECTED_MISSING", "VALID", "SKIPPED", "ERROR", "PASSED", "FAILED"],

@@ -17,7 +17,9 @@ from tidemark.operators import filters, guardrail, merge, metrics, ranges, recon
 from tidemark.operators.mapping import Mapping
 from tidemark.plans import jobs, tracking
 from tidemark.sources import generate, reports
+from tidemark.session import scratch_path
 from tidemark.spec import Explode, Extract, JobSpec, TableSpec
+from tidemark.streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -685,3 +687,23 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of the tracked ranges by type and status, as the event log would hold them."""
     return reports.range_events(run_details(spark, sf_dir)).groupBy("type", "status").agg(F.count("*").alias("n_events"))
 
+
+
+@query("""SELECT CAST(1700000001 AS BIGINT) AS second, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeStarted' AS type, count(*) AS n_events FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 2
+UNION ALL SELECT 1700000002, CAST(o_custkey % 10 AS BIGINT), 'RangeCompleted', count(*) FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 2""")
+def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log of the tracked ranges, written twice, and counted as a stream: repeats count once."""
+    path = scratch_path(spark, "events")
+    events = reports.range_events(run_details(spark, sf_dir))
+    end = events.groupBy().agg(F.max("at").alias("at")).select((F.col("at") + F.expr("interval 1 hour")).alias("at"), F.lit(-1).cast("long").alias("run_id"), F.lit("RunCompleted").alias("type"))
+    events.unionByName(events).unionByName(end, allowMissingColumns=True).write.json(f"{path}/log")
+    counted = monitor.run_to_files(monitor.per_second(monitor.read_events(spark, f"{path}/log")), f"{path}/out")
+    return counted.where("type <> 'RunCompleted'").select(F.unix_seconds("second").alias("second"), "run_id", "type", "n_events")
+
+
+@query(f"""WITH {CHECKED}, n AS (SELECT count(*) AS n_read, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch FROM v), {SPLIT}
+SELECT sha256('orders') AS config_hash, n_read, n_missing + n_mismatch AS outstanding, (SELECT count(*) FROM r) AS n_ranges FROM n""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec())
+    plan = order_ranges(spark, sf_dir).agg(F.count("*").alias("n_ranges"))
+    return reports.summary(counted, plan, "orders").select("config_hash", "counters.n_read", "outstanding", "plan.n_ranges")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import parsed
 
+#: The statuses and the columns of the tracking tables.
 STATUSES = ("NOT_STARTED", "STARTED", "PASS", "FAIL", "DIFF", "DIFF_CORRECTED", "ENDED", "INTERRUPTED", "ABORTED")
 RUN_INFO = "table_name string, run_id long, run_type string, prev_run_id long, start_time timestamp, end_time timestamp, run_info string, status string"
 RUN_DETAILS = "table_name string, run_id long, start_time timestamp, token_min long, token_max long, status string, run_info string"

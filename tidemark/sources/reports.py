@@ -9,6 +9,13 @@ from tidemark.operators.mapping import quoted
 from tidemark.operators.reconcile import MISMATCH, MISSING, detail
 
 
+#: The beginnings of log lines, which tools that read the log look for.
+MISSING_LINE = "Missing target row found for key: "
+MISMATCH_LINE = "Mismatch row found for key: "
+INSERTED_LINE = "Inserted missing row in target: "
+CORRECTED_LINE = "Corrected mismatch row in target: "
+
+
 def key_text(key: list[str]) -> Column:
     return F.concat_ws(" %% ", *(F.coalesce(quoted(k).cast("string"), F.lit("null")) for k in key))
 
@@ -33,8 +40,8 @@ def csv_rows(records: DataFrame) -> DataFrame:
 def log_lines(validated: DataFrame, key: list[str], corrected_missing: bool = False, corrected_mismatch: bool = False) -> DataFrame:
     """The key and the lines that a row gives: what was found, then what was done about it."""
     text = key_text(key)
-    found = F.when(F.col("outcome") == MISSING, F.concat(F.lit("Missing target row found for key: "), text)).when(F.col("outcome") == MISMATCH, F.concat(F.lit("Mismatch row found for key: "), text, F.lit(" Mismatch: "), detail(F.col("differences"))))
-    done = F.when((F.col("outcome") == MISSING) & F.lit(corrected_missing), F.concat(F.lit("Inserted missing row in target: "), text)).when((F.col("outcome") == MISMATCH) & F.lit(corrected_mismatch), F.concat(F.lit("Corrected mismatch row in target: "), text))
+    found = F.when(F.col("outcome") == MISSING, F.concat(F.lit(MISSING_LINE), text)).when(F.col("outcome") == MISMATCH, F.concat(F.lit(MISMATCH_LINE), text, F.lit(" Mismatch: "), detail(F.col("differences"))))
+    done = F.when((F.col("outcome") == MISSING) & F.lit(corrected_missing), F.concat(F.lit(INSERTED_LINE), text)).when((F.col("outcome") == MISMATCH) & F.lit(corrected_mismatch), F.concat(F.lit(CORRECTED_LINE), text))
     return validated.where(F.col("outcome").isin(MISSING, MISMATCH)).select(*map(quoted, key), F.posexplode(F.array_compact(F.array(found, done))).alias("n", "line"))
 
 

@@ -28,6 +28,13 @@ def statuses(events: DataFrame) -> DataFrame:
     return events.groupBy("run_id", "type", "status", "kind").agg(F.count("*").alias("n_events"))
 
 
+def run_to_files(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Processes what is there into Parquet files under ``path``, with its checkpoint beside them, and reads them."""
+    query = df.writeStream.format("parquet").option("path", f"{path}/rows").outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
+
+
 def run_available(df: DataFrame, table: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Processes what is there and gives the result as a table in memory (for tests and small monitors)."""
     query = df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
