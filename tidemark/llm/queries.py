@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, chat_sql, jaccard_join, licenses, media, mixing, mixing_sql, packing, quality, token_counts, token_files, toxicity
-from tidemark.llm.common import scratch_path, table
+from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
