@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 #: Texts are handed to Python code in slices of about so many bytes, so that a task's memory doesn't follow the batch.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function, giving memory back to the system when its partition is done: workers stay for the tasks of later stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def row_slices(array: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows (first, end) of a string or binary array, of about ``size`` bytes each."""
     offsets, _ = raw_bytes(array)
@@ -97,7 +115,7 @@ class Powers:
     @classmethod
     def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, 1 << 21)
+            size = max(n, 1 << 20)
             cls.up, cls.down = (np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, step, "u8"))]).astype("u8") for step in (_STEP, _BACK))
         return cls.up[:n], cls.down[:n]
 

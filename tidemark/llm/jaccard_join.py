@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, raw_bytes, row_slices, segment_hashes, text_or_empty
+from tidemark.llm.common import materialise, raw_bytes, row_slices, segment_hashes, text_or_empty, tidy
 from tidemark.llm.components import components
 
 SHORT = 12
@@ -154,7 +154,7 @@ def first_pass(docs: DataFrame, join: Join, buckets: int, id_col: str, text_col:
             n = len(chunks)
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, "i4")), pa.nulls(n, kind_of_id), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.arange(n, dtype="i4")), pa.array(chunks, pa.binary())], names)
 
-    return frame.mapInArrow(run, f"kind int, doc_id {kind}, n long, node long, part int, counts binary")
+    return frame.mapInArrow(tidy(run), f"kind int, doc_id {kind}, n long, node long, part int, counts binary")
 
 
 def bucket_levels(first: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
@@ -173,7 +173,7 @@ def bucket_levels(first: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
 
     chunks = first.where("kind = 1").select("part", "counts").repartition(max(1, min(200, buckets // CHUNK)), "part")
     levels = np.zeros(buckets, "<u2")
-    for row in chunks.mapInArrow(add, "part int, level binary").toLocalIterator():
+    for row in chunks.mapInArrow(tidy(add), "part int, level binary").toLocalIterator():
         part = np.frombuffer(zlib.decompress(row["level"]), "<u2")
         levels[row["part"] * CHUNK : row["part"] * CHUNK + len(part)] = part
     base = int(np.median(levels)) if len(levels) else 0
@@ -215,7 +215,7 @@ def inverted_lists(docs: DataFrame, join: Join, levels, buckets: int, text_col:
                     columns = [tokens.view("i8"), (tokens + part * _MIX).view("i8"), k > 1, members, np.concatenate(size), np.concatenate(rank)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "list", "split", "node", "n", "rank"])
 
-    return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "token long, list long, split boolean, node long, n int, rank int")
+    return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "token long, list long, split boolean, node long, n int, rank int")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str = "list") -> Iterator[dict[str, np.ndarray]]:
@@ -284,7 +284,7 @@ def merge_lists(lists: DataFrame, join: Join) -> DataFrame:
                 yield frame(1, node[a], node[b], n[a], n[b], np.zeros(len(a)))
 
     # sorted by node within a list, so that copies of one set stand together
-    return lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(run, schema)
+    return lists.repartition("list").sortWithinPartitions("list", "node").mapInArrow(tidy(run), schema)
 
 
 def candidates(merged: DataFrame, join: Join) -> DataFrame:
@@ -337,7 +337,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, join: Join, text_col: str) -> Dat
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(own[rows]), pa.array([sets[at[n] : at[n + 1]].tobytes() for n in rows], pa.binary())], ["node", "members"])
 
-    found = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "node long, members binary")
+    found = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "node long, members binary")
     if held is None:
         found = found.join(nodes, "node", "left_semi")
     return found.groupBy("node").agg(F.first("members").alias("members"))
@@ -368,7 +368,7 @@ def verified(pairs: DataFrame, docs: DataFrame, join: Join, text_col: str) -> Da
             keep = np.flatnonzero(linked)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)), pa.array(common[keep])], ["a", "b", "overlap"])
 
-    return materialise(both.mapInArrow(run, "a long, b long, overlap long"), "jaccard-links")
+    return materialise(both.mapInArrow(tidy(run), "a long, b long, overlap long"), "jaccard-links")
 
 
 def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:

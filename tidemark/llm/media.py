@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import text_or_empty, tidy
 
 NONE, LZW, DEFLATE, DEFLATE_OLD, PACKBITS = 1, 5, 8, 32946, 32773
 WIDTH = 64
@@ -311,7 +311,7 @@ def store_bytes(docs: DataFrame, compression: int = DEFLATE, predictor: int = 2,
                     [id_col, "n_bytes", "media"],
                 )
 
-    return docs.select(id_col, text_or_empty(text_col).alias("_text")).mapInArrow(run, f"{id_col} {kind}, n_bytes long, media binary")
+    return docs.select(id_col, text_or_empty(text_col).alias("_text")).mapInArrow(tidy(run), f"{id_col} {kind}, n_bytes long, media binary")
 
 
 def tiff_pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -335,7 +335,7 @@ def tiff_pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media
                 found = list(rows(batch.column(1)[n].as_py()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([n] * len(found))), *(pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True))], [id_col, *names])
 
-    return files.select(id_col, F.col(media_col).alias("media")).mapInArrow(run, schema)
+    return files.select(id_col, F.col(media_col).alias("media")).mapInArrow(tidy(run), schema)
 
 
 def stored_digests(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -357,4 +357,4 @@ def stored_digests(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 found = zip(*(digest(m.as_py()) for m in batch.column("media")), strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("n_bytes"), *(pa.array(c, k) for c, k in zip(found, kinds, strict=True))], [id_col, "n_bytes", *names])
 
-    return stored.select(id_col, "n_bytes", "media").mapInArrow(run, schema)
+    return stored.select(id_col, "n_bytes", "media").mapInArrow(tidy(run), schema)

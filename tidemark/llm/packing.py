@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IdCoder, coder, materialise, raw_bytes, row_slices, text_or_empty
+from tidemark.llm.common import IdCoder, coder, materialise, raw_bytes, row_slices, text_or_empty, tidy
 
 #: The queues' ends by partition are broadcast up to so many rows (about 40 MB), and joined by a shuffle beyond.
 BROADCAST_ROWS = 500_000
@@ -130,7 +130,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), held], ["doc_id", "source", "part", "queue_start", "doc_tokens", "ids"])
 
     frame = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("source"))
-    return frame.mapInArrow(run, f"doc_id {kind}, source string, part int, queue_start long, doc_tokens long, ids binary")
+    return frame.mapInArrow(tidy(run), f"doc_id {kind}, source string, part int, queue_start long, doc_tokens long, ids binary")
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 256, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_sources: int = 10_000) -> DataFrame:
@@ -179,4 +179,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain
     if ends.count() <= BROADCAST_ROWS:
         small = F.broadcast(small)
     placed = stored.join(small, ["source", "part"]).select("doc_id", "source", (F.col("base") + F.col("queue_start")).alias("first"), "doc_tokens", "ids")
-    return placed.mapInArrow(run, PIECES.format(id=dict(docs.dtypes)[id_col]))
+    return placed.mapInArrow(tidy(run), PIECES.format(id=dict(docs.dtypes)[id_col]))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import tidy
 from tidemark.llm.toxicity import sample_of
 
 SYMBOLS = "#*$%&|<>"
@@ -74,7 +74,8 @@ def text_stats(text: str) -> tuple[int, ...]:
 
 def with_stats(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns in ``keep`` and the counts of the whole text, each as ``_s_<name>``."""
-    frame = docs.select(*keep, text_or_empty(text_col).alias("_text"))
+    place = keep.index(text_col) if text_col in keep else len(keep)
+    frame = docs.select(*keep, *([] if text_col in keep else [F.col(text_col)]))
     kinds = dict(frame.dtypes)
     names = [f"_s_{c}" for c in COUNTS]
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + [f"{n} long" for n in names])
@@ -83,10 +84,10 @@ def with_stats(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
         for batch in batches:
             if not batch.num_rows:
                 continue
-            stats = zip(*(text_stats(t.as_py()) for t in batch.column(len(keep))), strict=True)
+            stats = zip(*(text_stats(t.as_py() or "") for t in batch.column(place)), strict=True)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(s, pa.int64()) for s in stats)], [*keep, *names])
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(tidy(run), schema)
 
 
 def measures(prefix: str = "_s_") -> dict[str, Column]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SegmentCoder, coder, raw_bytes, row_slices, text_or_empty
+from tidemark.llm.common import SegmentCoder, coder, raw_bytes, row_slices, text_or_empty, tidy
 
 #: Prefix tables are kept for the first so many letters of a word.
 HEAD = 6
@@ -189,4 +189,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
                     names.append("token_steps")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), schema)

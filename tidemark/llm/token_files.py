@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from tidemark.llm.common import IdCoder, coder, row_slices, text_or_empty
+from tidemark.llm.common import IdCoder, coder, give_back, row_slices, text_or_empty
 
 MAGIC = b"TDMKTOK1"
 BLOCK = 4096
@@ -157,6 +157,7 @@ class TokenWriter(DataSourceArrowWriter):
             out.write(footer + struct.pack("<q8s", len(footer), MAGIC))
         if not len(sizes):
             fs.delete_file(f"{root}/{name}")
+        give_back()
         return Written(name, part, len(sizes), tokens)
 
     def commit(self, messages: list[Written | None]) -> None:

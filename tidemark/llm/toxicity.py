@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import text_or_empty, tidy
 
 ORDERS = (3, 4, 5, 6)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -116,7 +116,7 @@ def fit(sample: DataFrame, max_features: int = 4096, least_texts: int = 5, smoot
                     if len(found):
                         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), label, "i4"))], ["gram", "label"])
 
-        counts = sample.mapInArrow(grams, "gram long, label int").groupBy("gram").agg(F.sum("label").alias("toxic"), F.count("*").alias("texts")).where(F.col("texts") >= least_texts)
+        counts = sample.mapInArrow(tidy(grams), "gram long, label int").groupBy("gram").agg(F.sum("label").alias("toxic"), F.count("*").alias("texts")).where(F.col("texts") >= least_texts)
         a, n = F.col("toxic").cast("double"), F.col("texts").cast("double")
         expected = n * F.lit(n1 / (n0 + n1))
         gain = (a - expected) * (a - expected) / (expected * (1 - n / (n0 + n1)) + 1e-9)
@@ -133,7 +133,7 @@ def fit(sample: DataFrame, max_features: int = 4096, least_texts: int = 5, smoot
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([pa.array([plain.features(t).astype("<i4").tobytes() for t in batch.column("text").to_pylist()], pa.binary()), batch.column("label")], ["found", "label"])
 
-        rows = sample.mapInArrow(vectors, "found binary, label int").collect()
+        rows = sample.mapInArrow(tidy(vectors), "found binary, label int").collect()
         coefficients, intercept = logistic([np.frombuffer(r["found"], "<i4").astype("i8") for r in rows], np.array([r["label"] for r in rows], "f8"), ratios)
         return Model(hashes, ratios * coefficients, intercept)
     finally:
@@ -141,18 +141,19 @@ def fit(sample: DataFrame, max_features: int = 4096, least_texts: int = 5, smoot
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The id (and the columns in ``keep``) with the score of the whole text."""
+    """The id (or the columns in ``keep``) with the score of the whole text."""
     names = keep or [id_col]
-    frame = docs.select(*names, text_or_empty(text_col).alias("_text"))
+    place = names.index(text_col) if text_col in names else len(names)
+    frame = docs.select(*names, *([] if text_col in names else [F.col(text_col)]))
     kinds = dict(frame.dtypes)
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array([model.score(t.as_py()) for t in batch.column(len(names))], pa.float64())
+            scores = pa.array([model.score(t.as_py() or "") for t in batch.column(place)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], scores], [*names, "score"])
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(tidy(run), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
