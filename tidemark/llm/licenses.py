@@ -11,6 +11,7 @@ one space around each. Null texts are empty. Repeated rows get the same result.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -209,7 +210,9 @@ def scan(docs: DataFrame, ruleset: list[Rule] | None = None, id_col: str = "doc_
     """The id, n_words, base (detections of the base phrases) and kept (all detections that aren't suppressed)."""
     ruleset = ruleset or rules()
     keywords = list(dict.fromkeys(r.keyword for r in ruleset))
-    table = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in (("keyword", r.keyword), ("name", r.name), ("priority", r.priority), ("label", r.label), ("pattern", r.pattern), ("base", r.base)))) for r in ruleset))
+    # the rules as one literal, which is parsed once for a plan
+    rows = json.dumps([{"keyword": r.keyword, "name": r.name, "priority": r.priority, "label": r.label, "pattern": r.pattern, "base": r.base} for r in ruleset])
+    table = F.from_json(F.lit(rows), "array<struct<keyword:string,name:string,priority:int,label:string,pattern:string,base:boolean>>")
     found = docs.select(id_col, text_or_empty(text_col).alias("_text"))
     found = found.select(id_col, F.regexp_count("_text", F.lit(WORD)).cast("long").alias("n_words"), F.lower("_text").alias("_low"))
     found = found.withColumn("_keywords", F.array_compact(F.array(*(F.when(F.contains("_low", F.lit(k)), F.lit(k)) for k in keywords))))
