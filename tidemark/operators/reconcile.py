@@ -116,3 +116,22 @@ def corrections(origin: DataFrame, validated: DataFrame, key: list[str], missing
     """The origin rows to write again: those that are missing or that differ. Nothing is ever deleted."""
     wanted = [o for o, on in ((MISSING, missing), (MISMATCH, mismatch)) if on]
     return origin.join(validated.where(F.col("outcome").isin(*wanted)).select(*map(quoted, key)), key, "left_semi")
+
+
+def all_keys(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
+    """The keys of both snapshots, each with where it stands."""
+    columns = list(map(quoted, key))
+    both = a.select(*columns, F.lit(1).alias("_side")).unionByName(b.select(*columns, F.lit(2).alias("_side")))
+    return both.groupBy(*columns).agg(F.bit_or("_side").alias("_sides")).select(*columns, (F.col("_sides").bitwiseAND(1) > 0).alias("in_a"), (F.col("_sides").bitwiseAND(2) > 0).alias("in_b"))
+
+
+def capped(differences: DataFrame, key: list[str], most: int = 100) -> DataFrame:
+    """The first differences by key and column, each with the number of all. Only ``most`` rows of each task meet in one."""
+    total = differences.agg(F.lit(1).alias("_one"), F.count("*").alias("n_differences"))
+    shown_rows = differences.orderBy(*map(quoted, key), "column").limit(most).withColumn("_one", F.lit(1))
+    return shown_rows.join(total, "_one").drop("_one")
+
+
+def complete(counted: Column, expected: Column, stored: Column) -> Column:
+    """Whether a job's own count, the expected one and an independent count of the target agree."""
+    return (counted == expected) & (expected == stored)

@@ -707,3 +707,77 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec())
     plan = order_ranges(spark, sf_dir).agg(F.count("*").alias("n_ranges"))
     return reports.summary(counted, plan, "orders").select("config_hash", "counters.n_read", "outstanding", "plan.n_ranges")
+
+
+# Further operators
+
+
+@query("""WITH b AS (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0 UNION ALL SELECT s_suppkey + 1000000 FROM supplier WHERE s_suppkey % 5 = 0)
+SELECT coalesce(a.s_suppkey, b.s_suppkey) AS s_suppkey, a.s_suppkey IS NOT NULL AS in_a, b.s_suppkey IS NOT NULL AS in_b FROM supplier a FULL JOIN b ON a.s_suppkey = b.s_suppkey""")
+def all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "supplier").select("s_suppkey")
+    more = a.where("s_suppkey % 5 = 0").select((F.col("s_suppkey") + 1000000).cast(a.schema["s_suppkey"].dataType).alias("s_suppkey"))
+    return reconcile.all_keys(a, a.where("s_suppkey % 3 <> 0").unionByName(more), ["s_suppkey"])
+
+
+@query("""WITH d AS (SELECT c_custkey, c_nationkey AS a, c_nationkey + 1 AS b FROM customer WHERE c_custkey % 2 = 0)
+SELECT c_custkey, 'value' AS kind, 'c_nationkey' AS "column", CAST(a AS VARCHAR) AS a, CAST(b AS VARCHAR) AS b, (SELECT count(*) FROM d) AS n_differences FROM d ORDER BY c_custkey LIMIT 100""")
+def difference_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    b = a.withColumn("c_nationkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")))
+    return reconcile.capped(reconcile.snapshot_diff(a, b, ["c_custkey"]), ["c_custkey"])
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0")
+def rows_to_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The origin rows behind the discrepancies, read by key."""
+    orders = table(spark, sf_dir, "orders")
+    found = checked_orders(spark, sf_dir)
+    return reconcile.corrections(orders, found, ["o_orderkey"], True, True).select("o_orderkey", "o_custkey")
+
+
+@query(f"SELECT 't' || c_custkey % 5 AS table_name, c_custkey AS run_id, CASE WHEN c_custkey % 6 = 0 THEN 'INTERRUPTED' ELSE 'ENDED' END AS status FROM customer WHERE {KIND} = 'VALIDATE'")
+def runs_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracking.listed(run_info(spark, sf_dir), "VALIDATE").select("table_name", "run_id", "status")
+
+
+@query("SELECT c_custkey AS run_id, 'ABORTED' AS status, CASE c_custkey % 4 WHEN 0 THEN 'Read: 1; Partitions Failed: 2' WHEN 1 THEN 'Read: 1; Partitions Failed: 0' WHEN 2 THEN 'Partitions Failed: many' END AS run_info FROM customer WHERE c_custkey = 12")
+def cancelled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracking.cancelled(run_info(spark, sf_dir), 12, F.timestamp_seconds(F.lit(1_800_000_000))).select("run_id", "status", "run_info")
+
+
+@query("""SELECT o_orderkey, o_orderkey % 10 + o_orderkey % 7 AS list_sum, CAST(2 AS INTEGER) AS list_size, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS set_size, o_custkey AS map_value, o_orderstatus AS by_name, o_orderkey % 13 = 0 AS failed FROM orders""")
+def convert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists, sets, maps and structs whose elements are converted; a bad element is an error of its row."""
+    key = F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        F.array(text(key % 10), text(key % 7)).alias("l"),
+        F.array(F.lit("1"), F.when(key % 2 == 0, "1").otherwise("2")).alias("s"),
+        F.create_map(F.when(key % 13 == 0, "x").otherwise("1"), text(F.col("o_custkey"))).alias("m"),
+        F.struct(F.col("o_orderstatus").alias("a"), text(key).alias("b")).alias("u"),
+    )
+    codecs = C.builtin(frozenset({"INT_STRING", "BIGINT_STRING"}))
+    to = lambda c, kind, **meta: C.convert(F.col(c), orders.schema[c].dataType, T._parse_datatype_string(kind), codecs, meta)
+    lists, sets, maps, structs = to("l", "array<int>"), to("s", "array<int>", set=True), to("m", "map<int,bigint>"), to("u", "struct<b:bigint,a:string>")
+    total = F.aggregate(lists.value, F.lit(0), lambda x, y: x + y)
+    return orders.select("o_orderkey", total.cast("long").alias("list_sum"), F.size(lists.value).alias("list_size"), F.size(sets.value).alias("set_size"), F.col("o_custkey").alias("map_value"), structs.value["a"].alias("by_name"), F.coalesce(maps.failed, F.lit(False)).alias("failed"))
+
+
+@query("SELECT count(*) AS n_write, count(*) AS n_stored, TRUE AS complete FROM part")
+def completion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A migration into an empty target: its own count against the target's rows."""
+    part = table(spark, sf_dir, "part")
+    spec = TableSpec.of(part, "part", ["p_partkey"])
+    job = jobs.migrate(part, spec, spec, JobSpec())
+    stored = job.merged(part.where(F.lit(False))).agg(F.lit(1).alias("_one"), F.count("*").alias("n_stored"))
+    both = job.counters().withColumn("_one", F.lit(1)).join(stored, "_one")
+    return both.select("n_write", "n_stored", reconcile.complete(F.col("n_write"), F.col("n_read"), F.col("n_stored")).alias("complete"))
+
+
+@query("SELECT c_custkey, 16 AS width FROM customer")
+def key_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", F.length(tokens.fingerprint("c_custkey")).alias("width"))
