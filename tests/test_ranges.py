@@ -60,3 +60,17 @@ def test_stream_counts_each_range_once(spark, tmp_path):
     out = monitor.run_available(monitor.per_second(monitor.read_events(spark, str(tmp_path / "events"))), "per_second", str(tmp_path / "checkpoint"))
     done = {str(r.second)[-2:]: (r.n_events, r.n_rows) for r in out.where("type = 'RangeCompleted'").collect()}
     assert done == {"01": (1, 10), "02": (1, 10), "03": (1, 10)}
+
+
+def test_bounds_and_work_lists(spark):
+    assert ranges.resolve_bounds("murmur3") == (-(1 << 63), (1 << 63) - 1)
+    assert ranges.resolve_bounds("random", low=5) == (5, (1 << 127) - 1)
+    assert ranges.resolve_bounds("ordered", 1, 2) == (1, 2)
+    for wrong in (("ordered", 1, None), ("murmur3", 5, 4)):
+        with pytest.raises(ValueError):
+            ranges.resolve_bounds(*wrong)
+    make = lambda rows: spark.createDataFrame(rows, "min long, max long")
+    assert listed(ranges.from_work_list(make([(0, 5), (6, 9)]))) == [(0, 5), (6, 9)]
+    for rows in ([], [(0, 5), (5, 9)], [(4, 3)]):
+        with pytest.raises(ValueError):
+            ranges.from_work_list(make(rows))

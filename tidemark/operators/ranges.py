@@ -171,3 +171,29 @@ def mean_row_bytes(estimates: DataFrame) -> DataFrame:
 
 def ring(spark: SparkSession, low: int, high: int) -> DataFrame:
     return spark.range(1).select(wide(low).alias("min"), wide(high).alias("max"))
+
+
+#: The rings of partitioners, both ends included; an ordered one has none, so both bounds must be given.
+RINGS = {"murmur3": (-(1 << 63), (1 << 63) - 1), "random": (0, (1 << 127) - 1), "xxhash64": (-(1 << 63), (1 << 63) - 1), "md5_60": (0, (1 << 60) - 1), "ordered": None}
+
+
+def resolve_bounds(partitioner: str, low: int | None = None, high: int | None = None) -> tuple[int, int]:
+    """The bounds to plan between: each side as given, else the ring's."""
+    ring_ends = RINGS[partitioner]
+    if ring_ends is None and (low is None or high is None):
+        raise ValueError("an ordered partitioner needs both bounds")
+    found = (ring_ends[0] if low is None else low, ring_ends[1] if high is None else high)
+    if found[0] > found[1]:
+        raise ValueError("the lower bound lies above the upper one")
+    return found
+
+
+def from_work_list(ranges: DataFrame) -> DataFrame:
+    """A plan from given ranges (min, max): there must be some, at most MOST_PARTS, and none may overlap."""
+    n = ranges.count()
+    if not 1 <= n <= MOST_PARTS:
+        raise ValueError(f"a work list holds from 1 to {MOST_PARTS} ranges, not {n}")
+    wide_ranges = ranges.select(wide(F.col("min")).alias("min"), wide(F.col("max")).alias("max"))
+    if not wide_ranges.where(F.col("min") > F.col("max")).isEmpty() or not conflicts(wide_ranges).isEmpty():
+        raise ValueError("ranges of a work list overlap or are inverted")
+    return wide_ranges.withColumn("coverage", F.lit(100))

@@ -16,7 +16,7 @@ from tidemark.functions import geometry, tokens
 from tidemark.operators import filters, guardrail, merge, metrics, ranges, reconcile
 from tidemark.operators.mapping import Mapping
 from tidemark.plans import jobs, tracking
-from tidemark.sources import generate, reports
+from tidemark.sources import generate, reports, tables
 from tidemark.session import scratch_path
 from tidemark.spec import Explode, Extract, JobSpec, TableSpec
 from tidemark.streaming import monitor
@@ -781,3 +781,30 @@ def completion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey, 16 AS width FROM customer")
 def key_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", F.length(tokens.fingerprint("c_custkey")).alias("width"))
+
+
+@query(f"SELECT o_orderkey, o_totalprice, {TOKEN} AS token FROM orders WHERE o_totalprice > 1000 AND {TOKEN} BETWEEN 100000000000000000 AND 400000000000000000")
+def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.range_scan(table(spark, sf_dir, "orders"), tokens.token60("o_orderkey"), 100000000000000000, 400000000000000000, ["o_orderkey", "o_totalprice"], "and o_totalprice > 1000")
+
+
+@query(f"""WITH {CHECKED}, r AS (SELECT {RANGE_ID} AS range_id, outcome FROM v), c AS (SELECT range_id, count(*) AS n_read, count(*) FILTER (outcome = 'VALID' AND range_id % 2 = 0) AS n_valid, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch FROM r GROUP BY 1)
+SELECT range_id, greatest(n_read - n_valid - n_missing - n_mismatch, 0) AS n_lost, CASE WHEN range_id % 2 = 1 THEN 'FAIL' WHEN n_missing + n_mismatch = 0 THEN 'PASS' ELSE 'DIFF' END AS verdict FROM c""")
+def failed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of odd numbers fail after their discrepancies were counted: what they hadn't counted is lost."""
+    rows = checked_orders(spark, sf_dir).withColumn("range_id", ranges.range_of(tokens.token60("o_orderkey"), *tokens.RING60, 64))
+    odd = F.col("range_id") % 2 == 1
+    by = jobs.validation_counters(rows, ["range_id"], JobSpec()).withColumn("n_valid", F.when(odd, 0).otherwise(F.col("n_valid"))).withColumn("n_skipped", F.lit(0))
+    zero = F.lit(0)
+    return by.select("range_id", metrics.lost("validate").alias("n_lost"), metrics.verdict(F.col("n_missing"), F.col("n_mismatch"), zero, zero, odd).alias("verdict"))
+
+
+@query(f"""WITH {SPLIT} SELECT CAST(greatest("min", 200000000000000000) AS BIGINT) AS "min", CAST(least("max", 700000000000000000) AS BIGINT) AS "max" FROM r WHERE "max" >= 200000000000000000 AND "min" <= 700000000000000000""")
+def range_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    low, high = ranges.resolve_bounds("md5_60", 200000000000000000, 700000000000000000)
+    return as_long(ranges.clamped(order_ranges(spark, sf_dir), low, high), "min", "max").select("min", "max")
+
+
+@query(f"""WITH {SPLIT} SELECT CAST("min" AS BIGINT) AS "min", CAST("max" AS BIGINT) AS "max", 100 AS coverage FROM r WHERE range_id % 3 = 0""")
+def work_list_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_long(ranges.from_work_list(order_ranges(spark, sf_dir).where("range_id % 3 = 0")), "min", "max")
