@@ -134,3 +134,10 @@ def test_resume_refuses_and_quarantines(spark):
         tracking.check_resumable(info, details, 1)
     with pytest.raises(ValueError):
         tracking.check_resumable(info, details, 2)
+
+
+def test_times_without_zone_are_compared_and_measured(spark):
+    o = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-01 00:00:00.123456' AS at")
+    t = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-01 00:00:00.123999' AS at")
+    assert reconcile.validate(o, t, ["id"]).first().outcome == "VALID"
+    assert jobs.profile(o, TableSpec.of(o, "o", ["id"])).first().n_bytes == 12

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.mapping import quoted
 
-WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4, "bigint": 8, "double": 8, "timestamp": 8}
+WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
 
 def stored_bytes(c: Column, kind: T.DataType, metadata: dict | None = None) -> Column:

@@ -20,8 +20,8 @@ def canonical(c: Column, kind: T.DataType, metadata: dict | None = None, strict_
         c = F.array_sort(F.map_entries(c))
     elif isinstance(kind, T.ArrayType) and (metadata or {}).get("set"):
         c = F.array_sort(F.array_distinct(c))
-    elif isinstance(kind, T.TimestampType):
-        c = F.unix_millis(c)
+    elif isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        c = F.unix_millis(c.cast("timestamp"))
     if isinstance(kind, T.ArrayType | T.MapType) and not strict_empty:
         c = F.when(F.size(c) > 0, c)
     return c
