@@ -12,8 +12,8 @@ of a set, all but the longest T - COMMON are enough to find every partner that s
 3. Short lists are merged: their pairs are counted, and those go on that stand together in as many lists as an overlap of T needs.
    Lists of more than SHORT sets aren't merged. There the set with the lowest rank (of each size class) is a hub that the others
    are compared with, which links the members of large groups of near copies without their pairs.
-4. Candidates are verified by binary probes of the smaller set in the larger. Sets are recomputed from the texts for the nodes
-   that are candidates, only.
+4. Candidates are verified by binary probes of the smaller set in the larger. Sets are recomputed from the texts of the
+   candidates, only.
 5. After the components of these links are known, long lists are gone through again for pairs of different components whose
    ranks allow a link; they are verified too. Pairs within a component need no look, so no link that joins anything is lost.
 
@@ -42,8 +42,8 @@ COMMON = 3
 #: Lists that should have more rows than this, by the sketch, are split into parts of about so many; a part has hubs of its own.
 LIST_ROWS = 50_000
 CHUNK = 1 << 16
-#: Nodes whose ids tasks may hold in memory (32 MB); beyond, they are selected by a join.
-HELD_NODES = 4_000_000
+#: Ids of candidate rows that may be broadcast (about 16 MB).
+BROADCAST_IDS = 1_000_000
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -312,44 +312,35 @@ def candidates(merged: DataFrame, join: Join) -> DataFrame:
     return enough.unionByName(rest).unionByName(merged.where("kind = 1").select("a", "b")).unionByName(of_hubs).distinct()
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, join: Join, text_col: str) -> DataFrame:
-    """(node, members) for the given nodes, recomputed from the texts; one row a node."""
-    spark = docs.sparkSession
-    n_nodes = nodes.count()
-    held = None
-    if n_nodes <= HELD_NODES:
-        ids = np.array([r[0] for r in nodes.toLocalIterator()], "i8")
-        ids.sort()
-        held = spark.sparkContext.broadcast(ids)
+def sets_of(docs: DataFrame, first: DataFrame, nodes: DataFrame, join: Join, id_col: str, text_col: str) -> DataFrame:
+    """(node, members) for the given nodes, recomputed from the text of one row each; one row a node.
+
+    The rows' ids are broadcast up to BROADCAST_IDS, and the texts joined by a shuffle beyond."""
+    rows = first.where("kind = 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("_wanted"))
+    ids = materialise(rows.select("_wanted").distinct(), "jaccard-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = docs.join(ids, F.col(id_col).eqNullSafe(F.col("_wanted")), "left_semi").select(text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
         for batch in batches:
-            for first, end in row_slices(batch.column(0)):
-                at, sets = shingle_sets(batch.column(0).slice(first, end - first), join.words)
-                own = node_ids(at, sets)
-                wanted = np.diff(at) > 0
-                if held is not None:
-                    wanted &= np.isin(own, held.value)
-                rows = [n for n in np.flatnonzero(wanted).tolist() if int(own[n]) not in done]
-                if len(done) < 500_000:
-                    done.update(own[rows].tolist())
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(own[rows]), pa.array([sets[at[n] : at[n + 1]].tobytes() for n in rows], pa.binary())], ["node", "members"])
-
-    found = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "node long, members binary")
-    if held is None:
-        found = found.join(nodes, "node", "left_semi")
+            for first_row, end in row_slices(batch.column(0)):
+                at, sets = shingle_sets(batch.column(0).slice(first_row, end - first_row), join.words)
+                filled = np.flatnonzero(np.diff(at))
+                if len(filled):
+                    yield pa.RecordBatch.from_arrays([pa.array(node_ids(at, sets)[filled]), pa.array([sets[at[n] : at[n + 1]].tobytes() for n in filled.tolist()], pa.binary())], ["node", "members"])
+
+    found = texts.mapInArrow(tidy(run), "node long, members binary").join(nodes, "node", "left_semi")
     return found.groupBy("node").agg(F.first("members").alias("members"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, join: Join, text_col: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, join: Join, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) whose sets' similarity reaches the limit, with their overlap."""
     pairs = materialise(pairs, "jaccard-pairs")
     if pairs.isEmpty():
         return pairs.withColumn("overlap", F.lit(0).cast("long"))
     nodes = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-nodes")
-    sets = materialise(sets_of(docs, nodes, join, text_col), "jaccard-sets")
+    sets = materialise(sets_of(docs, first, nodes, join, id_col, text_col), "jaccard-sets")
     side = lambda s: sets.select(F.col("node").alias(s), F.col("members").alias(f"set_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
 
@@ -398,9 +389,9 @@ def similarity_components(docs: DataFrame, words: int = 4, percent: int = 85, id
     first = materialise(first_pass(docs, join, buckets, id_col, text_col), "jaccard-first")
     levels = spark.sparkContext.broadcast(bucket_levels(first, buckets))
     merged = materialise(merge_lists(inverted_lists(docs, join, levels, buckets, text_col), join), "jaccard-merged")
-    links = verified(candidates(merged, join), docs, join, text_col).select("a", "b")
+    links = verified(candidates(merged, join), docs, first, join, id_col, text_col).select("a", "b")
     roots = components(links)
-    more = verified(apart(merged, roots, join), docs, join, text_col).select("a", "b")
+    more = verified(apart(merged, roots, join), docs, first, join, id_col, text_col).select("a", "b")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     rows = first.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "node")
