@@ -147,7 +147,7 @@ def assigned(rows: DataFrame, token: str, ranges: DataFrame) -> DataFrame:
 def work_order(ranges: DataFrame, run_id: int) -> DataFrame:
     """A permutation of the plan that a run id gives again; ``work_order`` from 0."""
     text = F.concat_ws(":", F.col("min").cast("string"), F.lit(str(run_id)))
-    return ranges.withColumn("work_order", F.row_number().over(Window.orderBy(F.md5(text), "min")) - 1)
+    return ranges.withColumn("work_order", (F.row_number().over(Window.orderBy(F.md5(text), "min")) - 1).cast("long"))
 
 
 def span_histogram(ranges: DataFrame) -> DataFrame:

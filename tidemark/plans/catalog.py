@@ -68,7 +68,7 @@ def checked_orders(spark: SparkSession, sf_dir: str, keep: list[str] | None = No
 
 
 @query(f"""WITH {CHECKED} SELECT count(*) AS n_read, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch,
-  count(*) FILTER (outcome = 'VALID') AS n_valid, 0 AS n_corrected_missing, 0 AS n_corrected_mismatch, count(*) FILTER (outcome <> 'VALID') AS outstanding, 'DIFF' AS verdict, 1 AS exit_code FROM v""")
+  count(*) FILTER (outcome = 'VALID') AS n_valid, CAST(0 AS BIGINT) AS n_corrected_missing, CAST(0 AS BIGINT) AS n_corrected_mismatch, count(*) FILTER (outcome <> 'VALID') AS outstanding, 'DIFF' AS verdict, 1 AS exit_code FROM v""")
 def validate_orders_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec()).drop("n_error")
     out = by.withColumn("outstanding", metrics.outstanding())
@@ -222,7 +222,7 @@ def explode_map_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.validate(origin, target, spec, target_spec, job).groupBy("measure", "outcome").agg(F.count("*").alias("n_rows"))
 
 
-@query("""SELECT count(*) AS n_read, 3 * count(*) FILTER (p_partkey % 10 <> 0) AS n_write, count(*) FILTER (p_partkey % 10 = 0) AS n_skipped, 0 AS n_error FROM part""")
+@query("""SELECT count(*) AS n_read, 3 * count(*) FILTER (p_partkey % 10 <> 0) AS n_write, count(*) FILTER (p_partkey % 10 = 0) AS n_skipped, CAST(0 AS BIGINT) AS n_error FROM part""")
 def explode_map_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin = with_sizes(table(spark, sf_dir, "part"))
     target = TableSpec("measures", schema(f"p_partkey {dict(origin.dtypes)['p_partkey']}, measure string, amount int"), ("p_partkey",), ("measure",))
@@ -368,7 +368,7 @@ def guardrail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guardrail.findings(table(spark, sf_dir, "documents"), ["doc_id"], 5)
 
 
-@query("SELECT count(*) AS n_read, count(*) FILTER (strlen(html) <= 5000) AS n_write, count(*) FILTER (strlen(html) > 5000) AS n_skipped, 0 AS n_error FROM pages")
+@query("SELECT count(*) AS n_read, count(*) FILTER (strlen(html) <= 5000) AS n_write, count(*) FILTER (strlen(html) > 5000) AS n_skipped, CAST(0 AS BIGINT) AS n_error FROM pages")
 def guardrail_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     spec = TableSpec.of(pages, "pages", ["page_id"])
@@ -635,7 +635,7 @@ def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT count(*) AS n_rows, CAST(sum(8 + strlen(text) + strlen(lang) + strlen(source) + 8) AS BIGINT) AS n_bytes, CAST(max(greatest(strlen(text), strlen(lang), strlen(source))) AS BIGINT) AS largest_text FROM documents)
-SELECT n_rows, n_bytes, largest_text, CAST(greatest(ceil(n_bytes / 1073741824 * 1024 / 10), 1000) AS BIGINT) AS num_parts, 1 AS batch_size, CASE WHEN largest_text > 8000 THEN 100 ELSE 1000 END AS fetch_size, CASE WHEN largest_text > 8000 THEN 5000 ELSE 20000 END AS rate_limit FROM s""")
+SELECT n_rows, n_bytes, largest_text, CAST(greatest(ceil(n_bytes / 1073741824 * 1024 / 10), 1000) AS BIGINT) AS num_parts, CAST(1 AS BIGINT) AS batch_size, CAST(CASE WHEN largest_text > 8000 THEN 100 ELSE 1000 END AS BIGINT) AS fetch_size, CAST(CASE WHEN largest_text > 8000 THEN 5000 ELSE 20000 END AS BIGINT) AS rate_limit FROM s""")
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return jobs.profile(documents, TableSpec.of(documents, "documents", ["doc_id"]))
