@@ -117,6 +117,38 @@ def test_windows_hold_the_target_shares():
     assert sum(rounds.sent(np.array([rounds.last]), s)[0] for s in range(3)) == 100_000
 
 
+@pytest.mark.parametrize("lengths", [[5_000 + 7 * n for n in range(20)], [5_000] * 20, [50_000] + [5_000] * 20, [300_000, 1, 0, 40, 9_000]])
+def test_every_sequence_holds_the_target_shares(lengths):
+    lengths = np.array(lengths)
+    share = lengths / lengths.sum()
+    rounds = packing.Rounds(lengths, share, 1024)
+    held = np.zeros((rounds.last, len(lengths)), "i8")
+    taken = []
+    for s, n in enumerate(lengths):
+        first = np.arange(0, n, 700)
+        doc, start, size, place = rounds.pieces(first, np.minimum(700, n - first), s)
+        assert (place // 1024 == (place + size - 1) // 1024).all()
+        np.add.at(held, (place // 1024, s), size)
+        taken += [np.arange(p, p + z) for p, z in zip(place, size, strict=True)]
+        assert (np.diff(place[np.argsort(first[doc] + start)]) > 0).all()  # a queue keeps its order
+    assert (np.sort(np.concatenate(taken)) == np.arange(lengths.sum())).all()  # every place is taken once
+    whole = held[: lengths.sum() // 1024]
+    off = 0.5 + share * len(lengths) / 2
+    assert (np.abs(whole - 1024 * share) <= 2 * off).all()
+    assert (np.abs(np.cumsum(whole, axis=0) - 1024 * share * np.arange(1, len(whole) + 1)[:, None]) <= off).all()
+    assert np.abs(whole / 1024 - share).sum(axis=1).max() / 2 < 0.01
+
+
+def test_rare_and_unwanted_sources_are_packed_too():
+    lengths = np.array([200_000, 30, 5_000, 2_000])
+    rounds = packing.Rounds(lengths, np.array([0.9, 0.00001, 0.09999, 1e-9]), 1000)
+    sent = rounds.counts(np.arange(rounds.last + 1))
+    assert (np.diff(sent, axis=0) >= 0).all() and (sent[-1] == lengths).all()
+    assert (sent.sum(axis=1) == np.minimum(np.arange(rounds.last + 1) * 1000, lengths.sum())).all()
+    places = [p + np.arange(z) for s, n in enumerate(lengths) for _, _, z, p in [rounds.pieces(np.array([0]), np.array([n]), s)] for p, z in zip(p, z, strict=True)]
+    assert (np.sort(np.concatenate(places)) == np.arange(lengths.sum())).all()
+
+
 def test_packing_nothing(spark):
     assert packing.pack(empty(spark), BYTE).count() == 0
 

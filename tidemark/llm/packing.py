@@ -1,13 +1,14 @@
 """Mixture-controlled packing of token streams into sequences of fixed length.
 
 Deficit round-robin over source queues. Every source has a queue of its documents' tokens, in table order, and a target share.
-One round fills one window of ``seq_len`` tokens: each source is credited its share of the window, sends as many whole grains of
-``grain`` tokens as its credit covers, and carries the rest, its deficit, into the next round. A source whose queue is empty
-leaves, and its credit goes to the others in proportion. The sent runs, one round after another, form one stream, which is cut
-every ``seq_len`` tokens, so that only the last sequence is padded.
-
-How much a source has sent after round k has a closed form in its queue's length and the shares, and so has the place of any
-token in the stream. Spark needs one pass to tokenize, a sum per (partition, source) that carries the queues' ends from one
+One round fills one sequence of ``seq_len`` tokens: each source is credited its share of the window, sends the whole tokens (or
+grains of ``grain`` tokens) nearest to its credit, and carries the rest, its deficit, into the next round, so that every round
+sends exactly ``seq_len`` tokens. After any round a source is within half a token, and its share of half a token for each source,
+of its credit. A source whose queue is empty leaves, and its credit goes to the others in proportion. Within a
+sequence, sources stand one after another. Only the last sequence is padded.
+
+How much a source has sent after round k follows from the queues' lengths and the shares alone, by bisection for the virtual time
+at which k windows are due, and so does the place of any token in the stream. Spark needs one pass to tokenize, a sum per (partition, source) that carries the queues' ends from one
 partition to the next, and one pass that writes the pieces: no row is shuffled but those sums. The number of sources, not of
 documents, bounds what the driver holds.
 
@@ -33,6 +34,8 @@ from tidemark.llm.common import IdCoder, coder, materialise, raw_bytes, row_slic
 #: The queues' ends by partition are broadcast up to so many rows (about 40 MB), and joined by a shuffle beyond.
 BROADCAST_ROWS = 500_000
 NO_SOURCE = "\x00none"
+#: Counts (rounds by sources) worked out at a time.
+CELLS = 1_000_000
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
@@ -44,7 +47,7 @@ class Rounds:
     lengths: np.ndarray
     shares: np.ndarray
     seq_len: int
-    grain: int
+    grain: int = 1
 
     def __post_init__(self) -> None:
         self.lengths = np.asarray(self.lengths, "f8")
@@ -58,53 +61,94 @@ class Rounds:
         self.total = int(self.lengths.sum())
         self.last = -(-self.total // self.seq_len)
 
+    def due(self, v: np.ndarray) -> np.ndarray:
+        """By virtual time (rows) and source (columns): the whole grains nearest to the credit, in tokens. Never falls with v."""
+        credit = v[:, None] * self.shares
+        return np.where(credit >= self.lengths, self.lengths, np.minimum(np.floor(credit / self.grain + 0.5) * self.grain, self.lengths))
+
+    def counts(self, k: np.ndarray) -> np.ndarray:
+        """Tokens sent when k rounds are over (rows) by source (columns); a row adds up to k windows, or to all tokens.
+
+        It is what is due at the virtual time at which that many tokens are due. Where several sources come due at once, the
+        first ones are served first."""
+        goal = np.minimum(np.asarray(k, "f8") * self.seq_len, self.total)
+        slack = (len(self.lengths) / 2 + 1) * self.grain
+        low, high = (np.interp(np.clip(goal + d, 0, self.credit[-1]), self.credit, self.knots) for d in (-slack, slack))
+        low[self.due(low).sum(axis=1) >= goal] = 0.0
+        high[self.due(high).sum(axis=1) < goal] = 2 * self.knots[-1] + 1
+        out = np.where(goal[:, None] > 0, self.lengths, 0.0)
+        open_ = np.flatnonzero((goal > 0) & (goal < self.total))
+        while len(open_):
+            middle = (low[open_] + high[open_]) / 2
+            due = self.due(middle)
+            sent = due.sum(axis=1)
+            met = sent == goal[open_]
+            out[open_[met]] = due[met]
+            closed = ~met & ((middle <= low[open_]) | (middle >= high[open_]))
+            ends = open_[closed]
+            if len(ends):
+                before = self.due(low[ends])
+                steps = self.due(high[ends]) - before
+                left = (goal[ends] - before.sum(axis=1))[:, None] - (np.cumsum(steps, axis=1) - steps)
+                out[ends] = before + np.clip(left, 0, steps)
+            below = sent < goal[open_]
+            low[open_[below]] = middle[below]
+            high[open_[~below]] = middle[~below]
+            open_ = open_[~met & ~closed]
+        return out.astype("i8")
+
     def sent(self, k: np.ndarray, source: np.ndarray | int) -> np.ndarray:
         """Tokens that the source has sent when k rounds are over."""
-        v = np.interp(np.minimum(np.asarray(k, "f8") * self.seq_len, self.credit[-1]), self.credit, self.knots)
-        length = self.lengths[source]
-        got = np.floor(np.minimum(self.shares[source] * v, length) / self.grain + 1e-9) * self.grain
-        return np.where((np.asarray(k) >= self.last) | (got > length), length, np.maximum(got, 0)).astype("i8")
-
-    def round_of(self, token: np.ndarray, source: int) -> np.ndarray:
-        """The round in which the source sends its token of this number."""
-        due = np.minimum((token // self.grain + 1) * self.grain, self.lengths[source])
-        v = due / self.shares[source]
-        k = np.clip(np.ceil(np.interp(v, self.knots, self.credit) / self.seq_len).astype("i8") - 1, 0, self.last - 1)
-        while (late := self.sent(k + 1, source) <= token).any():
-            k = k + late
-        while (early := (self.sent(k, source) > token)).any():
-            k = k - early
-        return k
-
-    def place(self, token: np.ndarray, source: int, k: np.ndarray) -> np.ndarray:
-        """The token's place in the stream, when it is sent in round k."""
-        at = np.zeros(len(token), "i8")
-        for s in range(len(self.lengths)):
-            at += self.sent(k + (s < source), s)
-        return at + token - self.sent(k, source)
+        k = np.asarray(k)
+        return self.counts(k.ravel())[:, source].reshape(k.shape)
+
+    def upto(self, k: np.ndarray, source: int) -> tuple[np.ndarray, np.ndarray]:
+        """When k rounds are over: the tokens sent by the source, and by all sources before it."""
+        rows = max(1, CELLS // max(1, len(self.lengths)))
+        parts = [self.counts(k[n : n + rows])[:, : source + 1] for n in range(0, len(k), rows)]
+        return np.concatenate([p[:, source] for p in parts]), np.concatenate([p[:, :source].sum(axis=1) for p in parts])
+
+    def near(self, token: np.ndarray, source: int) -> np.ndarray:
+        """About the round in which the source sends its token of this number."""
+        v = (token + 0.5) / self.shares[source]
+        return np.clip(np.interp(v, self.knots, self.credit) // self.seq_len, 0, self.last - 1).astype("i8")
+
+    def rounds_near(self, first: np.ndarray, length: np.ndarray, source: int) -> np.ndarray:
+        """The ends of all rounds in which documents of one source may be sent: those between their first and last tokens, or
+        those about every token where tokens are fewer."""
+        filled = length > 0
+        first, length = first[filled], length[filled]
+        a, b = self.near(first, source), self.near(first + length - 1, source)
+        by_token = b - a + 1 > length
+        begin, size = np.where(by_token, first, a), np.where(by_token, length, b - a + 1)
+        n = np.repeat(np.arange(len(first)), size)
+        points = begin[n] + np.arange(len(n)) - np.repeat(np.cumsum(size) - size, size)
+        points = np.unique(np.where(by_token[n], self.near(points, source), points))
+        off = int((len(self.lengths) / 2 + 1) * self.grain) // self.seq_len + 1
+        around = np.unique(np.concatenate([points + d for d in range(-off, off + 2)]))
+        return np.unique(np.concatenate([[0], around[(around > 0) & (around < self.last)], [self.last]]))
 
     def pieces(self, first: np.ndarray, length: np.ndarray, source: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For documents of one source that begin at ``first`` in its queue: of each piece, the document's number here, the start
         within it, the length, and the place in the stream."""
-        grains = np.where(length > 0, (first + length - 1) // self.grain - first // self.grain + 1, 0)
-        doc = np.repeat(np.arange(len(first)), grains)
-        j = np.arange(len(doc)) - np.repeat(np.cumsum(grains) - grains, grains)
-        starts = np.maximum(first[doc], (first[doc] // self.grain + j) * self.grain)
-        k = self.round_of(starts, source)
-        keep = np.concatenate([[True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1])])[: len(doc)]
-        starts, k, doc = starts[keep], k[keep], doc[keep]
-        at = self.place(starts, source, k)
-        following = np.append(starts[1:], 0)
-        last = np.append(doc[1:] != doc[:-1], True)[: len(doc)]
-        sizes = np.where(last, first[doc] + length[doc], following) - starts
-        # cut where a sequence ends
-        cuts = (at + sizes - 1) // self.seq_len - at // self.seq_len
-        n = np.repeat(np.arange(len(starts)), cuts + 1)
-        j = np.arange(len(n)) - np.repeat(np.cumsum(cuts + 1) - cuts - 1, cuts + 1)
-        edge = (at[n] // self.seq_len + j) * self.seq_len
-        begin = np.maximum(at[n], edge)
-        end = np.minimum(at[n] + sizes[n], edge + self.seq_len)
-        return doc[n], starts[n] - first[doc[n]] + begin - at[n], end - begin, begin
+        k = self.rounds_near(first, length, source)
+        while True:
+            edge, before = self.upto(k, source)
+            a = np.searchsorted(edge, first, "right") - 1
+            n_rounds = np.where(length > 0, np.searchsorted(edge, first + length - 1, "right") - a, 0)
+            doc = np.repeat(np.arange(len(first)), n_rounds)
+            at = a[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(n_rounds) - n_rounds, n_rounds)
+            begin = np.maximum(first[doc], edge[at])
+            end = np.minimum(first[doc] + length[doc], edge[at + 1])
+            some = end > begin
+            doc, at, begin, end = doc[some], at[some], begin[some], end[some]
+            wide = np.unique(at[k[at + 1] - k[at] > 1])
+            if not len(wide):
+                break
+            middle = (k[wide] + k[wide + 1]) // 2  # a round lies farther off than expected
+            k = np.unique(np.concatenate([k, middle]))
+        place = k[at] * self.seq_len + before[at + 1] - before[at] + begin - edge[at]
+        return doc, begin - first[doc], end - begin, place
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -133,7 +177,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
     return frame.mapInArrow(tidy(run), f"doc_id {kind}, source string, part int, queue_start long, doc_tokens long, ids binary")
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 256, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_sources: int = 10_000) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 1, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_sources: int = 10_000) -> DataFrame:
     """One row per piece. ``shares``: target token proportions by source (default: the sources' shares of all tokens, so that all
     queues empty together); sources without a share follow when the others are empty."""
     spark = docs.sparkSession
