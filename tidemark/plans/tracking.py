@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import parsed
+from tidemark.session import scratch_path
 
 #: The statuses and the columns of the tracking tables.
 STATUSES = ("NOT_STARTED", "STARTED", "PASS", "FAIL", "DIFF", "DIFF_CORRECTED", "ENDED", "INTERRUPTED", "ABORTED")
@@ -79,15 +80,28 @@ def pending_sample(details: DataFrame, run_id: int) -> DataFrame:
 
 
 def chain(info: DataFrame) -> DataFrame:
-    """Each run with the first run of its chain of resumes and its depth."""
-    name = "_runs_" + str(abs(hash(info.semanticHash())))
-    info.select("run_id", "prev_run_id").distinct().createOrReplaceTempView(name)
-    return info.sparkSession.sql(f"""
-        WITH RECURSIVE links(run_id, first_run_id, depth) AS (
-          SELECT run_id, run_id, 0 FROM {name} WHERE prev_run_id = 0
-          UNION ALL
-          SELECT r.run_id, l.first_run_id, l.depth + 1 FROM {name} r JOIN links l ON r.prev_run_id = l.run_id
-        ) SELECT run_id, first_run_id, depth FROM links""")
+    """Each run with the first run of its chain of resumes and its depth. Runs that lead to no first run are left out.
+
+    By pointer doubling: in each round a run's link is joined to its ancestor's, so that links double in length. Every round is a
+    table in the shared folder."""
+    spark = info.sparkSession
+
+    def stored(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "chain")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    first = F.col("prev_run_id") == 0
+    runs = info.select("run_id", "prev_run_id").where("run_id is not null and prev_run_id is not null").distinct()
+    links = stored(runs.select("run_id", F.when(first, F.col("run_id")).otherwise(F.col("prev_run_id")).alias("up"), F.when(first, 0).otherwise(1).alias("depth"), first.alias("done")))
+    # a link longer than there are runs goes round in a circle
+    for _ in range(links.count().bit_length()):
+        if links.where("not done").isEmpty():
+            break
+        upper = links.select(F.col("run_id").alias("_run"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("done").alias("_done"))
+        longer = links.where("not done").join(upper, F.col("up") == F.col("_run"))
+        links = stored(links.where("done").unionByName(longer.select("run_id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_done").alias("done"))))
+    return links.where("done").select("run_id", F.col("up").alias("first_run_id"), "depth")
 
 
 def totals(details: DataFrame) -> DataFrame:
