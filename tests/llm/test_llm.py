@@ -220,6 +220,47 @@ def test_license_containment(spark):
     df = spark.createDataFrame([(1, "Licensed under the Apache License, Version 2.0 (the License)"), (2, "This is licensed under the MIT License and in the public domain"), (3, "nothing here")], "doc_id long, text string")
     got = {r.doc_id: r.labels for r in licenses.licenses(df).collect()}
     assert got == {1: "apache-2.0", 2: "mit,public-domain", 3: ""}
+
+
+def examples(parsed, most):
+    """Texts that match a parsed expression, each alternative in one of them at least; optional parts stand if ``most``."""
+    found = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            tails = [chr(value)]
+        elif name == "IN":
+            tails = [chr(v) if str(o) == "LITERAL" else chr(v[0]) if str(o) == "RANGE" else "9" if str(v) == "CATEGORY_DIGIT" else "q" for o, v in value]
+        elif name == "ANY":
+            tails = ["e"]
+        elif name == "SUBPATTERN":
+            tails = examples(value[-1], most)
+        elif name == "BRANCH":
+            tails = [t for way in value[1] for t in examples(way, most)]
+        else:
+            assert name == "MAX_REPEAT"
+            tails = [t * max(value[0], int(most)) for t in examples(value[2], most)]
+        n = max(len(found), len(tails))
+        found = [found[k % len(found)] + tails[k % len(tails)] for k in range(n)]
+    return found
+
+
+def test_license_gates_lose_no_match(spark):
+    rules = licenses.rules()
+    texts = []
+    for r in rules:
+        whole, parsed = re.compile(r.pattern), licenses._parser.parse(r.pattern)
+        for text in {t for most in (False, True) for t in examples(parsed, most)}:
+            assert whole.fullmatch(text), (r.pattern, text)
+            gate = licenses.gated(r)
+            assert gate.keyword and gate.keyword in text.replace(" ", "\n") and gate.name in text, (r.pattern, text)
+        texts += [text.replace(" ", end) for end in ("\n", "  ", "-")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    gates, none = ({r.doc_id: r.asDict(True) for r in licenses.scan(df, gates=g).collect()} for g in (True, False))
+    assert gates == none and all(r["kept"] for r in gates.values())
+    wrapped = [(1, "Released\nunder the MIT license"), (2, "in the public\ndomain"), (3, "Without warranties"), (4, "May not be reproduced"), (5, "See the license for details"), (6, "unauthorised copying is strictly prohibited")]
+    found = {r.doc_id: r.labels for r in licenses.licenses(spark.createDataFrame(wrapped, "doc_id long, text string")).collect()}
+    assert found == {1: "mit", 2: "public-domain", 3: "warranty-disclaimer", 4: "proprietary", 5: "license-reference", 6: "proprietary"}
     spans = licenses.license_spans(df).collect()
     for a in spans:
         assert not any(a != b and a.doc_id == b.doc_id and b.start_word <= a.start_word and a.end_word <= b.end_word and b.priority >= a.priority for b in spans)

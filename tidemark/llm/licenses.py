@@ -1,7 +1,8 @@
 """License scans with DataFrame functions only.
 
-Ordered signature rules: several hundred regular expressions over a text's words, each with a label, a priority and the keywords
-that a text must hold before the expression is tried. Texts without any keyword of the rules, nearly all, cost a few substring
+Ordered signature rules: several hundred regular expressions over a text's words, each with a label, a priority and keywords to
+gate it. A keyword gates only if it is a part of a word that every match of the expression holds; another one is replaced by such
+a part, read from the expression itself, so that line ends, hyphens and variants of spelling lose no match. Texts without any keyword of the rules, nearly all, cost a few substring
 searches. Of the detections of a text, those that lie within another of the same or a higher priority are suppressed; the base
 phrases are reported beside, whether suppressed or not.
 
@@ -12,7 +13,10 @@ one space around each. Null texts are empty. Repeated rows get the same result.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
+from re import _constants as sre
+from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +34,8 @@ WEIGHT = {EXACT: 0.95, NAMED: 0.8, HINT: 0.4}
 class Rule:
     label: str
     priority: int
-    keyword: str  # must stand in the lower-cased text
-    name: str  # must stand in the text's words
+    keyword: str  # gates the rule in the lower-cased text, if every match holds it
+    name: str  # gates the rule in the text's words, if every match holds it
     pattern: str  # over words with single spaces
     base: bool = False
 
@@ -170,6 +174,35 @@ def rules() -> list[Rule]:
     return found
 
 
+def held_parts(parsed: list) -> list[str]:
+    """Parts of words that every match of a parsed expression holds. Of alternatives, the parts that each of them holds."""
+    runs, run = [], ""
+    for op, value in [*parsed, (None, None)]:
+        if op is sre.LITERAL:
+            run += chr(value)
+            continue
+        runs += re.split(SEPARATORS, run)
+        run = ""
+        if op is sre.SUBPATTERN:
+            runs += held_parts(value[-1])
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and value[0] > 0:
+            runs += held_parts(value[2])
+        elif op is sre.BRANCH:
+            ways = [held_parts(way) for way in value[1]]
+            runs += [part for part in dict.fromkeys(sum(ways, [])) if all(any(part in other for other in way) for way in ways)]
+    return [part for part in runs if part]
+
+
+def gated(rule: Rule) -> Rule:
+    """The rule with gates that every match holds: its own where they are such, else the longest parts of its expression."""
+    parsed = _parser.parse(rule.pattern)
+    parts = [] if parsed.state.flags & re.IGNORECASE else sorted(dict.fromkeys(held_parts(parsed)), key=len, reverse=True)
+    sure = lambda gate: any(gate in part for part in parts)
+    keyword = rule.keyword if sure(rule.keyword) else next(iter(parts), "")
+    name = rule.name if sure(rule.name) else next((part for part in parts if part != keyword), keyword)
+    return replace(rule, keyword=keyword, name=name)
+
+
 def spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" ")))
 
@@ -206,9 +239,11 @@ def unsuppressed(found: Column) -> Column:
     return F.aggregate(F.array_sort(found), begin, step)["kept"]
 
 
-def scan(docs: DataFrame, ruleset: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id, n_words, base (detections of the base phrases) and kept (all detections that aren't suppressed)."""
-    ruleset = ruleset or rules()
+def scan(docs: DataFrame, ruleset: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text", gates: bool = True) -> DataFrame:
+    """The id, n_words, base (detections of the base phrases) and kept (all detections that aren't suppressed).
+
+    Without ``gates`` every rule is tried on every text, with the same result."""
+    ruleset = [gated(r) if gates else replace(r, keyword="", name="") for r in ruleset or rules()]
     keywords = list(dict.fromkeys(r.keyword for r in ruleset))
     # the rules as one literal, which is parsed once for a plan
     rows = json.dumps([{"keyword": r.keyword, "name": r.name, "priority": r.priority, "label": r.label, "pattern": r.pattern, "base": r.base} for r in ruleset])
