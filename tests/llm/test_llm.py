@@ -320,6 +320,16 @@ def test_jaccard_of_nothing_and_of_repeats(spark):
     assert [r.doc_id for r in jaccard_join.one_of_each(df).collect()] == [3]
 
 
+def test_rows_with_null_or_repeated_ids_are_documents_of_their_own(spark):
+    a, b, c, d = (" ".join(f"{x}{n}" for n in range(40)) for x in "abcd")
+    rows = [(None, a), (None, b), (7, a + " more"), (8, c), (8, d), (8, d), (9, d), (3, "short"), (3, "brief"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("x"))
+    left = jaccard_join.one_of_each(df)
+    assert left.columns == df.columns
+    got = sorted(((r.doc_id or 0, r.text or "") for r in left.collect()))
+    assert got == sorted([(0, b), (7, a + " more"), (8, c), (8, d), (3, "short"), (3, "brief"), (0, "")])
+
+
 def test_components_of_a_path_a_star_and_a_loop(spark):
     links = [(n, n + 1) for n in range(1, 40)] + [(100, 100 + n) for n in range(1, 30)] + [(500, 501), (501, 502), (502, 500), (600, 600)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

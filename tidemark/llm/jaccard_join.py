@@ -403,12 +403,25 @@ def similarity_components(docs: DataFrame, words: int = 4, percent: int = 85, id
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """The documents with all their columns, of each component that with the smallest id. Rows with one id are one document."""
-    named = materialise(similarity_components(docs, words, percent, id_col, text_col).select("doc_id", "component_id"), "jaccard-components")
-    gone = named.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    """The documents with all their columns, of each component one row with the smallest id (null comes last).
+
+    Every row is a document. Where ids repeat, null included, the rows are numbered in a table in the shared folder, and components
+    are those of the numbers; rows with one id stay apart unless their texts link."""
+    repeated = not docs.groupBy(id_col).count().where("count > 1").isEmpty()
+    key = id_col
+    if repeated:
+        key = "_row"
+        while key in docs.columns:
+            key += "_"
+        docs = materialise(docs.withColumn(key, F.monotonically_increasing_id()), "jaccard-rows")
+    named = materialise(similarity_components(docs, words, percent, key, text_col).select("doc_id", "component_id"), "jaccard-components")
+    if repeated:
+        ids = docs.select(F.col(key).alias("doc_id"), F.col(id_col).alias("_id"))
+        first = named.join(ids, "doc_id").groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "doc_id")).alias("_first"))
+        gone = named.join(first.select(F.col("_first.doc_id").alias("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("_gone"))
+    else:
+        gone = named.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
     if gone.count() <= broadcast_rows:
         gone = F.broadcast(gone)
-    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
-    if named.count() != named.select("doc_id").distinct().count():
-        left = left.dropDuplicates([id_col])
-    return left
+    left = docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    return left.drop(key) if repeated else left
