@@ -110,9 +110,14 @@ def percentiles(df: DataFrame, value: Column, by: list[str], at: dict[str, float
     return ranked.groupBy(*by).agg(F.sum("_n").cast("long").alias("n"), *picked)
 
 
-def rates(events: DataFrame, at: str, n: Column, spans: tuple[int, ...] = (1, 10, 60)) -> DataFrame:
-    """Marks by second, and their trailing means over so many seconds."""
+def rates(events: DataFrame, at: str, n: Column, spans: tuple[int, ...] = (1, 10, 60), restart_daily: bool = False) -> DataFrame:
+    """Marks by second, and their trailing means over so many seconds; seconds without events have no row.
+
+    Days are worked on apart, each with the last seconds before it, unless means are to restart at midnight."""
     ticks = events.groupBy(F.unix_seconds(F.date_trunc("second", F.col(at))).alias("second")).agg(F.sum(n).cast("long").alias("marks"))
-    day = F.floor(F.col("second") / 86_400)
-    w = lambda s: Window.partitionBy(day).orderBy("second").rangeBetween(1 - s, 0)
-    return ticks.select("second", "marks", *((F.sum("marks").over(w(s)) / s).alias(f"mean_{s}s") for s in spans))
+    day = lambda second: F.floor(second / 86_400)
+    reach = 0 if restart_daily else max(spans) - 1
+    ticks = ticks.withColumn("_day", F.explode(F.sequence(day(F.col("second")), day(F.col("second") + reach))))
+    w = lambda s: Window.partitionBy("_day").orderBy("second").rangeBetween(1 - s, 0)
+    means = ticks.select("second", "marks", "_day", *((F.sum("marks").over(w(s)) / s).alias(f"mean_{s}s") for s in spans))
+    return means.where(F.col("_day") == day(F.col("second"))).drop("_day")
