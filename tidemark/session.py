@@ -25,9 +25,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
     Only where that setting is absent, as in local tests, a temporary folder of this machine serves, and only with a local master."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application in the shared folder: all scratch tables lie in it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "tidemark-scratch")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of any file system that Spark knows, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes what is left of this application's scratch tables; to be called when no result is read any more."""
+    remove(spark, run_folder(spark))
