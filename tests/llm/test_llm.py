@@ -238,7 +238,7 @@ def examples(parsed, most):
         elif name == "BRANCH":
             tails = [t for way in value[1] for t in examples(way, most)]
         else:
-            assert name == "MAX_REPEAT"
+            assert name in ("MAX_REPEAT", "POSSESSIVE_REPEAT")
             tails = [t * max(value[0], int(most)) for t in examples(value[2], most)]
         n = max(len(found), len(tails))
         found = [found[k % len(found)] + tails[k % len(tails)] for k in range(n)]
@@ -510,3 +510,126 @@ def test_native_plans_hold_no_python(spark, data):
     for name in ("op3_chat_format", "op4_license_scan", "op8_temperature_mixing"):
         plan = queries.queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan), name
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_licenses(text):
+    """Every rule on every text in plain Python: n_words, base starts, labels, score."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    line = " " + " ".join(words) + " "
+    found = []
+    for r in licenses.rules():
+        for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", line, re.ASCII):
+            start = line.count(" ", 0, m.start()) - 1
+            found.append((start, start + m[0].count(" "), r.priority, r.label, r.base))
+    order = sorted(found, key=lambda d: (d[0], -d[1], -d[2], d[3], d[4]))
+    kept = [d for n, d in enumerate(order) if not any(e[1] >= d[1] and e[2] >= d[2] for e in order[:n])]
+    base = [d for d in order if d[4]]
+    labels = sorted({d[3] for d in kept + base})
+    return len(words), [d[0] for d in base], ",".join(labels), max([licenses.WEIGHT[d[2]] for d in kept + base], default=0.0)
+
+
+def test_licenses_match_brute_force(spark, documents, texts):
+    parts = ["Copyright 2001 2004 2009", "licensed under the MIT License", "All rights reserved", "this is in the public domain", "cc-by", "CC BY SA 4.0", "no warranty", "Kopyright 2001", "GNU General Public License version 2", "see the license file", "İSC license", "do", "not", "without any warranty of any kind", "© 2020 2021 Some Body all rights reserved", "unauthorized copying or copying is strictly prohibited"]
+    rng = np.random.default_rng(3)
+    more = [(n, " ".join(rng.choice(parts, int(rng.integers(1, 30))))) for n in range(100)]
+    more += [(100, "cc by " * 700), (101, "copyright 2001 " * 300 + "all rights reserved"), (102, None), (103, "")]
+    df = documents.select("doc_id", "text").where("doc_id > 200").unionByName(spark.createDataFrame(more, "doc_id long, text string")).withColumn("words", F.lit(1)).withColumn("a.b", F.lit(2))
+    by = dict(texts) | dict(more)
+    for r in licenses.licenses(df).collect():
+        n, starts, labels, score = brute_licenses(by[r.doc_id])
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.labels, r.score) == (n, len(starts), min(starts, default=None), max(starts, default=None), labels, score), by[r.doc_id][:200]
+
+
+def test_long_repeats_are_scanned(spark):
+    rows = [(1, "copyright" + " 2001" * 1_000_000, "copyright"), (2, "unauthorized copying" + " copying" * 1_000_000 + " is strictly prohibited", "proprietary"), (3, "in no event shall the " + "authors or copyright holders " * 100_000 + "be liable", "warranty-disclaimer"), (4, "neither the name of " * 100_000, ""), (5, "cc by " * 100_000, "cc-by"), (6, "x" * 5_000_000, "")]
+    got = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string, label string").repartition(4)).collect()}
+    assert {i: got[i].labels for i, _, _ in rows} == {i: label for i, _, label in rows}
+    assert got[5].n_base == 100_000 and got[5].last_word == 199_998
+
+
+def test_many_special_tokens_are_counted():
+    library, counter = Tokenizer.from_file(BYTE), token_counts.PrefixCounter(BYTE)
+    for text in ("<|endoftext|>" * 100_000, "x y" + "<|endoftext|>a' b" * 2000, "<|endoftext" * 500):
+        steps, at = counter(pa.array([text]))
+        assert int(steps.sum(dtype="i8")) == len(library.encode(text, add_special_tokens=False).ids)
+    text = "a'<|endoftext|> 's<|endoftext|><|end  <|endoftext|>"
+    for k in range(1, len(text) + 1):
+        assert counter.text_counts(text)[k - 1] == len(library.encode(text[:k], add_special_tokens=False).ids), text[:k]
+
+
+CLASHES = ["c0", "c1", "id", "text_2", "_wanted", "_gone", "_s_n_words", "_source", "_full", "_cut", "_copy", "_id", "_label", "a.b", "score", "label", "words", "root", "node", "kept", "base", "key", "count"]
+
+
+def clashing(docs):
+    return docs.select("*", *(F.lit(n).alias(c) for n, c in enumerate(CLASHES)))
+
+
+def test_columns_with_clashing_names(spark, data):
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet").limit(80), spark.read.parquet(f"{data}/labels.parquet")
+    both, labels = clashing(docs), clashing(labels)
+    import corpus_pipeline  # noqa: F401
+
+    for f in (lambda d: licenses.licenses(d), lambda d: token_counts.token_counts(d, BYTE), lambda d: toxicity.toxicity(d, labels), lambda d: quality.quality(d, labels), lambda d: mixing.schedule(d), lambda d: jaccard_join.similarity_components(d), lambda d: packing.pack(d, BYTE), lambda d: media.stored_digests(media.store_bytes(d))):
+        one, two = (sorted(map(str, f(d).collect())) for d in (docs, both))
+        assert one == two
+    for f in (lambda d: toxicity.without_toxic(d, labels), lambda d: quality.passing(d, labels), jaccard_join.one_of_each, mixing.mixed):
+        assert f(both).columns == both.columns
+        assert sorted(map(str, f(both).select(*docs.columns).collect())) == sorted(map(str, f(docs).collect()))
+
+
+def test_empty_tables(spark, data):
+    none, labels = empty(spark), spark.read.parquet(f"{data}/labels.parquet")
+    for got in (licenses.licenses(none), token_counts.token_counts(none, BYTE), toxicity.toxicity(none, labels), quality.quality(none, labels), media.tiff_pages(media.store_bytes(none)), media.stored_digests(media.store_bytes(none)), toxicity.without_toxic(none, labels), quality.passing(none, labels), jaccard_join.one_of_each(none)):
+        assert got.count() == 0
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.read_back(chat.format_chats(turns)).count() == 0
+
+
+def test_a_labelled_id_with_several_texts_is_learned_from_alike(spark):
+    rows = [(n % 50, f"{'bad wicked' if n % 50 < 20 else 'kind gentle'} word{n} here") for n in range(400)]
+    labels = spark.createDataFrame([(n, int(n < 20), int(n < 20)) for n in range(50)], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = (sorted(map(str, toxicity.sample_of(df.repartition(k), labels, F.col("toxic"), 100, "doc_id", "text", F.lit(True)).collect())) for k in (1, 7))
+    assert one == two and len(one) == 50
+
+
+def test_toxicity_scores_match_plain_python(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["vile", "Rotten", "kind", "day", "Ärger", "tree\n"], 12)) for _ in range(300)] + ["", "a", "vile " * 100_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(n, int("vile" in t)) for n, t in enumerate(texts[:250])], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    weights = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+
+    def plain(text):
+        points = [32, *map(ord, text.lower()), 32]
+        points = [32 if 9 <= p <= 13 else p for p in points]
+        grams = set()
+        for n in range(len(points)):
+            h = 0
+            for k, p in enumerate(points[n : n + max(toxicity.ORDERS)], 1):
+                h = (h + p) * 0x9E3779B97F4A7C15 % (1 << 64)
+                h ^= h >> 29
+                if k in toxicity.ORDERS:
+                    grams.add(h)
+        z = model.intercept + sum(weights.get(g, 0.0) for g in grams)
+        return 1 / (1 + np.exp(-min(max(z, -40), 40)))
+
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all(abs(got[n] - plain(t)) < 1e-9 for n, t in enumerate(texts))
+
+
+def test_quality_verdict_is_the_rules(spark, data):
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    rules = quality.train(docs, labels)
+    names = list(quality.measures())
+    rows = quality.with_stats(docs, ["doc_id"]).select("c0", *(m.alias(n) for n, m in quality.measures().items())).collect()
+    x = np.array([[r[n] for n in names] for r in rows], "f8")
+    want = np.zeros(len(rows), "i8")
+    for n, rule in reversed([*enumerate(rules, 1)]):
+        want[quality.covers(rule, x, names)] = n
+    got = {r.doc_id: r.rule for r in quality.quality(docs, labels).collect()}
+    assert [got[r.c0] for r in rows] == want.tolist()

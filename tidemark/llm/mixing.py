@@ -14,7 +14,9 @@ The cumulative sums along a permutation are taken in two levels: sums by ranges
 holds most rows is spread over ``RANGES`` groups. What is broadcast is a table by source, whose row count is checked; beyond
 ``BROADCAST_SOURCES`` it is joined by a shuffle.
 
-A document's size is its number of words between white space. Null texts have none; a null source is a source of its own.
+A document's size is its number of words between white space, which stands for its tokens: encoding by a tokenizer's file has no
+form in DataFrame functions. The sources' totals are one row; sources are as many as a catalogue's entries, not as documents. A
+very long text is one value in one task and is only counted. Null texts have none; a null source is a source of its own.
 Documents without words, and sources without any, are read in every full pass. Repeated rows are read as often as they stand.
 Input columns other than id, text and source are ignored by ``schedule``, whatever their names, and kept by ``mixed``.
 """
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, text_or_empty
+from tidemark.llm.common import materialise, numbered, quoted, renamed, text_or_empty
 
 RANGES = 4096
 HASH_BITS = 60
@@ -43,7 +45,7 @@ def order_hash(seed: str | Column, turn: Column, key: Column) -> Column:
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"))
+    return docs.select(quoted(id_col).alias("doc_id"), quoted(source_col).cast("string").alias("source"), F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"))
 
 
 def exponent(shares: Column, target_entropy: float, most_repeats: float) -> Column:
@@ -121,11 +123,12 @@ def mixed(docs: DataFrame, target_entropy: float = 0.9, most_repeats: float = 2.
     """The documents, each as often as the mixture reads it, with all their columns; texts aren't shuffled.
 
     The last pass of a source is a beginning of its permutation, so the highest hash in it tells which documents it holds."""
+    names, docs = docs.columns, numbered(docs)
+    id_col, text_col, source_col = (f"c{names.index(c)}" for c in (id_col, text_col, source_col))
     rows = materialise(sized(docs, id_col, text_col, source_col), "mixing-sizes")
     planned = materialise(plan(rows, target_entropy, most_repeats), "mixing-plan").withColumnRenamed("source", "_source")
     last = passes_of(rows, small(planned.where("rest > 0")), seed).where(F.col("pass") == F.col("full")).groupBy("source").agg(F.max("_hash").alias("_cut"))
     bounds = planned.join(last, F.col("_source").eqNullSafe(F.col("source")), "left").select("_source", F.col("full").alias("_full"), F.coalesce("_cut", F.lit(-1)).alias("_cut"))
-    kept = docs.columns
     out = docs.join(small(materialise(bounds, "mixing-bounds")), F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
     copies = F.col("_full") + F.when(order_hash(seed, F.col("_full"), F.col(id_col)) <= F.col("_cut"), 1).otherwise(0)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*kept)
+    return renamed(out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))), names)

@@ -7,7 +7,11 @@ precise enough there, and what it covers is taken away before the next. The list
 expression over the statistics' columns: the first rule that holds names the verdict, and a document that none covers is kept.
 
 Null texts are empty (no words, so the base rule rejects them). Repeated rows get the same verdict. Other columns are ignored,
-whatever their names. Without labelled rows of both classes the list is empty and only the base rule decides.
+whatever their names. Without labelled rows of both classes the list is empty and only the base rule decides. An empty table gives
+an empty result.
+
+Very long texts: a text is one value in one task, and its words are held as a list, so the counting takes some twenty times the
+text's size in memory, for one text at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import tidy
+from tidemark.llm.common import numbered, quoted, renamed, tidy
 from tidemark.llm.toxicity import sample_of
 
 SYMBOLS = "#*$%&|<>"
@@ -73,21 +77,20 @@ def text_stats(text: str) -> tuple[int, ...]:
 
 
 def with_stats(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns in ``keep`` and the counts of the whole text, each as ``_s_<name>``."""
+    """The columns in ``keep`` as c0, c1, ..., and the counts of the whole text, each as ``_s_<name>``."""
     place = keep.index(text_col) if text_col in keep else len(keep)
-    frame = docs.select(*keep, *([] if text_col in keep else [F.col(text_col)]))
-    kinds = dict(frame.dtypes)
-    names = [f"_s_{c}" for c in COUNTS]
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + [f"{n} long" for n in names])
+    frame = docs.select(*map(quoted, keep), *([] if text_col in keep else [quoted(text_col)]))
+    kept, names = [f"c{n}" for n in range(len(keep))], [f"_s_{c}" for c in COUNTS]
+    schema = ", ".join([f"{c} {kind}" for c, (_, kind) in zip(kept, frame.dtypes, strict=False)] + [f"{n} long" for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             stats = zip(*(text_stats(t.as_py() or "") for t in batch.column(place)), strict=True)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(s, pa.int64()) for s in stats)], [*keep, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(s, pa.int64()) for s in stats)], [*kept, *names])
 
-    return frame.mapInArrow(tidy(run), schema)
+    return numbered(frame).mapInArrow(tidy(run), schema)
 
 
 def measures(prefix: str = "_s_") -> dict[str, Column]:
@@ -207,9 +210,9 @@ def base_failed(prefix: str = "_s_") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[Rule]:
     """A list learned from at most ``max_rows`` labelled documents that pass the base rule."""
-    sample = sample_of(docs, labels, F.col(label_col), max_rows, id_col, text_col, F.lit(True))
+    sample = sample_of(docs, labels, quoted(label_col), max_rows, id_col, text_col, F.lit(True))
     named = measures()
-    rows = with_stats(sample, ["label"]).where(~base_failed()).select("label", *(m.alias(n) for n, m in named.items())).orderBy("label", *named).collect()
+    rows = with_stats(sample, ["label"]).where(~base_failed()).select(F.col("c0").alias("label"), *(m.alias(n) for n, m in named.items())).orderBy("label", *named).collect()
     if not rows:
         return []
     x = np.array([[r[n] for n in named] for r in rows], "f8")
@@ -222,10 +225,12 @@ def quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: st
     named = keep or [id_col]
     frame = with_stats(docs, named, text_col)
     base, rule = base_failed(), verdict(rules, measures())
-    return frame.select(*named, *(F.col(f"_s_{c}").alias(c) for c in COUNTS[:5]), base.alias("base_failed"), rule.alias("rule"), (~base & (rule == 0)).alias("kept"))
+    return frame.select(*(F.col(f"c{n}").alias(c) for n, c in enumerate(named)), *(F.col(f"_s_{c}").alias(c) for c in COUNTS[:5]), base.alias("base_failed"), rule.alias("rule"), (~base & (rule == 0)).alias("kept"))
 
 
 def passing(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are kept, with all their columns."""
     rules = train(docs, labels, max_rows, id_col, text_col)
-    return with_stats(docs, docs.columns, text_col).where(~base_failed() & (verdict(rules, measures()) == 0)).select(*docs.columns)
+    plain = numbered(docs)
+    stats = with_stats(plain, plain.columns, f"c{docs.columns.index(text_col)}")
+    return renamed(stats.where(~base_failed() & (verdict(rules, measures()) == 0)), docs.columns)

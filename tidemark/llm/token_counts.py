@@ -8,6 +8,9 @@ truncation and budget questions need no further encoding.
 
 Nulls count as empty texts (0 tokens). Repeated rows give repeated results. Input columns other than the id and the text are
 ignored, whatever their names. An empty table gives an empty result.
+
+Very long texts are counted in parts of about ``SLICE_BYTES``, cut where no token can reach across; a part that can't be cut, such
+as one word, is counted in one go, in linear time. What is kept of words and pairs of tokens is bounded.
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import SegmentCoder, coder, raw_bytes, row_slices, text_or_empty, tidy
+from tidemark.llm.common import SegmentCoder, coder, quoted, raw_bytes, row_slices, text_or_empty, tidy
 
 #: Prefix tables are kept for the first so many letters of a word.
 HEAD = 6
+#: Pairs of tokens of which it is kept whether the second may follow the first.
+MOST_PAIRS = 2_000_000
 _ASCII = re.compile(r" ?[A-Za-z]+")
 _PLAIN = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+)|[.,\n]")
 
@@ -50,6 +54,8 @@ class PrefixCounter(SegmentCoder):
         self.states: dict[str, tuple[str, dict[str, bool]]] = {}
         self.heads: dict[str, tuple[list, list[int]]] = {}
         self.whole: dict[str, bool] = {}
+        self.pairs = 0
+        self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
 
     def merged(self, word: str) -> list[str]:
         """The word's tokens by the merges themselves; only pairs of tokens are asked for."""
@@ -92,12 +98,17 @@ class PrefixCounter(SegmentCoder):
                         fits = follows.get(token)
                         if fits is None:
                             fits = follows[token] = self.merged(before + token) == [before, token]
+                            self.pairs += 1
                     if fits:
                         last.append(self.state(token))
                         count.append(count[start] + 1)
                         break
             else:
                 raise ValueError(f"the vocabulary has no token for {word[end - 1 : end]!r}")
+        if self.pairs > MOST_PAIRS:
+            self.states.clear()
+            self.heads.clear()
+            self.pairs = 0
         if not done and size > HEAD:
             if len(self.heads) > 100_000:
                 self.heads.clear()
@@ -113,16 +124,24 @@ class PrefixCounter(SegmentCoder):
         return [c for c, b in zip(counts, [*raw[1:], 0], strict=True) if b & 0xC0 != 0x80]
 
     def text_counts(self, text: str) -> list[int]:
-        """Counts at every prefix of a segment of any form.
+        """Counts at every prefix of a segment of any form. Special tokens part it; what ends within one is counted as plain text."""
+        out: list[int] = []
+        base = last = 0
+        for found in self.special_pattern.finditer(text):
+            head = text[last : found.start()]
+            counts = self.plain_counts(head)
+            out += [base + c for c in counts]
+            out += [base + self.plain_counts(head + found[0][:n])[-1] for n in range(1, len(found[0]))]
+            base += (counts[-1] if counts else 0) + 1
+            out.append(base)
+            last = found.end()
+        return [*out, *(base + c for c in self.plain_counts(text[last:]))]
+
+    def plain_counts(self, text: str) -> list[int]:
+        """Counts at every prefix of a segment without special tokens.
 
         Cutting a text leaves its pre-tokens as they are but for the last, with two exceptions, for which the end is split anew: a
         contraction that isn't complete, and white space whose last character would have led the next word."""
-        for special in self.special:
-            if (at := text.find(special)) >= 0:
-                head = self.text_counts(text[:at])
-                base = head[-1] if head else 0
-                partial = [self.text_counts(text[: at + n])[-1] for n in range(1, len(special))]
-                return [*head, *partial, base + 1, *(base + 1 + c for c in self.text_counts(text[at + len(special) :]))]
         pieces = [text[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(text)] if text else []
         out: list[int] = []
         base, before = 0, 0
@@ -168,7 +187,7 @@ def longest_prefix(steps: bytes, budget: int) -> int:
 def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text", keep_steps: bool = False) -> DataFrame:
     """Per row: the id, n_bytes, n_tokens, over_limit, fits_chars (the longest prefix within the limit) and, if asked for, the steps."""
     kind = dict(docs.dtypes)[id_col]
-    schema = f"{id_col} {kind}, n_bytes long, n_tokens long, over_limit boolean, fits_chars long" + ", token_steps binary" * keep_steps
+    schema = f"id {kind}, n_bytes long, n_tokens long, over_limit boolean, fits_chars long" + ", token_steps binary" * keep_steps
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(PrefixCounter, path)
@@ -183,10 +202,11 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
                     fits[n] = longest_prefix(steps[at[n] : at[n + 1]], limit)
                 n_bytes = np.diff(raw_bytes(rows.column(1))[0])
                 columns = [rows.column(0), pa.array(n_bytes), pa.array(n_tokens), pa.array(n_tokens > limit), pa.array(fits)]
-                names = [id_col, "n_bytes", "n_tokens", "over_limit", "fits_chars"]
+                names = ["id", "n_bytes", "n_tokens", "over_limit", "fits_chars"]
                 if keep_steps:
                     columns.append(pa.Array.from_buffers(pa.binary(), len(fits), [None, pa.py_buffer(at.astype("i4").tobytes()), pa.py_buffer(steps.tobytes())]))
                     names.append("token_steps")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), schema)
+    found = docs.select(quoted(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), schema)
+    return found.withColumnRenamed("id", id_col)

@@ -8,7 +8,11 @@ input; what is broadcast is the model (under 200 kB). Whole texts are read, lowe
 
 Null texts are empty; a text without any feature has the score of the intercept. Rows without a label, or with a null one, are
 scored but not learned from. Repeated rows are scored alike. A label that a document has twice counts once, as the larger. Other
-columns are ignored, whatever their names. Without labelled rows of both classes, every score is 0.
+columns are ignored, whatever their names. Of a labelled id with several texts the least one is learned from. Without labelled rows
+of both classes, every score is 0. An empty table gives an empty result.
+
+Very long texts: a text is one value in one task; its n-grams are looked up in pieces of ``PIECE`` characters, so beside the text
+and its lower-cased form the memory is bounded.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty, tidy
+from tidemark.llm.common import numbered, quoted, renamed, text_or_empty, tidy
 
 ORDERS = (3, 4, 5, 6)
+#: Characters whose n-grams are worked out at a time.
+PIECE = 1 << 18
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -31,16 +37,17 @@ def gram_hashes(text: str, orders: tuple[int, ...] = ORDERS) -> Iterator[np.ndar
     """64-bit hashes of the character n-grams of each order, of all places, over the lower-cased text between two spaces.
 
     Line breaks and tabs count as spaces, so that a word begins alike wherever it stands."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
-    points[(points >= 9) & (points <= 13)] = 32
-    h = np.zeros(len(points), "u8")
-    for n in range(1, max(orders) + 1):
-        if len(points) < n:
-            return
-        h = (h[: len(points) - n + 1] + points[n - 1 :]) * _MULTIPLIER
-        h ^= h >> np.uint64(29)
-        if n in orders:
-            yield h
+    lowered = f" {text.lower()} "
+    for begin in range(0, len(lowered), PIECE):
+        # pieces overlap by what the longest n-grams reach over
+        points = np.frombuffer(lowered[begin : begin + PIECE + max(orders) - 1].encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
+        points[(points >= 9) & (points <= 13)] = 32
+        h = np.zeros(len(points), "u8")
+        for n in range(1, min(max(orders), len(points)) + 1):
+            h = (h[: len(points) - n + 1] + points[n - 1 :]) * _MULTIPLIER
+            h ^= h >> np.uint64(29)
+            if n in orders:
+                yield h
 
 
 @dataclass
@@ -57,13 +64,13 @@ class Model:
 
     def features(self, text: str) -> np.ndarray:
         """The numbers of the features that the text has."""
-        found = []
+        has = np.zeros(len(self.hashes), bool)
         for h in gram_hashes(text):
             maybe = h[self.seen[(h >> np.uint64(46)).astype("i8")]]
             if len(maybe) and len(self.hashes):
                 at = np.minimum(np.searchsorted(self.hashes, maybe), len(self.hashes) - 1)
-                found.append(at[self.hashes[at] == maybe])
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, "i8")
+                has[at[self.hashes[at] == maybe]] = True
+        return np.flatnonzero(has)
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.intercept + self.weights[self.features(text)].sum(), -40, 40))))
@@ -92,13 +99,14 @@ def logistic(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, pen
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, label: Column, max_rows: int, id_col: str, text_col: str, may_learn: Column) -> DataFrame:
-    """(text, label) of at most ``max_rows`` labelled documents, those of the lowest hash of the id; the ids are chosen first."""
+    """(text, label) of at most ``max_rows`` labelled documents, those of the lowest hash of the id; the ids are chosen first. Of
+    an id with several texts the least one counts, so that a task that is run again gives the same rows."""
     spark = docs.sparkSession
-    known = labels.where(label.isNotNull() & F.col(id_col).isNotNull() & may_learn).groupBy(F.col(id_col).alias("_id")).agg(F.max(label.cast("int")).alias("_label"))
+    known = labels.where(label.isNotNull() & quoted(id_col).isNotNull() & may_learn).groupBy(quoted(id_col).alias("_id")).agg(F.max(label.cast("int")).alias("_label"))
     rows = known.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_rows).collect()
     chosen = spark.createDataFrame(rows, known.schema) if rows else known.limit(0)
-    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-    return texts.dropDuplicates(["_id"]).select("text", F.col("_label").alias("label"))
+    texts = docs.select(quoted(id_col).alias("_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "_id")
+    return texts.groupBy("_id", "_label").agg(F.min("text").alias("text")).select("text", F.col("_label").alias("label"))
 
 
 def fit(sample: DataFrame, max_features: int = 4096, least_texts: int = 5, smooth: float = 1.0) -> Model:
@@ -141,40 +149,37 @@ def fit(sample: DataFrame, max_features: int = 4096, least_texts: int = 5, smoot
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The id (or the columns in ``keep``) with the score of the whole text."""
+    """The id (or the columns in ``keep``, of which none is named score) with the score of the whole text."""
     names = keep or [id_col]
     place = names.index(text_col) if text_col in names else len(names)
-    frame = docs.select(*names, *([] if text_col in names else [F.col(text_col)]))
-    kinds = dict(frame.dtypes)
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double"
+    frame = docs.select(*map(quoted, names), *([] if text_col in names else [quoted(text_col)]))
+    schema = ", ".join(f"c{n} {kind}" for n, (_, kind) in enumerate(frame.dtypes[: len(names)])) + ", score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = pa.array([model.score(t.as_py() or "") for t in batch.column(place)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], scores], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], scores], [*(f"c{n}" for n in range(len(names))), "score"])
 
-    return frame.mapInArrow(tidy(run), schema)
+    return numbered(frame).mapInArrow(tidy(run), schema).toDF(*names, "score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves no remainder by 5; such rows aren't learned from."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(quoted(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    return fit(sample_of(docs, labels, F.col(label_col), max_rows, id_col, text_col, ~held_out(id_col)))
+    return fit(sample_of(docs, labels, quoted(label_col), max_rows, id_col, text_col, ~held_out(id_col)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, score, predicted."""
     scored = score(docs, train(docs, labels, max_rows, id_col, text_col), id_col, text_col)
-    return scored.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select(quoted(id_col), held_out(id_col).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The documents whose score is below the limit, with all their columns."""
-    names = docs.columns
-    plain = docs.select(*(F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(names)))
-    text = f"c{names.index(text_col)}"
-    scored = score(plain, train(docs, labels, max_rows, id_col, text_col), text_col=text, keep=plain.columns)
-    return scored.where(F.col("score") < limit).select(*(F.col(f"c{n}").alias(c) for n, c in enumerate(names)))
+    plain = numbered(docs)
+    scored = score(plain, train(docs, labels, max_rows, id_col, text_col), text_col=f"c{docs.columns.index(text_col)}", keep=plain.columns)
+    return renamed(scored.where(F.col("score") < limit), docs.columns)
