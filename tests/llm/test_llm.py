@@ -633,3 +633,48 @@ def test_quality_verdict_is_the_rules(spark, data):
         want[quality.covers(rule, x, names)] = n
     got = {r.doc_id: r.rule for r in quality.quality(docs, labels).collect()}
     assert [got[r.c0] for r in rows] == want.tolist()
+
+
+def test_heap_merge_counts_lists():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        lists = [sorted(rng.choice(40, int(rng.integers(1, 20)), replace=False).tolist()) for _ in range(int(rng.integers(1, 9)))]
+        for least in (1, 2, 3, 5):
+            held = defaultdict(int)
+            for values in lists:
+                for v in values:
+                    held[v] += 1
+            assert jaccard_join.merge_skip(lists, least) == sorted((v, n) for v, n in held.items() if n >= least)
+
+
+@pytest.mark.parametrize("list_rows, short", [(200, 12), (2, 2), (5, 1)])
+def test_links_through_short_and_long_lists(spark, monkeypatch, list_rows, short):
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", list_rows)
+    monkeypatch.setattr(jaccard_join, "SHORT", short)  # few sets: lists are long, and candidates are probed for
+    rng = np.random.default_rng(list_rows)
+    rows = []
+    for group in range(25):
+        base = [f"g{group % 7}w{n}" for n in range(30)] + [f"h{group}w{n}" for n in range(int(rng.integers(5, 60)))]
+        for _ in range(int(rng.integers(2, 9))):
+            own = list(base)
+            for _ in range(int(rng.integers(0, 4))):
+                own[int(rng.integers(0, len(own)))] = f"x{rng.integers(0, 30)}"
+            rows.append(" ".join(own))
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(rows)], "doc_id long, text string").repartition(3)
+    for words, percent in ((4, 85), (1, 70)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similarity_components(df, words, percent).collect()}
+        assert got == brute_components(list(enumerate(rows)), words, percent)
+
+
+def test_words_are_hashed_in_pieces(monkeypatch):
+    texts = pa.array(["A b  c\td\ne f g " * 50, "", "x" * 300 + " y", "one two three four five"])
+    whole = jaccard_join.shingle_sets(texts, 4)
+    monkeypatch.setattr(jaccard_join, "PIECE", 16)
+    parts = jaccard_join.shingle_sets(texts, 4)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+def test_a_long_path_is_one_component(spark):
+    links = [(n, n + 1) for n in range(400)] + [(1000 + n, 999 + n) for n in range(1, 200)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert len({got[n] for n in range(401)}) == 1 and len(set(got.values())) == 2
