@@ -678,3 +678,91 @@ def test_a_long_path_is_one_component(spark):
     links = [(n, n + 1) for n in range(400)] + [(1000 + n, 999 + n) for n in range(1, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert len({got[n] for n in range(401)}) == 1 and len(set(got.values())) == 2
+
+
+def simulated_round_robin(lengths, shares, seq_len):
+    """Deficit round-robin by hand: each round credits every open queue its share of the window and sends whole tokens, the largest
+    deficits first; what an empty queue can't use goes to the others."""
+    lengths, shares = np.array(lengths), np.array(shares, "f8") / sum(shares)
+    sent, credit = np.zeros(len(lengths), "i8"), np.zeros(len(lengths))
+    rounds = []
+    while sent.sum() < lengths.sum():
+        window = min(seq_len, int((lengths - sent).sum()))
+        left = float(window)
+        while left > 1e-9:
+            open_ = credit < lengths - 1e-9
+            weight = np.where(open_, shares, 0.0)
+            step = np.minimum(left * weight / weight.sum(), lengths - credit)
+            credit += step
+            left -= step.sum()
+        due = np.minimum(np.floor(credit + 1e-9), lengths).astype("i8")
+        due = np.maximum(due, sent)
+        rest = np.where(due < lengths, credit - due, -1)
+        short = window - int((due - sent).sum())
+        for k in np.argsort(-rest, kind="stable")[: max(short, 0)]:
+            due[k] += 1
+        rounds.append(due - sent)
+        sent = due
+    return np.array(rounds)
+
+
+@pytest.mark.parametrize("lengths, shares", [([30_000, 2_000, 9_000], [0.2, 0.3, 0.5]), ([5_000] * 12, [1.0] * 12), ([40_000, 300, 10, 7_000], [200, 17.3, 3.1, 83.7])])
+def test_rounds_follow_a_simulated_round_robin(lengths, shares):
+    want = np.cumsum(simulated_round_robin(lengths, shares, 1024), axis=0)
+    rounds = packing.Rounds(np.array(lengths), np.array(shares), 1024)
+    got = rounds.counts(np.arange(1, rounds.last + 1))
+    assert got.shape == want.shape and (got[-1] == want[-1]).all()
+    assert (np.abs(got - want) <= 1 + len(lengths) / 2).all()  # whole tokens are dealt within a few of the simulation's
+
+
+def test_tempered_shares_fill_the_windows(spark):
+    rows = [(n, "one two three four five " * 40, "big" if n < 160 else f"s{n % 4}") for n in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    held = defaultdict(lambda: defaultdict(int))
+    for r in packing.pack(df, BYTE, seq_len=512, temper=0.5).collect():
+        held[r.sequence_id][r.source] += r.length
+    weight = {"big": 4.0} | {f"s{k}": 1.0 for k in range(4)}  # 16 times the tokens, 4 times the share
+    for n in range(10):
+        assert all(abs(held[n][s] - 512 * w / 8) <= 4 for s, w in weight.items())
+
+
+def test_more_sources_than_queues(spark):
+    rows = [(n, f"text number {n}", f"s{n}" if n % 7 else None) for n in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = packing.pack(df, BYTE, seq_len=64, max_queues=9, shares={"s1": 2.0, None: 1.0}).collect()
+    library = Tokenizer.from_file(BYTE)
+    assert {r.doc_id for r in got} == set(range(200)) and {(r.doc_id, r.source) for r in got} == {(n, s) for n, _, s in rows}
+    assert sum(r.length for r in got) == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t, _ in rows)
+
+
+def test_token_files_with_null_ids_and_few_bits(spark, tmp_path):
+    rows = [(None, "a"), (-(1 << 63), "b"), (None, "c d"), (5, None), (5, "e " * 9000)]
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "t"), WORD, end_id=2)
+    got = sorted(token_files.read_tokens(spark, str(tmp_path / "t")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, -(1 << 63), 5, 5] and [r.n_tokens for r in got][:4] == [2, 3, 2, 1]
+    assert token_files.files_of(100 * 10**12, 8000) == token_files.MOST_FILES and token_files.files_of(25_000_000, 8) == 8 and token_files.files_of(0, 8) == 1
+    file = next((tmp_path / "t").glob("*.tok"))
+    with pa.OSFile(str(file)) as source:
+        one = token_files.TokenFile(source)
+        assert len(one.block_at) == one.footer["blocks"] + 1 and (np.diff(one.block_at)[:-1] == token_files.BLOCK * one.bits // 8).all()
+
+
+def test_pages_of_few_bits():
+    rng = np.random.default_rng(1)
+    for bits in (1, 2, 4):
+        samples = rng.integers(0, 1 << bits, (5, 13)).astype("u1")
+        flags = np.unpackbits(samples[:, :, None], axis=2)[:, :, 8 - bits :].reshape(5, -1)
+        raw = media.pack_packbits(np.packbits(flags, axis=1).tobytes())
+        tags = [(256, 4, 13), (257, 4, 5), (258, 3, bits), (259, 3, media.PACKBITS), (273, 4, 8), (277, 3, 1), (278, 4, 5), (279, 4, len(raw))]
+        entries = b"".join(struct.pack("<HHI", t, k, 1) + (struct.pack("<HH", v, 0) if k == 3 else struct.pack("<I", v)) for t, k, v in tags)
+        page = next(media.read_tiff(b"II*\0" + struct.pack("<I", 8 + len(raw)) + raw + struct.pack("<H", len(tags)) + entries + b"\0\0\0\0"))
+        assert page.error is None and (page.pixels[:, :, 0] == samples).all()
+
+
+def test_long_texts_are_stored_as_pages(spark, monkeypatch):
+    monkeypatch.setattr(media, "PAGE_ROWS", 10)
+    text = "abc \u00e9" * 3000
+    got = media.stored_digests(media.store_bytes(spark.createDataFrame([(1, text), (1, text), (2, "x")], "doc_id long, text string").coalesce(1))).collect()
+    payload = media.payload_of(text)
+    assert [r.payload_sha256 for r in got if r.doc_id == 1] == [hashlib.sha256(payload).hexdigest()] * 2
+    assert len({(r.feature, r.media_sha256, r.n_bytes) for r in got if r.doc_id == 1}) == 1 and len(got) == 3

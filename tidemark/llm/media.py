@@ -1,12 +1,16 @@
 """Media columns: TIFF files in a binary column.
 
 ``tiff_pages`` walks the image directories of every file, decodes strips and tiles (none, PackBits, LZW, deflate), undoes the
-predictors (horizontal differences, floating point) and gives one row per page. ``store_bytes`` writes payloads as 8-bit grey
-images, 64 samples wide, losslessly; ``stored_digests`` reads them back and gives a row per file.
+predictors (horizontal differences, floating point), unpacks samples of 1, 2 and 4 bits to bytes, and gives one row per page.
+``store_bytes`` writes payloads as 8-bit grey images, 64 samples wide, losslessly; ``stored_digests`` takes their page rows and
+gives a row per file.
 
 A null or empty file, or one that isn't a TIFF, gives one row with page null and an error text; what can't be decoded in a page
 gives the page's row with an error text. Null texts are empty (one block of zeros). Repeated rows give repeated rows. Other
-columns are ignored, whatever their names.
+columns are ignored, whatever their names. An empty table gives an empty result.
+
+Very long texts become pages of 4 MiB, each a row; texts are stored in slices of about ``SLICE_BYTES``, and a longer one by itself.
+A file is one value, so its bytes and one page are in memory at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty, tidy
+from tidemark.llm.common import SLICE_BYTES, quoted, row_slices, text_or_empty, tidy
 
 NONE, LZW, DEFLATE, DEFLATE_OLD, PACKBITS = 1, 5, 8, 32946, 32773
 WIDTH = 64
@@ -178,6 +182,14 @@ def field_values(data: bytes, order: str, at: int) -> tuple[int, list]:
     return tag, list(struct.unpack_from(f"{order}{n}{letter}", data, start)) if letter else [data[start : start + size]]
 
 
+def unpack_samples(data: bytes, bits: int, rows: int, samples: int) -> np.ndarray:
+    """Samples of fewer than 8 bits as bytes, high bits first; every row begins with a byte of its own."""
+    width = -(-samples * bits // 8)
+    packed = np.frombuffer(data, "u1", rows * width).reshape(rows, width)
+    flags = np.unpackbits(packed, axis=1).reshape(rows, width * 8 // bits, bits)
+    return (flags << np.arange(bits - 1, -1, -1, dtype="u1")).sum(axis=2, dtype="u1")[:, :samples]
+
+
 def undo_predictor(block: np.ndarray, predictor: int, order: str) -> np.ndarray:
     """block: rows x columns x samples of the stored type."""
     if predictor == 2:
@@ -201,9 +213,11 @@ def read_page(data: bytes, order: str, at: int, number: int) -> tuple[Page, int]
     page = Page(number, width, height, bits, samples, kind, None)
     try:
         form = {1: "u", 2: "i", 3: "f"}[int(one(339, 1))]
-        if bits not in (8, 16, 32, 64):
+        if bits not in (1, 2, 4, 8, 16, 32, 64):
             raise ValueError(f"{bits} bits a sample are not supported")
-        dtype = np.dtype(f"{order}{form}{bits // 8}")
+        if bits < 8 and (predictor != 1 or form != "u"):
+            raise ValueError(f"predictor {predictor} with {bits} bits a sample is not supported")
+        dtype = np.dtype(f"{order}{form}{max(bits, 8) // 8}")
         tiled = 322 in tags
         across, down = (int(one(322, 0)), int(one(323, 0))) if tiled else (width, min(int(one(278, height)), height) or height)
         offsets, sizes = (tags[324], tags[325]) if tiled else (tags[273], tags[279])
@@ -217,7 +231,8 @@ def read_page(data: bytes, order: str, at: int, number: int) -> tuple[Page, int]
             row, column = divmod(place, columns)
             tall = down if tiled else min(down, height - row * down)
             raw = decompress(data[offsets[k] : offsets[k] + sizes[k]], kind)
-            block = undo_predictor(np.frombuffer(raw, dtype, tall * across * depth).reshape(tall, across, depth), predictor, order)
+            stored = unpack_samples(raw, bits, tall, across * depth) if bits < 8 else np.frombuffer(raw, dtype, tall * across * depth)
+            block = undo_predictor(stored.reshape(tall, across, depth), predictor, order)
             y, x = row * down, column * across
             part = block[: height - y, : width - x]
             pixels[y : y + part.shape[0], x : x + part.shape[1], plane : plane + depth] = part
@@ -277,14 +292,30 @@ def write_tiff(pages: list[np.ndarray], compression: int = DEFLATE, predictor: i
     return bytes(out)
 
 
+class FeatureSums:
+    """The feature of an image that is seen page by page: 64 bits in hex, one for each column of samples: whether its mean lies
+    above the mean of all; then mean and spread."""
+
+    def __init__(self) -> None:
+        self.columns, self.bins, self.size = np.zeros(WIDTH, "i8"), np.zeros(16, "i8"), 0
+
+    def add(self, samples: np.ndarray) -> None:
+        grey = samples.reshape(-1, WIDTH) if samples.size % WIDTH == 0 else np.zeros((0, WIDTH), "u1")
+        self.columns += grey.sum(axis=0, dtype="i8")
+        self.bins += np.bincount(grey.ravel() >> 4, minlength=16)
+        self.size += grey.size
+
+    def text(self) -> str:
+        size = max(self.size, 1)
+        bits = np.packbits((self.columns * WIDTH > self.columns.sum()).astype("u1")).tobytes().hex()
+        spread = int(self.bins.max() * 1000 // size) if self.size else 1000
+        return f"{bits}-{int(self.columns.sum() // size):03d}-{spread:04d}"
+
+
 def feature(pixels: np.ndarray) -> str:
-    """64 bits in hex, one for each column of samples: whether its mean lies above the mean of all; then mean and spread."""
-    grey = pixels.reshape(-1, WIDTH) if pixels.size % WIDTH == 0 and pixels.size else np.zeros((1, WIDTH), "u1")
-    columns = grey.sum(axis=0, dtype="i8")
-    bits = np.packbits((columns * WIDTH > columns.sum()).astype("u1")).tobytes().hex()
-    mean = int(columns.sum() // grey.size)
-    spread = int(np.bincount(grey.ravel().astype("i8") // 16, minlength=16).max() * 1000 // grey.size)
-    return f"{bits}-{mean:03d}-{spread:04d}"
+    sums = FeatureSums()
+    sums.add(pixels.ravel())
+    return sums.text()
 
 
 def payload_of(text: str) -> bytes:
@@ -303,58 +334,99 @@ def store_bytes(docs: DataFrame, compression: int = DEFLATE, predictor: int = 2,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for first, end in row_slices(batch.column(1)):
+                part = batch.slice(first, end - first)
                 texts = part.column(1).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array([payload_tiff(payload_of(t), compression, predictor) for t in texts], pa.binary())],
-                    [id_col, "n_bytes", "media"],
+                    ["id", "n_bytes", "media"],
                 )
 
-    return docs.select(id_col, text_or_empty(text_col).alias("_text")).mapInArrow(tidy(run), f"{id_col} {kind}, n_bytes long, media binary")
+    stored = docs.select(quoted(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, n_bytes long, media binary")
+    return stored.withColumnRenamed("id", id_col)
 
 
-def tiff_pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """One row per page: id, page, width, height, bits, samples, compression, pixels (rows in turn), feature, error."""
-    kind = dict(files.dtypes)[id_col]
-    schema = f"{id_col} {kind}, page int, width int, height int, bits int, samples int, compression int, pixels binary, feature string, error string"
-    names = ["page", "width", "height", "bits", "samples", "compression", "pixels", "feature", "error"]
-    kinds = [pa.int32()] * 6 + [pa.binary(), pa.string(), pa.string()]
+def tiff_pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: list[str] | None = None) -> DataFrame:
+    """One row per page: id, page, width, height, bits, samples, compression, pixels (rows in turn), feature, error, the file's
+    columns in ``keep``, ``n_pages`` and, in the row of its last page, ``media_bytes`` and ``media_sha256``. A file's rows stand
+    together in the order of its pages."""
+    keep = keep or []
+    names = ["page", "width", "height", "bits", "samples", "compression", "pixels", "feature", "error", "n_pages", "media_bytes", "media_sha256"]
+    kinds = [pa.int32()] * 6 + [pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string()]
+    frame = files.select(quoted(id_col), quoted(media_col), *map(quoted, keep))
+    kept = [f"k{n}" for n in range(len(keep))]
+    kept_kinds = "".join(f", {k} {kind}" for k, (_, kind) in zip(kept, frame.dtypes[2:], strict=True))
+    schema = f"id {frame.dtypes[0][1]}, page int, width int, height int, bits int, samples int, compression int, pixels binary, feature string, error string, n_pages int, media_bytes long, media_sha256 string{kept_kinds}"
 
     def rows(media: bytes | None) -> Iterator[tuple]:
+        data = media or b""
+        last = None
         try:
-            for p in read_tiff(media or b""):
+            for p in read_tiff(data):
+                if last is not None:
+                    yield (*last, None, None, None)
                 eight = p.pixels is not None and p.pixels.dtype == np.uint8
-                yield p.number, p.width, p.height, p.bits, p.samples, p.compression, None if p.pixels is None else p.pixels.tobytes(), feature(p.pixels) if eight else None, p.error
+                last = p.number, p.width, p.height, p.bits, p.samples, p.compression, None if p.pixels is None else p.pixels.tobytes(), feature(p.pixels) if eight else None, p.error
         except (ValueError, struct.error) as e:
-            yield None, None, None, None, None, None, None, None, str(e)
+            if last is not None:
+                yield (*last, None, None, None)
+            last = (None,) * 8 + (str(e),)
+        if last is not None:
+            yield (*last, None if last[0] is None else last[0] + 1, len(data), hashlib.sha256(data).hexdigest())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held, size = [], 0
+
+            def out() -> pa.RecordBatch:
+                of = pa.array([n for n, _ in held])
+                columns = [pa.array(c, k) for c, k in zip(zip(*(row for _, row in held), strict=True), kinds, strict=True)]
+                return pa.RecordBatch.from_arrays([batch.column(0).take(of), *columns, *(c.take(of) for c in batch.columns[2:])], ["id", *names, *kept])
+
             for n in range(batch.num_rows):
-                found = list(rows(batch.column(1)[n].as_py()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([n] * len(found))), *(pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True))], [id_col, *names])
+                for row in rows(batch.column(1)[n].as_py()):
+                    held.append((n, row))
+                    size += len(row[6] or b"")
+                    if size > SLICE_BYTES:
+                        yield out()
+                        held, size = [], 0
+            if held:
+                yield out()
 
-    return files.select(id_col, F.col(media_col).alias("media")).mapInArrow(tidy(run), schema)
+    return frame.toDF("id", "media", *kept).mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col).withColumnsRenamed(dict(zip(kept, keep, strict=True)))
 
 
 def stored_digests(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Per stored file, from the bytes of its decoded pages: sizes, digests and the feature."""
-    kind = dict(stored.dtypes)[id_col]
-    schema = f"{id_col} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pages int"
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()]
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_pages"]
-
-    def digest(media: bytes) -> tuple:
-        pages = [p.pixels for p in read_tiff(media)]
-        pixels = pages[0] if len(pages) == 1 else np.concatenate(pages)
-        payload = pixels.tobytes()
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(pixels), len(pages)
+    """Per stored file (id, n_bytes, media): its pages, read back, and their digests."""
+    return page_digests(tiff_pages(stored, id_col, keep=["n_bytes"]), id_col)
+
+
+def page_digests(pages: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Per stored file, from its page rows (``tiff_pages`` with n_bytes kept): sizes, digests of the bytes read back, the feature.
+
+    A file's pages stand together, so its digests run on from page to page, and no file is put together again."""
+    kind = dict(pages.dtypes)[id_col]
+    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pages int"
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()]
+    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_pages"]
+    columns = ["page", "pixels", "n_bytes", "n_pages", "media_bytes", "media_sha256", "error"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, size, tail, sums = hashlib.sha256(), 0, b"", FeatureSums()
         for batch in batches:
-            if batch.num_rows:
-                found = zip(*(digest(m.as_py()) for m in batch.column("media")), strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("n_bytes"), *(pa.array(c, k) for c, k in zip(found, kinds, strict=True))], [id_col, "n_bytes", *names])
-
-    return stored.select(id_col, "n_bytes", "media").mapInArrow(tidy(run), schema)
+            found, of = [], []
+            for n, (page, pixels, n_bytes, n_pages, media_bytes, media_sha256, error) in enumerate(zip(*(batch.column(c).to_pylist() for c in columns), strict=True)):
+                if error:
+                    raise ValueError(f"a stored file can't be read back: {error}")
+                digest.update(pixels)
+                size += len(pixels)
+                tail = (tail + pixels[-WIDTH:])[-WIDTH:]
+                sums.add(np.frombuffer(pixels, "u1"))
+                if n_pages is not None:
+                    found.append((n_bytes, size, digest.hexdigest(), zlib.crc32(tail), media_bytes, media_sha256, sums.text(), n_pages))
+                    of.append(n)
+                    digest, size, tail, sums = hashlib.sha256(), 0, b"", FeatureSums()
+            if found:
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(of)), *(pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True))], ["id", *names])
+
+    return pages.select(quoted(id_col).alias("id"), *columns).mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)

@@ -9,11 +9,13 @@ sequence, sources stand one after another. Only the last sequence is padded.
 
 How much a source has sent after round k follows from the queues' lengths and the shares alone, by bisection for the virtual time
 at which k windows are due, and so does the place of any token in the stream. Spark needs one pass to tokenize, a sum per (partition, source) that carries the queues' ends from one
-partition to the next, and one pass that writes the pieces: no row is shuffled but those sums. The number of sources, not of
-documents, bounds what the driver holds.
+partition to the next, and one pass that writes the pieces: no row is shuffled but those sums. Each source has a queue; beyond
+``max_queues`` sources, those that share a hash share a queue and add up their shares, so the plan is bounded (with more sources
+than a window has tokens, no window could hold all of them anyway).
 
 Null texts are empty documents (the end id alone); a null source is a queue of its own. Repeated rows are packed as often as
-they stand. Other columns are ignored, whatever their names. An empty table gives no piece.
+they stand. Other columns are ignored, whatever their names. An empty table gives no piece. Very long texts are tokenized in parts
+of about ``SLICE_BYTES``; a document's ids are one value.
 """
 
 from __future__ import annotations
@@ -24,16 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IdCoder, coder, materialise, raw_bytes, row_slices, text_or_empty, tidy
+from tidemark.llm.common import IdCoder, coder, materialise, quoted, raw_bytes, row_slices, text_or_empty, tidy
 
 #: The queues' ends by partition are broadcast up to so many rows (about 40 MB), and joined by a shuffle beyond.
 BROADCAST_ROWS = 500_000
-NO_SOURCE = "\x00none"
 #: Counts (rounds by sources) worked out at a time.
 CELLS = 1_000_000
 
@@ -151,9 +151,15 @@ class Rounds:
         return doc, begin - first[doc], end - begin, place
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """Ids of every document with the end id, and where they begin in their source's queue within the partition."""
-    kind = dict(docs.dtypes)[id_col]
+def queue_key(source: Column, queues: int | None) -> Column:
+    """A name for the source's queue: the source itself after a letter (null: the letter n alone), or a number by its hash."""
+    name = F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+    return name if queues is None else F.pmod(F.xxhash64(name), F.lit(queues)).cast("string")
+
+
+def tokenized(docs: DataFrame, path: str, end_id: int, queues: int | None) -> DataFrame:
+    """Ids of every document with the end id, and where they begin in their queue within the partition."""
+    kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(IdCoder, path)
@@ -167,30 +173,41 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
                 at = at + np.arange(len(at))
                 sizes = np.diff(at)
                 starts = []
-                for source, size in zip(rows.column(2).to_pylist(), sizes.tolist(), strict=True):
-                    starts.append(queued.get(source, 0))
-                    queued[source] = starts[-1] + size
+                for queue, size in zip(rows.column(2).to_pylist(), sizes.tolist(), strict=True):
+                    starts.append(queued.get(queue, 0))
+                    queued[queue] = starts[-1] + size
                 held = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((at * ids.itemsize).astype("i4").tobytes()), pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), held], ["doc_id", "source", "part", "queue_start", "doc_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(3), rows.column(2), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), held], ["doc_id", "source", "queue", "part", "queue_start", "doc_tokens", "ids"])
 
-    frame = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("source"))
-    return frame.mapInArrow(tidy(run), f"doc_id {kind}, source string, part int, queue_start long, doc_tokens long, ids binary")
+    frame = docs.select("doc_id", text_or_empty().alias("text"), queue_key(F.col("source"), queues).alias("queue"), "source")
+    return frame.mapInArrow(tidy(run), f"doc_id {kind}, source string, queue string, part int, queue_start long, doc_tokens long, ids binary")
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 1, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_sources: int = 10_000) -> DataFrame:
-    """One row per piece. ``shares``: target token proportions by source (default: the sources' shares of all tokens, so that all
-    queues empty together); sources without a share follow when the others are empty."""
+def wanted_shares(spark, names: list[str], lengths: list[int], shares: dict[str | None, float] | None, temper: float, queues: int | None) -> list[float]:
+    """The queues' target shares: as given by source, or by their tokens to the power of ``temper``."""
+    if shares is None:
+        return [float(n) ** temper if n else 0.0 for n in lengths]
+    given = spark.createDataFrame([*shares.items()], "source string, share double").groupBy(queue_key(F.col("source"), queues).alias("queue")).agg(F.sum("share").alias("share"))
+    by_queue = {r["queue"]: r["share"] for r in given.collect()}
+    return [by_queue.get(n, 0.0) for n in names]
+
+
+def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain: int = 1, shares: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_queues: int = 10_000, temper: float = 1.0) -> DataFrame:
+    """One row per piece. ``shares``: target token proportions by source; without them, the sources' tokens to the power of
+    ``temper`` (1: their shares of all tokens, so that all queues empty together; 0: equal shares). Sources without a share follow
+    when the others are empty."""
     spark = docs.sparkSession
     width = np.dtype(coder(IdCoder, path).dtype).itemsize
-    stored = materialise(tokenized(docs, path, end_id, id_col, text_col, source_col), "packing-ids")
-    held = stored.groupBy("source", "part").agg(F.sum("doc_tokens").alias("tokens"))
-    ends = materialise(held.withColumn("base", F.sum("tokens").over(Window.partitionBy("source").orderBy("part")) - F.col("tokens")), "packing-ends")
-    totals = ends.groupBy("source").agg(F.sum("tokens").alias("tokens")).orderBy("source").limit(max_sources + 1).collect()
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources; group them first")
-    names = [r["source"] for r in totals]
+    kind = dict(docs.dtypes)[id_col]
+    docs = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), quoted(source_col).cast("string").alias("source"))
+    queues = max_queues if docs.select("source").distinct().limit(max_queues + 1).count() > max_queues else None
+    stored = materialise(tokenized(docs, path, end_id, queues), "packing-ids")
+    held = stored.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("tokens"))
+    ends = materialise(held.withColumn("base", F.sum("tokens").over(Window.partitionBy("queue").orderBy("part")) - F.col("tokens")), "packing-ends")
+    totals = ends.groupBy("queue").agg(F.sum("tokens").alias("tokens")).orderBy("queue").collect()
+    names = [r["queue"] for r in totals]
     lengths = [r["tokens"] for r in totals]
-    wanted = lengths if shares is None else [shares.get(None if n == NO_SOURCE else n, 0.0) for n in names]
+    wanted = wanted_shares(spark, names, lengths, shares, temper, queues)
     least = 1e-9 * max([w for w in wanted if w > 0], default=1.0)
     plan = Rounds(np.array(lengths), np.array([max(w, least) for w in wanted]), seq_len, grain) if names else None
     number = {n: k for k, n in enumerate(names)}
@@ -203,24 +220,23 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, seq_len: int = 1024, grain
             at, raw = raw_bytes(batch.column("ids"))
             ids = memoryview(raw.view(dtype).astype("<u4")).cast("B")
             at = at // np.dtype(dtype).itemsize
-            sources = batch.column("source").dictionary_encode()
-            which = sources.indices.to_numpy()
+            queued = batch.column("queue").dictionary_encode()
+            which = queued.indices.to_numpy()
             first, length = (batch.column(c).to_numpy() for c in ("first", "doc_tokens"))
             found = []
-            for n, source in enumerate(sources.dictionary.to_pylist()):
+            for n, queue in enumerate(queued.dictionary.to_pylist()):
                 rows = np.flatnonzero(which == n)
-                doc, *rest = plan.pieces(first[rows], length[rows], number[source])
+                doc, *rest = plan.pieces(first[rows], length[rows], number[queue])
                 found.append((rows[doc], *rest))
             row, start, size, place = (np.concatenate(x) for x in zip(*found, strict=True))
             begin = (at[row] + start) * 4
             crc = [zlib.crc32(ids[a:b]) for a, b in zip(begin.tolist(), (begin + size * 4).tolist(), strict=True)]
             taken = pa.array(row)
-            source = pa.compute.if_else(pa.compute.equal(batch.column("source"), NO_SOURCE), pa.scalar(None, pa.string()), batch.column("source"))
             columns = [start, size, crc, length[row], place // seq_len, place % seq_len]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(taken), *(pa.array(c, pa.int64()) for c in columns), source.take(taken)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(taken), *(pa.array(c, pa.int64()) for c in columns), batch.column("source").take(taken)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
-    small = ends.select("source", "part", "base")
+    small = ends.select("queue", "part", "base")
     if ends.count() <= BROADCAST_ROWS:
         small = F.broadcast(small)
-    placed = stored.join(small, ["source", "part"]).select("doc_id", "source", (F.col("base") + F.col("queue_start")).alias("first"), "doc_tokens", "ids")
-    return placed.mapInArrow(tidy(run), PIECES.format(id=dict(docs.dtypes)[id_col]))
+    placed = stored.join(small, ["queue", "part"]).select("doc_id", "source", "queue", (F.col("base") + F.col("queue_start")).alias("first"), "doc_tokens", "ids")
+    return placed.mapInArrow(tidy(run), PIECES.format(id=kind))

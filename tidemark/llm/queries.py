@@ -17,7 +17,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, seq_len=1024)
+    """The targets lie far from the sources' own shares: proportions to the square roots of their tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, seq_len=1024, temper=0.5)
 
 
 def op2_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,7 @@ def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.stored_digests(media.store_bytes(table(spark, sf_dir, "documents")))
+    return media.page_digests(media.tiff_pages(media.store_bytes(table(spark, sf_dir, "documents")), keep=["n_bytes"]))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
