@@ -53,7 +53,7 @@ SHORT = 12
 COMMON = 3
 #: A list that should have more rows than this, by the sketch, is split into parts, as many as the square root of the ratio; a part
 #: has hubs of its own.
-LIST_ROWS = 200
+LIST_ROWS = 100
 CHUNK = 1 << 16
 #: Bytes of text whose words are hashed at a time.
 PIECE = 1 << 21
@@ -526,43 +526,53 @@ def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, join: Join) ->
     return links
 
 
-def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every row once for each part of its token's list, with the part's ``list``."""
-    for batch in batches:
-        parts = batch.column("parts").to_numpy().astype("i8")
-        ends = np.cumsum(parts)
-        first = 0
-        while first < len(parts):
-            end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + 200_000, "right")))
-            n = parts[first:end]
-            row = np.repeat(np.arange(first, end), n)
-            part = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            taken = batch.take(pa.array(row))
-            lists = pa.array(list_ids(taken.column("token").to_numpy(), part))
-            yield pa.RecordBatch.from_arrays([lists, *taken.columns], ["list", *taken.schema.names])
-            first = end
+def tiles(name: str, by: str):
+    """A function that gives every row once for each part of its token's list, with the row number ``name``: of the list of that
+    part (``by`` token), or of a tile. A tile is what a part's sets and one part of those that look into it meet in: a set of the
+    list (``by`` list) goes to all tiles of its part, and one that looks (``by`` node) to one tile of each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("parts").to_numpy().astype("i8")
+            ends = np.cumsum(parts)
+            first = 0
+            while first < len(parts):
+                end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + 200_000, "right")))
+                n = parts[first:end]
+                row = np.repeat(np.arange(first, end), n)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                taken = batch.take(pa.array(row))
+                column = lambda c: taken.column(c).to_numpy()  # noqa: B023, E731
+                lists = list_ids(column("list"), part) if by == "list" else list_ids(column("token"), part)
+                if by == "node":
+                    lists = list_ids(lists, column("node").view("u8") % column("parts").astype("u8"))
+                yield pa.RecordBatch.from_arrays([pa.array(lists), *taken.columns], [name, *taken.schema.names])
+                first = end
+
+    return tidy(run)
 
 
 def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
     """Pairs of sets in a long list that have different components and sizes and ranks that allow a link.
 
-    A list's sets outside its most frequent component are sent to each of its parts, and look there, by binary searches over the
+    A list's sets outside its most frequent component are sent to each of its parts (in tiles), and look there, by binary searches over the
     sets in the order of their sizes, for those that they may link with; members of one large group aren't paired."""
     rows = merged.where(F.col("kind") == LONG_ROW).select("token", "list", "parts", "node", "n", "rank")
     rows = rows.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("token", "list", "parts", "node", "n", "rank", F.coalesce("root", "node").alias("root"))
     rows = materialise(rows.withColumn("reach", F.floor((100 * F.col("n").cast("long") - (100 + join.percent) * F.col("rank")) / join.percent).cast("int")), "jaccard-long")
     by_root = rows.groupBy("token", "root").agg(F.count("*").alias("_rows"), F.max("parts").alias("parts"))
     lists = by_root.groupBy("token").agg(F.max_by("root", F.struct("_rows", "root")).alias("main"), F.count("*").alias("_roots"), F.max("parts").alias("parts")).where("_roots > 1").drop("_roots")
-    mains = lists.mapInArrow(spread, "list long, token long, main long, parts int").select("list", "main")
+    mains = lists.mapInArrow(tiles("list", "token"), "list long, token long, main long, parts int").select("list", "main")
     able = rows.where(100 * F.col("reach") >= join.percent * F.col("n")).join(mains, "list")
-    members = able.select("list", F.lit(0).alias("flag"), "node", "n", "reach", "root")
-    others = able.where("root <> main").select("token", "parts", F.lit(1).alias("flag"), "node", "n", "reach", "root")
-    sent = others.mapInArrow(spread, "list long, token long, parts int, flag int, node long, n int, reach int, root long").drop("token", "parts")
+    columns = ["token", "list", "parts", "node", "n", "reach", "root"]
+    schema = "tile long, token long, list long, parts int, node long, n int, reach int, root long"
+    members = able.select(*columns).mapInArrow(tiles("tile", "list"), schema).withColumn("flag", F.lit(0))
+    sent = able.where("root <> main").select(*columns).mapInArrow(tiles("tile", "node"), schema).withColumn("flag", F.lit(1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in grouped(batches):
-            order = np.lexsort((g["n"], g["flag"], g["list"]))
-            part, flag, node, n, reach, root = (g[c][order] for c in ("list", "flag", "node", "n", "reach", "root"))
+        for g in grouped(batches, "tile"):
+            order = np.lexsort((g["n"], g["flag"], g["tile"]))
+            part, flag, node, n, reach, root = (g[c][order] for c in ("tile", "flag", "node", "n", "reach", "root"))
             begin = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part)).tolist()
             for first, end in zip(begin, begin[1:], strict=False):
                 middle = first + int((flag[first:end] == 0).sum())
@@ -583,7 +593,8 @@ def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
                     k = stop
 
-    met = members.unionByName(sent).repartition("list").sortWithinPartitions("list").mapInArrow(tidy(run), "a long, b long")
+    both = members.unionByName(sent).drop("token", "list", "parts")
+    met = both.repartition("tile").sortWithinPartitions("tile").mapInArrow(tidy(run), "a long, b long")
     pairs = materialise(met.distinct(), "jaccard-pairs")
     discard(rows)
     return pairs
