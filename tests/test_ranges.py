@@ -10,6 +10,13 @@ from tidemark.sources import reports
 from tidemark.streaming import monitor
 
 
+def run_available(df, table, checkpoint, mode="append"):
+    """Processes what is there and gives the result as a table in memory (for tests and small monitors)."""
+    query = df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return df.sparkSession.table(table)
+
+
 def listed(df):
     return sorted((int(r["min"]), int(r["max"])) for r in df.collect())
 
@@ -57,7 +64,7 @@ def test_stream_counts_each_range_once(spark, tmp_path):
     rows = [("2024-01-01 00:00:0%d" % s, 1, "n", "RangeCompleted", s, s, "PASS", None, None, 10) for s in (1, 1, 2, 3)] + [("2024-01-01 00:10:00", 1, "n", "RunCompleted", None, None, None, None, None, 0)]
     schema = reports.EVENTS.replace("at timestamp", "at string")
     spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / "events"))
-    out = monitor.run_available(monitor.per_second(monitor.read_events(spark, str(tmp_path / "events"))), "per_second", str(tmp_path / "checkpoint"))
+    out = run_available(monitor.per_second(monitor.read_events(spark, str(tmp_path / "events"))), "per_second", str(tmp_path / "checkpoint"))
     done = {str(r.second)[-2:]: (r.n_events, r.n_rows) for r in out.where("type = 'RangeCompleted'").collect()}
     assert done == {"01": (1, 10), "02": (1, 10), "03": (1, 10)}
 

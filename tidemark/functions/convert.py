@@ -6,6 +6,8 @@ converted is an error of its row, never a silent null. Numbers in text aren't tr
 
 from __future__ import annotations
 
+import decimal
+import ipaddress
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -25,6 +27,20 @@ class Converted:
     value: Column
     failed: Column | None
     rule: str
+    both: Column | None = None  # struct(v, f) of value and failed, where they come of one expression
+
+    def packed(self) -> Column:
+        false = F.lit(False)
+        return self.both if self.both is not None else F.struct(self.value.alias("v"), (false if self.failed is None else F.coalesce(self.failed, false)).alias("f"))
+
+    @classmethod
+    def unpacked(cls, both: Column, rule: str) -> Converted:
+        return cls(both["v"], both["f"], rule, both)
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 Builder = Callable[[Column], Column]
@@ -157,19 +173,26 @@ def convert(c: Column, source: T.DataType, target: T.DataType, codecs: Codecs, m
     if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
         return convert_array(c, source, target, codecs, False, unsupported)
     if isinstance(source, T.MapType) and isinstance(target, T.MapType):
-        k = lambda e: convert(e["key"], source.keyType, target.keyType, codecs, unsupported=unsupported)
-        v = lambda e: convert(e["value"], source.valueType, target.valueType, codecs, unsupported=unsupported)
-        value = F.map_from_entries(F.transform(F.map_entries(c), lambda e: F.struct(k(e).value.alias("key"), v(e).value.alias("value"))))
-        bad = F.exists(F.map_entries(c), lambda e: any_of(k(e).failed, v(e).failed))
-        return Converted(F.when(~F.coalesce(bad, F.lit(False)), value), F.coalesce(bad, F.lit(False)), "map")
+        k = lambda e: convert(e["key"], source.keyType, target.keyType, codecs, unsupported=unsupported).packed()
+        v = lambda e: convert(e["value"], source.valueType, target.valueType, codecs, unsupported=unsupported).packed()
+
+        def collected(entries: Column) -> Column:
+            keys = F.transform(entries, lambda e: e["k"]["v"])
+            # keys that become equal, or null, are an error of the row
+            bad = F.exists(entries, lambda e: e["k"]["f"] | e["v"]["f"]) | F.exists(keys, lambda x: x.isNull()) | (F.size(F.array_distinct(keys)) < F.size(keys))
+            return bound(F.coalesce(bad, F.lit(False)), lambda b: F.struct(F.when(~b, F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"]["v"].alias("key"), e["v"]["v"].alias("value"))))).alias("v"), b.alias("f")))
+
+        return Converted.unpacked(bound(F.transform(F.map_entries(c), lambda e: F.struct(k(e).alias("k"), v(e).alias("v"))), collected), "map")
     if isinstance(source, T.StructType) and isinstance(target, T.StructType) and len(source) == len(target):
         by_name = set(source.names) == set(target.names) and not positional(target)
-        parts = []
-        for n, f in enumerate(target.fields):
-            own = source[f.name] if by_name else source.fields[n]
-            parts.append((f.name, convert(c[own.name], own.dataType, f.dataType, codecs, unsupported=unsupported)))
-        value = F.when(c.isNotNull(), F.struct(*(p.value.alias(n) for n, p in parts)))
-        return Converted(value, any_of(*(p.failed for _, p in parts)), "struct")
+        own = [source[f.name] if by_name else source.fields[n] for n, f in enumerate(target.fields)]
+        fields = lambda x: F.struct(x.isNull().alias("none"), *(convert(x[o.name], o.dataType, f.dataType, codecs, unsupported=unsupported).packed().alias(f"p{n}") for n, (o, f) in enumerate(zip(own, target.fields, strict=True))))
+
+        def rebuilt(p: Column) -> Column:
+            value = F.when(~p["none"], F.struct(*(p[f"p{n}"]["v"].alias(f.name) for n, f in enumerate(target.fields))))
+            return F.struct(value.alias("v"), any_of(*(p[f"p{n}"]["f"] for n in range(len(own)))).alias("f"))
+
+        return Converted.unpacked(bound(bound(c, fields), rebuilt), "struct")
     if unsupported == "cast":
         value = c.try_cast(target)
         return Converted(value, c.isNotNull() & value.isNull(), "cast")
@@ -185,13 +208,16 @@ def any_of(*flags: Column | None) -> Column:
 
 
 def convert_array(c: Column, source: T.ArrayType, target: T.ArrayType, codecs: Codecs, distinct: bool, unsupported: str) -> Converted:
-    each = lambda e: convert(e, source.elementType, target.elementType, codecs, unsupported=unsupported)
+    rule = "set" if distinct else "list"
     if same(source.elementType, target.elementType):
-        value, failed = c, None
-    else:
-        value = F.transform(c, lambda e: each(e).value)
-        failed = F.coalesce(F.exists(c, lambda e: any_of(each(e).failed)), F.lit(False))
-    return Converted(F.array_sort(F.array_distinct(value)) if distinct else value, failed, "set" if distinct else "list")
+        return Converted(F.array_sort(F.array_distinct(c)) if distinct else c, None, rule)
+    each = lambda e: convert(e, source.elementType, target.elementType, codecs, unsupported=unsupported).packed()
+
+    def collected(p: Column) -> Column:
+        value = F.transform(p, lambda e: e["v"])
+        return F.struct((F.array_sort(F.array_distinct(value)) if distinct else value).alias("v"), F.coalesce(F.exists(p, lambda e: e["f"]), F.lit(False)).alias("f"))
+
+    return Converted.unpacked(bound(F.transform(c, each), collected), rule)
 
 
 # Dates and times of a range, by precision
@@ -248,11 +274,27 @@ def date_range(text: Column) -> Column:
     return F.get(F.filter(F.transform(bound, build), lambda r: r["kind"].isNotNull()), F.lit(0))
 
 
+#: How a bound of each precision is written.
+FORMS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd'T'HH'Z'", "minute": "yyyy-MM-dd'T'HH:mm'Z'", "second": "yyyy-MM-dd'T'HH:mm:ss'Z'", "millisecond": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"}
+
+
+def date_range_text(r: Column) -> Column:
+    """The text of a date range as ``date_range`` gives it."""
+    def written(ms: Column, unit: Column) -> Column:
+        return F.coalesce(*(F.when(unit == name, F.date_format(F.timestamp_millis(ms), form)) for name, form in FORMS.items()), F.lit("*"))
+
+    def text(r: Column) -> Column:
+        low, high = written(r["lower_ms"], r["lower_prec"]), written(r["upper_ms"], r["upper_prec"])
+        return F.when(r["kind"].isin("single", "single_open"), low).when(r["kind"].isNotNull(), F.concat(F.lit("["), low, F.lit(" TO "), high, F.lit("]")))
+
+    return bound(r, text)
+
+
 # Literals of constant columns, parsed on the driver, one per job
 
 
 def literal(text: str, target: T.DataType) -> Column:
-    """A constant column's value: strings in single quotes, blobs as 0x..., collections in brackets; ``null``; else by type."""
+    """A constant column's value: strings in single quotes (UUIDs, addresses and times of day without), blobs as 0x..., collections in brackets; ``null``; else by type."""
     text = text.strip()
     return F.lit(None).cast(target) if text.lower() == "null" else _literal(text, target).cast(target)
 
@@ -270,9 +312,23 @@ def _split(text: str) -> list[str]:
     return [p.strip() for p in parts if p.strip()]
 
 
+def is_address(text: str) -> bool:
+    try:
+        ipaddress.ip_address(text)
+    except ValueError:
+        return False
+    return True
+
+
 def _literal(text: str, target: T.DataType) -> Column:
     quoted = len(text) > 1 and text[0] == text[-1] == "'"
     if isinstance(target, T.StringType):
+        if not quoted and (time := re.fullmatch(r"(\d\d):(\d\d):(\d\d)(\.\d{1,9})?", text)):
+            if int(time[1]) > 23 or int(time[2]) > 59 or int(time[3]) > 59:
+                raise ValueError(f"not a time of day: {text}")
+            return F.lit(text)
+        if not quoted and is_address(text):
+            return F.lit(str(ipaddress.ip_address(text)))
         if not quoted and not re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", text):
             raise ValueError(f"text constants stand in single quotes: {text}")
         return F.lit(text[1:-1].replace("''", "'") if quoted else text.lower())
@@ -290,6 +346,8 @@ def _literal(text: str, target: T.DataType) -> Column:
         limits = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
         if (bits := limits.get(target.simpleString())) and not -(1 << bits) <= int(text) < 1 << bits:
             raise ValueError(f"{text} is out of range for {target.simpleString()}")
+        if isinstance(target, T.DecimalType) and abs(int(decimal.Decimal(text))) >= 10 ** (target.precision - target.scale):
+            raise ValueError(f"{text} is out of range for {target.simpleString()}")
         return F.lit(text)
     if isinstance(target, T.FractionalType):
         return F.lit(float(text))

@@ -21,5 +21,15 @@ def token60(*keys: str | Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def hashed(*parts: Column) -> Column:
+    """A number of 60 bits from the parts' texts, by md5; other engines compute the same."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *(p.cast("string") for p in parts))), 1, 15), 16, 10).cast("long")
+
+
+def key_digest(*keys: str) -> Column:
+    """The first 16 hex digits of the md5 of the key's text (null: no text); other engines compute the same."""
+    return F.substring(F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))), 1, 16)
+
+
 def fingerprint(*keys: str) -> Column:
     return F.lpad(F.lower(F.hex(F.xxhash64(*keys))), 16, "0")

@@ -48,10 +48,15 @@ def oversized(df: DataFrame, limit_kb: float, columns: list[str] | None = None)
     return F.filter(sizes, lambda s: F.coalesce(s["bytes"] > limit_kb * 1000, F.lit(False)))
 
 
+def report(found: Column) -> Column:
+    """The text about oversized cells."""
+    return F.concat(F.lit("Large columns (KB): "), F.array_join(F.transform(found, lambda s: F.concat(s["column"], F.lit("("), kilobytes(s["bytes"]), F.lit(")"))), ","))
+
+
 def findings(df: DataFrame, key: list[str], limit_kb: float) -> DataFrame:
     """Key, outcome (LARGE or VALID), report text, the largest column and its bytes."""
     found = df.select(*map(quoted, key), oversized(df, limit_kb).alias("_found"))
-    text = F.concat(F.lit("Large columns (KB): "), F.array_join(F.transform("_found", lambda s: F.concat(s["column"], F.lit("("), kilobytes(s["bytes"]), F.lit(")"))), ","))
+    text = report(F.col("_found"))
     top = F.array_max(F.transform("_found", lambda s: F.struct(s["bytes"].alias("bytes"), s["column"].alias("column"))))
     large = F.size("_found") > 0
     return found.select(*map(quoted, key), F.when(large, "LARGE").otherwise("VALID").alias("outcome"), F.when(large, text).alias("report"), top["column"].alias("largest"), top["bytes"].alias("bytes"))

@@ -41,13 +41,15 @@ class Mapping:
     sources: list[Source]
 
     @classmethod
-    def resolve(cls, origin: TableSpec, target: TableSpec, job: JobSpec) -> Mapping:
-        """Compiles the mapping; all that is wrong is reported at once."""
+    def resolve(cls, origin: TableSpec, target: TableSpec, job: JobSpec, extra: list[tuple] | None = None) -> Mapping:
+        """Compiles the mapping; all that is wrong is reported at once. ``extra``: a user's conversions (name, from, to, build)."""
         wrong = job.violations()
         wrong += check_tables(origin, target, job)[0]
         if wrong:
             raise SpecError(wrong)
         codecs = builtin(job.codecs, job.timestamp_format, job.timestamp_zone)
+        for own in extra or []:
+            codecs.add(*own)
         renamed = {t: o for o, t in job.renames}
         sources, kept = [], [c for c in origin.columns if c not in job.skip]
         for name in target.columns:
@@ -109,9 +111,17 @@ class Mapping:
         """One row per map entry; rows without entries are left out (they count as skipped)."""
         return df if self.job.explode is None else df.select("*", F.explode(quoted(self.job.explode.column)).alias(ENTRY_KEY, ENTRY_VALUE))
 
-    def apply(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    def every_entry(self, df: DataFrame, wanted: Column) -> DataFrame:
+        """One row per map entry of the wanted rows, and one for each other row. ``_first`` marks one row of each origin row, and
+        ``_entry`` those that hold an entry (all, if nothing is exploded)."""
+        if self.job.explode is None:
+            return df.withColumn("_first", F.lit(True)).withColumn("_entry", F.lit(True))
+        out = df.select("*", F.posexplode_outer(F.when(wanted, quoted(self.job.explode.column))).alias("_place", ENTRY_KEY, ENTRY_VALUE))
+        return out.withColumn("_first", F.coalesce(F.col("_place") == 0, F.lit(True))).withColumn("_entry", F.col("_place").isNotNull()).drop("_place")
+
+    def apply(self, df: DataFrame, keep: list[str] | None = None, exploded: bool = False) -> DataFrame:
         """Target columns, with ``_errors`` (array of column and reason), ``_unset`` (names of cells left alone) and ``keep``."""
-        df = self.exploded(df)
+        df = df if exploded else self.exploded(df)
         values, errors, unset = [], [], []
         for s in self.sources:
             field = self.target.schema[s.target]

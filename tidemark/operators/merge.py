@@ -20,53 +20,79 @@ def keyed(df: DataFrame, key: list[str], order: Column | None = None) -> DataFra
     return df.groupBy(*map(quoted, key)).agg(last.alias("_row")).select("_row.*")
 
 
+def of(side: str, name: str) -> Column:
+    """A column of one side of a join, whatever characters its name has."""
+    return F.col(f"{side}.`" + name.replace("`", "``") + "`")
+
+
 def same_keys(key: list[str], left: str, right: str) -> Column:
     found = F.lit(True)
     for k in key:
-        found = found & (F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`"))
+        found = found & (of(left, k) == of(right, k))
     return found
 
 
-def upsert(target: DataFrame, writes: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """The target after the writes. ``writes`` holds key and columns, and may hold ``_unset`` (names of cells to leave alone),
-    ``_writetime`` and ``_ttl``. With side columns c__wt in the target, the later write wins a cell, and the greater value of a tie."""
-    w = writes.withColumn("_written", F.lit(True))
+def with_defaults(writes: DataFrame) -> DataFrame:
+    """Writes with all of ``_unset``, ``_writetime`` and ``_ttl``."""
     for name, default in (("_unset", F.array().cast("array<string>")), ("_writetime", F.lit(None).cast("long")), ("_ttl", F.lit(None).cast("int"))):
         if name not in writes.columns:
-            w = w.withColumn(name, default)
-    t = target.withColumn("_stored", F.lit(True))
-    both = t.alias("t").join(w.alias("w"), same_keys(key, "t", "w"), "full_outer")
-    out = [F.coalesce(F.col(f"w.`{k}`"), F.col(f"t.`{k}`")).alias(k) for k in key]
+            writes = writes.withColumn(name, default)
+    return writes
+
+
+def upsert(target: DataFrame, writes: DataFrame, key: list[str], columns: list[str], fill_only: list[str] | None = None) -> DataFrame:
+    """The target after the writes. ``writes`` holds key and columns, and may hold ``_unset`` (names of cells to leave alone),
+    ``_writetime`` and ``_ttl``. With side columns c__wt in the target, the later write wins a cell, and the greater value of a tie.
+    Columns in ``fill_only`` are written only where the target has null."""
+    w = with_defaults(writes).withColumn("_written", F.lit(True))
+    both = target.alias("t").join(w.alias("w"), same_keys(key, "t", "w"), "full_outer")
+    return both.select(*merged_cells(target.columns, key, columns, F.col("w._written").isNotNull(), fill_only))
+
+
+def merged_cells(stored: list[str], key: list[str], columns: list[str], written: Column, fill_only: list[str] | None = None) -> list[Column]:
+    """Key and cells of a target row t (with columns ``stored``) after the write w, if ``written``."""
+    out = [F.coalesce(of("w", k), of("t", k)).alias(k) for k in key]
     for c in columns:
-        old, new = F.col(f"t.`{c}`"), F.col(f"w.`{c}`")
-        keep = F.col("w._written").isNull() | F.array_contains(F.col("w._unset"), c)
-        has_time = f"{c}__wt" in target.columns
+        old, new = of("t", c), of("w", c)
+        keep = ~written | F.array_contains(F.col("w._unset"), c)
+        if c in (fill_only or []):
+            keep = keep | old.isNotNull()
+        has_time = f"{c}__wt" in stored
         if has_time:
-            before, now = F.col(f"t.`{c}__wt`"), F.col("w._writetime")
+            before, now = of("t", f"{c}__wt"), F.col("w._writetime")
             older = F.coalesce(before > now, F.lit(False))
             tie = F.coalesce((before == now) & (old > new), F.lit(False))
             keep = keep | older | tie
         out.append(F.when(keep, old).otherwise(new).alias(c))
         if has_time:
             out.append(F.when(keep, before).otherwise(now).alias(f"{c}__wt"))
-        if f"{c}__ttl" in target.columns:
-            out.append(F.when(keep, F.col(f"t.`{c}__ttl`")).otherwise(F.col("w._ttl")).alias(f"{c}__ttl"))
-    return both.select(*out)
+        if f"{c}__ttl" in stored:
+            out.append(F.when(keep, of("t", f"{c}__ttl")).otherwise(F.col("w._ttl")).alias(f"{c}__ttl"))
+    return out
 
 
 def counter_updates(origin: DataFrame, target: DataFrame, key: list[str], counters: list[str]) -> DataFrame:
     """Per origin row the key, and for each counter c: c__delta (null: nothing to add) and c (the target's new value); ``_error``
     if a difference doesn't fit 64 bits."""
     both = origin.alias("o").join(target.alias("t"), same_keys(key, "o", "t"), "left")
-    out, errors = [F.col(f"o.`{k}`").alias(k) for k in key], F.lit(False)
+    out, errors = [of("o", k).alias(k) for k in key], F.lit(False)
     for c in counters:
-        wanted, now = F.col(f"o.`{c}`"), F.coalesce(F.col(f"t.`{c}`"), F.lit(0).cast("long"))
+        wanted, stored = of("o", c), of("t", c)
+        now = F.coalesce(stored, F.lit(0).cast("long"))
         delta = F.try_subtract(wanted, now)
-        out += [delta.alias(f"{c}__delta"), F.coalesce(F.try_add(now, delta), now).alias(c)]
+        out += [delta.alias(f"{c}__delta"), F.when(delta.isNull(), stored).otherwise(F.try_add(now, delta)).alias(c)]
         errors = errors | (wanted.isNotNull() & delta.isNull())
     return both.select(*out, errors.alias("_error"))
 
 
+def arrival_batches(df: DataFrame, size: int) -> DataFrame:
+    """``batch_no`` in the order in which rows arrive, by task, whatever their partition keys: no shuffle; a number holds the task's
+    in its upper 31 bits."""
+    number = F.monotonically_increasing_id()
+    within = number.bitwiseAND(F.lit((1 << 33) - 1))
+    return df.withColumn("batch_no", F.shiftleft(F.shiftright(number, 33), 33) + F.floor(within / size).cast("long"))
+
+
 def batches(df: DataFrame, partition_key: list[str], order: list[str], size: int) -> DataFrame:
     """``batch_no`` within the partition key, from 1; a batch never mixes partition keys."""
     from pyspark.sql import Window

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ def totals(by_range: DataFrame) -> DataFrame:
 
 def lost(job: str) -> Column:
     """What a failed range left uncounted, which goes to its errors."""
-    done = ("write", "skipped") if job == "migrate" else ("valid", "missing", "mismatch", "skipped")
+    done = {"migrate": ("write", "skipped", "error"), "guardrail": ("valid", "skipped", "large")}.get(job, ("valid", "missing", "mismatch", "skipped"))
     rest = F.col("n_read")
     for c in done:
         rest = rest - F.col(f"n_{c}")
@@ -52,6 +54,20 @@ def verdict(missing: Column, mismatch: Column, corrected_missing: Column, correc
     )
 
 
+def range_status(job: str, failed: Column) -> Column:
+    """How a range ends."""
+    if job == "validate":
+        none = F.lit(0)
+        return verdict(F.col("n_missing"), F.col("n_mismatch"), F.coalesce("n_corrected_missing", none), F.coalesce("n_corrected_mismatch", none), failed)
+    found = F.col("n_large") > 0 if job == "guardrail" else F.lit(False)
+    return F.when(failed, "FAIL").when(found, "DIFF").otherwise("PASS")
+
+
+def run_status(interrupted: Column, failed: Column, outstanding_or_large: Column) -> Column:
+    """How a run ends, from its totals: what a user looks at first."""
+    return F.when(interrupted, "INTERRUPTED").when(failed > 0, "FAIL").when(outstanding_or_large > 0, "DIFF").otherwise("PASS")
+
+
 def exit_code(status: Column, failed: Column, outstanding: Column, large: Column) -> Column:
     return F.when(status == "INTERRUPTED", 4).when((failed > 0) | (outstanding > 0) | (large > 0), 1).otherwise(0)
 
@@ -95,7 +111,9 @@ def unpivoted(df: DataFrame) -> DataFrame:
 
 
 def bucket_bound(value: Column) -> Column:
-    """The upper bound of a value's bucket: exact below 16, else 16 buckets for each power of two."""
+    """The upper bound of a value's bucket: exact below 16 (negative values are 0, as a histogram holds them), else 16 buckets for
+    each power of two."""
+    value = F.greatest(value, F.lit(0).cast("long"))
     power = F.length(F.bin(value)) - 1
     step = F.pow(F.lit(2.0), power - 4).cast("long")
     return F.when(value < 16, value).otherwise((F.floor(value / step) + 1) * step - 1).cast("long")
@@ -103,21 +121,56 @@ def bucket_bound(value: Column) -> Column:
 
 def percentiles(df: DataFrame, value: Column, by: list[str], at: dict[str, float]) -> DataFrame:
     """Percentiles by bucket bounds, at most 6.25 % above the exact ones; the buckets, not the rows, are ordered."""
-    buckets = df.where(value >= 0).groupBy(*by, bucket_bound(value).alias("_bound")).agg(F.count("*").alias("_n"))
+    buckets = df.where(value.isNotNull()).groupBy(*by, bucket_bound(value).alias("_bound")).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*by).orderBy("_bound")
     ranked = buckets.withColumn("_upto", F.sum("_n").over(w)).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
     picked = [F.min(F.when(F.col("_upto") >= F.greatest(F.ceil(F.col("_all") * q), F.lit(1)), F.col("_bound"))).alias(name) for name, q in at.items()]
     return ranked.groupBy(*by).agg(F.sum("_n").cast("long").alias("n"), *picked)
 
 
-def rates(events: DataFrame, at: str, n: Column, spans: tuple[int, ...] = (1, 10, 60), restart_daily: bool = False) -> DataFrame:
+def ticks_of(events: DataFrame, at: str, n: Column) -> DataFrame:
+    return events.groupBy(F.unix_seconds(F.date_trunc("second", F.col(at))).alias("second")).agg(F.sum(n).cast("long").alias("marks"))
+
+
+def rates(events: DataFrame, at: str, n: Column, spans: tuple[int, ...] = (1, 10, 60)) -> DataFrame:
     """Marks by second, and their trailing means over so many seconds; seconds without events have no row.
 
-    Days are worked on apart, each with the last seconds before it, unless means are to restart at midnight."""
-    ticks = events.groupBy(F.unix_seconds(F.date_trunc("second", F.col(at))).alias("second")).agg(F.sum(n).cast("long").alias("marks"))
+    Days are worked on apart, each with the last seconds before it."""
+    ticks = ticks_of(events, at, n)
     day = lambda second: F.floor(second / 86_400)
-    reach = 0 if restart_daily else max(spans) - 1
-    ticks = ticks.withColumn("_day", F.explode(F.sequence(day(F.col("second")), day(F.col("second") + reach))))
+    ticks = ticks.withColumn("_day", F.explode(F.sequence(day(F.col("second")), day(F.col("second") + max(spans) - 1))))
     w = lambda s: Window.partitionBy("_day").orderBy("second").rangeBetween(1 - s, 0)
     means = ticks.select("second", "marks", "_day", *((F.sum("marks").over(w(s)) / s).alias(f"mean_{s}s") for s in spans))
     return means.where(F.col("_day") == day(F.col("second"))).drop("_day")
+
+
+#: An average's memory in spans: what is older weighs less than a double can tell.
+MEMORY = 40
+
+
+def smoothed(events: DataFrame, at: str, n: Column, spans: tuple[int, ...] = (1, 10, 60)) -> DataFrame:
+    """Marks by second, and their exponentially weighted averages with the factor 1 - exp(-1 / span) for each second, of which those
+    without events count as 0; the first second with events begins all averages.
+
+    An average is a weighted sum over the last seconds. For each span, time is cut into slots of ``MEMORY`` spans; a second stands in
+    its slot and the next one, so a slot holds all that counts for its own seconds, and slots are worked on apart."""
+    ticks = ticks_of(events, at, n)
+    first = ticks.agg(F.min("second").alias("_begin"))
+    out = ticks
+    for span in spans:
+        size = MEMORY * span
+        slot = F.floor(F.col("second") / size)
+        alpha = 1 - math.exp(-1 / span)
+        own = ticks.join(F.broadcast(first)).select("second", F.when(F.col("second") == F.col("_begin"), F.lit(1.0)).otherwise(alpha).alias("_part"), "marks", F.explode(F.array(slot, slot + 1)).alias("_slot"))
+        age = (F.col("second") - F.col("_slot") * size) / F.lit(float(span))
+        w = Window.partitionBy("_slot").orderBy("second")
+        summed = F.sum(F.col("marks") * F.col("_part") * F.exp(age)).over(w) * F.exp(-age)
+        averages = own.withColumn(f"ewma_{span}s", summed).where(F.col("_slot") == slot).select(F.col("second").alias("_second"), f"ewma_{span}s")
+        out = out.join(averages, F.col("second") == F.col("_second")).drop("_second")
+    return out
+
+
+def throughput(events: DataFrame, at: str, n: Column) -> DataFrame:
+    """All marks, the seconds from the first to the last event (1 at least), and the mean by second."""
+    second = F.unix_seconds(F.col(at))
+    return events.agg(F.sum(n).cast("long").alias("total"), F.greatest(F.max(second) - F.min(second), F.lit(1)).alias("seconds")).withColumn("mean_per_second", F.col("total") / F.col("seconds"))

@@ -11,6 +11,8 @@ FALLBACK_SIZE = 100_000
 MOST_PARTS = 50_000_000
 #: Ranges that may be broadcast: a plan is bounded by MOST_PARTS, a broadcast by this.
 BROADCAST_RANGES = 1_000_000
+#: Ranges that a cell of a grid over a plan holds, about.
+CELL_RANGES = 5_000
 
 
 def wide(x: Column | int) -> Column:
@@ -111,7 +113,8 @@ def ring_aware(bounds: tuple[int, int], segments: DataFrame, parts: int) -> Data
     """Segments (min, max, and others such as replicas) cut to the bounds, each with its share of the parts, at least one."""
     inside = clamped(segments, *bounds)
     size = F.col("max") - F.col("min") + 1
-    shared = inside.withColumn("_total", F.sum(size).over(Window.partitionBy(F.lit(1))))  # segments are as few as nodes
+    total = inside.agg(F.lit(1).alias("_one"), F.sum(size).alias("_total"))
+    shared = inside.withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
     k = F.greatest(whole(wide(parts) * size, F.col("_total")), wide(1))
     return equal_parts(shared.withColumn("_parts", k), F.col("_parts")).drop("_parts", "_total")
 
@@ -132,9 +135,20 @@ def adaptive(ranges: DataFrame, estimates: DataFrame, most_rows: int) -> DataFra
 
 
 def conflicts(ranges: DataFrame) -> DataFrame:
-    """Neighbours of a work list that overlap. A work list is small (at most MOST_PARTS rows of two numbers)."""
-    w = Window.orderBy("min", "max")
-    return ranges.withColumn("next_min", F.lead("min").over(w)).where(F.col("next_min") <= F.col("max")).select("min", "max", "next_min")
+    """Neighbours of a work list that overlap. Neighbours are found within a grid of cells by lower ends; a cell's last range is
+    compared with the first of the next cell that has any, so that cells are few to a task and no task reads all ranges."""
+    bounds = ranges.agg(F.min("min").alias("lo"), F.max("min").alias("hi"), F.count("*").alias("n")).first()
+    if not bounds["n"]:
+        return ranges.select("min", "max", F.col("min").alias("next_min"))
+    cells = max(1, int(bounds["n"]) // CELL_RANGES)
+    step = (int(bounds["hi"]) - int(bounds["lo"])) // cells + 1
+    cell = F.floor((wide(F.col("min")) - wide(int(bounds["lo"]))) / wide(step)).cast("long")
+    own = ranges.select("min", "max", cell.alias("_cell"))
+    firsts = own.groupBy("_cell").agg(F.min("min").alias("_first"))
+    after = firsts.withColumn("_next", F.lead("_first").over(Window.orderBy("_cell"))).select("_cell", "_next")  # one row a cell
+    w = Window.partitionBy("_cell").orderBy("min", "max")
+    linked = own.withColumn("_lead", F.lead("min").over(w)).join(after, "_cell").withColumn("next_min", F.coalesce("_lead", "_next"))
+    return linked.where(F.col("next_min") <= F.col("max")).select("min", "max", "next_min")
 
 
 def assigned(rows: DataFrame, token: str, ranges: DataFrame) -> DataFrame:
@@ -147,13 +161,30 @@ def assigned(rows: DataFrame, token: str, ranges: DataFrame) -> DataFrame:
 def work_order(ranges: DataFrame, run_id: int) -> DataFrame:
     """A permutation of the plan that a run id gives again; ``work_order`` from 0."""
     text = F.concat_ws(":", F.col("min").cast("string"), F.lit(str(run_id)))
-    return ranges.withColumn("work_order", (F.row_number().over(Window.orderBy(F.md5(text), "min")) - 1).cast("long"))
+    # by the first digits of the hash: 65,536 groups, each with the number of ranges before it
+    hashed = ranges.withColumn("_hash", F.md5(text)).withColumn("_group", F.substring("_hash", 1, 4))
+    sizes = hashed.groupBy("_group").agg(F.count("*").alias("_n"))
+    before = sizes.select("_group", (F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")).alias("_before"))
+    number = F.row_number().over(Window.partitionBy("_group").orderBy("_hash", "min")) - 1
+    return hashed.join(before, "_group").withColumn("work_order", (F.col("_before") + number).cast("long")).drop("_hash", "_group", "_before")
+
+
+def ring_order(ranges: DataFrame) -> DataFrame:
+    """The plan in the order of the ring; ``work_order`` from 0, by lower ends."""
+    bounds = ranges.agg(F.min("min").alias("lo"), F.max("min").alias("hi"), F.count("*").alias("n")).first()
+    step = max(1, (int(bounds["hi"] or 0) - int(bounds["lo"] or 0)) // max(1, int(bounds["n"]) // CELL_RANGES) + 1)
+    own = ranges.withColumn("_cell", F.floor((wide(F.col("min")) - wide(int(bounds["lo"] or 0))) / wide(step)).cast("long"))
+    sizes = own.groupBy("_cell").agg(F.count("*").alias("_n"))
+    before = sizes.select("_cell", (F.sum("_n").over(Window.orderBy("_cell")) - F.col("_n")).alias("_before"))  # one row a cell
+    number = F.row_number().over(Window.partitionBy("_cell").orderBy("min", "max")) - 1
+    return own.join(before, "_cell").withColumn("work_order", (F.col("_before") + number).cast("long")).drop("_cell", "_before")
 
 
 def span_histogram(ranges: DataFrame) -> DataFrame:
     """Ranges by the power of two of their token counts."""
-    size = F.col("max") - F.col("min") + 1
-    power = F.array_max(F.filter(F.sequence(F.lit(0), F.lit(126)), lambda k: F.pow(F.lit(2.0), k) <= size.cast("double")))
+    size = (F.col("max") - F.col("min") + 1).cast(WIDE)
+    powers = F.array(*(wide(1 << k) for k in range(127)))
+    power = F.size(F.filter(powers, lambda p: p <= size)) - 1
     return ranges.groupBy(power.alias("power")).agg(F.count("*").alias("n_ranges"))
 
 

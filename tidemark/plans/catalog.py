@@ -68,7 +68,7 @@ def checked_orders(spark: SparkSession, sf_dir: str, keep: list[str] | None = No
 
 
 @query(f"""WITH {CHECKED} SELECT count(*) AS n_read, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch,
-  count(*) FILTER (outcome = 'VALID') AS n_valid, CAST(0 AS BIGINT) AS n_corrected_missing, CAST(0 AS BIGINT) AS n_corrected_mismatch, count(*) FILTER (outcome <> 'VALID') AS outstanding, 'DIFF' AS verdict, 1 AS exit_code FROM v""")
+  count(*) FILTER (outcome = 'VALID') AS n_valid, CAST(0 AS BIGINT) AS n_corrected_missing, CAST(0 AS BIGINT) AS n_corrected_mismatch, count(*) FILTER (outcome <> 'VALID') AS outstanding, CASE WHEN bool_and(outcome = 'VALID') THEN 'PASS' ELSE 'DIFF' END AS verdict, CASE WHEN bool_and(outcome = 'VALID') THEN 0 ELSE 1 END AS exit_code FROM v""")
 def validate_orders_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec()).drop("n_error")
     out = by.withColumn("outstanding", metrics.outstanding())
@@ -102,11 +102,18 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.duplicate_keys(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+@query(f"""WITH {ORDERS_T}, o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders),
+k AS (SELECT * FROM t UNION ALL SELECT o_orderkey + 100000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 101 = 0)
+SELECT coalesce(o.o_orderkey, k.o_orderkey) AS o_orderkey, coalesce(o.o_custkey, k.o_custkey) AS o_custkey, coalesce(o.o_orderstatus, k.o_orderstatus) AS o_orderstatus, coalesce(o.o_totalprice, k.o_totalprice) AS o_totalprice,
+  coalesce(o.o_orderdate, k.o_orderdate) AS o_orderdate, coalesce(o.o_orderpriority, k.o_orderpriority) AS o_orderpriority FROM o FULL JOIN k ON o.o_orderkey = k.o_orderkey""")
 def autocorrect_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing and differing rows are repaired; rows of the target alone stay, and cells that the origin leaves unset keep theirs."""
     orders = table(spark, sf_dir, "orders")
     spec = TableSpec.of(orders, "orders", ["o_orderkey"])
-    return jobs.autocorrect(orders, orders_target(orders), spec, spec, JobSpec(autocorrect_missing=True, autocorrect_mismatch=True))[1]
+    origin = orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 83 != 0, F.col("o_orderpriority")))
+    lone = orders.where("o_orderkey % 101 = 0").withColumn("o_orderkey", F.col("o_orderkey") + 100_000_000)
+    target = orders_target(orders).unionByName(lone)
+    return jobs.autocorrect(origin, target, spec, spec, JobSpec(autocorrect_missing=True, autocorrect_mismatch=True))[1]
 
 
 @query(f"""WITH {ORDERS_T} SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM t
@@ -163,6 +170,27 @@ def snapshot_ttl_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.snapshot_diff(a, b, ["p_partkey"], ttl_within=5).select("p_partkey", F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))
 
 
+@query("""WITH o AS (SELECT o_custkey AS k, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE count(*) END AS n FROM orders GROUP BY o_custkey), t AS (SELECT o_custkey AS k, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 2 * count(*) END AS n FROM orders WHERE o_custkey % 5 <> 0 GROUP BY o_custkey)
+SELECT o.k, o.n - coalesce(t.n, 0) AS n__delta, coalesce(o.n, t.n) AS n FROM o LEFT JOIN t ON o.k = t.k""")
+def counter_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that are null on either side: a null adds nothing, and leaves a null."""
+    counted = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
+    o = counted.withColumn("n", F.when(F.col("k") % 4 != 0, F.col("n")))
+    t = counted.where("k % 5 <> 0").withColumn("n", F.when(F.col("k") % 3 != 0, 2 * F.col("n")))
+    return merge.counter_updates(o, t, ["k"], ["n"]).drop("_error")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'Target column:o_custkey-origin[<redacted>]-target[<redacted>]; ' WHEN o_orderkey % 4 = 1 THEN 'Target column:o_custkey origin is null, target is <redacted>; '
+  WHEN o_orderkey % 4 = 2 THEN 'Target column:o_custkey-origin[<redacted>]-target[null]; ' ELSE 'Target column:o_custkey Exception BIGINT_STRING; ' END AS detail FROM orders""")
+def mismatch_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four forms of a mismatch: values, a null on either side, and a target that can't be converted back."""
+    k = F.col("o_orderkey") % 4
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k != 1, F.col("o_custkey").cast("long")).alias("o_custkey"))
+    target = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k == 3, "x").when(k != 2, (F.col("o_custkey") + 1).cast("string")).alias("o_custkey"))
+    checked = reconcile.validate(orders, target, ["o_orderkey"], codecs=C.builtin(frozenset({"BIGINT_STRING"})))
+    return checked.select("o_orderkey", reconcile.detail(F.col("differences")).alias("detail"))
+
+
 # Mapping
 
 
@@ -185,14 +213,21 @@ def map_drop_origin_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.migrate(part, TableSpec.of(part, "part", ["p_partkey"]), target, JobSpec()).rows.select("p_partkey", "p_brand")
 
 
-@query("""SELECT * FROM (VALUES ('c_custkey', 'bigint', 'c_custkey', 'same', 'bigint', 'passthrough'), ('label', 'string', 'c_name', 'renamed', 'string', 'passthrough'),
+@query("""WITH v AS (SELECT * FROM (VALUES ('c_custkey', 'bigint', 'c_custkey', 'same', 'bigint', 'passthrough'), ('label', 'string', 'c_name', 'renamed', 'string', 'passthrough'),
   ('nation', 'string', 'c_nationkey', 'renamed', 'int', 'INT_STRING'), ('zone', 'int', NULL, 'constant', 'int', 'passthrough'), (NULL, NULL, 'c_acctbal', 'origin only', 'double', NULL),
-  (NULL, NULL, 'c_mktsegment', 'origin only', 'string', NULL)) v(target, target_type, source, kind, origin_type, conversion) WHERE (SELECT count(*) FROM customer) > 0""")
+  (NULL, NULL, 'c_mktsegment', 'origin only', 'string', NULL)) v(target, target_type, source, kind, origin_type, conversion)),
+n AS (SELECT 'c_custkey' AS c, count(c_custkey) AS n FROM customer UNION ALL SELECT 'c_name', count(c_name) FROM customer UNION ALL SELECT 'c_nationkey', count(c_nationkey) FROM customer
+  UNION ALL SELECT 'c_acctbal', count(c_acctbal) FROM customer UNION ALL SELECT 'c_mktsegment', count(c_mktsegment) FROM customer)
+SELECT v.*, n.n AS n_values FROM v LEFT JOIN n ON v.source = n.c""")
 def mapping_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping, and of each origin column how many rows have a value to map."""
     customer = table(spark, sf_dir, "customer")
     target = TableSpec("t", schema("c_custkey bigint, label string, nation string, zone int"), ("c_custkey",))
     job = JobSpec(renames=[("c_name", "label"), ("c_nationkey", "nation")], constants={"zone": "1"}, codecs=frozenset({"INT_STRING"}))
-    return Mapping.resolve(TableSpec.of(customer, "customer", ["c_custkey"]), target, job).table(customer)
+    mapping = Mapping.resolve(TableSpec.of(customer, "customer", ["c_custkey"]), target, job)
+    counted = customer.agg(*(F.count(c).alias(c) for c in customer.columns))
+    values = counted.select(F.explode(F.array(*(F.struct(F.lit(c).alias("_column"), F.col(c).alias("n_values")) for c in customer.columns))).alias("e")).select("e.*")
+    return mapping.table(customer).join(values, F.col("source") == F.col("_column"), "left").drop("_column")
 
 
 @query("""SELECT coalesce(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END, '') AS name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS nation, c_custkey,
@@ -251,9 +286,7 @@ def extract_json_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = origin.select("event_id", F.when(F.col("event_id") % 2 == 0, F.lit(-1).cast("long")).alias("k"))
     spec = TableSpec.of(target, "t", ["event_id"])
     job = JobSpec(extract=Extract.parse("props", "k:k", overwrite=False, exclusive=True))
-    writes = jobs.migrate(origin, TableSpec.of(origin, "events", ["event_id"]), spec, job).rows.where("outcome = 'WRITE'")
-    filled = writes.join(target.where("k is not null").select(F.col("event_id").alias("_id")), F.col("event_id") == F.col("_id"), "left_anti")
-    return merge.upsert(target, filled.select("event_id", "k", "_unset"), ["event_id"], ["k"])
+    return jobs.migrate(origin, TableSpec.of(origin, "events", ["event_id"]), spec, job).merged(target)
 
 
 @query("""SELECT c_custkey, greatest(CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 10 END, CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 20 END) + 5 AS writetime,
@@ -326,12 +359,77 @@ def convert_orders_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.convert_table(origin, schema("o_orderkey bigint, a int, b bigint"), frozenset({"INT_STRING", "BIGINT_STRING"}), ["o_orderkey"])[2]
 
 
+DOUBLES = "CASE o_orderkey % 6 WHEN 0 THEN -0.5 - o_orderkey WHEN 1 THEN 'NaN'::DOUBLE WHEN 2 THEN -0.0::DOUBLE WHEN 3 THEN 'Infinity'::DOUBLE WHEN 4 THEN o_orderkey * 1e15 ELSE o_orderkey END"
+
+
+@query("""SELECT o_orderkey AS id, CASE o_orderkey % 6 WHEN 0 THEN '-' || o_orderkey || '.5' WHEN 1 THEN 'NaN' WHEN 2 THEN '-0' WHEN 3 THEN chr(8734) WHEN 4 THEN o_orderkey || '000000000000000' ELSE CAST(o_orderkey AS VARCHAR) END AS text,
+  o_orderkey % 6 = 1 AS is_nan, CASE o_orderkey % 6 WHEN 0 THEN -2 * o_orderkey - 1 WHEN 5 THEN 2 * o_orderkey END AS doubled FROM orders""")
+def codec_double_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negative, large and special doubles to text, and the texts back to doubles."""
+    k, key = F.col("o_orderkey") % 6, F.col("o_orderkey").cast("double")
+    value = F.when(k == 0, -0.5 - key).when(k == 1, float("nan")).when(k == 2, F.lit(-0.0)).when(k == 3, float("inf")).when(k == 4, key * 1e15).otherwise(key)
+    text = converted(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), value.alias("v")), T.StringType(), "DOUBLE_STRING")
+    back = converted(text.select("id", "v"), T.DoubleType(), "DOUBLE_STRING").select(F.col("id").alias("_id"), F.col("v").alias("back"))
+    both = text.join(back, F.col("id") == F.col("_id"))
+    plain = F.when((F.col("id") % 6).isin(0, 5), (2 * F.col("back")).cast("long"))
+    return both.select("id", F.col("v").alias("text"), F.isnan("back").alias("is_nan"), plain.alias("doubled"))
+
+
+@query("""SELECT o_orderkey AS id, CAST(CAST(o_orderkey AS INTEGER) AS VARCHAR) AS i, CAST(CAST(-3000000000 AS BIGINT) - o_orderkey AS VARCHAR) AS l, CAST(o_orderkey // 100 AS VARCHAR) || '.' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') AS d, CAST(o_orderkey AS BIGINT) AS wide FROM orders""")
+def codec_numbers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers to text and to a wider type, the other way round than the queries before."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(key.alias("id"), key.cast("int").alias("i"), (F.lit(-3_000_000_000) - key).cast("long").alias("l"), (key.cast("decimal(18,2)") / 100).cast("decimal(18,2)").alias("d"), key.cast("long").alias("w"))
+    codecs = C.builtin(frozenset({"INT_STRING", "BIGINT_STRING", "DECIMAL_STRING", "BIGINT_BIGINTEGER"}))
+    to = lambda c, kind: C.convert(F.col(c), orders.schema[c].dataType, kind, codecs).value
+    return orders.select("id", to("i", T.StringType()).alias("i"), to("l", T.StringType()).alias("l"), to("d", T.StringType()).alias("d"), to("w", T.DecimalType(38, 0)).cast("long").alias("wide"))
+
+
+@query("""SELECT event_id AS id, epoch_us(ts) // 1000 AS by_millis, epoch_us(date_trunc('second', ts)) // 1000 AS by_format, event_id % 5 = 0 AS failed FROM events""")
+def codec_ts_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of milliseconds and of a pattern to timestamps; every fifth text is none."""
+    ts = F.col("ts").cast("timestamp")
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.unix_millis(ts).cast("string").alias("m"), F.date_format(ts, "yyyyMMddHHmmss").alias("f"), F.when(F.col("event_id") % 5 == 0, "soon").otherwise(F.unix_millis(ts).cast("string")).alias("bad"))
+    of = lambda c, name, **o: C.convert(F.col(c), T.StringType(), T.TimestampType(), C.builtin(frozenset({name}), **o))
+    millis, form, bad = of("m", "TIMESTAMP_STRING_MILLIS"), of("f", "TIMESTAMP_STRING_FORMAT", timestamp_format="yyyyMMddHHmmss", zone="UTC"), of("bad", "TIMESTAMP_STRING_MILLIS")
+    return events.select("id", F.unix_millis(millis.value).alias("by_millis"), F.unix_millis(form.value).alias("by_format"), F.coalesce(bad.failed, F.lit(False)).alias("failed"))
+
+
+@query("""SELECT c_custkey AS id, hex(encode(c_name)) AS blob, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS text, c_custkey % 7 = 0 AS failed FROM customer""")
+def codec_blob_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts to bytes, and bytes, of which some are no text, back."""
+    raw = F.when(F.col("c_custkey") % 7 == 0, F.lit(b"\xff\xfe")).otherwise(F.encode("c_name", "UTF-8"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name", raw.alias("raw"))
+    codecs = C.builtin(frozenset({"STRING_BLOB"}))
+    to, back = C.convert(F.col("c_name"), T.StringType(), T.BinaryType(), codecs), C.convert(F.col("raw"), T.BinaryType(), T.StringType(), codecs)
+    return rows.select("id", F.hex(to.value).alias("blob"), back.value.alias("text"), F.coalesce(back.failed, F.lit(False)).alias("failed"))
+
+
+@query("""WITH p AS (SELECT o_orderkey, o_orderdate::TIMESTAMP + INTERVAL (o_orderkey % 86400) SECOND AS a, o_orderkey % 7 AS u, o_orderkey % 6 AS k FROM orders),
+t AS (SELECT *, CASE u WHEN 0 THEN strftime(a, '%Y') WHEN 1 THEN strftime(a, '%Y-%m') WHEN 2 THEN strftime(a, '%Y-%m-%d') WHEN 3 THEN strftime(a, '%Y-%m-%dT%HZ') WHEN 4 THEN strftime(a, '%Y-%m-%dT%H:%MZ') WHEN 5 THEN strftime(a, '%Y-%m-%dT%H:%M:%SZ') ELSE strftime(a, '%Y-%m-%dT%H:%M:%S') || '.007Z' END AS x FROM p)
+SELECT o_orderkey, CASE k WHEN 0 THEN 'single' WHEN 1 THEN 'closed' WHEN 2 THEN 'open_high' WHEN 3 THEN 'open_low' WHEN 4 THEN 'open' ELSE 'single_open' END AS kind,
+  CASE k WHEN 0 THEN x WHEN 1 THEN '[' || x || ' TO ' || x || ']' WHEN 2 THEN '[' || x || ' TO *]' WHEN 3 THEN '[* TO ' || x || ']' WHEN 4 THEN '[* TO *]' ELSE '*' END AS text,
+  CASE WHEN k IN (0, 1, 2) THEN epoch_ms(CASE u WHEN 0 THEN date_trunc('year', a) WHEN 1 THEN date_trunc('month', a) WHEN 2 THEN date_trunc('day', a) WHEN 3 THEN date_trunc('hour', a) WHEN 4 THEN date_trunc('minute', a) ELSE a END) + CASE WHEN u = 6 THEN 7 ELSE 0 END END AS lower_ms,
+  CASE WHEN k IN (1, 3) THEN CASE u WHEN 0 THEN epoch_ms(date_trunc('year', a) + INTERVAL 1 YEAR) - 1 WHEN 1 THEN epoch_ms(date_trunc('month', a) + INTERVAL 1 MONTH) - 1 WHEN 2 THEN epoch_ms(date_trunc('day', a) + INTERVAL 1 DAY) - 1 WHEN 3 THEN epoch_ms(date_trunc('hour', a) + INTERVAL 1 HOUR) - 1
+    WHEN 4 THEN epoch_ms(date_trunc('minute', a) + INTERVAL 1 MINUTE) - 1 WHEN 5 THEN epoch_ms(a) + 999 ELSE epoch_ms(a) + 7 END END AS upper_ms FROM t""")
+def date_range_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six kinds of date ranges in all seven precisions, read from text and written as text again."""
+    at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400)
+    unit, kind = F.col("o_orderkey") % 7, F.col("o_orderkey") % 6
+    forms = ["yyyy", "yyyy-MM", "yyyy-MM-dd", "yyyy-MM-dd'T'HH'Z'", "yyyy-MM-dd'T'HH:mm'Z'", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss'.007Z'"]
+    x = F.coalesce(*(F.when(unit == n, F.date_format(at, form)) for n, form in enumerate(forms)))
+    text = F.when(kind == 0, x).when(kind == 1, F.format_string("[%s TO %s]", x, x)).when(kind == 2, F.format_string("[%s TO *]", x)).when(kind == 3, F.format_string("[* TO %s]", x)).when(kind == 4, "[* TO *]").otherwise("*")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", C.date_range(text).alias("r"))
+    return rows.select("o_orderkey", "r.kind", C.date_range_text(F.col("r")).alias("text"), "r.lower_ms", "r.upper_ms")
+
+
 # Filters and guardrails
 
 
-@query("""WITH f AS (SELECT CASE WHEN NOT (o_totalprice > 1000) THEN 'where' WHEN lower(trim(o_orderpriority)) = '1-urgent' THEN 'column value' END AS rejected_by FROM orders) SELECT rejected_by, count(*) AS n_rows FROM f GROUP BY rejected_by""")
+@query("""WITH f AS (SELECT CASE WHEN NOT (o_totalprice > 1000) THEN 'where' WHEN lower(trim(CASE WHEN o_orderkey % 3 = 0 THEN chr(9) || o_orderpriority || ' ' ELSE o_orderpriority END, ' ' || chr(9))) = '1-urgent' THEN 'column value' END AS rejected_by FROM orders) SELECT rejected_by, count(*) AS n_rows FROM f GROUP BY rejected_by""")
 def filter_chain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
+    orders = orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("\t"), "o_orderpriority", F.lit(" "))).otherwise(F.col("o_orderpriority")))
     job = JobSpec(where="AND o_totalprice > 1000", exclude_value=("o_orderpriority", " 1-URGENT "))
     marked = jobs.filter_chain(orders, TableSpec.of(orders, "orders", ["o_orderkey"]), job).mark(orders)
     return marked.groupBy(F.col("_rejected_by").alias("rejected_by")).agg(F.count("*").alias("n_rows"))
@@ -375,6 +473,51 @@ def guardrail_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.migrate(pages, spec, spec, JobSpec(guardrail_kb=5, guardrail_mode="block")).counters()
 
 
+@query("SELECT page_id, FALSE AS held_back, 'Large columns (KB): html(' || " + kb_sql("strlen(html)") + " || ')' AS report FROM pages WHERE strlen(html) > 5000")
+def guardrail_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In warn mode rows with large cells are written, and reported."""
+    pages = table(spark, sf_dir, "pages")
+    spec = TableSpec.of(pages, "pages", ["page_id"])
+    return jobs.migrate(pages, spec, spec, JobSpec(guardrail_kb=5, guardrail_mode="warn")).diagnostics()
+
+
+@query("SELECT count(*) AS n_read, count(*) AS n_write, CAST(0 AS BIGINT) AS n_skipped, CAST(0 AS BIGINT) AS n_error FROM pages")
+def guardrail_check_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    spec = TableSpec.of(pages, "pages", ["page_id"])
+    return jobs.migrate(pages, spec, spec, JobSpec(guardrail_kb=5, guardrail_mode="check")).counters()
+
+
+@query("""WITH o AS (SELECT c_custkey, c_nationkey * 10 AS n, CASE WHEN c_custkey % 17 = 0 THEN 'ERROR' WHEN c_custkey % 3 = 0 THEN 'SKIPPED' WHEN c_nationkey > 20 THEN 'SKIPPED' ELSE 'WRITE' END AS outcome FROM customer)
+SELECT outcome, count(*) AS n_rows, CAST(coalesce(sum(CASE WHEN outcome = 'WRITE' THEN n END), 0) AS BIGINT) AS total FROM o GROUP BY 1""")
+def extended_migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A migration with a user's transform of the rows, filter (undecided for some rows), guardrail and conversion."""
+    customer = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    own = jobs.Extensions(
+        codecs=[("TENFOLD", "int", "bigint", lambda c: c.cast("long") * 10)],
+        filters=[("not by three", key % 3 != 0, key % 17 == 0)],
+        transforms=[lambda df: df.withColumn("c_nationkey", F.col("c_nationkey").cast("int"))],
+        guardrails=[("near nations", F.col("c_nationkey") <= 20)],
+    )
+    origin = TableSpec("o", schema(f"c_custkey {dict(customer.dtypes)['c_custkey']}, c_nationkey int"), ("c_custkey",))
+    target = TableSpec("t", schema(f"c_custkey {dict(customer.dtypes)['c_custkey']}, c_nationkey bigint"), ("c_custkey",))
+    done = jobs.migrate(customer, origin, target, JobSpec(guardrail_mode="block"), extensions=own)
+    total = F.coalesce(F.sum(F.when(F.col("outcome") == "WRITE", F.col("c_nationkey"))), F.lit(0)).cast("long")
+    return done.every.groupBy("outcome").agg(F.count("*").alias("n_rows"), total.alias("total"))
+
+
+@query("SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'MISMATCH' ELSE 'VALID' END AS outcome, count(*) AS n_rows FROM orders GROUP BY 1")
+def extended_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A validation with a user's test for equal prices: cents don't matter."""
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec.of(orders, "orders", ["o_orderkey"])
+    price = F.col("o_totalprice")
+    target = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 89 == 0, price + 50).otherwise(F.floor(price) + 0.0))
+    near = jobs.Extensions(compare={"o_totalprice": lambda a, b: F.abs(a - b) < 1})
+    return jobs.validate(orders, target, spec, spec, JobSpec(), extensions=near).groupBy("outcome").agg(F.count("*").alias("n_rows"))
+
+
 @query("""WITH n AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS n FROM lineitem)
 SELECT CAST(ceil(n / 2) AS BIGINT) AS batch_no, count(*) AS n_rows FROM n GROUP BY 1""")
 def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,9 +607,12 @@ def mean_row_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.mean_row_bytes(order_estimates(spark, sf_dir))
 
 
-@query(f"""WITH {SPLIT} SELECT CAST(floor(log2(CAST("max" - "min" + 1 AS DOUBLE))) AS INTEGER) AS power, count(*) AS n_ranges FROM r GROUP BY 1""")
+@query(f"""WITH {SPLIT} SELECT CAST(length(bin("max" - "min" + 1)) - 1 AS INTEGER) AS power, count(*) AS n_ranges FROM (SELECT "min", "max" FROM r UNION ALL SELECT 0, CAST(1152921504606846976 AS HUGEINT) - CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END FROM orders) GROUP BY 1""")
 def span_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.span_histogram(order_ranges(spark, sf_dir))
+    """The plan's ranges, and for each order one of 2 to the 60 tokens or of one less."""
+    wide = lambda x: F.lit(str(x)).cast("decimal(38,0)")
+    edges = table(spark, sf_dir, "orders").select(wide(0).alias("min"), (wide(1 << 60) - F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(2)).cast("decimal(38,0)").alias("max"))
+    return ranges.span_histogram(order_ranges(spark, sf_dir).select("min", "max").unionByName(edges))
 
 
 @query(f"""WITH {SPLIT} SELECT range_id, row_number() OVER (ORDER BY md5(CAST("min" AS VARCHAR) || ':' || '42'), "min") - 1 AS work_order FROM r""")
@@ -474,6 +620,13 @@ def work_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.work_order(order_ranges(spark, sf_dir), 42).select("range_id", "work_order")
 
 
+@query(f"""WITH k AS (SELECT {TOKEN} AS token FROM orders) SELECT token AS "min", row_number() OVER (ORDER BY token) - 1 AS work_order FROM k""")
+def ring_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's token as a range of its own, in the order of the ring."""
+    points = order_tokens(spark, sf_dir).select(F.col("token").cast("decimal(38,0)").alias("min"), F.col("token").cast("decimal(38,0)").alias("max"))
+    return as_long(ranges.ring_order(points), "min").select("min", "work_order")
+
+
 @query(f"""WITH {SPLIT} SELECT "min"::BIGINT AS "min", "max"::BIGINT AS "max", n::BIGINT AS next_min FROM (SELECT "min", CASE WHEN range_id % 9 = 0 THEN "max" + 5 ELSE "max" END AS "max", lead("min") OVER (ORDER BY "min") AS n FROM r) WHERE n <= "max" """)
 def work_list_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = order_ranges(spark, sf_dir).withColumn("max", F.when(F.col("range_id") % 9 == 0, F.col("max") + 5).otherwise(F.col("max")).cast("decimal(38,0)"))
@@ -547,13 +700,64 @@ def parse_run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.totals(run_details(spark, sf_dir))
 
 
-@query(f"""SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) AS n_ranges, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
+@query(f"""SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) AS n_ranges, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, count(*) FILTER ({STATUS} = 'NOT_STARTED') AS n_pending, count(*) FILTER ({STATUS} = 'STARTED') AS n_in_flight, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
   CAST(coalesce(sum(o_orderkey % 9 + 1) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')), 0) AS BIGINT) AS weight_done FROM orders GROUP BY 1""")
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("token_min"), (F.col("o_orderkey") % 9 + 1).alias("weight"))
     return tracking.progress(run_details(spark, sf_dir), weights)
 
 
+@query("SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'NOT_STARTED' WHEN o_orderkey % 5 = 1 THEN 'STARTED' WHEN o_orderkey % 5 = 2 THEN 'PASS' WHEN o_orderkey % 5 = 3 THEN 'FAIL' ELSE 'DIFF' END AS status, count(*) AS n_ranges FROM orders GROUP BY 1")
+def ended_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges whose rows all have the time at which they started: the end counts, not the start."""
+    key = F.col("o_orderkey")
+    life = F.array(*(F.lit(s) for s in ("NOT_STARTED", "STARTED")), F.element_at(F.array(*map(F.lit, ("PASS", "FAIL", "DIFF"))), F.greatest(key % 5 - 1, F.lit(1)).cast("int")))
+    rows = table(spark, sf_dir, "orders").select(F.lit("t").alias("table_name"), F.lit(1).cast("long").alias("run_id"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("start_time"), key.alias("token_min"), key.alias("token_max"), F.explode(F.slice(life, F.lit(1), F.least(key % 5 + 1, F.lit(3)).cast("int"))).alias("status"), F.lit("").alias("run_info"))
+    return tracking.by_status(rows).select("status", "n_ranges")
+
+
+BY_RANGE = f"""{CHECKED}, {SPLIT}, w AS (SELECT outcome, {TOKEN} AS token FROM v),
+a1 AS (SELECT CAST(1 AS BIGINT) AS run_id, "min" AS lo, "max" AS hi, count(outcome) AS n, count(*) FILTER (outcome = 'MISMATCH') AS mi, count(*) FILTER (outcome = 'MISSING') AS ms, count(*) FILTER (outcome = 'VALID') AS va FROM r LEFT JOIN w ON token BETWEEN "min" AND "max" GROUP BY ALL),
+p1 AS (SELECT lo + i * (size + 1) AS lo, least(lo + i * (size + 1) + size, hi) AS hi FROM (SELECT *, unnest(generate_series(0, CAST((hi - lo) // (size + 1) AS BIGINT))) AS i FROM (SELECT *, (hi - lo) // 3 AS size FROM a1 WHERE mi + ms > 0))),
+b1 AS (SELECT CAST(2 AS BIGINT) AS run_id, lo, hi, count(outcome) AS n, count(*) FILTER (outcome = 'MISMATCH') AS mi, count(*) FILTER (outcome = 'MISSING') AS ms, count(*) FILTER (outcome = 'VALID') AS va FROM p1 LEFT JOIN w ON token BETWEEN lo AND hi GROUP BY ALL),
+e1 AS (SELECT * FROM a1 UNION ALL SELECT * FROM b1)"""
+INFO = "'Read: ' || {n} || '; Mismatch: ' || {mi} || '; Corrected Mismatch: 0; Missing: ' || {ms} || '; Corrected Missing: 0; Valid: ' || {va} || '; Skipped: 0; Error: 0; Partitions Passed: ' || {ok} || '; Partitions Failed: 0'"
+
+
+def recorded_runs(spark: SparkSession, sf_dir: str) -> tracking.RunLog:
+    """A validation of the orders on record, range by range, and its resumption over the ranges with differences."""
+    log = tracking.RunLog(spark, scratch_path(spark, "runs"))
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec.of(orders, "orders", ["o_orderkey"])
+    origin = orders.withColumn("_token", tokens.token60("o_orderkey"))
+    plan = as_long(order_ranges(spark, sf_dir), "min", "max").select(F.col("min").alias("token_min"), F.col("max").alias("token_max"))
+    run = lambda run_id, prev: lambda part: jobs.recorded_validate(log, run_id, part, origin, "_token", orders_target(orders), spec, spec, JobSpec(), prev)
+    run(1, 0)(plan)
+    jobs.resume(log, "orders", 1, 2, 3, False, run(2, 1))
+    return log
+
+
+@query(f"WITH {BY_RANGE} SELECT run_id, CAST(lo AS BIGINT) AS token_min, CAST(hi AS BIGINT) AS token_max, CASE WHEN mi + ms = 0 THEN 'PASS' ELSE 'DIFF' END AS status, {INFO.format(n='n', mi='mi', ms='ms', va='va', ok='1')} AS run_info FROM e1")
+def recorded_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the ranges of a recorded run and of its resumption ended."""
+    return tracking.latest_ranges(recorded_runs(spark, sf_dir).details()).select("run_id", "token_min", "token_max", "status", "run_info")
+
+
+@query(f"WITH {BY_RANGE} SELECT run_id, 'VALIDATE' AS run_type, run_id - 1 AS prev_run_id, 'ENDED' AS status, {INFO.format(n='sum(n)', mi='sum(mi)', ms='sum(ms)', va='sum(va)', ok='count(*)')} AS run_info FROM e1 GROUP BY run_id")
+def recorded_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs themselves, with the totals of their ranges."""
+    return tracking.listed(recorded_runs(spark, sf_dir).info()).select("run_id", "run_type", "prev_run_id", "status", "run_info")
+
+
+@query(f"WITH {SPLIT}, o AS (SELECT {TOKEN} AS token, o_orderkey FROM orders) SELECT range_id, count(*) AS n_read, count(*) FILTER (o_orderkey % 4 <> 0) AS n_write, count(*) FILTER (o_orderkey % 4 = 0) AS n_skipped FROM o JOIN r ON token BETWEEN \"min\" AND \"max\" GROUP BY 1")
+def migrate_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a migration by range, in one pass."""
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec.of(orders, "orders", ["o_orderkey"])
+    rows = ranges.assigned(orders.withColumn("_token", tokens.token60("o_orderkey")), "_token", order_ranges(spark, sf_dir))
+    return jobs.migrate(rows, spec, spec, JobSpec(where="o_orderkey % 4 <> 0"), keep=["range_id"]).counters(["range_id"]).drop("n_error")
+
+
 KIND = "CASE c_custkey % 3 WHEN 0 THEN 'MIGRATE' WHEN 1 THEN 'VALIDATE' ELSE 'GUARDRAIL' END"
 
 
@@ -567,14 +771,15 @@ def runs_to_adopt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.to_adopt(run_info(spark, sf_dir)).select("run_id")
 
 
-@query("SELECT c_custkey AS run_id, (c_custkey - 1) % 7 + 1 AS first_run_id, CAST((c_custkey - 1) // 7 AS INTEGER) AS depth FROM customer WHERE c_custkey BETWEEN 1 AND 600")
+@query("SELECT c_custkey AS run_id, (c_custkey - 1) % 7 + 1 AS first_run_id, CAST((c_custkey - 1) // 7 AS INTEGER) AS depth FROM customer")
 def resume_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.chain(run_info(spark, sf_dir).where("run_id between 1 and 600"))
+    return tracking.chain(run_info(spark, sf_dir))
 
 
-@query("SELECT c_custkey AS run_id, (c_custkey - 1) % 7 + 1 AS first_run_id, CAST((c_custkey - 1) // 7 AS INTEGER) AS depth FROM customer")
+@query("SELECT (c_custkey - 1) % 7 + 1 AS first_run_id, count(*) AS n_runs, CAST(max((c_custkey - 1) // 7) AS INTEGER) AS depth FROM customer GROUP BY 1")
 def resume_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.chain(run_info(spark, sf_dir))
+    """The chains of all runs: how many runs each has, and how deep it is."""
+    return tracking.chain(run_info(spark, sf_dir)).groupBy("first_run_id").agg(F.count("*").alias("n_runs"), F.max("depth").alias("depth"))
 
 
 # Counters, reports, events
@@ -624,26 +829,48 @@ def final_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 BOUND = "CASE WHEN v < 16 THEN v ELSE (v // s + 1) * s - 1 END"
 
 
-@query(f"""WITH x AS (SELECT event_type, CAST(floor(value * 100) AS BIGINT) AS v FROM events WHERE value >= 0), y AS (SELECT *, CAST(pow(2, floor(log2(CASE WHEN v < 16 THEN 16 ELSE v END)) - 4) AS BIGINT) AS s FROM x),
+@query(f"""WITH x AS (SELECT event_type, greatest(CAST(floor(value * 100 - 1000) AS BIGINT), 0) AS v FROM events WHERE value IS NOT NULL), y AS (SELECT *, CAST(pow(2, floor(log2(CASE WHEN v < 16 THEN 16 ELSE v END)) - 4) AS BIGINT) AS s FROM x),
 b AS (SELECT event_type, CAST({BOUND} AS BIGINT) AS bound, count(*) AS n FROM y GROUP BY ALL), c AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY bound) AS upto, sum(n) OVER (PARTITION BY event_type) AS total FROM b)
-SELECT event_type, CAST(sum(n) AS BIGINT) AS n, min(bound) FILTER (upto >= ceil(total * 0.5)) AS p50, min(bound) FILTER (upto >= ceil(total * 0.9)) AS p90, min(bound) FILTER (upto >= ceil(total * 0.99)) AS p99 FROM c GROUP BY event_type""")
+SELECT event_type, CAST(sum(n) AS BIGINT) AS n, min(bound) FILTER (upto >= ceil(total * 0.5)) AS p50, min(bound) FILTER (upto >= ceil(total * 0.9)) AS p90, min(bound) FILTER (upto >= ceil(total * 0.99)) AS p99, min(bound) FILTER (upto >= ceil(total * 0.999)) AS p999 FROM c GROUP BY event_type""")
 def value_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("value >= 0").select("event_type", F.floor(F.col("value") * 100).cast("long").alias("v"))
-    return metrics.percentiles(events, F.col("v"), ["event_type"], {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    """Values of which some are negative, and count as 0."""
+    events = table(spark, sf_dir, "events").select("event_type", F.floor(F.col("value") * 100 - 1000).cast("long").alias("v"))
+    return metrics.percentiles(events, F.col("v"), ["event_type"], {"p50": 0.5, "p90": 0.9, "p99": 0.99, "p999": 0.999})
 
 
 @query("""WITH t AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS second, count(*) AS marks FROM events GROUP BY 1)
-SELECT second, marks, sum(marks) OVER w1 / 1 AS mean_1s, sum(marks) OVER w10 / 10 AS mean_10s, sum(marks) OVER w60 / 60 AS mean_60s FROM t
-WINDOW w1 AS (PARTITION BY second // 86400 ORDER BY second RANGE BETWEEN 0 PRECEDING AND CURRENT ROW), w10 AS (PARTITION BY second // 86400 ORDER BY second RANGE BETWEEN 9 PRECEDING AND CURRENT ROW), w60 AS (PARTITION BY second // 86400 ORDER BY second RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)""")
+SELECT a.second, a.marks, sum(b.marks) FILTER (b.second > a.second - 1) / 1 AS mean_1s, sum(b.marks) FILTER (b.second > a.second - 10) / 10 AS mean_10s, sum(b.marks) / 60 AS mean_60s
+FROM t a JOIN t b ON b.second BETWEEN a.second - 59 AND a.second GROUP BY ALL""")
 def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.rates(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", F.lit(1), restart_daily=True)
+    return metrics.rates(timed_events(spark, sf_dir), "ts", F.lit(1))
+
+
+def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query("""WITH t AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS second, count(*) AS marks FROM events GROUP BY 1)
-SELECT second, marks, sum(marks) OVER w1 / 1 AS mean_1s, sum(marks) OVER w10 / 10 AS mean_10s, sum(marks) OVER w60 / 60 AS mean_60s FROM t
-WINDOW w1 AS (ORDER BY second RANGE BETWEEN 0 PRECEDING AND CURRENT ROW), w10 AS (ORDER BY second RANGE BETWEEN 9 PRECEDING AND CURRENT ROW), w60 AS (ORDER BY second RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)""")
+SELECT second // 86400 AS day, max(m10) AS best_10s, max(m60) AS best_60s FROM (SELECT second, sum(marks) OVER (ORDER BY second RANGE BETWEEN 9 PRECEDING AND CURRENT ROW) / 10 AS m10, sum(marks) OVER (ORDER BY second RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) / 60 AS m60 FROM t) GROUP BY 1""")
 def event_rates_unbroken(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.rates(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", F.lit(1))
+    """The highest trailing means of each day; those at a day's begin count what came before midnight."""
+    rates = metrics.rates(timed_events(spark, sf_dir), "ts", F.lit(1), (10, 60))
+    return rates.groupBy(F.floor(F.col("second") / 86_400).alias("day")).agg(F.max("mean_10s").alias("best_10s"), F.max("mean_60s").alias("best_60s"))
+
+
+@query("""WITH t AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS second, count(*) AS marks FROM events GROUP BY 1), z AS (SELECT min(second) AS begin FROM t),
+x AS (SELECT a.second, a.marks, b.second AS s, b.marks AS m, b.second = z.begin AS seed FROM t a, z JOIN t b ON b.second BETWEEN a.second - 2400 AND a.second)
+SELECT second, marks, CAST(round(1000 * sum(m * CASE WHEN seed THEN 1 ELSE 1 - exp(-1.0) END * exp(-(second - s) / 1.0))) AS BIGINT) AS ewma_1s,
+  CAST(round(1000 * sum(m * CASE WHEN seed THEN 1 ELSE 1 - exp(-0.1) END * exp(-(second - s) / 10.0))) AS BIGINT) AS ewma_10s,
+  CAST(round(1000 * sum(m * CASE WHEN seed THEN 1 ELSE 1 - exp(-1 / 60.0) END * exp(-(second - s) / 60.0))) AS BIGINT) AS ewma_60s FROM x GROUP BY ALL""")
+def event_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exponentially weighted averages by second, in thousandths."""
+    averages = metrics.smoothed(timed_events(spark, sf_dir), "ts", F.lit(1))
+    return averages.select("second", "marks", *(F.round(1000 * F.col(c)).cast("long").alias(c) for c in ("ewma_1s", "ewma_10s", "ewma_60s")))
+
+
+@query("SELECT count(*) AS total, CAST(greatest(max(CAST(epoch(date_trunc('second', ts)) AS BIGINT)) - min(CAST(epoch(date_trunc('second', ts)) AS BIGINT)), 1) AS BIGINT) AS seconds FROM events")
+def event_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.throughput(timed_events(spark, sf_dir), "ts", F.lit(1)).select("total", "seconds")
 
 
 @query("""WITH s AS (SELECT count(*) AS n_rows, CAST(sum(8 + strlen(text) + strlen(lang) + strlen(source) + 8) AS BIGINT) AS n_bytes, CAST(max(greatest(strlen(text), strlen(lang), strlen(source))) AS BIGINT) AS largest_text FROM documents)
@@ -660,10 +887,19 @@ def guardrail_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.select("vec_id", size.cast("long").alias("bytes")).where("bytes > 100")
 
 
-@query("""WITH w AS (SELECT c_custkey, CAST(c_acctbal AS DOUBLE) AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer) SELECT c_custkey, TRUE AS same FROM w""")
+WKT = "CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS VARCHAR) ELSE CAST(c_acctbal AS VARCHAR) END"
+
+
+@query(f"""WITH w AS (SELECT c_custkey, c_nationkey AS n, {WKT} AS x, c_custkey % 3 AS k FROM customer)
+SELECT c_custkey, CASE k WHEN 0 THEN 'POINT (' || x || ' ' || n || '.5)' WHEN 1 THEN 'LINESTRING (' || x || ' ' || n || ', 0 -1.25)' ELSE 'POLYGON ((0 0, ' || x || ' 0.125, 3 ' || n || ', 0 0), (1 1, 2 1, 2 2, 1 1))' END AS text,
+  CASE k WHEN 0 THEN 21 WHEN 1 THEN 41 ELSE 9 + 2 * (4 + 4 * 16) END AS bytes FROM w""")
 def geometry_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("POINT ("), F.floor("c_acctbal").cast("string"), F.lit(" "), F.col("c_nationkey").cast("string"), F.lit(")")).alias("text"))
-    return points.select("c_custkey", (geometry.wkt(geometry.wkb("text")) == F.col("text")).alias("same"))
+    """Points, lines and polygons with fractions, read to WKB from texts of other spacing, and written as WKT again."""
+    k = F.col("c_custkey") % 3
+    x, n = F.expr("CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS STRING) ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) END").cast("string"), F.col("c_nationkey").cast("string")
+    text = F.when(k == 0, F.format_string("point(%s  %s.50)", x, n)).when(k == 1, F.format_string(" LineString ( %s %s,0 -1.25)", x, n)).otherwise(F.format_string("POLYGON((0 0,%s 0.125,3 %s,0 0),(1 1,2 1,2 2,1 1))", x, n))
+    stored = table(spark, sf_dir, "customer").select("c_custkey", geometry.wkb(text).alias("wkb"))
+    return stored.select("c_custkey", geometry.wkt("wkb").alias("text"), F.octet_length("wkb").alias("bytes"))
 
 
 @query("""WITH d AS (SELECT o_orderkey, date_trunc('month', o_orderdate) AS m FROM orders) SELECT o_orderkey, 'closed' AS kind, CAST(epoch_ms(m) AS BIGINT) AS lower_ms, 'month' AS lower_prec, CAST(epoch_ms(m + INTERVAL 3 MONTH) - 1 AS BIGINT) AS upper_ms, 'month' AS upper_prec FROM d""")
@@ -673,23 +909,28 @@ def date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", C.date_range(text).alias("r")).select("o_orderkey", "r.*")
 
 
-@query("SELECT c_custkey AS id, TRUE AS same FROM customer")
+def drawn(name: str) -> str:
+    return f"('0x' || substr(md5(base || ':{name}'), 1, 15))::BIGINT"
+
+
+@query(f"""WITH s AS (SELECT c_custkey AS id, ('0x' || substr(md5(c_custkey || ':11'), 1, 15))::BIGINT AS base FROM customer)
+SELECT {drawn('id')} % 4611686018427387904 - 2305843009213693952 AS id, CAST({drawn('a')} % 4294967296 - 2147483648 AS INTEGER) AS a, substr(md5(CAST({drawn('b')} AS VARCHAR)), 1, {drawn('b')} % 24 + 1) AS b, {drawn('g')} % 2 = 1 AS g, {drawn('d')} % 1000000000000 AS cents,
+  CAST(DATE '1970-01-01' + CAST({drawn('i')} % 40000 AS INTEGER) AS DATE) AS i, CASE WHEN {drawn('z?')} % 100 >= 10 THEN {drawn('z')} % 4611686018427387904 - 2305843009213693952 END AS z FROM s""")
 def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows generated for the customers' keys, twice over different layouts: the same seed gives the same rows."""
+    """Rows generated for the customers' keys, with nulls in one column."""
     ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    kinds = schema("id bigint, a int, b string, c double, d decimal(12,2), e array<int>, f map<string,int>, g boolean, h timestamp, i date")
-    x = ids.select("id", F.xxhash64(*digest(kinds)).alias("x"))
-    y = ids.repartition(7).select("id", F.xxhash64(*digest(kinds)).alias("y"))
-    return x.join(y, "id").select("id", (F.col("x") == F.col("y")).alias("same"))
+    kinds = f"id {dict(ids.dtypes)['id']}, a int, b string, g boolean, d decimal(12,2), i date, z bigint"
+    rows = generate.rows(ids, "id", schema(kinds), ["id", "a", "b", "g", "d", "i"], 11)
+    return rows.select("id", "a", "b", "g", (F.col("d") * 100).cast("long").alias("cents"), "i", "z")
 
 
-def digest(kinds: T.StructType) -> list:
-    base = F.xxhash64(F.col("id"), F.lit(11))
-    out = []
-    for f in kinds.fields[1:]:
-        v = generate.value(f.dataType, base, f.name)
-        out.append(F.map_entries(v) if isinstance(f.dataType, T.MapType) else v)
-    return out
+@query("""SELECT c_custkey AS id, list_extract([-2147483648, -1, 0, 1, 2147483647], c_custkey % 5 + 1) AS a, list_extract(['', ' ', chr(233), chr(128512), 'a''b"c', 'x' || chr(9) || 'y' || chr(10) || 'z', 'NULL', '0'], c_custkey % 8 + 1) AS b,
+  list_extract([DATE '1970-01-01', DATE '0001-01-01', DATE '9999-12-31', DATE '2024-02-29'], c_custkey % 4 + 1) AS d, CAST(list_extract([0, 1, 2], c_custkey % 3 + 1) AS INTEGER) AS n_list, CAST(list_extract([9999999.99, -9999999.99, 0, 1], c_custkey % 4 + 1) * 100 AS BIGINT) AS cents FROM customer""")
+def generated_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types' edge values, dealt to the customers' keys."""
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    rows = generate.edge_rows(ids, "id", schema(f"id {dict(ids.dtypes)['id']}, a int, b string, d date, l array<double>, c decimal(9,2)"), ["id"])
+    return rows.select("id", "a", "b", "d", F.size("l").alias("n_list"), (F.col("c") * 100).cast("long").alias("cents"))
 
 
 @query(f"""SELECT type, status, sum(n)::BIGINT AS n_events FROM (
@@ -713,6 +954,27 @@ def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.where("type <> 'RunCompleted'").select(F.unix_seconds("second").alias("second"), "run_id", "type", "n_events")
 
 
+@query(f"""WITH {CHECKED} SELECT 'Discrepancy' AS type, lower(outcome) AS kind, count(*) AS n_events FROM v WHERE outcome <> 'VALID' GROUP BY 2
+UNION ALL SELECT 'Warning', NULL, count(*) FROM documents WHERE strlen(text) > 5000 UNION ALL SELECT 'RunCompleted', NULL, count(*) FROM customer""")
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discrepancies, warnings and ends of runs as the event log holds them."""
+    at = F.timestamp_seconds(F.lit(1_700_000_000))
+    documents = table(spark, sf_dir, "documents")
+    spec = TableSpec.of(documents, "documents", ["doc_id"])
+    warned = jobs.migrate(documents, spec, spec, JobSpec(guardrail_kb=5, guardrail_mode="warn")).diagnostics()
+    log = reports.discrepancy_events(checked_orders(spark, sf_dir), ["o_orderkey"], 9, at).unionByName(reports.warning_events(warned, ["doc_id"], 9, at)).unionByName(reports.run_events(run_info(spark, sf_dir)))
+    return log.groupBy("type", "kind").agg(F.count("*").alias("n_events"))
+
+
+@query("SELECT CAST(1700000001 AS BIGINT) AS started, CAST(1700000002 AS BIGINT) AS ended, CAST(1 AS BIGINT) AS seconds, count(*) FILTER (o_orderkey % 3 = 2) AS n_ranges FROM orders")
+def run_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When a run began and ended, and the ranges that its node completed, from its events."""
+    counted = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec())
+    plan = order_ranges(spark, sf_dir).agg(F.count("*").alias("n_ranges"))
+    one = reports.summary(counted, plan, "orders", reports.range_events(run_details(spark, sf_dir)))
+    return one.select(F.unix_seconds("timing.started").alias("started"), F.unix_seconds("timing.ended").alias("ended"), "timing.seconds", F.col("nodes")[0]["n_ranges"].alias("n_ranges"))
+
+
 @query(f"""WITH {CHECKED}, n AS (SELECT count(*) AS n_read, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch FROM v), {SPLIT}
 SELECT sha256('orders') AS config_hash, n_read, n_missing + n_mismatch AS outstanding, (SELECT count(*) FROM r) AS n_ranges FROM n""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -758,7 +1020,7 @@ def cancelled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.cancelled(run_info(spark, sf_dir), 12, F.timestamp_seconds(F.lit(1_800_000_000))).select("run_id", "status", "run_info")
 
 
-@query("""SELECT o_orderkey, o_orderkey % 10 + o_orderkey % 7 AS list_sum, CAST(2 AS INTEGER) AS list_size, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS set_size, o_custkey AS map_value, o_orderstatus AS by_name, o_orderkey % 13 = 0 AS failed FROM orders""")
+@query("""SELECT o_orderkey, o_orderkey % 10 + o_orderkey % 7 AS list_sum, CAST(2 AS INTEGER) AS list_size, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS set_size, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS map_value, o_orderstatus AS by_name, o_orderkey % 13 = 0 AS failed FROM orders""")
 def convert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists, sets, maps and structs whose elements are converted; a bad element is an error of its row."""
     key = F.col("o_orderkey")
@@ -776,7 +1038,7 @@ def convert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     to = lambda c, kind, **meta: C.convert(F.col(c), orders.schema[c].dataType, T._parse_datatype_string(kind), codecs, meta)
     lists, sets, maps, structs = to("l", "array<int>"), to("s", "array<int>", set=True), to("m", "map<int,bigint>"), to("u", "struct<b:bigint,a:string>")
     total = F.aggregate(lists.value, F.lit(0), lambda x, y: x + y)
-    return orders.select("o_orderkey", total.cast("long").alias("list_sum"), F.size(lists.value).alias("list_size"), F.size(sets.value).alias("set_size"), F.col("o_custkey").alias("map_value"), structs.value["a"].alias("by_name"), F.coalesce(maps.failed, F.lit(False)).alias("failed"))
+    return orders.select("o_orderkey", total.cast("long").alias("list_sum"), F.size(lists.value).alias("list_size"), F.size(sets.value).alias("set_size"), F.try_element_at(maps.value, F.lit(1)).alias("map_value"), structs.value["a"].alias("by_name"), F.coalesce(maps.failed, F.lit(False)).alias("failed"))
 
 
 @query("SELECT count(*) AS n_write, count(*) AS n_stored, TRUE AS complete FROM part")
@@ -790,9 +1052,9 @@ def completion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("n_write", "n_stored", reconcile.complete(F.col("n_write"), F.col("n_read"), F.col("n_stored")).alias("complete"))
 
 
-@query("SELECT c_custkey, 16 AS width FROM customer")
+@query("SELECT c_custkey, 16 AS width, substr(md5(c_custkey || '|' || c_name), 1, 16) AS digest FROM customer")
 def key_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", F.length(tokens.fingerprint("c_custkey")).alias("width"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.length(tokens.fingerprint("c_custkey")).alias("width"), tokens.key_digest("c_custkey", "c_name").alias("digest"))
 
 
 @query(f"SELECT o_orderkey, o_totalprice, {TOKEN} AS token FROM orders WHERE o_totalprice > 1000 AND {TOKEN} BETWEEN 100000000000000000 AND 400000000000000000")

@@ -5,7 +5,8 @@ Each job is one lazy plan over whole tables; counters come from an outcome colum
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 from tidemark.functions.convert import builtin, convert
 from tidemark.operators import filters, guardrail, metrics, ranges, reconcile
 from tidemark.operators.mapping import Mapping, quoted, row_ttl, row_writetime
-from tidemark.operators.merge import batches, counter_updates, duplicate_keys, keyed, upsert
+from tidemark.operators.merge import batches, counter_updates, duplicate_keys, keyed, merged_cells, upsert
+from tidemark.plans import tracking
 from tidemark.spec import JobSpec, TableSpec
 
 
@@ -22,27 +24,49 @@ class DuplicateKeys(ValueError):
     pass
 
 
+@dataclass
+class Extensions:
+    """What users add to a job: conversions (name, from, to, build), filters (name, accepts, fails or None), transforms of origin
+    rows (a frame to a frame), guardrails (name, predicate for rows that are fine) and, by column, tests for being equal."""
+
+    codecs: list[tuple] = field(default_factory=list)
+    filters: list[tuple] = field(default_factory=list)
+    transforms: list[Callable[[DataFrame], DataFrame]] = field(default_factory=list)
+    guardrails: list[tuple[str, Column]] = field(default_factory=list)
+    compare: dict[str, Callable[[Column, Column], Column]] = field(default_factory=dict)
+
+    def transformed(self, df: DataFrame) -> DataFrame:
+        for f in self.transforms:
+            df = df.transform(f)
+        return df
+
+
 @dataclass
 class Migration:
-    """``rows``: every target row to be (tried to be) written, with ``outcome``, ``_errors``, ``_unset``, ``_writetime``, ``_ttl``.
-    ``read``: origin rows with ``_outcome`` of the filters."""
+    """``every``: one row for each origin row that a filter keeps back or that has no map entry, and for each target row to be
+    (tried to be) written, with ``outcome`` (WRITE, SKIPPED, ERROR), ``_errors``, ``_unset``, ``_writetime``, ``_ttl``, ``_large``."""
 
     mapping: Mapping
-    read: DataFrame
-    rows: DataFrame
+    every: DataFrame
+
+    @property
+    def rows(self) -> DataFrame:
+        """The target rows to be written, and those that can't be."""
+        return self.every.where("_tried").drop("_tried", "_first", "_rejected_by", "_large")
 
     @property
     def writes(self) -> DataFrame:
         return self.rows.where("outcome = 'WRITE'").drop("outcome", "_errors")
 
-    def counters(self) -> DataFrame:
-        """READ counts origin rows; the others count target rows."""
-        skipped = F.count_if(F.col("_outcome") == "SKIPPED")
-        if self.mapping.job.explode:
-            skipped = skipped + F.count_if(F.col("_outcome").isNull() & (F.coalesce(F.size(quoted(self.mapping.job.explode.column)), F.lit(0)) <= 0))
-        one = self.read.agg(F.lit(1).alias("_one"), F.count("*").alias("n_read"), skipped.alias("n_skipped"))
-        two = self.rows.agg(F.lit(1).alias("_one"), F.count_if(F.col("outcome") == "WRITE").alias("n_write"), F.count_if(F.col("outcome") == "ERROR").alias("n_error"))
-        return one.join(two, "_one").select("n_read", "n_write", "n_skipped", "n_error")
+    def counters(self, by: list[str] | None = None) -> DataFrame:
+        """READ counts origin rows; the others count target rows. All from one pass, by group if asked for (columns that were kept)."""
+        counted = [F.count_if("_first").alias("n_read")] + [F.count_if(F.col("outcome") == o).alias(f"n_{o.lower()}") for o in ("WRITE", "SKIPPED", "ERROR")]
+        return self.every.groupBy(*map(quoted, by or [])).agg(*counted)
+
+    def diagnostics(self) -> DataFrame:
+        """What the guardrail found, in any mode: the target key, whether the row is held back, and the findings."""
+        found = self.every.where(F.col("_first") & (F.size("_large") > 0))
+        return found.select(*map(quoted, self.mapping.target.key), (F.col("outcome") == "SKIPPED").alias("held_back"), guardrail.report(F.col("_large")).alias("report"))
 
     def merged(self, target: DataFrame, on_duplicate: str = "fail") -> DataFrame:
         """The target after the job. Rows that share a target key are refused, or the latest of them is taken."""
@@ -50,16 +74,26 @@ class Migration:
         writes = self.writes
         if on_duplicate == "latest":
             writes = keyed(writes, key, F.struct(F.col("_writetime"), F.xxhash64(*map(quoted, columns)) if columns else F.lit(0)))
-        elif not duplicate_keys(writes, key).isEmpty():
-            raise DuplicateKeys(f"rows of {self.mapping.origin.name} share keys of {self.mapping.target.name}")
-        return upsert(target, writes, key, columns)
+        else:
+            refuse_duplicates(writes, key, f"rows of {self.mapping.origin.name} share keys of {self.mapping.target.name}")
+        return upsert(target, writes, key, columns, backfilled(self.mapping.job))
 
     def batched(self) -> DataFrame:
         """The rows to write, numbered in batches within their partition key."""
         return batches(self.writes, list(self.mapping.target.partition_key), list(self.mapping.target.clustering_key or self.mapping.target.key), self.mapping.job.effective_batch(self.mapping.target))
 
 
-def filter_chain(origin: DataFrame, spec: TableSpec, job: JobSpec, token: Column | None = None, writetime: bool = True) -> filters.FilterChain:
+def backfilled(job: JobSpec) -> list[str]:
+    """Columns that are written only where the target has none: those extracted without overwriting."""
+    return [job.extract.target] if job.extract and not job.extract.overwrite else []
+
+
+def refuse_duplicates(df: DataFrame, key: list[str], message: str) -> None:
+    if not duplicate_keys(df, key).isEmpty():
+        raise DuplicateKeys(message)
+
+
+def filter_chain(origin: DataFrame, spec: TableSpec, job: JobSpec, token: Column | None = None, writetime: bool = True, extensions: Extensions | None = None) -> filters.FilterChain:
     chain = filters.FilterChain()
     if job.where:
         chain.add("where", filters.condition(job.where))
@@ -69,41 +103,73 @@ def filter_chain(origin: DataFrame, spec: TableSpec, job: JobSpec, token: Column
         chain.add("writetime window", filters.written_within(row_writetime(spec, job), *job.writetime_window))
     if job.exclude_value:
         chain.add("column value", filters.value_differs(*job.exclude_value))
-    if job.guardrail_kb > 0 and job.guardrail_mode == "block":
-        chain.add("guardrail", F.size(guardrail.oversized(origin, job.guardrail_kb)) == 0)
+    for own in extensions.filters if extensions else []:
+        chain.add(*own)
+    if job.guardrail_mode == "block" and (job.guardrail_kb > 0 or extensions and extensions.guardrails):
+        chain.add("guardrail", F.size(large_cells(origin, job, extensions)) == 0)
     return chain
 
 
-def migrate(origin: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, token: Column | None = None, keep: list[str] | None = None) -> Migration:
-    mapping = Mapping.resolve(origin_spec, target_spec, job)
-    read = filter_chain(origin, origin_spec, job, token).mark(origin)
-    kept = read.where("_outcome is null").withColumn("_writetime", row_writetime(origin_spec, job)).withColumn("_ttl", row_ttl(origin_spec, job))
-    rows = mapping.apply(kept, ["_writetime", "_ttl", *(keep or [])])
-    return Migration(mapping, read, rows.withColumn("outcome", F.when(F.size("_errors") > 0, "ERROR").otherwise("WRITE")))
+def large_cells(origin: DataFrame, job: JobSpec, extensions: Extensions | None = None) -> Column:
+    """The guardrail's findings in a row: oversized cells, and the users' guardrails that it fails (with 0 bytes)."""
+    kind = "array<struct<column:string,bytes:bigint>>"
+    found = guardrail.oversized(origin, job.guardrail_kb) if job.guardrail_kb > 0 else F.array().cast(kind)
+    own = [F.when(~F.coalesce(fine, F.lit(False)), F.struct(F.lit(name).alias("column"), F.lit(0).cast("long").alias("bytes"))) for name, fine in (extensions.guardrails if extensions else [])]
+    return F.concat(found.cast(kind), F.array_compact(F.array(*own)).cast(kind)) if own else found.cast(kind)
+
+
+def migrate(origin: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, token: Column | None = None, keep: list[str] | None = None, extensions: Extensions | None = None) -> Migration:
+    """One lazy plan: filters, guardrail (check and warn let rows pass, block holds them back), map entries, conversions."""
+    extensions = extensions or Extensions()
+    mapping = Mapping.resolve(origin_spec, target_spec, job, extensions.codecs)
+    origin = extensions.transformed(origin)
+    read = filter_chain(origin, origin_spec, job, token, extensions=extensions).mark(origin)
+    read = read.withColumn("_large", large_cells(origin, job, extensions)).withColumn("_writetime", row_writetime(origin_spec, job)).withColumn("_ttl", row_ttl(origin_spec, job))
+    every = mapping.every_entry(read, F.col("_outcome").isNull()).withColumn("_tried", F.col("_outcome").isNull() & F.col("_entry"))
+    rows = mapping.apply(every, ["_writetime", "_ttl", "_outcome", "_rejected_by", "_large", "_first", "_tried", *(keep or [])], exploded=True)
+    outcome = F.when(F.col("_outcome").isNotNull(), F.col("_outcome")).when(~F.col("_tried"), "SKIPPED").when(F.size("_errors") > 0, "ERROR").otherwise("WRITE")
+    return Migration(mapping, rows.withColumn("outcome", outcome).drop("_outcome"))
+
 
+def compared_columns(mapping: Mapping) -> list[str]:
+    return [s.target for s in mapping.sources if s.target not in mapping.target.key and s.kind not in ("constant", "absent")]
 
-def validate(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, token: Column | None = None) -> DataFrame:
-    """Every mapped origin row with its outcome and differences; the writetime window isn't applied here."""
-    mapping = Mapping.resolve(origin_spec, target_spec, job)
-    read = filter_chain(origin, origin_spec, job, token, writetime=False).mark(origin).where("_outcome is null")
+
+def validate(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, token: Column | None = None, keep: list[str] | None = None, extensions: Extensions | None = None, check_keys: bool = True) -> DataFrame:
+    """Every mapped origin row with its outcome and differences; the writetime window isn't applied here. A target with rows that
+    share a key is refused (``check_keys``), as such rows would be counted more than once."""
+    extensions = extensions or Extensions()
+    mapping = Mapping.resolve(origin_spec, target_spec, job, extensions.codecs)
+    origin = extensions.transformed(origin)
+    read = filter_chain(origin, origin_spec, job, token, writetime=False, extensions=extensions).mark(origin).where("_outcome is null")
     key = list(target_spec.key)
-    columns = [s.target for s in mapping.sources if s.target not in key and s.kind not in ("constant", "absent")]
-    backfill = [job.extract.target] if job.extract and not job.extract.overwrite else []
-    return reconcile.validate(mapping.apply(read), target, key, columns, only_if_target_null=backfill, strict_empty=job.strict_empty)
+    if check_keys:
+        refuse_duplicates(target, key, f"rows of {target_spec.name} share its key")
+    return reconcile.validate(mapping.apply(read, keep), target, key, compared_columns(mapping), keep=keep, only_if_target_null=backfilled(job), strict_empty=job.strict_empty, hooks=extensions.compare)
 
 
-def autocorrect(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec) -> tuple[DataFrame, DataFrame]:
-    """The validated rows, and the target after missing and differing rows were written again."""
-    checked = validate(origin, target, origin_spec, target_spec, job)
+def autocorrect(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, extensions: Extensions | None = None) -> tuple[DataFrame, DataFrame]:
+    """The validated rows, and the target after missing and differing rows were written again. One full outer join by key gives both
+    the outcomes and the repaired rows; rows that share a key on either side are refused."""
+    extensions = extensions or Extensions()
     key = list(target_spec.key)
     missing = job.autocorrect_missing and (not target_spec.counters or job.autocorrect_missing_counter)
-    written = migrate(origin, origin_spec, target_spec, job)
-    wanted = reconcile.corrections(written.writes, checked, key, missing, job.autocorrect_mismatch)
     if target_spec.counters:
+        checked = validate(origin, target, origin_spec, target_spec, job, extensions=extensions)
+        written = migrate(origin, origin_spec, target_spec, job, extensions=extensions)
+        wanted = reconcile.corrections(written.writes, checked, key, missing, job.autocorrect_mismatch)
         new = counter_updates(wanted, target, key, sorted(target_spec.counters)).where(~F.col("_error")).select(*map(quoted, key), *map(quoted, sorted(target_spec.counters)))
         return checked, upsert(target, new, key, sorted(target_spec.counters))
-    columns = [s.target for s in written.mapping.sources if s.target not in key]
-    return checked, upsert(target, wanted, key, columns)
+    job_rows = migrate(origin, origin_spec, target_spec, replace(job, writetime_window=None), extensions=extensions)
+    rows, mapping = job_rows.rows.drop("outcome"), job_rows.mapping
+    refuse_duplicates(rows.where(F.size("_errors") == 0), key, f"rows of {origin_spec.name} share keys of {target_spec.name}")
+    refuse_duplicates(target, key, f"rows of {target_spec.name} share its key")
+    both = reconcile.compared(rows, target, key, compared_columns(mapping), None, backfilled(job), job.strict_empty, extensions.compare, "full_outer")
+    repaired = [o for o, on in ((reconcile.MISSING, missing), (reconcile.MISMATCH, job.autocorrect_mismatch)) if on]
+    written = F.coalesce(F.col("outcome").isin(*repaired), F.lit(False)) if repaired else F.lit(False)
+    columns = [s.target for s in mapping.sources if s.target not in key]
+    after = both.where(F.col("t._found").isNotNull() | written).select(*merged_cells(target.columns, key, columns, written, backfilled(job)))
+    return reconcile.validated(both, key), after
 
 
 def validation_counters(checked: DataFrame, by: list[str], job: JobSpec, counter_table: bool = False) -> DataFrame:
@@ -160,12 +226,71 @@ def resumed(origin: DataFrame, token: str, pending: DataFrame) -> DataFrame:
     return ranges.assigned(origin, token, work)
 
 
+def ranged(rows: DataFrame, token: str, plan: DataFrame) -> DataFrame:
+    """The rows that lie in ranges of the plan (token_min, token_max), with both ends."""
+    named = plan.select(F.col("token_min").alias("range_id"), F.col("token_min").alias("min"), F.col("token_max").alias("max"))
+    met = ranges.assigned(rows, token, named).withColumnRenamed("range_id", "token_min")
+    return met
+
+
+def recorded(log: tracking.RunLog, table: str, run_id: int, kind: str, plan: DataFrame, by_range: DataFrame, prev_run_id: int = 0, failed: DataFrame | None = None) -> DataFrame:
+    """A job on record: the run and its ranges (token_min, token_max) are written as not started, started, and ended with the counters
+    of ``by_range`` (token_min, n_...), and the run with their totals. Ranges without rows end with zeros. ``failed``: token_min of
+    ranges whose work failed; what they left uncounted goes to their errors. Gives the ended ranges."""
+    log.begin(table, run_id, kind, plan, prev_run_id)
+    names = [metrics.column(c) for c in metrics.REGISTERED[kind] if c not in metrics.TITLES]
+    zero = F.lit(0).cast("long")
+    known = by_range.select("token_min", *((F.col(c) if c in by_range.columns else zero).cast("long").alias(c) for c in names))
+    rows = plan.select("token_min", "token_max").join(known, "token_min", "left").select("token_min", "token_max", *(F.coalesce(c, zero).alias(c) for c in names))
+    bad = F.lit(False)
+    if failed is not None:
+        rows = rows.join(failed.select("token_min", F.lit(True).alias("_bad")), "token_min", "left")
+        bad = F.coalesce("_bad", F.lit(False))
+    if "n_error" in names:
+        rows = rows.withColumn("n_error", F.when(bad, F.col("n_error") + metrics.lost(kind)).otherwise(F.col("n_error")))
+    rows = rows.withColumn("status", metrics.range_status(kind, bad))
+    rows = rows.withColumn("n_passed", F.when(bad, 0).otherwise(1).cast("long")).withColumn("n_failed", F.when(bad, 1).otherwise(0).cast("long"))
+    return log.end(table, run_id, kind, rows)
+
+
+def recorded_validate(log: tracking.RunLog, run_id: int, plan: DataFrame, origin: DataFrame, token: str, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, prev_run_id: int = 0) -> DataFrame:
+    """Validates the origin's rows in the plan's ranges, on record. ``token`` is a column of the origin."""
+    checked = validate(ranged(origin, token, plan), target, origin_spec, target_spec, job, keep=["token_min"])
+    return recorded(log, target_spec.name, run_id, "validate", plan, validation_counters(checked, ["token_min"], job, bool(target_spec.counters)), prev_run_id)
+
+
+def recorded_migrate(log: tracking.RunLog, run_id: int, plan: DataFrame, origin: DataFrame, token: str, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, prev_run_id: int = 0) -> tuple[Migration, DataFrame]:
+    """The migration of the origin's rows in the plan's ranges, and its ended ranges."""
+    done = migrate(ranged(origin, token, plan), origin_spec, target_spec, job, keep=["token_min"])
+    return done, recorded(log, target_spec.name, run_id, "migrate", plan, done.counters(["token_min"]), prev_run_id)
+
+
+def recorded_guardrail(log: tracking.RunLog, run_id: int, plan: DataFrame, origin: DataFrame, token: str, spec: TableSpec, limit_kb: float, prev_run_id: int = 0) -> DataFrame:
+    """The guardrail over the origin's rows in the plan's ranges, on record."""
+    own = ranged(origin, token, plan)
+    large = F.size(guardrail.oversized(own, limit_kb, list(spec.columns))) > 0
+    by = own.groupBy("token_min").agg(F.count("*").alias("n_read"), F.count_if(large).alias("n_large"), F.count_if(~large).alias("n_valid"))
+    return recorded(log, spec.name, run_id, "guardrail", plan, by, prev_run_id)
+
+
+def resume(log: tracking.RunLog, table: str, prev_run_id: int, run_id: int, multiplier: int, writes_counters: bool, rerun: Callable[[DataFrame], object]) -> DataFrame:
+    """Resumes a run: it is checked, its pending ranges are subdivided, and ``rerun`` (a recorded job with the plan left open) is
+    called with them. Gives the ranges that were held back because counters would be added twice."""
+    tracking.check_resumable(log.info(), log.details(), prev_run_id)
+    work = tracking.pending(log.details().where(F.col("table_name") == table), prev_run_id, writes_counters)
+    held_back = work.where("state = 'quarantined'")
+    left = work.where("state = 'pending'").select(F.col("token_min").alias("min"), F.col("token_max").alias("max"))
+    parts = ranges.subdivided(left, multiplier) if multiplier > 1 else left
+    rerun(parts.select(F.col("min").cast("long").alias("token_min"), F.col("max").cast("long").alias("token_max")))
+    return held_back
+
+
 class JobRegistry:
-    """User extensions: jobs by name (``run(spark, spec) -> DataFrame``), and transforms of origin rows."""
+    """Jobs that users add, by name: ``run(spark, job, extensions, **arguments)``; and what they add to the built-in ones."""
 
     def __init__(self) -> None:
-        self.jobs: dict = {}
-        self.transforms: list = []
+        self.jobs: dict[str, Callable] = {}
+        self.extensions = Extensions()
 
     def job(self, name: str):
         def add(f):
@@ -177,10 +302,10 @@ class JobRegistry:
         return add
 
     def transform(self, f):
-        self.transforms.append(f)
+        self.extensions.transforms.append(f)
         return f
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        for f in self.transforms:
-            df = df.transform(f)
-        return df
+    def run(self, name: str, spark, job: JobSpec, **arguments):
+        if name not in self.jobs:
+            raise ValueError(f"there is no job {name}; there are: {', '.join(sorted(self.jobs))}")
+        return self.jobs[name](spark, job, self.extensions, **arguments)

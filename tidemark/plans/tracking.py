@@ -2,15 +2,17 @@
 
 ``run_info``: table_name, run_id, run_type, prev_run_id, start_time, end_time, run_info, status.
 ``run_details``: table_name, run_id, start_time, token_min, token_max, status, run_info.
-A change of status is a further row; the latest row of a key counts.
+A change of status is a further row; the latest row of a key counts: the one with the latest start_time, and of those with one
+start_time, as the rows of one attempt have, the one with the status that comes last in a run's life.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import parsed
+from tidemark.operators.metrics import REGISTERED, column, metrics_string, parsed, title
 from tidemark.session import scratch_path
 
 #: The statuses and the columns of the tracking tables.
@@ -28,13 +30,18 @@ def latest(log: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return log.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def life(status: Column) -> Column:
+    """The place of a status in the life of a range or run."""
+    return F.coalesce(*(F.when(status == s, F.lit(n)) for n, s in enumerate(STATUSES)), F.lit(-1))
+
+
 def latest_ranges(details: DataFrame) -> DataFrame:
-    return latest(details, ["table_name", "run_id", "token_min"], [F.col("start_time"), F.col("status")])
+    return latest(details, ["table_name", "run_id", "token_min"], [F.col("start_time"), life(F.col("status"))])
 
 
 def latest_runs(info: DataFrame) -> DataFrame:
     """The newest run of each table and kind."""
-    return latest(info, ["table_name", "run_type"], [F.col("run_id"), F.col("start_time")])
+    return latest(info, ["table_name", "run_type"], [F.col("run_id"), F.col("start_time"), life(F.col("status"))])
 
 
 def by_status(details: DataFrame) -> DataFrame:
@@ -50,7 +57,7 @@ def pending(details: DataFrame, run_id: int, writes_counters: bool = False) -> D
 
 
 def check_resumable(info: DataFrame, details: DataFrame, run_id: int) -> None:
-    run = latest(info.where(F.col("run_id") == run_id), ["run_id"], [F.col("end_time"), F.col("start_time")]).first()
+    run = latest(info.where(F.col("run_id") == run_id), ["run_id"], [F.col("start_time"), life(F.col("status"))]).first()
     if run is None:
         raise ValueError(f"there is no run {run_id}")
     if run["status"] == "NOT_STARTED":
@@ -75,8 +82,8 @@ def to_adopt(info: DataFrame) -> DataFrame:
 def pending_sample(details: DataFrame, run_id: int) -> DataFrame:
     """The first pending ranges, with the number of all of them."""
     rows = pending(details, run_id)
-    total = F.count("*").over(Window.partitionBy(F.lit(1)))
-    return rows.withColumn("n_pending", total).orderBy("token_min").limit(PENDING_SAMPLE)
+    total = rows.agg(F.lit(1).alias("_one"), F.count("*").alias("n_pending"))
+    return rows.orderBy("token_min").limit(PENDING_SAMPLE).withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
 
 
 def chain(info: DataFrame) -> DataFrame:
@@ -116,13 +123,15 @@ def progress(details: DataFrame, weights: DataFrame, elapsed: DataFrame | None =
     ``weights``: token_min, weight; a range without one gets the mean weight by token, at least 1."""
     span = F.col("token_max").cast("decimal(38,0)") - F.col("token_min").cast("decimal(38,0)") + 1
     rows = latest_ranges(details).join(weights, "token_min", "left").withColumn("_span", span.cast("double"))
-    run = Window.partitionBy("run_id")
-    density = F.sum("weight").over(run) / F.sum(F.when(F.col("weight").isNotNull(), F.col("_span"))).over(run)
-    rows = rows.withColumn("_weight", F.coalesce(F.col("weight").cast("double"), F.greatest(F.floor(F.col("_span") * density).cast("double"), F.lit(1.0)), F.lit(1.0)))
+    density = rows.groupBy("run_id").agg((F.sum("weight") / F.sum(F.when(F.col("weight").isNotNull(), F.col("_span")))).alias("_density"))
+    rows = rows.join(density, "run_id")
+    rows = rows.withColumn("_weight", F.coalesce(F.col("weight").cast("double"), F.greatest(F.floor(F.col("_span") * F.col("_density")).cast("double"), F.lit(1.0)), F.lit(1.0)))
     ended = ~F.col("status").isin("NOT_STARTED", "STARTED")
     out = rows.groupBy("run_id").agg(
         F.count("*").alias("n_ranges"),
         F.count_if(ended).alias("n_done"),
+        F.count_if(F.col("status") == "NOT_STARTED").alias("n_pending"),
+        F.count_if(F.col("status") == "STARTED").alias("n_in_flight"),
         F.sum("_weight").cast("long").alias("weight"),
         F.coalesce(F.sum(F.when(ended, F.col("_weight"))), F.lit(0.0)).cast("long").alias("weight_done"),
     )
@@ -135,10 +144,65 @@ def progress(details: DataFrame, weights: DataFrame, elapsed: DataFrame | None =
 
 def cancelled(info: DataFrame, run_id: int, at: Column) -> DataFrame:
     """The row that cancels a run, for appending; its metric string stays."""
-    last = latest(info.where(F.col("run_id") == run_id), ["run_id"], [F.col("start_time")])
+    last = latest(info.where(F.col("run_id") == run_id), ["run_id"], [F.col("start_time"), life(F.col("status"))])
     return last.withColumn("status", F.lit("ABORTED")).withColumn("end_time", at)
 
 
 def listed(info: DataFrame, run_type: str | None = None) -> DataFrame:
     rows = info if run_type is None else info.where(F.col("run_type") == run_type)
-    return latest(rows, ["table_name", "run_id"], [F.col("end_time"), F.col("start_time")]).orderBy(F.desc("run_id"))
+    return latest(rows, ["table_name", "run_id"], [F.col("start_time"), life(F.col("status")), F.col("end_time")]).orderBy(F.desc("run_id"))
+
+
+class RunLog:
+    """The two tracking tables under one folder, to which rows are only ever appended; both are made by the first run."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        empty = self.spark.createDataFrame([], schema)
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        except AnalysisException:
+            return empty
+
+    def info(self) -> DataFrame:
+        return self._read("run_info", RUN_INFO)
+
+    def details(self) -> DataFrame:
+        return self._read("run_details", RUN_DETAILS)
+
+    def _append(self, rows: DataFrame, name: str, schema: str) -> None:
+        kinds = [part.strip().split(" ") for part in schema.split(",")]
+        rows.select(*(F.col(c).cast(kind).alias(c) for c, kind in kinds)).write.mode("append").parquet(f"{self.root}/{name}")
+
+    def begin(self, table: str, run_id: int, kind: str, plan: DataFrame, prev_run_id: int = 0) -> None:
+        """The run as started, its ranges (token_min, token_max) first as not started, then as started. A run id is used once."""
+        if not self.info().where((F.col("table_name") == table) & (F.col("run_id") == run_id)).isEmpty():
+            raise ValueError(f"there is a run {run_id} of {table} already")
+        one = self.spark.range(1)
+        self._append(one.select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"), F.lit(kind.upper()).alias("run_type"), F.lit(prev_run_id).alias("prev_run_id"), F.current_timestamp().alias("start_time"), F.lit(None).alias("end_time"), F.lit(None).alias("run_info"), F.lit("STARTED").alias("status")), "run_info", RUN_INFO)
+        ranges = plan.select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"), "token_min", "token_max", F.lit(None).alias("run_info"))
+        self._append(ranges.withColumn("start_time", F.lit(None)).withColumn("status", F.lit("NOT_STARTED")), "run_details", RUN_DETAILS)
+        self._append(ranges.withColumn("start_time", F.current_timestamp()).withColumn("status", F.lit("STARTED")), "run_details", RUN_DETAILS)
+
+    def end(self, table: str, run_id: int, kind: str, ranges: DataFrame, status: str = "ENDED") -> DataFrame:
+        """The ranges' ends (token_min, token_max, status, n_...) and the run's, with the totals that the stored ranges give."""
+        began = latest_ranges(self.details().where((F.col("run_id") == run_id) & (F.col("table_name") == table))).select(F.col("token_min").alias("_at"), "start_time")
+        ends = ranges.join(began, F.col("token_min") == F.col("_at")).select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"), "start_time", "token_min", "token_max", "status", metrics_string(kind).alias("run_info"))
+        self._append(ends, "run_details", RUN_DETAILS)
+        done = latest_ranges(self.details().where((F.col("run_id") == run_id) & (F.col("table_name") == table)))
+        self._append(self._last(table, run_id).crossJoin(run_totals(done, kind)).withColumn("end_time", F.current_timestamp()).withColumn("status", F.lit(status)), "run_info", RUN_INFO)
+        return done
+
+    def _last(self, table: str, run_id: int) -> DataFrame:
+        mine = self.info().where((F.col("table_name") == table) & (F.col("run_id") == run_id))
+        return latest(mine, ["table_name", "run_id"], [F.col("start_time"), life(F.col("status"))]).drop("run_info", "end_time", "status")
+
+
+def run_totals(ranges: DataFrame, kind: str) -> DataFrame:
+    """One row: the metric string of a run, from those of its ranges."""
+    titles = [title(c) for c in REGISTERED[kind]]
+    rows = ranges.select(parsed(F.col("run_info")).alias("_n"))
+    sums = rows.agg(*(F.coalesce(F.sum(F.try_element_at("_n", F.lit(t))), F.lit(0)).cast("long").alias(column(c)) for t, c in zip(titles, REGISTERED[kind], strict=True)))
+    return sums.select(metrics_string(kind).alias("run_info"))

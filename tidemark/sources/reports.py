@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.mapping import quoted
-from tidemark.operators.reconcile import MISMATCH, MISSING, detail
+from tidemark.operators.reconcile import ERROR, MISMATCH, MISSING, detail
 
 
 #: The beginnings of log lines, which tools that read the log look for.
@@ -14,6 +14,7 @@ MISSING_LINE = "Missing target row found for key: "
 MISMATCH_LINE = "Mismatch row found for key: "
 INSERTED_LINE = "Inserted missing row in target: "
 CORRECTED_LINE = "Corrected mismatch row in target: "
+SKIPPED_COUNTER_LINE = "autocorrect.missing is true, but not Inserting as autocorrect.missing_counter is not enabled; key : "
 
 
 def key_text(key: list[str]) -> Column:
@@ -37,11 +38,12 @@ def csv_rows(records: DataFrame) -> DataFrame:
     return records.select("run_id", "range.min", "range.max", "key", "kind", F.explode_outer("columns").alias("c")).select("run_id", "min", "max", "key", "kind", "c.column", "c.origin", "c.target", "c.error")
 
 
-def log_lines(validated: DataFrame, key: list[str], corrected_missing: bool = False, corrected_mismatch: bool = False) -> DataFrame:
-    """The key and the lines that a row gives: what was found, then what was done about it."""
+def log_lines(validated: DataFrame, key: list[str], corrected_missing: bool = False, corrected_mismatch: bool = False, skipped_counters: bool = False) -> DataFrame:
+    """The key and the lines that a row gives: what was found, then what was done about it. ``skipped_counters``: missing rows of a
+    counter table, which autocorrect leaves out unless it is told not to."""
     text = key_text(key)
     found = F.when(F.col("outcome") == MISSING, F.concat(F.lit(MISSING_LINE), text)).when(F.col("outcome") == MISMATCH, F.concat(F.lit(MISMATCH_LINE), text, F.lit(" Mismatch: "), detail(F.col("differences"))))
-    done = F.when((F.col("outcome") == MISSING) & F.lit(corrected_missing), F.concat(F.lit(INSERTED_LINE), text)).when((F.col("outcome") == MISMATCH) & F.lit(corrected_mismatch), F.concat(F.lit(CORRECTED_LINE), text))
+    done = F.when((F.col("outcome") == MISSING) & F.lit(skipped_counters), F.concat(F.lit(SKIPPED_COUNTER_LINE), text)).when((F.col("outcome") == MISSING) & F.lit(corrected_missing), F.concat(F.lit(INSERTED_LINE), text)).when((F.col("outcome") == MISMATCH) & F.lit(corrected_mismatch), F.concat(F.lit(CORRECTED_LINE), text))
     return validated.where(F.col("outcome").isin(MISSING, MISMATCH)).select(*map(quoted, key), F.posexplode(F.array_compact(F.array(found, done))).alias("n", "line"))
 
 
@@ -61,12 +63,45 @@ EVENTS = "at timestamp, run_id long, node_id string, type string, token_min long
 def range_events(details: DataFrame, node: str = "spark") -> DataFrame:
     """RangeStarted and RangeCompleted events of a run's ranges."""
     kind = F.when(F.col("status") == "STARTED", "RangeStarted").otherwise("RangeCompleted")
-    return details.where("status <> 'NOT_STARTED'").select(F.col("start_time").alias("at"), "run_id", F.lit(node).alias("node_id"), kind.alias("type"), "token_min", "token_max", "status", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("message"), F.lit(None).cast("long").alias("rows"))
+    return events(details.where("status <> 'NOT_STARTED'"), node, at=F.col("start_time"), run_id=F.col("run_id"), type=kind, token_min=F.col("token_min"), token_max=F.col("token_max"), status=F.col("status"))
 
 
-def summary(totals: DataFrame, plan: DataFrame, options: str) -> DataFrame:
-    """One row: counters, plan, discrepancies outstanding, and a hash of the job's options."""
+def events(frame: DataFrame, node: str = "spark", /, **known: Column) -> DataFrame:
+    """Events of the rows: the columns given, and null for the others of EVENTS."""
+    kinds = [part.strip().split(" ") for part in EVENTS.split(",")]
+    known = {"node_id": F.lit(node)} | known
+    return frame.select(*(known.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds))
+
+
+def run_events(info: DataFrame, node: str = "spark") -> DataFrame:
+    """RunStarted and RunCompleted events of the tracked runs."""
+    started = F.col("status") == "STARTED"
+    at = F.when(started, F.col("start_time")).otherwise(F.coalesce("end_time", "start_time"))
+    return events(info.where("status <> 'NOT_STARTED'"), node, at=at, run_id=F.col("run_id"), type=F.when(started, "RunStarted").otherwise("RunCompleted"), status=F.col("status"), message=F.col("run_info"))
+
+
+def discrepancy_events(validated: DataFrame, key: list[str], run_id: int, at: Column, node: str = "spark") -> DataFrame:
+    """A Discrepancy event for each missing or differing row, and an Error event for each row that couldn't be compared."""
+    rows = validated.where(F.col("outcome").isin(MISSING, MISMATCH, ERROR))
+    wrong = F.col("outcome") == ERROR
+    return events(rows, node, at=at, run_id=F.lit(run_id), type=F.when(wrong, "Error").otherwise("Discrepancy"), kind=F.when(~wrong, F.lower("outcome")), message=F.concat(key_text(key), F.lit(" "), detail(F.col("differences"))), rows=F.lit(1))
+
+
+def warning_events(diagnostics: DataFrame, key: list[str], run_id: int, at: Column, node: str = "spark") -> DataFrame:
+    """A Warning event for each row in which the guardrail found something."""
+    return events(diagnostics, node, at=at, run_id=F.lit(run_id), type=F.lit("Warning"), message=F.concat(key_text(key), F.lit(" "), F.col("report")), rows=F.lit(1))
+
+
+def summary(totals: DataFrame, plan: DataFrame, options: str, log: DataFrame | None = None) -> DataFrame:
+    """One row: counters, plan, discrepancies outstanding, and a hash of the job's options; with the run's events (``log``) also its
+    timing (started, ended, seconds) and its nodes, with the ranges that each completed."""
     left = (F.col("n_missing") - F.col("n_corrected_missing")) + (F.col("n_mismatch") - F.col("n_corrected_mismatch"))
     counters = F.struct(*(c for c in totals.columns if c.startswith("n_")))
     one = totals.select(F.lit(1).alias("_one"), F.sha2(F.lit(options), 256).alias("config_hash"), counters.alias("counters"), left.alias("outstanding"))
-    return one.join(plan.select(F.lit(1).alias("_one"), F.struct(*plan.columns).alias("plan")), "_one").drop("_one")
+    out = one.join(plan.select(F.lit(1).alias("_one"), F.struct(*plan.columns).alias("plan")), "_one")
+    if log is not None:
+        by_node = log.groupBy("node_id").agg(F.min("at").alias("started"), F.max("at").alias("ended"), F.count_if(F.col("type") == "RangeCompleted").alias("n_ranges"))
+        span = F.struct(F.min("started").alias("started"), F.max("ended").alias("ended"), (F.unix_seconds(F.max("ended")) - F.unix_seconds(F.min("started"))).alias("seconds"))
+        timed = by_node.agg(F.lit(1).alias("_one"), span.alias("timing"), F.array_sort(F.collect_list(F.struct("node_id", "n_ranges"))).alias("nodes"))
+        out = out.join(timed, "_one")
+    return out.drop("_one")

@@ -14,7 +14,8 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 
 def once_per_range(events: DataFrame, late: str = "10 seconds") -> DataFrame:
-    """Events without repeats: a range that completes twice counts once."""
+    """Events without repeats within ``late``, which is to be longer than a range's retry may take: a range that completes twice
+    counts once."""
     return events.withWatermark("at", late).dropDuplicatesWithinWatermark(["run_id", "type", "token_min"])
 
 
@@ -33,10 +34,3 @@ def run_to_files(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
     query = df.writeStream.format("parquet").option("path", f"{path}/rows").outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
-
-
-def run_available(df: DataFrame, table: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Processes what is there and gives the result as a table in memory (for tests and small monitors)."""
-    query = df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return df.sparkSession.table(table)
