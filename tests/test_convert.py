@@ -117,3 +117,12 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, "a" * 10)], "id long, v string")
     r = jobs.profile(df, TableSpec.of(df, "t", ["id"])).first()
     assert (r.n_rows, r.n_bytes, r.num_parts, r.batch_size) == (1, 18, 1000, 1)
+
+
+def test_addresses_and_times_stand_without_quotes(spark):
+    one = spark.range(1)
+    value = lambda text, kind: one.select(C.literal(text, T._parse_datatype_string(kind)).alias("x")).first().x
+    assert value("10.0.0.1", "string") == "10.0.0.1" and value("2001:DB8::1", "string") == "2001:db8::1" and value("12:30:59.5", "string") == "12:30:59.5"
+    for text, kind in (("25:00:00", "string"), ("plain", "string"), ("123456", "decimal(5,0)"), ("300", "tinyint")):
+        with pytest.raises(ValueError):
+            C.literal(text, T._parse_datatype_string(kind))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import reconcile
+from tidemark.operators import merge, reconcile
 from tidemark.operators.mapping import Mapping
 from tidemark.plans import jobs, tracking
 from tidemark.spec import Explode, Extract, JobSpec, SpecError, TableSpec
@@ -141,3 +141,131 @@ def test_times_without_zone_are_compared_and_measured(spark):
     t = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-01 00:00:00.123999' AS at")
     assert reconcile.validate(o, t, ["id"]).first().outcome == "VALID"
     assert jobs.profile(o, TableSpec.of(o, "o", ["id"])).first().n_bytes == 12
+
+
+def test_targets_with_shared_keys_are_refused(spark):
+    o = spark.createDataFrame([(1, "a")], "k int, v string")
+    t = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    spec = TableSpec.of(o, "t", ["k"])
+    with pytest.raises(jobs.DuplicateKeys):
+        jobs.validate(o, t, spec, spec, JobSpec())
+    with pytest.raises(jobs.DuplicateKeys):
+        jobs.autocorrect(o, t, spec, spec, JobSpec(autocorrect_missing=True))
+    with pytest.raises(jobs.DuplicateKeys):
+        jobs.autocorrect(t, o, spec, spec, JobSpec(autocorrect_missing=True))
+
+
+def test_autocorrect_without_repairs_changes_nothing(spark):
+    o = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, v string")
+    t = spark.createDataFrame([("b", "z"), ("c", "w")], "k string, v string")
+    spec = TableSpec.of(o, "t", ["k"])
+    checked, after = jobs.autocorrect(o, t, spec, spec, JobSpec())
+    assert rows(checked, "k", "outcome") == [("a", "MISSING"), ("b", "MISMATCH")] and rows(after) == rows(t)
+    _, after = jobs.autocorrect(o, t, spec, spec, JobSpec(autocorrect_mismatch=True))
+    assert rows(after) == [("b", "y"), ("c", "w")]
+
+
+def test_null_map_values_are_stripped_if_asked_for(spark):
+    o = spark.sql("SELECT 1 AS k, map('a', 1, 'b', null) AS m")
+    spec = TableSpec.of(o, "t", ["k"])
+    assert [jobs.migrate(o, spec, spec, JobSpec(strip_null_map_values=on)).writes.first().m for on in (False, True)] == [{"a": 1, "b": None}, {"a": 1}]
+
+
+def test_names_with_backticks_are_merged_and_compared(spark):
+    o = spark.createDataFrame([(1, "a")], "k int, v string").toDF("k`1", "v.`x")
+    spec = TableSpec.of(o, "t", ["k`1"])
+    job = JobSpec(autocorrect_missing=True)
+    assert rows(jobs.migrate(o, spec, spec, job).merged(o.limit(0))) == [(1, "a")]
+    checked, after = jobs.autocorrect(o, o.limit(0), spec, spec, job)
+    assert [r.outcome for r in checked.collect()] == ["MISSING"] and rows(after) == [(1, "a")]
+    assert [r.outcome for r in reconcile.keys_only(o, o, ["k`1"]).collect()] == ["VALID"]
+    assert reconcile.snapshot_diff(o, o, ["k`1"]).count() == 0
+
+
+def test_rows_are_batched_as_they_arrive(spark):
+    got = merge.arrival_batches(spark.range(10).coalesce(1), 4).groupBy("batch_no").count().orderBy("batch_no").collect()
+    assert [r["count"] for r in got] == [4, 4, 2]
+
+
+def test_filters_that_cannot_decide_give_errors(spark):
+    o = spark.createDataFrame([(1, "5"), (2, "x"), (3, "50")], "k int, v string")
+    spec = TableSpec.of(o, "t", ["k"])
+    number = F.col("v").try_cast("int")
+    own = jobs.Extensions(filters=[("small", number < 10, number.isNull())])
+    done = jobs.migrate(o, spec, spec, JobSpec(), extensions=own)
+    assert rows(done.counters()) == [(3, 1, 1, 1)] and rows(done.every, "k", "outcome") == [(1, "WRITE"), (2, "ERROR"), (3, "SKIPPED")]
+
+
+def test_guardrail_modes(spark):
+    o = spark.createDataFrame([(1, "x" * 20), (2, "y")], "k int, v string")
+    spec = TableSpec.of(o, "t", ["k"])
+    for mode, written in (("check", 2), ("warn", 2), ("block", 1)):
+        done = jobs.migrate(o, spec, spec, JobSpec(guardrail_kb=0.01, guardrail_mode=mode))
+        assert done.counters().first().n_write == written and rows(done.diagnostics()) == [(1, mode == "block", "Large columns (KB): v(0.02)")]
+
+
+def test_deeply_nested_values_are_converted(spark):
+    o = spark.sql("SELECT 1 AS k, map('1', array(array('1', '2'), array('3'))) AS m UNION ALL SELECT 2, map('1', array(array('x'))) UNION ALL SELECT 3, map('1', null, '01', null)")
+    target = TableSpec("t", T._parse_datatype_string("k int, m map<int,array<array<int>>>"), ("k",))
+    done = jobs.migrate(o, TableSpec.of(o, "o", ["k"]), target, JobSpec(codecs=frozenset({"INT_STRING"})))
+    assert rows(done.rows, "k", "outcome") == [(1, "WRITE"), (2, "ERROR"), (3, "ERROR")] and done.writes.first().m == {1: [[1, 2], [3]]}
+
+
+def test_registered_jobs_are_run(spark):
+    registry = jobs.JobRegistry()
+
+    @registry.job("count")
+    def count(spark, job, extensions, n):
+        return extensions.transformed(spark.range(n)).count()
+
+    registry.transform(lambda df: df.where("id > 1"))
+    assert registry.run("count", spark, JobSpec(), n=5) == 3
+    with pytest.raises(ValueError):
+        registry.run("nothing", spark, JobSpec())
+
+
+@pytest.fixture
+def tokens(spark):
+    o = spark.createDataFrame([(n, f"v{n}", n * 10) for n in range(40)], "k int, v string, token long")
+    plan = spark.createDataFrame([(0, 99), (100, 199), (200, 299), (300, 499)], "token_min long, token_max long")
+    return o, plan, TableSpec("t", T._parse_datatype_string("k int, v string"), ("k",)), TableSpec.of(o, "o", ["k"])
+
+
+def test_runs_are_recorded_and_resumed(spark, tokens, tmp_path):
+    o, plan, spec, origin = tokens
+    log = tracking.RunLog(spark, str(tmp_path / "log"))
+    assert log.info().count() == 0
+    target = o.select("k", "v").where("k <> 12")
+    check = lambda run_id, prev=0: lambda part: jobs.recorded_validate(log, run_id, part, o, "token", target, origin, spec, JobSpec(), prev)
+    check(1)(plan)
+    assert [(r.token_min, r.status) for r in tracking.latest_ranges(log.details()).orderBy("token_min").collect()] == [(0, "PASS"), (100, "DIFF"), (200, "PASS"), (300, "PASS")]
+    assert log.details().count() == 12  # each range: not started, started, ended
+    with pytest.raises(ValueError):
+        check(1)(plan)
+    assert jobs.resume(log, "t", 1, 2, 2, False, check(2, 1)).count() == 0
+    assert [(r.token_min, r.token_max, r.status) for r in tracking.latest_ranges(log.details().where("run_id = 2")).orderBy("token_min").collect()] == [(100, 149, "DIFF"), (150, 199, "PASS")]
+    run = tracking.latest_runs(log.info()).first()
+    assert (run.run_id, run.prev_run_id, run.status, run.run_type) == (2, 1, "ENDED", "VALIDATE") and "Read: 10; Mismatch: 0; Corrected Mismatch: 0; Missing: 1;" in run.run_info
+    held_back = jobs.resume(log, "t", 1, 3, 1, True, lambda part: None)
+    assert [(r.token_min, r.state) for r in held_back.collect()] == [(100, "quarantined")]
+
+
+def test_recorded_migrations_and_failed_ranges(spark, tokens, tmp_path):
+    o, plan, spec, origin = tokens
+    log = tracking.RunLog(spark, str(tmp_path / "log"))
+    done, ended = jobs.recorded_migrate(log, 1, plan, o, "token", origin, spec, JobSpec(where="k % 2 = 0"))
+    assert done.writes.count() == 20 and {r.status for r in ended.collect()} == {"PASS"}
+    assert tracking.latest_runs(log.info()).first().run_info == "Read: 40; Write: 20; Skipped: 20; Error: 0; Partitions Passed: 4; Partitions Failed: 0"
+    failed = spark.createDataFrame([(100,)], "token_min long")
+    half = done.counters(["token_min"]).withColumn("n_write", F.when(F.col("token_min") == 100, 2).otherwise(F.col("n_write")))
+    got = {r.token_min: (r.status, r.run_info) for r in jobs.recorded(log, "t", 2, "migrate", plan, half, 1, failed).collect()}
+    assert got[100] == ("FAIL", "Read: 10; Write: 2; Skipped: 5; Error: 3; Partitions Passed: 0; Partitions Failed: 1") and got[0][0] == "PASS"
+    assert [r.run_id for r in tracking.to_adopt(log.info()).collect()] == [2]
+    large = jobs.recorded_guardrail(log, 3, plan, o.withColumn("v", F.when(F.col("k") == 5, F.repeat(F.lit("x"), 100)).otherwise(F.col("v"))), "token", origin, 0.05)
+    assert {r.token_min: r.status for r in large.collect()} == {0: "DIFF", 100: "PASS", 200: "PASS", 300: "PASS"}
+
+
+def test_ends_of_ranges_count_over_starts(spark):
+    details = spark.createDataFrame([("t", 1, None, 5, 9, s, "") for s in ("STARTED", "PASS", "NOT_STARTED")], tracking.RUN_DETAILS)
+    assert tracking.latest_ranges(details).first().status == "PASS"
+    assert tracking.pending(details, 1).count() == 0
