@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.session import remove, scratch_path
 
 #: Texts are handed to Python code in slices of about so many bytes, so that a task's memory doesn't follow the batch.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -175,7 +175,7 @@ class SegmentCoder:
 
     dtype = np.dtype("u1")
 
-    def __init__(self, slots: int = 1 << 22, most_units: int = 16_000_000) -> None:
+    def __init__(self, slots: int = 1 << 21, most_units: int = 8_000_000) -> None:
         self.slots, self.most_units = slots, most_units
         self.keys = np.zeros(slots, "u8")
         self.checks = np.zeros(slots, "u4")
