@@ -2,6 +2,9 @@
 near copies stays, the sources are mixed to target weights, and the result is packed into sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns the documents for the next one, which are written as Parquet and read again.
+The mixing stage reads documents as often as the target weights ask for, so the sources' shares of its output are those weights, and
+packing, which takes the shares of what it is given, fills every sequence to them.
+
 The stages' decisions have no SQL form (a learned classifier, a learned decision list, tokenized pieces), so ``ORACLE_SQL`` is None.
 """
 
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import jaccard_join, mixing, packing, quality, toxicity
-from tidemark.llm.common import materialise, table
+from tidemark.llm.common import discard, materialise, table
 from tidemark.llm.queries import BYTE_BPE
 
 
@@ -48,7 +51,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for n, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if n + 1 < len(STAGES):
             docs = materialise(docs, "pipeline-" + name.replace(" ", "-"))
+            discard(before)
     return docs
