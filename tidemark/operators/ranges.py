@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WIDE = "decimal(38,0)"
 #: What a fixed split falls back to when the ring is narrower than the number of parts.
@@ -151,8 +152,28 @@ def conflicts(ranges: DataFrame) -> DataFrame:
     return linked.where(F.col("next_min") <= F.col("max")).select("min", "max", "next_min")
 
 
+def floor_part(x: Column, step: int) -> Column:
+    """floor(x / step) of 64-bit integers, exactly and without overflow."""
+    bound = F.lit(step).cast("long")
+    return F.call_function("div", x, bound) - F.when(x % bound < 0, 1).otherwise(0)
+
+
 def assigned(rows: DataFrame, token: str, ranges: DataFrame) -> DataFrame:
-    """Rows with the range (of any plan) that holds their token; rows outside are left out."""
+    """Rows with the range (of any plan) that holds their token; rows outside are left out.
+
+    Ranges are cut into a grid of cells, about one for each; a row has one cell, so rows aren't repeated, and with up to
+    BROADCAST_RANGES ranges they aren't shuffled either. Tokens beyond 64 bits take the way of ``overlaps``."""
+    bounds = ranges.agg(F.min("min").alias("lo"), F.max("max").alias("hi"), F.count("*").alias("n")).first()
+    fits = bounds["n"] and -(1 << 63) <= int(bounds["lo"]) and int(bounds["hi"]) < 1 << 63
+    if fits and isinstance(rows.schema[token].dataType, T.IntegralType):
+        step = min(max(1, (int(bounds["hi"]) - int(bounds["lo"])) // bounds["n"] + 1), (1 << 63) - 1)
+        low, high = F.col("min").cast("long"), F.col("max").cast("long")
+        named = ranges.select("range_id", low.alias("_r_min"), high.alias("_r_max"), F.explode(F.sequence(floor_part(low, step), floor_part(high, step))).alias("_r_cell"))
+        if bounds["n"] <= BROADCAST_RANGES:
+            named = F.broadcast(named)
+        at = F.col("`" + token.replace("`", "``") + "`").cast("long")
+        met = rows.withColumn("_cell", floor_part(at, step)).join(named, (F.col("_cell") == F.col("_r_cell")) & (at >= F.col("_r_min")) & (at <= F.col("_r_max")))
+        return met.drop("_cell", "_r_cell", "_r_min", "_r_max")
     points = rows.withColumn("min", wide(F.col(token))).withColumn("max", wide(F.col(token)))
     named = ranges.select(F.col("range_id").alias("range_id"), F.col("min").alias("r_min"), F.col("max").alias("r_max"))
     return overlaps(points, named).drop("min", "max", "lo", "hi", "r_min", "r_max")
