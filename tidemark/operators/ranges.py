@@ -215,6 +215,14 @@ def plan_report(ranges: DataFrame, estimate: Column, rows_per_second: int) -> Da
     return ranges.agg(F.count("*").alias("n_ranges"), tokens.cast("string").alias("planned_tokens"), rows.alias("estimated_rows"), F.ceil(rows / rows_per_second).cast("long").alias("seconds"))
 
 
+def measured(rows: DataFrame, token: str, row_bytes: Column, cell: int) -> DataFrame:
+    """Estimates of a table by cells of the ring, as a cluster's statistics would give them: min, max, partitions, mean_bytes."""
+    number = F.floor(F.col(token) / F.lit(cell).cast("decimal(20,0)")).cast("long")
+    counted = rows.groupBy(number.alias("_cell")).agg(F.count("*").alias("partitions"), F.floor(F.avg(row_bytes)).cast("long").alias("mean_bytes"))
+    start = (wide(F.col("_cell")) * wide(cell)).cast(WIDE)
+    return counted.select(start.alias("min"), (start + wide(cell) - 1).cast(WIDE).alias("max"), "partitions", "mean_bytes")
+
+
 def mean_row_bytes(estimates: DataFrame) -> DataFrame:
     """Mean size weighted by partitions, whole number; null without any."""
     total = F.sum("partitions")

@@ -579,11 +579,7 @@ def ring_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and bytes of the orders by ring segment, as a cluster would estimate them."""
     orders = table(spark, sf_dir, "orders").select(tokens.token60("o_orderkey").alias("token"), F.length("o_orderpriority").alias("b"))
-    node = F.floor(F.col("token") / F.lit(CELL).cast("decimal(20,0)")).cast("long")
-    counted = orders.groupBy(node.alias("node")).agg(F.count("*").alias("partitions"), F.floor(F.avg("b")).cast("long").alias("mean_bytes"))
-    cell = F.lit(str(CELL)).cast("decimal(38,0)")
-    start = (F.col("node").cast("decimal(38,0)") * cell).cast("decimal(38,0)")
-    return counted.select(start.alias("min"), (start + cell - 1).cast("decimal(38,0)").alias("max"), "partitions", "mean_bytes")
+    return ranges.measured(orders, "token", F.col("b"), CELL)
 
 
 ESTIMATES = f"e AS (SELECT CAST(n AS HUGEINT) * {CELL} AS lo, CAST(n AS HUGEINT) * {CELL} + {CELL} - 1 AS hi, partitions, mean_bytes FROM (SELECT {TOKEN} // {CELL} AS n, count(*) AS partitions, CAST(floor(avg(length(o_orderpriority))) AS BIGINT) AS mean_bytes FROM orders GROUP BY 1))"
@@ -966,6 +962,47 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("type", "kind").agg(F.count("*").alias("n_events"))
 
 
+@query("""SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, CASE WHEN o_orderkey % 4 = 0 THEN 'PASS' WHEN o_orderkey % 4 = 1 THEN 'FAIL' WHEN o_orderkey % 4 = 2 THEN 'DIFF' ELSE 'DIFF_CORRECTED' END AS status, count(*) AS n_events FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1, 2""")
+def stream_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How ranges ended, counted from the event log as a stream."""
+    path = scratch_path(spark, "events")
+    events = reports.range_events(run_details(spark, sf_dir))
+    end = events.groupBy().agg(F.max("at").alias("at")).select((F.col("at") + F.expr("interval 1 hour")).alias("at"), F.lit(-1).cast("long").alias("run_id"), F.lit("RunCompleted").alias("type"))
+    events.unionByName(end, allowMissingColumns=True).write.json(f"{path}/log")
+    counted = monitor.run_to_files(monitor.statuses(monitor.read_events(spark, f"{path}/log")), f"{path}/out")
+    return counted.where("type = 'RangeCompleted'").groupBy("run_id", "status").agg(F.sum("n_events").cast("long").alias("n_events"))
+
+
+@query(f"""WITH {CHECKED}, n AS (SELECT count(*) FILTER (outcome <> 'VALID') AS n FROM v) SELECT CASE i WHEN 0 THEN '[' WHEN 1 THEN 'last' WHEN 2 THEN 'more' ELSE ']' END AS part, CASE WHEN i IN (0, 1, 3) THEN 1 ELSE n - 1 END AS n_lines FROM n, (SELECT unnest([0, 1, 2, 3]) AS i)""")
+def discrepancy_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the discrepancies' JSON array, hashed values in them: all but the last record end with a comma."""
+    lines = reports.json_array(reports.discrepancies(checked_orders(spark, sf_dir), ["o_orderkey"], 9))
+    record = F.from_json(F.regexp_replace("value", ",$", ""), "values_redacted boolean, kind string")
+    part = F.when(F.col("value").isin("[", "]"), F.col("value")).when(~record["values_redacted"] | ~record["kind"].isin("missing", "mismatch"), "bad").when(F.col("value").endswith(","), "more").otherwise("last")
+    return lines.groupBy(part.alias("part")).agg(F.count("*").alias("n_lines"))
+
+
+@query("""SELECT lang, count(*) AS n_read, count(*) FILTER (strlen(text) > 5000) AS n_large, CASE WHEN bool_or(strlen(text) > 5000) THEN 'DIFF' ELSE 'PASS' END AS status, CASE WHEN bool_or(strlen(text) > 5000) THEN 1 ELSE 0 END AS exit_code FROM documents GROUP BY lang""")
+def guardrail_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How guardrail runs over the documents of each language would end."""
+    documents = table(spark, sf_dir, "documents")
+    large = F.size(guardrail.oversized(documents, 5)) > 0
+    by = documents.groupBy("lang").agg(F.count("*").alias("n_read"), F.count_if(large).alias("n_large"))
+    no = F.lit(0)
+    return by.select("lang", "n_read", "n_large", metrics.run_status(F.lit(False), no, F.col("n_large")).alias("status"), metrics.exit_code(F.lit("ENDED"), no, no, F.col("n_large")).alias("exit_code"))
+
+
+@query(f"WITH {ORDERS_T} SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'lacking' WHEN o_orderkey % 89 = 0 THEN 'other price' ELSE 'same' END AS kind, count(t.o_orderkey) AS n_stored FROM orders LEFT JOIN t USING (o_orderkey) GROUP BY 1")
+def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dry run of a repair: the target stays as it was."""
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec.of(orders, "orders", ["o_orderkey"])
+    _, after = jobs.autocorrect(orders, orders_target(orders), spec, spec, JobSpec(autocorrect_missing=True, autocorrect_mismatch=True, dry_run=True))
+    both = orders.join(after.select(F.col("o_orderkey").alias("_key"), F.col("o_totalprice").alias("_price")), F.col("o_orderkey") == F.col("_key"), "left")
+    kind = F.when(F.col("_key").isNull(), "lacking").when(F.col("_price") != F.col("o_totalprice"), "other price").otherwise("same")
+    return both.groupBy(kind.alias("kind")).agg(F.count("_key").alias("n_stored"))
+
+
 @query("SELECT CAST(1700000001 AS BIGINT) AS started, CAST(1700000002 AS BIGINT) AS ended, CAST(1 AS BIGINT) AS seconds, count(*) FILTER (o_orderkey % 3 = 2) AS n_ranges FROM orders")
 def run_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When a run began and ended, and the ranges that its node completed, from its events."""

@@ -69,7 +69,10 @@ class Migration:
         return found.select(*map(quoted, self.mapping.target.key), (F.col("outcome") == "SKIPPED").alias("held_back"), guardrail.report(F.col("_large")).alias("report"))
 
     def merged(self, target: DataFrame, on_duplicate: str = "fail") -> DataFrame:
-        """The target after the job. Rows that share a target key are refused, or the latest of them is taken."""
+        """The target after the job (a dry run leaves it as it is). Rows that share a target key are refused, or the latest of them is
+        taken."""
+        if self.mapping.job.dry_run:
+            return target
         key, columns = list(self.mapping.target.key), [s.target for s in self.mapping.sources if s.target not in self.mapping.target.key]
         writes = self.writes
         if on_duplicate == "latest":
@@ -150,8 +153,10 @@ def validate(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, targe
 
 def autocorrect(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, extensions: Extensions | None = None) -> tuple[DataFrame, DataFrame]:
     """The validated rows, and the target after missing and differing rows were written again. One full outer join by key gives both
-    the outcomes and the repaired rows; rows that share a key on either side are refused."""
+    the outcomes and the repaired rows; rows that share a key on either side are refused. A dry run leaves the target as it is."""
     extensions = extensions or Extensions()
+    if job.dry_run:
+        return validate(origin, target, origin_spec, target_spec, job, extensions=extensions), target
     key = list(target_spec.key)
     missing = job.autocorrect_missing and (not target_spec.counters or job.autocorrect_missing_counter)
     if target_spec.counters:

@@ -114,6 +114,7 @@ class JobSpec:
     autocorrect_mismatch: bool = False
     autocorrect_missing_counter: bool = False
     strict_empty: bool = False
+    dry_run: bool = False
 
     @staticmethod
     def parse_rename(text: str) -> tuple[str, str]:

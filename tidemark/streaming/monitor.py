@@ -24,9 +24,10 @@ def per_second(events: DataFrame, late: str = "10 seconds") -> DataFrame:
     return once_per_range(events, late).groupBy(F.window("at", "1 second"), "run_id", "type").agg(F.count("*").alias("n_events"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows")).select(F.col("window.start").alias("second"), "run_id", "type", "n_events", "n_rows")
 
 
-def statuses(events: DataFrame) -> DataFrame:
-    """Completed ranges by status and discrepancies by kind, for complete or update mode."""
-    return events.groupBy("run_id", "type", "status", "kind").agg(F.count("*").alias("n_events"))
+def statuses(events: DataFrame, late: str = "10 seconds", every: str = "1 minute") -> DataFrame:
+    """Completed ranges by status and discrepancies by kind, and their rows, by window."""
+    counted = once_per_range(events, late).groupBy(F.window("at", every), "run_id", "type", "status", "kind").agg(F.count("*").alias("n_events"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"))
+    return counted.select(F.col("window.start").alias("at"), "run_id", "type", "status", "kind", "n_events", "n_rows")
 
 
 def run_to_files(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
