@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import quoted, text_or_empty
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same before lower-casing.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 EXACT, NAMED, HINT = 3, 2, 1
 #: What a detection of each priority says for a licence being stated.
@@ -546,10 +547,12 @@ def scan(docs: DataFrame, ruleset: list[Rule] | None = None, id_col: str = "doc_
     table = F.from_json(F.lit(rows), "array<struct<keyword:string,name:string,priority:int,label:string,pattern:string,base:boolean>>")
     found = docs.select(quoted(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     # lower-casing other letters too can only add keywords; the words themselves are exact
-    found = found.select("id", "text", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), F.lower("text").alias("low"))
-    found = found.withColumn("keywords", F.array_compact(F.array(*(F.when(F.contains("low", F.lit(k)), F.lit(k)) for k in keywords))))
-    exact = F.when(F.octet_length("text") == F.length("text"), F.col("low")).otherwise(F.translate("text", UPPER, LOWER))
-    words = F.when(F.size("keywords") > 0, F.concat(F.lit(" "), F.trim(F.regexp_replace(exact, SEPARATORS, " ")), F.lit(" ")))
+    found = found.select("id", F.trim(F.regexp_replace("text", BETWEEN, " ")).alias("spaced"), F.lower("text").alias("low"))
+    keyed = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(k)), F.lit(k)) for k in keywords)))
+    n_words = F.when(F.col("spaced") == "", 0).otherwise(spaces(F.col("spaced")) + 1).cast("long")
+    found = found.select("id", "spaced", n_words.alias("n_words"), keyed.alias("keywords"))
+    exact = F.when(F.octet_length("spaced") == F.length("spaced"), F.lower("spaced")).otherwise(F.translate("spaced", UPPER, LOWER))
+    words = F.when(F.size("keywords") > 0, F.concat(F.lit(" "), exact, F.lit(" ")))
     found = found.select("id", "n_words", "keywords", words.alias("words"))
     tried = F.filter(table, lambda r: F.array_contains("keywords", r["keyword"]) & F.contains(F.col("words"), r["name"]) & F.regexp_like("words", F.concat(F.lit("(?<= )(?:"), r["pattern"], F.lit(")(?= )"))))
     none = F.array().cast(f"array<{PLACE}>")
