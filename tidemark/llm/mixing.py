@@ -45,7 +45,10 @@ def order_hash(seed: str | Column, turn: Column, key: Column) -> Column:
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(quoted(id_col).alias("doc_id"), quoted(source_col).cast("string").alias("source"), F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"))
+    # words are what stands between runs of white space, which become one space each
+    spaced = docs.select(quoted(id_col).alias("doc_id"), quoted(source_col).cast("string").alias("source"), F.trim(F.regexp_replace(text_or_empty(text_col), r"[\x20\x09-\x0D]+", " ")).alias("spaced"))
+    words = F.length("spaced") - F.length(F.replace("spaced", F.lit(" "))) + 1
+    return spaced.select("doc_id", "source", F.when(F.col("spaced") == "", 0).otherwise(words).cast("long").alias("n_tokens"))
 
 
 def exponent(shares: Column, target_entropy: float, most_repeats: float) -> Column:
