@@ -560,7 +560,7 @@ def test_many_special_tokens_are_counted():
         assert counter.text_counts(text)[k - 1] == len(library.encode(text[:k], add_special_tokens=False).ids), text[:k]
 
 
-CLASHES = ["c0", "c1", "id", "text_2", "_wanted", "_gone", "_s_n_words", "_source", "_full", "_cut", "_copy", "_id", "_label", "a.b", "score", "label", "words", "root", "node", "kept", "base", "key", "count"]
+CLASHES = ["scratch", "tile", "list", "queue", "c0", "c1", "id", "text_2", "_wanted", "_gone", "_s_n_words", "_source", "_full", "_cut", "_copy", "_id", "_label", "a.b", "score", "label", "words", "root", "node", "kept", "base", "key", "count"]
 
 
 def clashing(docs):
@@ -570,8 +570,6 @@ def clashing(docs):
 def test_columns_with_clashing_names(spark, data):
     docs, labels = spark.read.parquet(f"{data}/documents.parquet").limit(80), spark.read.parquet(f"{data}/labels.parquet")
     both, labels = clashing(docs), clashing(labels)
-    import corpus_pipeline  # noqa: F401
-
     for f in (lambda d: licenses.licenses(d), lambda d: token_counts.token_counts(d, BYTE), lambda d: toxicity.toxicity(d, labels), lambda d: quality.quality(d, labels), lambda d: mixing.schedule(d), lambda d: jaccard_join.similarity_components(d), lambda d: packing.pack(d, BYTE), lambda d: media.stored_digests(media.store_bytes(d))):
         one, two = (sorted(map(str, f(d).collect())) for d in (docs, both))
         assert one == two
@@ -766,3 +764,14 @@ def test_long_texts_are_stored_as_pages(spark, monkeypatch):
     payload = media.payload_of(text)
     assert [r.payload_sha256 for r in got if r.doc_id == 1] == [hashlib.sha256(payload).hexdigest()] * 2
     assert len({(r.feature, r.media_sha256, r.n_bytes) for r in got if r.doc_id == 1}) == 1 and len(got) == 3
+
+
+def test_scratch_tables_are_removed(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x")], "a int, scratch string")
+    stored = common.materialise(df, "test")
+    path = stored.__dict__[common.SCRATCH].removeprefix("file:").replace("//", "/")
+    import os
+
+    assert os.path.isdir(path)
+    common.discard(df, stored)
+    assert not os.path.exists(path)

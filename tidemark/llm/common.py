@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import remove, scratch_path
 
+#: Under this name a frame of ``materialise`` holds its table's path.
+SCRATCH = "_tidemark_scratch"
 #: Texts are handed to Python code in slices of about so many bytes, so that a task's memory doesn't follow the batch.
 SLICE_BYTES = 500_000
 
@@ -37,14 +39,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    stored.scratch = path
+    stored.__dict__[SCRATCH] = path
     return stored
 
 
 def discard(*frames: DataFrame) -> None:
     """Deletes the tables of ``materialise`` that nothing reads any more; frames of other kinds are left alone."""
     for frame in frames:
-        if path := getattr(frame, "scratch", None):
+        if path := frame.__dict__.get(SCRATCH):
             remove(frame.sparkSession, path)
 
 
