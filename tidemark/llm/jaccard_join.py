@@ -21,8 +21,8 @@ of a set, all but the longest T - COMMON are enough to find every partner that s
    a list's most frequent component looks, by a binary search in the list sorted by size, for the sets whose sizes and ranks allow
    a link; pairs within a component need no look. They are verified too, so no link that joins anything is lost.
 
-Long lists are kept in parts (about the square root of their length, over LIST_ROWS, is their number), and every step above is
-dealt by parts, not by shingles: a passage that a third of all documents hold is the work of many tasks.
+Long lists are kept in parts (about the square root of their length, over LIST_ROWS, is their number), which all have the list's
+hubs, and every step above is dealt by parts, not by shingles: a passage that a third of all documents hold is the work of many tasks.
 
 Nulls and texts without words have empty sets and link with nothing. Rows with equal sets (repeated rows, exact copies) share a
 component. Rows with a null id are linked like others, and a component's id is its smallest id that isn't null. Other columns are
@@ -51,8 +51,7 @@ from tidemark.llm.components import components
 
 SHORT = 12
 COMMON = 3
-#: A list that should have more rows than this, by the sketch, is split into parts, as many as the square root of the ratio; a part
-#: has hubs of its own.
+#: A list that should have more rows than this, by the sketch, is split into parts, as many as the square root of the ratio.
 LIST_ROWS = 100
 CHUNK = 1 << 16
 #: Bytes of text whose words are hashed at a time.
@@ -293,8 +292,8 @@ def merged_rows(kind: int, rows: int, records: pa.Array | None = None, **columns
 
 
 def divided_lists(lists: DataFrame, join: Join) -> DataFrame:
-    """Short lists (one row for each query, with the sets of smaller nodes in the list), rows of long lists, pairs of a hub and
-    another set of a long list, and the hubs of lists in several parts (with the size class in ``parts``)."""
+    """Short lists (one row for each query, with the sets of smaller nodes in the list), rows of long lists (with the size class in
+    ``other``), pairs of a hub and another set of a long list, and of lists in several parts the first set of each part and class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in grouped(batches):
@@ -326,7 +325,7 @@ def divided_lists(lists: DataFrame, join: Join) -> DataFrame:
                 yield merged_rows(SHORT_LIST, len(head), held, node=node[query[head]], n=n[query[head]])
             rows = np.flatnonzero(long)
             if len(rows):
-                yield merged_rows(LONG_ROW, len(rows), token=token[rows], list=part[rows], parts=parts[rows], node=node[rows], n=n[rows], rank=rank[rows])
+                yield merged_rows(LONG_ROW, len(rows), token=token[rows], list=part[rows], parts=parts[rows], node=node[rows], n=n[rows], rank=rank[rows], other=join.size_class(n[rows]))
                 group = of[rows].astype("i8") * 1000 + join.size_class(n[rows])
                 order = np.lexsort((-n[rows], rank[rows], group))
                 rows, group = rows[order], group[order]
@@ -334,8 +333,8 @@ def divided_lists(lists: DataFrame, join: Join) -> DataFrame:
                 hub = rows[np.repeat(head, np.diff(np.append(head, len(rows))))]
                 far = rows[head][parts[rows[head]] > 1]
                 if len(far):
-                    yield merged_rows(PART_HUB, len(far), token=token[far], node=node[far], n=n[far], rank=rank[far], parts=join.size_class(n[far]))
-                ok = (hub != rows) & (n[hub] <= cap[rows]) & (n[rows] <= cap[hub])
+                    yield merged_rows(PART_HUB, len(far), token=token[far], parts=parts[far], node=node[far], n=n[far], rank=rank[far], other=join.size_class(n[far]))
+                ok = (hub != rows) & (parts[rows] == 1) & (n[hub] <= cap[rows]) & (n[rows] <= cap[hub])
                 yield merged_rows(HUB_PAIR, int(ok.sum()), node=node[hub[ok]], other=node[rows[ok]])
 
     # sorted by node within a list, so that copies of one set stand together
@@ -460,11 +459,13 @@ def candidates(merged: DataFrame, join: Join) -> DataFrame:
     found = [short.where("missing = 0").select("a", "b"), merged.where(F.col("kind") == HUB_PAIR).select(F.col("node").alias("a"), F.col("other").alias("b"))]
     if not weak.isEmpty():
         found.append(probe_long(merged, weak))
-    # the hubs of a list's parts are compared with the first of them
-    hubs = merged.where(F.col("kind") == PART_HUB).select("token", F.col("parts").alias("class"), "node", "n", "rank")
-    top = hubs.groupBy("token", "class").agg(F.min(F.struct("rank", "n", "node")).alias("top"))
-    met = hubs.join(top, ["token", "class"]).where((F.col("node") != F.col("top.node")) & join.allowed("n", "rank", "top.n", "top.rank"))
-    found.append(met.select(F.col("node").alias("a"), F.col("top.node").alias("b")))
+    # a list in several parts has one hub for each class, which all its parts are compared with
+    firsts = merged.where(F.col("kind") == PART_HUB).groupBy("token", "other").agg(F.max("parts").alias("parts"), F.min(F.struct("rank", "n", "node")).alias("top"))
+    hubs = firsts.select("token", "parts", F.col("other").alias("class"), F.col("top.node").alias("hub"), F.col("top.n").alias("hub_n"), F.col("top.rank").alias("hub_rank"))
+    hubs = hubs.mapInArrow(tiles("list", "token"), "list long, token long, parts int, class long, hub long, hub_n int, hub_rank int").select(F.col("list").alias("_list"), "class", "hub", "hub_n", "hub_rank")
+    rows = merged.where((F.col("kind") == LONG_ROW) & (F.col("parts") > 1))
+    met = rows.join(hubs, (F.col("list") == F.col("_list")) & (F.col("other") == F.col("class"))).where((F.col("node") != F.col("hub")) & join.allowed("n", "rank", "hub_n", "hub_rank"))
+    found.append(met.select(F.col("node").alias("a"), F.col("hub").alias("b")))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
