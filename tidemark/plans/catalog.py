@@ -712,6 +712,16 @@ def ended_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.by_status(rows).select("status", "n_ranges")
 
 
+@query(f"""WITH p AS (SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
+  CAST(coalesce(sum(o_orderkey % 9 + 1) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')), 0) AS BIGINT) AS weight_done FROM orders GROUP BY 1), f AS (SELECT *, weight_done / weight AS f FROM p)
+SELECT run_id, n_done, CAST(CASE WHEN f >= 0.02 AND n_done >= 16 THEN floor((600 + run_id) * (1 - f) / f) END AS BIGINT) AS seconds_left FROM f""")
+def progress_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time that the tracked runs will still take, by the weight that they have done."""
+    weights = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("token_min"), (F.col("o_orderkey") % 9 + 1).alias("weight"))
+    elapsed = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).cast("long").alias("run_id")).distinct().withColumn("elapsed_s", 600 + F.col("run_id"))
+    return tracking.progress(run_details(spark, sf_dir), weights, elapsed).select("run_id", "n_done", "seconds_left")
+
+
 BY_RANGE = f"""{CHECKED}, {SPLIT}, w AS (SELECT outcome, {TOKEN} AS token FROM v),
 a1 AS (SELECT CAST(1 AS BIGINT) AS run_id, "min" AS lo, "max" AS hi, count(outcome) AS n, count(*) FILTER (outcome = 'MISMATCH') AS mi, count(*) FILTER (outcome = 'MISSING') AS ms, count(*) FILTER (outcome = 'VALID') AS va FROM r LEFT JOIN w ON token BETWEEN "min" AND "max" GROUP BY ALL),
 p1 AS (SELECT lo + i * (size + 1) AS lo, least(lo + i * (size + 1) + size, hi) AS hi FROM (SELECT *, unnest(generate_series(0, CAST((hi - lo) // (size + 1) AS BIGINT))) AS i FROM (SELECT *, (hi - lo) // 3 AS size FROM a1 WHERE mi + ms > 0))),
@@ -1078,6 +1088,16 @@ def convert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", total.cast("long").alias("list_sum"), F.size(lists.value).alias("list_size"), F.size(sets.value).alias("set_size"), F.try_element_at(maps.value, F.lit(1)).alias("map_value"), structs.value["a"].alias("by_name"), F.coalesce(maps.failed, F.lit(False)).alias("failed"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey % 1000 AS INTEGER) END AS first, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS second, o_orderkey % 13 = 0 AS failed FROM orders""")
+def convert_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tuples, whose elements are converted by position; a tuple with a bad element is an error of its row."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.struct(F.when(key % 13 == 0, "x").otherwise((key % 1000).cast("string")).alias("_1"), F.col("o_custkey").cast("string").alias("_2")).alias("t"))
+    done = C.convert(F.col("t"), orders.schema["t"].dataType, T._parse_datatype_string("struct<_1:int,_2:bigint>"), C.builtin(frozenset({"INT_STRING", "BIGINT_STRING"})))
+    good = lambda c: F.when(~done.failed, done.value[c])
+    return orders.select("o_orderkey", good("_1").alias("first"), good("_2").alias("second"), done.failed.alias("failed"))
+
+
 @query("SELECT count(*) AS n_write, count(*) AS n_stored, TRUE AS complete FROM part")
 def completion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A migration into an empty target: its own count against the target's rows."""
