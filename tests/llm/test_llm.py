@@ -775,3 +775,9 @@ def test_scratch_tables_are_removed(spark, tmp_path):
     assert os.path.isdir(path)
     common.discard(df, stored)
     assert not os.path.exists(path)
+
+
+def test_turns_without_a_conversation_stand_alone(spark):
+    df = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, 0, "user", "x" * 3_000_000)], "conv_id long, turn long, role string, text string")
+    got = chat.read_back(chat.format_chats(df)).collect()
+    assert sorted((r.conv_id or 0, r.n_turns, r.loss_chars) for r in got) == [(0, 1, 0), (0, 1, 0), (0, 1, 1), (1, 1, 0)]

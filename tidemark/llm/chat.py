@@ -9,9 +9,10 @@ Marks contain "<"; inside texts and roles the escape character, "<" and ">" are
 that no text can hold a mark, and ``parse_turns`` reads the turns back.
 
 Turns are taken in the order of (turn, role, text), nulls first, so ties have a fixed order and repeated rows stay repeated. Null
-texts and null roles are empty strings; a null conv_id is a conversation of its own. Other columns are ignored, whatever their
-names. An empty table gives an empty result. A conversation is one output row and is assembled in one task; its size, not the
-number of conversations, bounds that task's memory.
+texts and null roles are empty strings; each row with a null conv_id is a conversation of its own, so that however many there are,
+they don't meet in one task. Other columns are ignored, whatever their names. An empty table gives an empty result. A conversation
+is one output row and is assembled in one task; its size, very long texts included, not the number of conversations, bounds that
+task's memory.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import quoted
+
 
 @dataclass(frozen=True)
 class Template:
@@ -56,8 +59,9 @@ class Template:
 
 def conversations_of(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per conversation: its id and ``turns``, an array of (turn, role, text) in order."""
-    rows = turns.select(F.col(conv_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).alias("_turn"))
-    return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("_turn")).alias("turns"))
+    rows = turns.select(quoted(conv_col).alias("conv_id"), F.struct(quoted(turn_col).alias("turn"), F.coalesce(quoted(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text")).alias("_turn"))
+    rows = rows.withColumn("_row", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
+    return rows.groupBy("conv_id", "_row").agg(F.array_sort(F.collect_list("_turn")).alias("turns")).drop("_row")
 
 
 def check_order(turns: Column, template: Template) -> Column:
