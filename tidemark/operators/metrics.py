@@ -155,13 +155,13 @@ def smoothed(events: DataFrame, at: str, n: Column, spans: tuple[int, ...] = (1,
     An average is a weighted sum over the last seconds. For each span, time is cut into slots of ``MEMORY`` spans; a second stands in
     its slot and the next one, so a slot holds all that counts for its own seconds, and slots are worked on apart."""
     ticks = ticks_of(events, at, n)
-    first = ticks.agg(F.min("second").alias("_begin"))
+    first = ticks.agg(F.lit(1).alias("_one"), F.min("second").alias("_begin"))
     out = ticks
     for span in spans:
         size = MEMORY * span
         slot = F.floor(F.col("second") / size)
         alpha = 1 - math.exp(-1 / span)
-        own = ticks.join(F.broadcast(first)).select("second", F.when(F.col("second") == F.col("_begin"), F.lit(1.0)).otherwise(alpha).alias("_part"), "marks", F.explode(F.array(slot, slot + 1)).alias("_slot"))
+        own = ticks.withColumn("_one", F.lit(1)).join(F.broadcast(first), "_one").select("second", F.when(F.col("second") == F.col("_begin"), F.lit(1.0)).otherwise(alpha).alias("_part"), "marks", F.explode(F.array(slot, slot + 1)).alias("_slot"))
         age = (F.col("second") - F.col("_slot") * size) / F.lit(float(span))
         w = Window.partitionBy("_slot").orderBy("second")
         summed = F.sum(F.col("marks") * F.col("_part") * F.exp(age)).over(w) * F.exp(-age)

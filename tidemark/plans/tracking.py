@@ -192,7 +192,7 @@ class RunLog:
         ends = ranges.join(began, F.col("token_min") == F.col("_at")).select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"), "start_time", "token_min", "token_max", "status", metrics_string(kind).alias("run_info"))
         self._append(ends, "run_details", RUN_DETAILS)
         done = latest_ranges(self.details().where((F.col("run_id") == run_id) & (F.col("table_name") == table)))
-        self._append(self._last(table, run_id).crossJoin(run_totals(done, kind)).withColumn("end_time", F.current_timestamp()).withColumn("status", F.lit(status)), "run_info", RUN_INFO)
+        self._append(self._last(table, run_id).withColumn("_one", F.lit(1)).join(run_totals(done, kind).withColumn("_one", F.lit(1)), "_one").withColumn("end_time", F.current_timestamp()).withColumn("status", F.lit(status)), "run_info", RUN_INFO)
         return done
 
     def _last(self, table: str, run_id: int) -> DataFrame:

@@ -49,8 +49,8 @@ def log_lines(validated: DataFrame, key: list[str], corrected_missing: bool = Fa
 
 def json_array(records: DataFrame) -> DataFrame:
     """The records as the lines of one JSON array, in the order of their keys; part files one after another hold the array."""
-    end = records.agg(F.max("key").alias("_last"))
-    lines = records.select("key", F.to_json(F.struct(*records.columns)).alias("json")).join(F.broadcast(end))
+    end = records.agg(F.lit(1).alias("_one"), F.max("key").alias("_last"))
+    lines = records.select("key", F.to_json(F.struct(*records.columns)).alias("json"), F.lit(1).alias("_one")).join(F.broadcast(end), "_one")
     body = lines.select(F.lit(1).alias("_part"), "key", F.concat("json", F.when(F.col("key") == F.col("_last"), "").otherwise(",")).alias("value"))
     edges = records.sparkSession.range(2).select((F.col("id") * 2).cast("int").alias("_part"), F.lit(None).cast("string").alias("key"), F.when(F.col("id") == 0, "[").otherwise("]").alias("value"))
     return edges.unionByName(body).orderBy("_part", "key").select("value")
