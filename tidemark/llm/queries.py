@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, chat_sql, jaccard_join, licenses, media, mixing, mixing_sql, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import chat, chat_sql, jaccard_join, licenses, line_dedup, line_dedup_sql, media, mixing, mixing_sql, packing, periodic, quality, token_counts, token_files, toxicity, vector_codes, vector_codes_sql
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -62,6 +62,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"), least=40, copies=5)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(periodic.made_periodic(table(spark, sf_dir, "documents"))))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixture_packing": op1_mixture_packing,
@@ -74,6 +87,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_temperature_mixing": op8_temperature_mixing,
         "op9_tiff_media": op9_tiff_media,
         "op10_quality_rules": op10_quality_rules,
+        "op11_line_dedup": op11_line_dedup,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -81,4 +97,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": chat_sql.ORACLE,
         "op8_temperature_mixing": mixing_sql.ORACLE,
+        "op11_line_dedup": line_dedup_sql.ORACLE,
+        "op13_vector_codes": vector_codes_sql.ORACLE,
     }
