@@ -948,16 +948,28 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query("""SELECT CAST(1700000001 AS BIGINT) AS second, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeStarted' AS type, count(*) AS n_events FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 2
-UNION ALL SELECT 1700000002, CAST(o_custkey % 10 AS BIGINT), 'RangeCompleted', count(*) FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 2""")
-def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event log of the tracked ranges, written twice, and counted as a stream: repeats count once."""
+def streamed(spark: SparkSession, sf_dir: str, events: DataFrame, count: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The events as a log, each twice, the second time an hour later, and counted as a stream; a last event closes all windows."""
     path = scratch_path(spark, "events")
-    events = reports.range_events(run_details(spark, sf_dir))
-    end = events.groupBy().agg(F.max("at").alias("at")).select((F.col("at") + F.expr("interval 1 hour")).alias("at"), F.lit(-1).cast("long").alias("run_id"), F.lit("RunCompleted").alias("type"))
-    events.unionByName(events).unionByName(end, allowMissingColumns=True).write.json(f"{path}/log")
-    counted = monitor.run_to_files(monitor.per_second(monitor.read_events(spark, f"{path}/log")), f"{path}/out")
-    return counted.where("type <> 'RunCompleted'").select(F.unix_seconds("second").alias("second"), "run_id", "type", "n_events")
+    again = events.withColumn("at", F.col("at") + F.expr("interval 1 hour"))
+    end = spark.range(1).select(F.timestamp_seconds(F.lit(1_700_000_000 + 86_400)).alias("at"), F.lit(-1).cast("long").alias("run_id"), F.lit("RunCompleted").alias("type"))
+    events.write.json(f"{path}/log")
+    again.unionByName(end, allowMissingColumns=True).write.mode("append").json(f"{path}/log")
+    return monitor.run_to_files(count(monitor.read_events(spark, f"{path}/log")), f"{path}/out").where("run_id >= 0")
+
+
+def monitored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of the tracked ranges, and the discrepancies of a validation, as run 9 of another table."""
+    found = reports.discrepancy_events(checked_orders(spark, sf_dir), ["o_orderkey"], 9, F.timestamp_seconds(F.lit(1_700_000_005)), table="checked")
+    return reports.range_events(run_details(spark, sf_dir)).unionByName(found)
+
+
+@query(f"""SELECT 'orders' AS table_name, CAST(1700000001 AS BIGINT) AS second, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeStarted' AS type, count(*) AS n_events, CAST(0 AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 3
+UNION ALL SELECT 'orders', 1700000002, CAST(o_custkey % 10 AS BIGINT), 'RangeCompleted', count(*), CAST(sum(o_orderkey % 50) AS BIGINT) FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 3""")
+def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and rows by second from the event log of the tracked ranges: ranges that complete again an hour later count once."""
+    counted = streamed(spark, sf_dir, reports.range_events(run_details(spark, sf_dir)), monitor.per_second)
+    return counted.groupBy("table_name", F.unix_seconds("second").alias("second"), "run_id", "type").agg(F.sum("n_events").cast("long").alias("n_events"), F.sum("n_rows").cast("long").alias("n_rows"))
 
 
 @query(f"""WITH {CHECKED} SELECT 'Discrepancy' AS type, lower(outcome) AS kind, count(*) AS n_events FROM v WHERE outcome <> 'VALID' GROUP BY 2
@@ -972,23 +984,32 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("type", "kind").agg(F.count("*").alias("n_events"))
 
 
-@query("""SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, CASE WHEN o_orderkey % 4 = 0 THEN 'PASS' WHEN o_orderkey % 4 = 1 THEN 'FAIL' WHEN o_orderkey % 4 = 2 THEN 'DIFF' ELSE 'DIFF_CORRECTED' END AS status, count(*) AS n_events FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1, 2""")
+ENDS = """SELECT 'orders' AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeCompleted' AS type, CASE WHEN o_orderkey % 4 = 0 THEN 'PASS' WHEN o_orderkey % 4 = 1 THEN 'FAIL' WHEN o_orderkey % 4 = 2 THEN 'DIFF' ELSE 'DIFF_CORRECTED' END AS what, count(*) AS n_events, CAST(sum(o_orderkey % 50) AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 2, 4
+UNION ALL SELECT 'orders', CAST(o_custkey % 10 AS BIGINT), 'RangeStarted', 'STARTED', count(*), 0 FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 2
+UNION ALL SELECT 'checked', 9, 'Discrepancy', lower(outcome), count(*), count(*) FROM v WHERE outcome <> 'VALID' GROUP BY 4"""
+
+
+@query(f"WITH {CHECKED} {ENDS}")
 def stream_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How ranges ended, counted from the event log as a stream."""
-    path = scratch_path(spark, "events")
-    events = reports.range_events(run_details(spark, sf_dir))
-    end = events.groupBy().agg(F.max("at").alias("at")).select((F.col("at") + F.expr("interval 1 hour")).alias("at"), F.lit(-1).cast("long").alias("run_id"), F.lit("RunCompleted").alias("type"))
-    events.unionByName(end, allowMissingColumns=True).write.json(f"{path}/log")
-    counted = monitor.run_to_files(monitor.statuses(monitor.read_events(spark, f"{path}/log")), f"{path}/out")
-    return counted.where("type = 'RangeCompleted'").groupBy("run_id", "status").agg(F.sum("n_events").cast("long").alias("n_events"))
+    """How ranges ended, and discrepancies by kind, counted from the event log as a stream in which all comes again an hour later."""
+    counted = streamed(spark, sf_dir, monitored(spark, sf_dir), monitor.statuses)
+    return counted.groupBy("table_name", "run_id", "type", F.coalesce("status", "kind").alias("what")).agg(F.sum("n_events").cast("long").alias("n_events"), F.sum("n_rows").cast("long").alias("n_rows"))
+
+
+@query(f"""WITH {CHECKED}, e AS ({ENDS}), n AS (SELECT table_name, run_id, CAST(coalesce(sum(n_rows) FILTER (type = 'RangeCompleted'), 0) AS BIGINT) AS n_rows FROM e GROUP BY ALL)
+SELECT e.table_name, e.run_id, type || ':' || what AS what, n_events, n.n_rows, n.n_rows / 10 AS rows_per_second FROM e JOIN n USING (table_name, run_id)""")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running numbers of the tracked runs as their events' stream leaves them: events by kind, rows, and rows a second."""
+    last = monitor.latest_progress(streamed(spark, sf_dir, monitored(spark, sf_dir), monitor.progress))
+    return last.select("table_name", "run_id", F.explode("tallies").alias("what", "n_events"), "n_rows", "rows_per_second")
 
 
-@query(f"""WITH {CHECKED}, n AS (SELECT count(*) FILTER (outcome <> 'VALID') AS n FROM v) SELECT CASE i WHEN 0 THEN '[' WHEN 1 THEN 'last' WHEN 2 THEN 'more' ELSE ']' END AS part, CASE WHEN i IN (0, 1, 3) THEN 1 ELSE n - 1 END AS n_lines FROM n, (SELECT unnest([0, 1, 2, 3]) AS i)""")
+@query(f"""WITH {CHECKED}, n AS (SELECT count(*) FILTER (outcome <> 'VALID') AS n FROM v) SELECT CASE i WHEN 0 THEN '[' WHEN 1 THEN 'first' WHEN 2 THEN 'more' ELSE ']' END AS part, CASE WHEN i IN (0, 1, 3) THEN 1 ELSE n - 1 END AS n_lines FROM n, (SELECT unnest([0, 1, 2, 3]) AS i)""")
 def discrepancy_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines of the discrepancies' JSON array, hashed values in them: all but the last record end with a comma."""
+    """The lines of the discrepancies' JSON array, hashed values in them: all but the first record begin with a comma."""
     lines = reports.json_array(reports.discrepancies(checked_orders(spark, sf_dir), ["o_orderkey"], 9))
-    record = F.from_json(F.regexp_replace("value", ",$", ""), "values_redacted boolean, kind string")
-    part = F.when(F.col("value").isin("[", "]"), F.col("value")).when(~record["values_redacted"] | ~record["kind"].isin("missing", "mismatch"), "bad").when(F.col("value").endswith(","), "more").otherwise("last")
+    record = F.from_json(F.regexp_replace("value", "^,", ""), "values_redacted boolean, kind string")
+    part = F.when(F.col("value").isin("[", "]"), F.col("value")).when(~record["values_redacted"] | ~record["kind"].isin("missing", "mismatch"), "bad").when(F.col("value").startswith(","), "more").otherwise("first")
     return lines.groupBy(part.alias("part")).agg(F.count("*").alias("n_lines"))
 
 

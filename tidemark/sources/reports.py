@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.mapping import quoted
+from tidemark.operators.metrics import parsed, title
 from tidemark.operators.reconcile import ERROR, MISMATCH, MISSING, detail
 
 
@@ -48,12 +49,15 @@ def log_lines(validated: DataFrame, key: list[str], corrected_missing: bool = Fa
 
 
 def json_array(records: DataFrame) -> DataFrame:
-    """The records as the lines of one JSON array, in the order of their keys; part files one after another hold the array."""
-    end = records.agg(F.lit(1).alias("_one"), F.max("key").alias("_last"))
-    lines = records.select("key", F.to_json(F.struct(*records.columns)).alias("json"), F.lit(1).alias("_one")).join(F.broadcast(end), "_one")
-    body = lines.select(F.lit(1).alias("_part"), "key", F.concat("json", F.when(F.col("key") == F.col("_last"), "").otherwise(",")).alias("value"))
-    edges = records.sparkSession.range(2).select((F.col("id") * 2).cast("int").alias("_part"), F.lit(None).cast("string").alias("key"), F.when(F.col("id") == 0, "[").otherwise("]").alias("value"))
-    return edges.unionByName(body).orderBy("_part", "key").select("value")
+    """The records as the lines of one JSON array, in the order of their keys; part files one after another hold the array.
+
+    A comma stands before each record but the first, which is taken off once (``exceptAll``), so that records that share a key, or
+    are equal, keep their commas."""
+    lines = records.select("key", F.to_json(F.struct(*records.columns)).alias("value"))
+    first = lines.orderBy("key", "value").limit(1)
+    rest = lines.exceptAll(first).select(F.lit(2).alias("_part"), "key", F.concat(F.lit(","), "value").alias("value"))
+    edges = records.sparkSession.range(2).select((F.col("id") * 3).cast("int").alias("_part"), F.lit(None).cast("string").alias("key"), F.when(F.col("id") == 0, "[").otherwise("]").alias("value"))
+    return edges.unionByName(first.select(F.lit(1).alias("_part"), "key", "value")).unionByName(rest).orderBy("_part", "key", "value").select("value")
 
 
 def write(records: DataFrame, path: str, form: str = "json") -> None:
@@ -68,13 +72,17 @@ def write(records: DataFrame, path: str, form: str = "json") -> None:
 
 
 #: Run events: the schema in which they are written and read.
-EVENTS = "at timestamp, run_id long, node_id string, type string, token_min long, token_max long, status string, kind string, message string, rows long"
+EVENTS = "at timestamp, table_name string, run_id long, node_id string, type string, token_min long, token_max long, status string, kind string, key string, message string, rows long"
+#: What names an event among those of its run: a repeat has the same. A range ends once, whatever the status; other events are told
+#: apart by the key of their row.
+IDENTITY = ["table_name", "run_id", "type", "kind", "token_min", "key"]
 
 
 def range_events(details: DataFrame, node: str = "spark") -> DataFrame:
-    """RangeStarted and RangeCompleted events of a run's ranges."""
+    """RangeStarted and RangeCompleted events of a run's ranges; a completed one has the rows that were read."""
     kind = F.when(F.col("status") == "STARTED", "RangeStarted").otherwise("RangeCompleted")
-    return events(details.where("status <> 'NOT_STARTED'"), node, at=F.col("start_time"), run_id=F.col("run_id"), type=kind, token_min=F.col("token_min"), token_max=F.col("token_max"), status=F.col("status"))
+    read = F.when(kind == "RangeCompleted", F.try_element_at(parsed(F.col("run_info")), F.lit(title("READ"))))
+    return events(details.where("status <> 'NOT_STARTED'"), node, at=F.col("start_time"), table_name=F.col("table_name"), run_id=F.col("run_id"), type=kind, token_min=F.col("token_min"), token_max=F.col("token_max"), status=F.col("status"), rows=read)
 
 
 def events(frame: DataFrame, node: str = "spark", /, **known: Column) -> DataFrame:
@@ -88,19 +96,19 @@ def run_events(info: DataFrame, node: str = "spark") -> DataFrame:
     """RunStarted and RunCompleted events of the tracked runs."""
     started = F.col("status") == "STARTED"
     at = F.when(started, F.col("start_time")).otherwise(F.coalesce("end_time", "start_time"))
-    return events(info.where("status <> 'NOT_STARTED'"), node, at=at, run_id=F.col("run_id"), type=F.when(started, "RunStarted").otherwise("RunCompleted"), status=F.col("status"), message=F.col("run_info"))
+    return events(info.where("status <> 'NOT_STARTED'"), node, at=at, table_name=F.col("table_name"), run_id=F.col("run_id"), type=F.when(started, "RunStarted").otherwise("RunCompleted"), status=F.col("status"), message=F.col("run_info"))
 
 
-def discrepancy_events(validated: DataFrame, key: list[str], run_id: int, at: Column, node: str = "spark") -> DataFrame:
+def discrepancy_events(validated: DataFrame, key: list[str], run_id: int, at: Column, node: str = "spark", table: str | None = None) -> DataFrame:
     """A Discrepancy event for each missing or differing row, and an Error event for each row that couldn't be compared."""
     rows = validated.where(F.col("outcome").isin(MISSING, MISMATCH, ERROR))
     wrong = F.col("outcome") == ERROR
-    return events(rows, node, at=at, run_id=F.lit(run_id), type=F.when(wrong, "Error").otherwise("Discrepancy"), kind=F.when(~wrong, F.lower("outcome")), message=F.concat(key_text(key), F.lit(" "), detail(F.col("differences"))), rows=F.lit(1))
+    return events(rows, node, at=at, table_name=F.lit(table), run_id=F.lit(run_id), type=F.when(wrong, "Error").otherwise("Discrepancy"), kind=F.when(~wrong, F.lower("outcome")), key=key_text(key), message=F.concat(key_text(key), F.lit(" "), detail(F.col("differences"))), rows=F.lit(1))
 
 
-def warning_events(diagnostics: DataFrame, key: list[str], run_id: int, at: Column, node: str = "spark") -> DataFrame:
+def warning_events(diagnostics: DataFrame, key: list[str], run_id: int, at: Column, node: str = "spark", table: str | None = None) -> DataFrame:
     """A Warning event for each row in which the guardrail found something."""
-    return events(diagnostics, node, at=at, run_id=F.lit(run_id), type=F.lit("Warning"), message=F.concat(key_text(key), F.lit(" "), F.col("report")), rows=F.lit(1))
+    return events(diagnostics, node, at=at, table_name=F.lit(table), run_id=F.lit(run_id), type=F.lit("Warning"), key=key_text(key), message=F.concat(key_text(key), F.lit(" "), F.col("report")), rows=F.lit(1))
 
 
 def summary(totals: DataFrame, plan: DataFrame, options: str, log: DataFrame | None = None) -> DataFrame:
