@@ -131,9 +131,9 @@ def test_resume_refuses_and_quarantines(spark):
     info = spark.createDataFrame([("t", 1, "MIGRATE", 0, None, None, "", "NOT_STARTED")], tracking.RUN_INFO)
     details = spark.createDataFrame([], tracking.RUN_DETAILS)
     with pytest.raises(ValueError):
-        tracking.check_resumable(info, details, 1)
+        tracking.check_resumable(info, details, "t", 1)
     with pytest.raises(ValueError):
-        tracking.check_resumable(info, details, 2)
+        tracking.check_resumable(info, details, "t", 2)
 
 
 def test_times_without_zone_are_compared_and_measured(spark):
@@ -268,4 +268,4 @@ def test_recorded_migrations_and_failed_ranges(spark, tokens, tmp_path):
 def test_ends_of_ranges_count_over_starts(spark):
     details = spark.createDataFrame([("t", 1, None, 5, 9, s, "") for s in ("STARTED", "PASS", "NOT_STARTED")], tracking.RUN_DETAILS)
     assert tracking.latest_ranges(details).first().status == "PASS"
-    assert tracking.pending(details, 1).count() == 0
+    assert tracking.pending(details, "t", 1).count() == 0

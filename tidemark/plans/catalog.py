@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -640,10 +640,18 @@ def range_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Run tracking, over a log that the orders give
 
 
+TABLE = "CASE WHEN o_orderkey % 7 = 0 THEN 'more' ELSE 'orders' END"
+
+
+def range_table() -> Column:
+    return F.when(F.col("o_orderkey") % 7 == 0, "more").otherwise("orders")
+
+
 def run_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A status log: every order is a range of the run of its customer's last digit, with one to three status rows."""
+    """A status log of two tables with the same run ids: every order is a range of the run of its customer's last digit, with one to
+    three status rows."""
     key = F.col("o_orderkey")
-    log = table(spark, sf_dir, "orders").select(F.lit("orders").alias("table_name"), (F.col("o_custkey") % 10).cast("long").alias("run_id"), key.alias("token_min"), key.alias("token_max"), F.explode(F.sequence(F.lit(0), (key % 3).cast("int"))).alias("n"))
+    log = table(spark, sf_dir, "orders").select(range_table().alias("table_name"), (F.col("o_custkey") % 10).cast("long").alias("run_id"), key.alias("token_min"), key.alias("token_max"), F.explode(F.sequence(F.lit(0), (key % 3).cast("int"))).alias("n"))
     last = F.element_at(F.array(*map(F.lit, ("PASS", "FAIL", "DIFF", "DIFF_CORRECTED"))), (F.col("token_min") % 4).cast("int") + 1)
     text = F.when(F.col("n") == 2, F.concat(F.lit("Read: "), (F.col("token_min") % 50).cast("string"), F.lit("; Valid: "), (F.col("token_min") % 40).cast("string"), F.lit("; Odd: 5; Error: x")))
     return log.select("table_name", "run_id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("n")).alias("start_time"), "token_min", "token_max", F.when(F.col("n") == 0, "NOT_STARTED").when(F.col("n") == 1, "STARTED").otherwise(last).alias("status"), text.alias("run_info"))
@@ -661,14 +669,14 @@ def run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.concat(F.lit("t"), (key % 5).cast("string")).alias("table_name"), key.cast("long").alias("run_id"), kind.alias("run_type"), F.when(key >= 8, key - 7).otherwise(0).cast("long").alias("prev_run_id"), at.alias("start_time"), at.alias("end_time"), text.alias("run_info"), F.when(key % 6 == 0, "INTERRUPTED").otherwise("ENDED").alias("status"))
 
 
-@query(f"SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, {STATUS} AS status, count(*) AS n_ranges FROM orders GROUP BY 1, 2")
+@query(f"SELECT {TABLE} AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, {STATUS} AS status, count(*) AS n_ranges FROM orders GROUP BY 1, 2, 3")
 def runs_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.by_status(run_details(spark, sf_dir))
 
 
-@query(f"SELECT o_orderkey AS token_min, o_orderkey AS token_max, {STATUS} AS status, CASE WHEN {STATUS} = 'NOT_STARTED' THEN 'pending' ELSE 'quarantined' END AS state FROM orders WHERE o_custkey % 10 = 3 AND {STATUS} IN ('NOT_STARTED', 'STARTED', 'FAIL', 'DIFF')")
+@query(f"SELECT o_orderkey AS token_min, o_orderkey AS token_max, {STATUS} AS status, CASE WHEN {STATUS} = 'NOT_STARTED' THEN 'pending' ELSE 'quarantined' END AS state FROM orders WHERE {TABLE} = 'orders' AND o_custkey % 10 = 3 AND {STATUS} IN ('NOT_STARTED', 'STARTED', 'FAIL', 'DIFF')")
 def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.pending(run_details(spark, sf_dir), 3, writes_counters=True)
+    return tracking.pending(run_details(spark, sf_dir), "orders", 3, writes_counters=True)
 
 
 @query(f"""WITH p AS (SELECT {TOKEN} AS token, o_orderkey, o_custkey FROM orders), s AS (SELECT *, token // 18014398509481984 AS r FROM p)
@@ -680,26 +688,27 @@ def resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.resumed(rows, "token", work).select("o_orderkey")
 
 
-@query(f"SELECT o_orderkey AS token_min FROM orders WHERE o_custkey % 10 = 3 AND {STATUS} NOT IN ('PASS', 'DIFF_CORRECTED')")
+@query(f"SELECT o_orderkey AS token_min FROM orders WHERE o_custkey % 10 = 3 AND ({TABLE} = 'more' OR {STATUS} NOT IN ('PASS', 'DIFF_CORRECTED'))")
 def outstanding_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What run 3 of one table has left to do of all planned ranges; the same run of the other table has finished none of them."""
     planned = table(spark, sf_dir, "orders").where("o_custkey % 10 = 3").select(F.col("o_orderkey").alias("token_min"))
-    return tracking.outstanding(planned, run_details(spark, sf_dir), 3)
+    return tracking.outstanding(planned, run_details(spark, sf_dir), "orders", 3)
 
 
-@query("""SELECT token_min, token_max, status, state, n_pending FROM (SELECT o_orderkey AS token_min, o_orderkey AS token_max, %(s)s AS status, 'pending' AS state, count(*) OVER () AS n_pending FROM orders WHERE o_custkey %% 10 = 4 AND %(s)s IN ('NOT_STARTED', 'STARTED', 'FAIL', 'DIFF')) ORDER BY token_min LIMIT 20""" % {"s": STATUS})
+@query("""SELECT token_min, token_max, status, state, n_pending FROM (SELECT o_orderkey AS token_min, o_orderkey AS token_max, %(s)s AS status, 'pending' AS state, count(*) OVER () AS n_pending FROM orders WHERE o_orderkey %% 7 <> 0 AND o_custkey %% 10 = 4 AND %(s)s IN ('NOT_STARTED', 'STARTED', 'FAIL', 'DIFF')) ORDER BY token_min LIMIT 20""" % {"s": STATUS})
 def pending_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.pending_sample(run_details(spark, sf_dir), 4)
+    return tracking.pending_sample(run_details(spark, sf_dir), "orders", 4)
 
 
-@query("""SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, c AS counter, CAST(sum(n) AS BIGINT) AS n FROM (SELECT o_custkey, 'Read' AS c, o_orderkey % 50 AS n FROM orders WHERE o_orderkey % 3 = 2 UNION ALL SELECT o_custkey, 'Valid', o_orderkey % 40 FROM orders WHERE o_orderkey % 3 = 2) GROUP BY ALL""")
+@query(f"""SELECT {TABLE} AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, c AS counter, CAST(sum(n) AS BIGINT) AS n FROM (SELECT o_orderkey, o_custkey, 'Read' AS c, o_orderkey % 50 AS n FROM orders WHERE o_orderkey % 3 = 2 UNION ALL SELECT o_orderkey, o_custkey, 'Valid', o_orderkey % 40 FROM orders WHERE o_orderkey % 3 = 2) GROUP BY ALL""")
 def parse_run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.totals(run_details(spark, sf_dir))
 
 
-@query(f"""SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) AS n_ranges, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, count(*) FILTER ({STATUS} = 'NOT_STARTED') AS n_pending, count(*) FILTER ({STATUS} = 'STARTED') AS n_in_flight, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
-  CAST(coalesce(sum(o_orderkey % 9 + 1) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')), 0) AS BIGINT) AS weight_done FROM orders GROUP BY 1""")
+@query(f"""SELECT {TABLE} AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) AS n_ranges, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, count(*) FILTER ({STATUS} = 'NOT_STARTED') AS n_pending, count(*) FILTER ({STATUS} = 'STARTED') AS n_in_flight, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
+  CAST(coalesce(sum(o_orderkey % 9 + 1) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')), 0) AS BIGINT) AS weight_done FROM orders GROUP BY 1, 2""")
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("token_min"), (F.col("o_orderkey") % 9 + 1).alias("weight"))
+    weights = table(spark, sf_dir, "orders").select(range_table().alias("table_name"), F.col("o_orderkey").alias("token_min"), (F.col("o_orderkey") % 9 + 1).alias("weight"))
     return tracking.progress(run_details(spark, sf_dir), weights)
 
 
@@ -712,14 +721,14 @@ def ended_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.by_status(rows).select("status", "n_ranges")
 
 
-@query(f"""WITH p AS (SELECT CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
-  CAST(coalesce(sum(o_orderkey % 9 + 1) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')), 0) AS BIGINT) AS weight_done FROM orders GROUP BY 1), f AS (SELECT *, weight_done / weight AS f FROM p)
-SELECT run_id, n_done, CAST(CASE WHEN f >= 0.02 AND n_done >= 16 THEN floor((600 + run_id) * (1 - f) / f) END AS BIGINT) AS seconds_left FROM f""")
+@query(f"""WITH p AS (SELECT {TABLE} AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, count(*) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')) AS n_done, CAST(sum(o_orderkey % 9 + 1) AS BIGINT) AS weight,
+  CAST(coalesce(sum(o_orderkey % 9 + 1) FILTER ({STATUS} NOT IN ('NOT_STARTED', 'STARTED')), 0) AS BIGINT) AS weight_done FROM orders GROUP BY 1, 2), f AS (SELECT *, weight_done / weight AS f FROM p)
+SELECT table_name, run_id, n_done, CAST(CASE WHEN f >= 0.02 AND n_done >= 16 THEN floor((600 + run_id) * (1 - f) / f) END AS BIGINT) AS seconds_left FROM f""")
 def progress_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The time that the tracked runs will still take, by the weight that they have done."""
-    weights = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("token_min"), (F.col("o_orderkey") % 9 + 1).alias("weight"))
-    elapsed = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).cast("long").alias("run_id")).distinct().withColumn("elapsed_s", 600 + F.col("run_id"))
-    return tracking.progress(run_details(spark, sf_dir), weights, elapsed).select("run_id", "n_done", "seconds_left")
+    weights = table(spark, sf_dir, "orders").select(range_table().alias("table_name"), F.col("o_orderkey").alias("token_min"), (F.col("o_orderkey") % 9 + 1).alias("weight"))
+    elapsed = table(spark, sf_dir, "orders").select(range_table().alias("table_name"), (F.col("o_custkey") % 10).cast("long").alias("run_id")).distinct().withColumn("elapsed_s", 600 + F.col("run_id"))
+    return tracking.progress(run_details(spark, sf_dir), weights, elapsed).select("table_name", "run_id", "n_done", "seconds_left")
 
 
 BY_RANGE = f"""{CHECKED}, {SPLIT}, w AS (SELECT outcome, {TOKEN} AS token FROM v),
@@ -777,15 +786,24 @@ def runs_to_adopt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.to_adopt(run_info(spark, sf_dir)).select("run_id")
 
 
-@query("SELECT c_custkey AS run_id, (c_custkey - 1) % 7 + 1 AS first_run_id, CAST((c_custkey - 1) // 7 AS INTEGER) AS depth FROM customer")
+CHAINS = "SELECT 't' || c_custkey % 5 AS table_name, c_custkey // 5 + 1 AS run_id, c_custkey // 5 % 7 + 1 AS first_run_id, CAST(c_custkey // 35 AS INTEGER) AS depth FROM customer"
+
+
+def runs_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of five tables with the same ids, resumed from the run 7 before each."""
+    run = F.floor(F.col("run_id") / 5) + 1
+    return run_info(spark, sf_dir).withColumn("run_id", run).withColumn("prev_run_id", F.greatest(F.col("run_id") - 7, F.lit(0)))
+
+
+@query(CHAINS)
 def resume_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.chain(run_info(spark, sf_dir))
+    return tracking.chain(runs_of_tables(spark, sf_dir))
 
 
-@query("SELECT (c_custkey - 1) % 7 + 1 AS first_run_id, count(*) AS n_runs, CAST(max((c_custkey - 1) // 7) AS INTEGER) AS depth FROM customer GROUP BY 1")
+@query(f"SELECT table_name, first_run_id, count(*) AS n_runs, max(depth) AS depth FROM ({CHAINS}) GROUP BY 1, 2")
 def resume_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chains of all runs: how many runs each has, and how deep it is."""
-    return tracking.chain(run_info(spark, sf_dir)).groupBy("first_run_id").agg(F.count("*").alias("n_runs"), F.max("depth").alias("depth"))
+    return tracking.chain(runs_of_tables(spark, sf_dir)).groupBy("table_name", "first_run_id").agg(F.count("*").alias("n_runs"), F.max("depth").alias("depth"))
 
 
 # Counters, reports, events
@@ -964,8 +982,8 @@ def monitored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.range_events(run_details(spark, sf_dir)).unionByName(found)
 
 
-@query(f"""SELECT 'orders' AS table_name, CAST(1700000001 AS BIGINT) AS second, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeStarted' AS type, count(*) AS n_events, CAST(0 AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 3
-UNION ALL SELECT 'orders', 1700000002, CAST(o_custkey % 10 AS BIGINT), 'RangeCompleted', count(*), CAST(sum(o_orderkey % 50) AS BIGINT) FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 3""")
+@query(f"""SELECT {TABLE} AS table_name, CAST(1700000001 AS BIGINT) AS second, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeStarted' AS type, count(*) AS n_events, CAST(0 AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 1, 3
+UNION ALL SELECT {TABLE}, 1700000002, CAST(o_custkey % 10 AS BIGINT), 'RangeCompleted', count(*), CAST(sum(o_orderkey % 50) AS BIGINT) FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1, 3""")
 def stream_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events and rows by second from the event log of the tracked ranges: ranges that complete again an hour later count once."""
     counted = streamed(spark, sf_dir, reports.range_events(run_details(spark, sf_dir)), monitor.per_second)
@@ -984,8 +1002,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("type", "kind").agg(F.count("*").alias("n_events"))
 
 
-ENDS = """SELECT 'orders' AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeCompleted' AS type, CASE WHEN o_orderkey % 4 = 0 THEN 'PASS' WHEN o_orderkey % 4 = 1 THEN 'FAIL' WHEN o_orderkey % 4 = 2 THEN 'DIFF' ELSE 'DIFF_CORRECTED' END AS what, count(*) AS n_events, CAST(sum(o_orderkey % 50) AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 2, 4
-UNION ALL SELECT 'orders', CAST(o_custkey % 10 AS BIGINT), 'RangeStarted', 'STARTED', count(*), 0 FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 2
+ENDS = f"""SELECT {TABLE} AS table_name, CAST(o_custkey % 10 AS BIGINT) AS run_id, 'RangeCompleted' AS type, CASE WHEN o_orderkey % 4 = 0 THEN 'PASS' WHEN o_orderkey % 4 = 1 THEN 'FAIL' WHEN o_orderkey % 4 = 2 THEN 'DIFF' ELSE 'DIFF_CORRECTED' END AS what, count(*) AS n_events, CAST(sum(o_orderkey % 50) AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1, 2, 4
+UNION ALL SELECT {TABLE}, CAST(o_custkey % 10 AS BIGINT), 'RangeStarted', 'STARTED', count(*), 0 FROM orders WHERE o_orderkey % 3 >= 1 GROUP BY 1, 2
 UNION ALL SELECT 'checked', 9, 'Discrepancy', lower(outcome), count(*), count(*) FROM v WHERE outcome <> 'VALID' GROUP BY 4"""
 
 
@@ -1085,7 +1103,7 @@ def runs_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey AS run_id, 'ABORTED' AS status, CASE c_custkey % 4 WHEN 0 THEN 'Read: 1; Partitions Failed: 2' WHEN 1 THEN 'Read: 1; Partitions Failed: 0' WHEN 2 THEN 'Partitions Failed: many' END AS run_info FROM customer WHERE c_custkey = 12")
 def cancelled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.cancelled(run_info(spark, sf_dir), 12, F.timestamp_seconds(F.lit(1_800_000_000))).select("run_id", "status", "run_info")
+    return tracking.cancelled(run_info(spark, sf_dir), "t2", 12, F.timestamp_seconds(F.lit(1_800_000_000))).select("run_id", "status", "run_info")
 
 
 @query("""SELECT o_orderkey, o_orderkey % 10 + o_orderkey % 7 AS list_sum, CAST(2 AS INTEGER) AS list_size, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS set_size, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS map_value, o_orderstatus AS by_name, o_orderkey % 13 = 0 AS failed FROM orders""")

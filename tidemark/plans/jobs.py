@@ -281,8 +281,8 @@ def recorded_guardrail(log: tracking.RunLog, run_id: int, plan: DataFrame, origi
 def resume(log: tracking.RunLog, table: str, prev_run_id: int, run_id: int, multiplier: int, writes_counters: bool, rerun: Callable[[DataFrame], object]) -> DataFrame:
     """Resumes a run: it is checked, its pending ranges are subdivided, and ``rerun`` (a recorded job with the plan left open) is
     called with them. Gives the ranges that were held back because counters would be added twice."""
-    tracking.check_resumable(log.info(), log.details(), prev_run_id)
-    work = tracking.pending(log.details().where(F.col("table_name") == table), prev_run_id, writes_counters)
+    tracking.check_resumable(log.info(), log.details(), table, prev_run_id)
+    work = tracking.pending(log.details(), table, prev_run_id, writes_counters)
     held_back = work.where("state = 'quarantined'")
     left = work.where("state = 'pending'").select(F.col("token_min").alias("min"), F.col("token_max").alias("max"))
     parts = ranges.subdivided(left, multiplier) if multiplier > 1 else left

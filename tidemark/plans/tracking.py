@@ -2,7 +2,7 @@
 
 ``run_info``: table_name, run_id, run_type, prev_run_id, start_time, end_time, run_info, status.
 ``run_details``: table_name, run_id, start_time, token_min, token_max, status, run_info.
-A change of status is a further row; the latest row of a key counts: the one with the latest start_time, and of those with one
+A run is named by its table and id: runs of other tables may have the same id. A change of status is a further row; the latest row of a key counts: the one with the latest start_time, and of those with one
 start_time, as the rows of one attempt have, the one with the status that comes last in a run's life.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import REGISTERED, column, metrics_string, parsed, title
-from tidemark.session import scratch_path
+from tidemark.session import remove, scratch_path
 
 #: The statuses and the columns of the tracking tables.
 STATUSES = ("NOT_STARTED", "STARTED", "PASS", "FAIL", "DIFF", "DIFF_CORRECTED", "ENDED", "INTERRUPTED", "ABORTED")
@@ -44,31 +44,36 @@ def latest_runs(info: DataFrame) -> DataFrame:
     return latest(info, ["table_name", "run_type"], [F.col("run_id"), F.col("start_time"), life(F.col("status"))])
 
 
+def of_run(log: DataFrame, table: str, run_id: int) -> DataFrame:
+    """The rows of one run in either tracking table."""
+    return log.where((F.col("table_name") == table) & (F.col("run_id") == run_id))
+
+
 def by_status(details: DataFrame) -> DataFrame:
-    return latest_ranges(details).groupBy("run_id", "status").agg(F.count("*").alias("n_ranges"))
+    return latest_ranges(details).groupBy("table_name", "run_id", "status").agg(F.count("*").alias("n_ranges"))
 
 
-def pending(details: DataFrame, run_id: int, writes_counters: bool = False) -> DataFrame:
+def pending(details: DataFrame, table: str, run_id: int, writes_counters: bool = False) -> DataFrame:
     """Ranges of the run that are to be done again (state pending), or that can't be because counters would be added twice
     (state quarantined)."""
-    rows = latest_ranges(details.where(F.col("run_id") == run_id)).where(F.col("status").isin(*PENDING))
+    rows = latest_ranges(of_run(details, table, run_id)).where(F.col("status").isin(*PENDING))
     state = F.when(F.col("status") == "NOT_STARTED", "pending").otherwise("quarantined") if writes_counters else F.lit("pending")
     return rows.select("token_min", "token_max", "status", state.alias("state"))
 
 
-def check_resumable(info: DataFrame, details: DataFrame, run_id: int) -> None:
-    run = latest(info.where(F.col("run_id") == run_id), ["run_id"], [F.col("start_time"), life(F.col("status"))]).first()
+def check_resumable(info: DataFrame, details: DataFrame, table: str, run_id: int) -> None:
+    run = latest(of_run(info, table, run_id), ["table_name", "run_id"], [F.col("start_time"), life(F.col("status"))]).first()
     if run is None:
-        raise ValueError(f"there is no run {run_id}")
+        raise ValueError(f"there is no run {run_id} of {table}")
     if run["status"] == "NOT_STARTED":
-        raise ValueError(f"run {run_id} hasn't started")
-    if details.where(F.col("run_id") == run_id).isEmpty():
-        raise ValueError(f"run {run_id} has no ranges")
+        raise ValueError(f"run {run_id} of {table} hasn't started")
+    if of_run(details, table, run_id).isEmpty():
+        raise ValueError(f"run {run_id} of {table} has no ranges")
 
 
-def outstanding(planned: DataFrame, details: DataFrame, run_id: int) -> DataFrame:
+def outstanding(planned: DataFrame, details: DataFrame, table: str, run_id: int) -> DataFrame:
     """Planned ranges (token_min, token_max) that the run hasn't finished."""
-    done = latest_ranges(details.where(F.col("run_id") == run_id)).where(F.col("status").isin(*DONE))
+    done = latest_ranges(of_run(details, table, run_id)).where(F.col("status").isin(*DONE))
     return planned.join(done.select("token_min"), "token_min", "left_anti")
 
 
@@ -79,55 +84,62 @@ def to_adopt(info: DataFrame) -> DataFrame:
     return latest_runs(info).where((F.col("status") != "ENDED") | F.coalesce(some, F.lit(False)))
 
 
-def pending_sample(details: DataFrame, run_id: int) -> DataFrame:
+def pending_sample(details: DataFrame, table: str, run_id: int) -> DataFrame:
     """The first pending ranges, with the number of all of them."""
-    rows = pending(details, run_id)
+    rows = pending(details, table, run_id)
     total = rows.agg(F.lit(1).alias("_one"), F.count("*").alias("n_pending"))
     return rows.orderBy("token_min").limit(PENDING_SAMPLE).withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
 
 
 def chain(info: DataFrame) -> DataFrame:
-    """Each run with the first run of its chain of resumes and its depth. Runs that lead to no first run are left out.
+    """Each run with the first run of its chain of resumes, within its table, and its depth. Runs that lead to no first run are left
+    out.
 
     By pointer doubling: in each round a run's link is joined to its ancestor's, so that links double in length. Every round is a
-    table in the shared folder."""
+    table in the shared folder, and the round before it is removed."""
     spark = info.sparkSession
+    made: list[str] = []
 
     def stored(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "chain")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        made.append(scratch_path(spark, "chain"))
+        df.write.parquet(made[-1])
+        for path in made[:-1]:
+            remove(spark, path)
+        del made[:-1]
+        return spark.read.schema(df.schema).parquet(made[-1])
 
     first = F.col("prev_run_id") == 0
-    runs = info.select("run_id", "prev_run_id").where("run_id is not null and prev_run_id is not null").distinct()
-    links = stored(runs.select("run_id", F.when(first, F.col("run_id")).otherwise(F.col("prev_run_id")).alias("up"), F.when(first, 0).otherwise(1).alias("depth"), first.alias("done")))
+    runs = info.select("table_name", "run_id", "prev_run_id").where("table_name is not null and run_id is not null and prev_run_id is not null").distinct()
+    links = stored(runs.select("table_name", "run_id", F.when(first, F.col("run_id")).otherwise(F.col("prev_run_id")).alias("up"), F.when(first, 0).otherwise(1).alias("depth"), first.alias("done")))
     # a link longer than there are runs goes round in a circle
     for _ in range(links.count().bit_length()):
         if links.where("not done").isEmpty():
             break
-        upper = links.select(F.col("run_id").alias("_run"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("done").alias("_done"))
-        longer = links.where("not done").join(upper, F.col("up") == F.col("_run"))
-        links = stored(links.where("done").unionByName(longer.select("run_id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_done").alias("done"))))
-    return links.where("done").select("run_id", F.col("up").alias("first_run_id"), "depth")
+        upper = links.select(F.col("table_name").alias("_table"), F.col("run_id").alias("_run"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("done").alias("_done"))
+        longer = links.where("not done").join(upper, (F.col("table_name") == F.col("_table")) & (F.col("up") == F.col("_run")))
+        links = stored(links.where("done").unionByName(longer.select("table_name", "run_id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_done").alias("done"))))
+    return links.where("done").select("table_name", "run_id", F.col("up").alias("first_run_id"), "depth")
 
 
 def totals(details: DataFrame) -> DataFrame:
     """Counters of the runs, added up from the metric strings of their ranges."""
-    rows = latest_ranges(details).select("run_id", F.explode(parsed(F.col("run_info"))).alias("counter", "n"))
-    return rows.groupBy("run_id", "counter").agg(F.sum("n").cast("long").alias("n"))
+    rows = latest_ranges(details).select("table_name", "run_id", F.explode(parsed(F.col("run_info"))).alias("counter", "n"))
+    return rows.groupBy("table_name", "run_id", "counter").agg(F.sum("n").cast("long").alias("n"))
 
 
 def progress(details: DataFrame, weights: DataFrame, elapsed: DataFrame | None = None) -> DataFrame:
     """Per run: ranges and weight in all, done and pending, the fraction done, and the seconds left (from 2 % and 16 ranges on).
 
-    ``weights``: token_min, weight; a range without one gets the mean weight by token, at least 1."""
+    ``weights``: table_name, token_min, weight; a range without one gets the mean weight by token, at least 1. ``elapsed``:
+    table_name, run_id, elapsed_s."""
+    run = ["table_name", "run_id"]
     span = F.col("token_max").cast("decimal(38,0)") - F.col("token_min").cast("decimal(38,0)") + 1
-    rows = latest_ranges(details).join(weights, "token_min", "left").withColumn("_span", span.cast("double"))
-    density = rows.groupBy("run_id").agg((F.sum("weight") / F.sum(F.when(F.col("weight").isNotNull(), F.col("_span")))).alias("_density"))
-    rows = rows.join(density, "run_id")
+    rows = latest_ranges(details).join(weights, ["table_name", "token_min"], "left").withColumn("_span", span.cast("double"))
+    density = rows.groupBy(*run).agg((F.sum("weight") / F.sum(F.when(F.col("weight").isNotNull(), F.col("_span")))).alias("_density"))
+    rows = rows.join(density, run)
     rows = rows.withColumn("_weight", F.coalesce(F.col("weight").cast("double"), F.greatest(F.floor(F.col("_span") * F.col("_density")).cast("double"), F.lit(1.0)), F.lit(1.0)))
     ended = ~F.col("status").isin("NOT_STARTED", "STARTED")
-    out = rows.groupBy("run_id").agg(
+    out = rows.groupBy(*run).agg(
         F.count("*").alias("n_ranges"),
         F.count_if(ended).alias("n_done"),
         F.count_if(F.col("status") == "NOT_STARTED").alias("n_pending"),
@@ -139,12 +151,12 @@ def progress(details: DataFrame, weights: DataFrame, elapsed: DataFrame | None =
         return out
     fraction = F.col("weight_done") / F.col("weight")
     left = F.when((fraction >= 0.02) & (F.col("n_done") >= 16), F.floor(F.col("elapsed_s") * (1 - fraction) / fraction)).cast("long")
-    return out.join(elapsed, "run_id").withColumn("seconds_left", left).drop("elapsed_s")
+    return out.join(elapsed, run).withColumn("seconds_left", left).drop("elapsed_s")
 
 
-def cancelled(info: DataFrame, run_id: int, at: Column) -> DataFrame:
+def cancelled(info: DataFrame, table: str, run_id: int, at: Column) -> DataFrame:
     """The row that cancels a run, for appending; its metric string stays."""
-    last = latest(info.where(F.col("run_id") == run_id), ["run_id"], [F.col("start_time"), life(F.col("status"))])
+    last = latest(of_run(info, table, run_id), ["table_name", "run_id"], [F.col("start_time"), life(F.col("status"))])
     return last.withColumn("status", F.lit("ABORTED")).withColumn("end_time", at)
 
 
@@ -178,7 +190,7 @@ class RunLog:
 
     def begin(self, table: str, run_id: int, kind: str, plan: DataFrame, prev_run_id: int = 0) -> None:
         """The run as started, its ranges (token_min, token_max) first as not started, then as started. A run id is used once."""
-        if not self.info().where((F.col("table_name") == table) & (F.col("run_id") == run_id)).isEmpty():
+        if not of_run(self.info(), table, run_id).isEmpty():
             raise ValueError(f"there is a run {run_id} of {table} already")
         one = self.spark.range(1)
         self._append(one.select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"), F.lit(kind.upper()).alias("run_type"), F.lit(prev_run_id).alias("prev_run_id"), F.current_timestamp().alias("start_time"), F.lit(None).alias("end_time"), F.lit(None).alias("run_info"), F.lit("STARTED").alias("status")), "run_info", RUN_INFO)
@@ -188,15 +200,15 @@ class RunLog:
 
     def end(self, table: str, run_id: int, kind: str, ranges: DataFrame, status: str = "ENDED") -> DataFrame:
         """The ranges' ends (token_min, token_max, status, n_...) and the run's, with the totals that the stored ranges give."""
-        began = latest_ranges(self.details().where((F.col("run_id") == run_id) & (F.col("table_name") == table))).select(F.col("token_min").alias("_at"), "start_time")
+        began = latest_ranges(of_run(self.details(), table, run_id)).select(F.col("token_min").alias("_at"), "start_time")
         ends = ranges.join(began, F.col("token_min") == F.col("_at")).select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"), "start_time", "token_min", "token_max", "status", metrics_string(kind).alias("run_info"))
         self._append(ends, "run_details", RUN_DETAILS)
-        done = latest_ranges(self.details().where((F.col("run_id") == run_id) & (F.col("table_name") == table)))
+        done = latest_ranges(of_run(self.details(), table, run_id))
         self._append(self._last(table, run_id).withColumn("_one", F.lit(1)).join(run_totals(done, kind).withColumn("_one", F.lit(1)), "_one").withColumn("end_time", F.current_timestamp()).withColumn("status", F.lit(status)), "run_info", RUN_INFO)
         return done
 
     def _last(self, table: str, run_id: int) -> DataFrame:
-        mine = self.info().where((F.col("table_name") == table) & (F.col("run_id") == run_id))
+        mine = of_run(self.info(), table, run_id)
         return latest(mine, ["table_name", "run_id"], [F.col("start_time"), life(F.col("status"))]).drop("run_info", "end_time", "status")
 
 
