@@ -61,7 +61,7 @@ def test_overlaps_match_all_pairs(spark):
 
 
 def test_stream_counts_each_range_once(spark, tmp_path):
-    rows = [("2024-01-01 00:00:0%d" % s, 1, "n", "RangeCompleted", s, s, "PASS", None, None, 10) for s in (1, 1, 2, 3)] + [("2024-01-01 00:10:00", 1, "n", "RunCompleted", None, None, None, None, None, 0)]
+    rows = [("2024-01-01 00:00:0%d" % s, "t", 1, "n", "RangeCompleted", s, s, "PASS", None, None, None, 10) for s in (1, 1, 2, 3)] + [("2024-01-01 00:10:00", "t", 1, "n", "RunCompleted", None, None, None, None, None, None, 0)]
     schema = reports.EVENTS.replace("at timestamp", "at string")
     spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / "events"))
     out = run_available(monitor.per_second(monitor.read_events(spark, str(tmp_path / "events"))), "per_second", str(tmp_path / "checkpoint"))
@@ -81,3 +81,50 @@ def test_bounds_and_work_lists(spark):
     for rows in ([], [(0, 5), (5, 9)], [(4, 3)]):
         with pytest.raises(ValueError):
             ranges.from_work_list(make(rows))
+
+
+def plan_of(spark, pairs):
+    return spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate(pairs)], "range_id long, min long, max long").select("range_id", *(F.col(c).cast("decimal(38,0)") for c in ("min", "max")))
+
+
+def uneven():
+    """Four ranges over all 64 bits, one of them cut in 3,000 within a span of 2 to the 20, and some of those in single tokens."""
+    low, high, at = -(1 << 63), (1 << 63) - 1, 12_345
+    dense = [(at + 300 * n, at + 300 * n + 299) for n in range(3000)]
+    dense = dense[:-2] + [(a, a) for a in range(dense[-2][0], dense[-1][1] + 1)]
+    return [(low, -1), *dense, (dense[-1][1] + 1, 1 << 62), ((1 << 62) + 10, high - 1), (high, high)]
+
+
+def test_uneven_plans_compare_a_token_with_few_ranges(spark):
+    pairs = uneven()
+    named = plan_of(spark, pairs).select("range_id", F.col("min").cast("long").alias("_r_min"), F.col("max").cast("long").alias("_r_max"))
+    root, levels, leaves = ranges.grids(named, pairs[0][0], pairs[-1][1], len(pairs))
+    assert levels and leaves.groupBy("_node", "_cell").count().agg(F.max("count")).first()[0] <= ranges.LEAF_RANGES
+    assert leaves.count() < 8 * len(pairs)
+    rng = random.Random(9)
+    tokens = [rng.choice([rng.randint(12_000, 1_000_000), rng.randint(-(1 << 63), (1 << 63) - 1)]) for _ in range(2000)] + [x for pair in pairs[-700:] for x in pair] + [(1 << 62) + 5, None]
+    got = ranges.assigned(spark.createDataFrame([(t,) for t in tokens], "token long"), "token", plan_of(spark, pairs))
+    assert got.columns == ["token", "range_id"]
+    import bisect
+
+    starts = [a for a, _ in pairs]
+    want = [(t, n) for t in tokens if t is not None for n in [bisect.bisect_right(starts, t) - 1] if n >= 0 and t <= pairs[n][1]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_an_even_plan_has_one_grid(spark):
+    pairs = [(n * 1000, n * 1000 + 999) for n in range(500)]
+    named = plan_of(spark, pairs).select("range_id", F.col("min").cast("long").alias("_r_min"), F.col("max").cast("long").alias("_r_max"))
+    assert ranges.grids(named, 0, 499_999, 500)[1] == []
+
+
+def test_order_and_conflicts_in_cells_of_equal_depth(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "CELL_RANGES", 100)
+    pairs = uneven()
+    plan = plan_of(spark, random.Random(1).sample(pairs, len(pairs)))
+    got = {int(r["min"]): r.work_order for r in ranges.ring_order(plan).collect()}
+    assert got == {a: n for n, (a, _) in enumerate(pairs)}
+    assert ranges.in_cells(plan).groupBy("_cell").count().agg(F.max("count")).first()[0] < 400
+    assert ranges.conflicts(plan).count() == 0
+    wrong = plan.withColumn("max", F.when(F.col("min") == 12_345, F.col("max") + 1).otherwise(F.col("max")).cast("decimal(38,0)"))
+    assert [int(r.next_min) for r in ranges.conflicts(wrong).collect()] == [12_645]

@@ -6,14 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import stored
+
 WIDE = "decimal(38,0)"
 #: What a fixed split falls back to when the ring is narrower than the number of parts.
 FALLBACK_SIZE = 100_000
 MOST_PARTS = 50_000_000
 #: Ranges that may be broadcast: a plan is bounded by MOST_PARTS, a broadcast by this.
 BROADCAST_RANGES = 1_000_000
-#: Ranges that a cell of a grid over a plan holds, about.
+#: Ranges that a cell of equal depth holds, about.
 CELL_RANGES = 5_000
+#: Ranges that a token is compared with at most, where a plan's ranges don't overlap.
+LEAF_RANGES = 32
 
 
 def wide(x: Column | int) -> Column:
@@ -115,7 +119,7 @@ def ring_aware(bounds: tuple[int, int], segments: DataFrame, parts: int) -> Data
     inside = clamped(segments, *bounds)
     size = F.col("max") - F.col("min") + 1
     total = inside.agg(F.lit(1).alias("_one"), F.sum(size).alias("_total"))
-    shared = inside.withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
+    shared = inside.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").drop("_one")  # one row
     k = F.greatest(whole(wide(parts) * size, F.col("_total")), wide(1))
     return equal_parts(shared.withColumn("_parts", k), F.col("_parts")).drop("_parts", "_total")
 
@@ -135,16 +139,18 @@ def adaptive(ranges: DataFrame, estimates: DataFrame, most_rows: int) -> DataFra
     return equal_parts(sized.withColumn("_k", F.greatest(F.ceil(F.col("estimate") / most_rows), F.lit(1))), F.col("_k")).drop("_k")
 
 
+def in_cells(ranges: DataFrame) -> DataFrame:
+    """The ranges with ``_cell``, ascending by their ends: cells of about CELL_RANGES ranges each, wherever the ranges crowd. The
+    bounds between cells come from a sample, so the result is stored, and every reader sees the same cells."""
+    cells = max(1, ranges.count() // CELL_RANGES)
+    dealt = ranges.repartitionByRange(cells, "min", "max").withColumn("_cell", F.spark_partition_id()) if cells > 1 else ranges.withColumn("_cell", F.lit(0))
+    return stored(dealt, "cells")
+
+
 def conflicts(ranges: DataFrame) -> DataFrame:
-    """Neighbours of a work list that overlap. Neighbours are found within a grid of cells by lower ends; a cell's last range is
-    compared with the first of the next cell that has any, so that cells are few to a task and no task reads all ranges."""
-    bounds = ranges.agg(F.min("min").alias("lo"), F.max("min").alias("hi"), F.count("*").alias("n")).first()
-    if not bounds["n"]:
-        return ranges.select("min", "max", F.col("min").alias("next_min"))
-    cells = max(1, int(bounds["n"]) // CELL_RANGES)
-    step = (int(bounds["hi"]) - int(bounds["lo"])) // cells + 1
-    cell = F.floor((wide(F.col("min")) - wide(int(bounds["lo"]))) / wide(step)).cast("long")
-    own = ranges.select("min", "max", cell.alias("_cell"))
+    """Neighbours of a work list that overlap. Neighbours are found within cells of equal depth; a cell's last range is compared with
+    the first of the next cell that has any, so that no task reads all ranges."""
+    own = in_cells(ranges.select("min", "max"))
     firsts = own.groupBy("_cell").agg(F.min("min").alias("_first"))
     after = firsts.withColumn("_next", F.lead("_first").over(Window.orderBy("_cell"))).select("_cell", "_next")  # one row a cell
     w = Window.partitionBy("_cell").orderBy("min", "max")
@@ -152,28 +158,70 @@ def conflicts(ranges: DataFrame) -> DataFrame:
     return linked.where(F.col("next_min") <= F.col("max")).select("min", "max", "next_min")
 
 
-def floor_part(x: Column, step: int) -> Column:
+def floor_by(x: Column, step: Column) -> Column:
     """floor(x / step) of 64-bit integers, exactly and without overflow."""
-    bound = F.lit(step).cast("long")
-    return F.call_function("div", x, bound) - F.when(x % bound < 0, 1).otherwise(0)
+    return F.call_function("div", x, step) - F.when(x % step < 0, 1).otherwise(0)
+
+
+def grids(ranges: DataFrame, low: int, high: int, n: int) -> tuple[int, list[DataFrame], DataFrame]:
+    """A tree of grids over ranges (range_id, _r_min, _r_max) of 64 bits: the root's step, the crowded cells of each level, and the
+    leaves.
+
+    The root has about as many cells as there are ranges. A cell with more than LEAF_RANGES gets a grid of its own, with as many
+    cells as ranges, and so on, so a plan that is even has the root only, and one that is dense somewhere gets a level or two more
+    there. Crowded cells: _node, _cell, and the node and step of their grid; leaves: _node, _cell, range_id, _r_min, _r_max."""
+    root = min(max(1, (high - low) // n + 1), (1 << 63) - 1)
+    step = F.col("_step")
+    spread = lambda lo, hi: F.explode(F.sequence(floor_by(lo, step), floor_by(hi, step)))
+    ends = [F.col("_r_min"), F.col("_r_max")]
+    cells = stored(ranges.select("*", F.lit(0).cast("long").alias("_node"), F.lit(root).cast("long").alias("_step"), *(e.alias(a) for e, a in zip(ends, ("_lo", "_hi"), strict=True))).withColumn("_cell", spread(*ends)), "grid")
+    levels, leaves = [], []
+    while True:
+        sizes = cells.groupBy("_node", "_cell", "_step").agg(F.count("*").alias("_n"))
+        crowded = sizes.where((F.col("_n") > LEAF_RANGES) & (step > 1))
+        child = crowded.select("_node", "_cell", F.xxhash64("_node", "_cell", "_step").alias("_child"), F.greatest(F.call_function("div", step, F.col("_n")) + 1, F.lit(1).cast("long")).alias("_child_step"))
+        child = stored(child, "crowded")
+        if child.isEmpty():
+            leaves.append(cells)
+            break
+        levels.append(child)
+        leaves.append(cells.join(child.select("_node", "_cell"), ["_node", "_cell"], "left_anti"))
+        inner = cells.join(child, ["_node", "_cell"])
+        # a range's part in the cell; in decimals, as a cell's ends may lie beyond 64 bits
+        first = wide(F.col("_cell")) * wide(step)
+        inner = inner.withColumn("_lo", F.greatest(wide(F.col("_lo")), first).cast("long")).withColumn("_hi", F.least(wide(F.col("_hi")), first + wide(step) - 1).cast("long"))
+        inner = inner.select("range_id", "_r_min", "_r_max", F.col("_child").alias("_node"), F.col("_child_step").alias("_step"), "_lo", "_hi")
+        cells = stored(inner.withColumn("_cell", spread(F.col("_lo"), F.col("_hi"))), "grid")
+    all_leaves = leaves[0]
+    for more in leaves[1:]:
+        all_leaves = all_leaves.unionByName(more)
+    return root, levels, all_leaves.select("_node", "_cell", "range_id", "_r_min", "_r_max")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The frame, to be broadcast if it was counted and has at most BROADCAST_RANGES rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_RANGES else df
 
 
 def assigned(rows: DataFrame, token: str, ranges: DataFrame) -> DataFrame:
     """Rows with the range (of any plan) that holds their token; rows outside are left out.
 
-    Ranges are cut into a grid of cells, about one for each; a row has one cell, so rows aren't repeated, and with up to
-    BROADCAST_RANGES ranges they aren't shuffled either. Tokens beyond 64 bits take the way of ``overlaps``."""
+    Ranges lie in a tree of grids (``grids``): a row's cell is computed, looked up among the crowded cells of each level, which are
+    few or none, and then compared with the LEAF_RANGES ranges of its leaf at most, however uneven the plan. Rows aren't repeated,
+    nor shuffled with up to BROADCAST_RANGES ranges in leaves. Tokens beyond 64 bits take the way of ``overlaps``."""
     bounds = ranges.agg(F.min("min").alias("lo"), F.max("max").alias("hi"), F.count("*").alias("n")).first()
     fits = bounds["n"] and -(1 << 63) <= int(bounds["lo"]) and int(bounds["hi"]) < 1 << 63
     if fits and isinstance(rows.schema[token].dataType, T.IntegralType):
-        step = min(max(1, (int(bounds["hi"]) - int(bounds["lo"])) // bounds["n"] + 1), (1 << 63) - 1)
-        low, high = F.col("min").cast("long"), F.col("max").cast("long")
-        named = ranges.select("range_id", low.alias("_r_min"), high.alias("_r_max"), F.explode(F.sequence(floor_part(low, step), floor_part(high, step))).alias("_r_cell"))
-        if bounds["n"] <= BROADCAST_RANGES:
-            named = F.broadcast(named)
+        named = ranges.select("range_id", F.col("min").cast("long").alias("_r_min"), F.col("max").cast("long").alias("_r_max"))
+        root, levels, leaves = grids(named, int(bounds["lo"]), int(bounds["hi"]), bounds["n"])
         at = F.col("`" + token.replace("`", "``") + "`").cast("long")
-        met = rows.withColumn("_cell", floor_part(at, step)).join(named, (F.col("_cell") == F.col("_r_cell")) & (at >= F.col("_r_min")) & (at <= F.col("_r_max")))
-        return met.drop("_cell", "_r_cell", "_r_min", "_r_max")
+        met = rows.withColumn("_at_node", F.lit(0).cast("long")).withColumn("_at_cell", floor_by(at, F.lit(root).cast("long")))
+        same = (F.col("_at_node") == F.col("_node")) & (F.col("_at_cell") == F.col("_cell"))
+        for level in levels:
+            met = met.join(small(level), same, "left").withColumn("_at_cell", F.when(F.col("_child").isNotNull(), floor_by(at, F.col("_child_step"))).otherwise(F.col("_at_cell")))
+            met = met.withColumn("_at_node", F.coalesce("_child", "_at_node")).drop("_node", "_cell", "_child", "_child_step")
+        met = met.join(small(leaves), same & (at >= F.col("_r_min")) & (at <= F.col("_r_max")))
+        return met.drop("_at_node", "_at_cell", "_node", "_cell", "_r_min", "_r_max")
     points = rows.withColumn("min", wide(F.col(token))).withColumn("max", wide(F.col(token)))
     named = ranges.select(F.col("range_id").alias("range_id"), F.col("min").alias("r_min"), F.col("max").alias("r_max"))
     return overlaps(points, named).drop("min", "max", "lo", "hi", "r_min", "r_max")
@@ -191,10 +239,8 @@ def work_order(ranges: DataFrame, run_id: int) -> DataFrame:
 
 
 def ring_order(ranges: DataFrame) -> DataFrame:
-    """The plan in the order of the ring; ``work_order`` from 0, by lower ends."""
-    bounds = ranges.agg(F.min("min").alias("lo"), F.max("min").alias("hi"), F.count("*").alias("n")).first()
-    step = max(1, (int(bounds["hi"] or 0) - int(bounds["lo"] or 0)) // max(1, int(bounds["n"]) // CELL_RANGES) + 1)
-    own = ranges.withColumn("_cell", F.floor((wide(F.col("min")) - wide(int(bounds["lo"] or 0))) / wide(step)).cast("long"))
+    """The plan in the order of the ring; ``work_order`` from 0, by lower ends, numbered within cells of equal depth."""
+    own = in_cells(ranges)
     sizes = own.groupBy("_cell").agg(F.count("*").alias("_n"))
     before = sizes.select("_cell", (F.sum("_n").over(Window.orderBy("_cell")) - F.col("_n")).alias("_before"))  # one row a cell
     number = F.row_number().over(Window.partitionBy("_cell").orderBy("min", "max")) - 1

@@ -629,12 +629,17 @@ def work_list_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_long(ranges.conflicts(bad), "min", "max", "next_min")
 
 
-@query(f"""WITH {SPLIT}, irregular AS (SELECT range_id, "min", CASE WHEN range_id % 4 = 0 THEN "min" + ("max" - "min") // 2 ELSE "max" END AS "max" FROM r), o AS (SELECT o_orderkey, {TOKEN} AS token FROM orders)
+@query(f"""WITH {SPLIT}, irregular AS (SELECT range_id, "min", CASE WHEN range_id % 4 = 0 THEN "min" + ("max" - "min") // 2 ELSE "max" END AS "max" FROM r WHERE range_id <> 7
+UNION ALL SELECT 1000 + i, "min" + i * (s + 1), least("min" + i * (s + 1) + s, "max") FROM (SELECT "min", "max", s, unnest(generate_series(0, CAST(("max" - "min") // (s + 1) AS BIGINT))) AS i FROM (SELECT *, ("max" - "min") // 100000 AS s FROM r WHERE range_id = 7))),
+o AS (SELECT o_orderkey, {TOKEN} AS token FROM orders)
 SELECT i.range_id, count(*) AS n_rows FROM o JOIN irregular i ON o.token BETWEEN i."min" AND i."max" GROUP BY 1""")
 def range_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the ranges of a plan with gaps, one of whose ranges is cut in 100,000."""
     half = (F.col("min") + ranges.whole(F.col("max") - F.col("min"), ranges.wide(2))).cast("decimal(38,0)")
-    irregular = order_ranges(spark, sf_dir).withColumn("max", F.when(F.col("range_id") % 4 == 0, half).otherwise(F.col("max")))
-    return ranges.assigned(order_tokens(spark, sf_dir), "token", irregular).groupBy("range_id").agg(F.count("*").alias("n_rows"))
+    plan = order_ranges(spark, sf_dir)
+    irregular = plan.where("range_id <> 7").withColumn("max", F.when(F.col("range_id") % 4 == 0, half).otherwise(F.col("max")))
+    dense = ranges.subdivided(plan.where("range_id = 7"), 100_000).select((1000 + F.col("part")).alias("range_id"), "min", "max")
+    return ranges.assigned(order_tokens(spark, sf_dir), "token", irregular.unionByName(dense)).groupBy("range_id").agg(F.count("*").alias("n_rows"))
 
 
 # Run tracking, over a log that the orders give

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -44,6 +44,13 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder, read back: it is computed once, and lineage ends there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Deletes what is left of this application's scratch tables; to be called when no result is read any more."""
     remove(spark, run_folder(spark))
