@@ -1,6 +1,7 @@
 """Small end-to-end cases: mapping, merge, counters, autocorrect, guardrail and resume."""
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,8 +81,8 @@ def test_dropped_key_columns_are_reported_before_rows_merge(spark):
     o = spark.createDataFrame([(1, "a", "x"), (1, "b", "y")], "key_a int, key_b string, val string")
     target = TableSpec("t", T._parse_datatype_string("key_a int, val string"), ("key_a",))
     m = jobs.migrate(o, TableSpec.of(o, "o", ["key_a"], ["key_b"]), target, JobSpec())
-    with pytest.raises(jobs.DuplicateKeys):
-        m.merged(spark.createDataFrame([], "key_a int, val string"))
+    with pytest.raises(SparkRuntimeException, match="rows of o share keys of t"):
+        m.merged(spark.createDataFrame([], "key_a int, val string")).collect()
     assert m.merged(spark.createDataFrame([], "key_a int, val string"), on_duplicate="latest").count() == 1
 
 
@@ -147,12 +148,14 @@ def test_targets_with_shared_keys_are_refused(spark):
     o = spark.createDataFrame([(1, "a")], "k int, v string")
     t = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     spec = TableSpec.of(o, "t", ["k"])
-    with pytest.raises(jobs.DuplicateKeys):
-        jobs.validate(o, t, spec, spec, JobSpec())
-    with pytest.raises(jobs.DuplicateKeys):
-        jobs.autocorrect(o, t, spec, spec, JobSpec(autocorrect_missing=True))
-    with pytest.raises(jobs.DuplicateKeys):
-        jobs.autocorrect(t, o, spec, spec, JobSpec(autocorrect_missing=True))
+    with pytest.raises(SparkRuntimeException, match="rows of t share its key"):
+        jobs.validate(o, t, spec, spec, JobSpec()).collect()
+    for frame in jobs.autocorrect(o, t, spec, spec, JobSpec(autocorrect_missing=True)):
+        with pytest.raises(SparkRuntimeException, match="rows of t share its key"):
+            frame.collect()
+    for frame in jobs.autocorrect(t, o, spec, spec, JobSpec(autocorrect_missing=True)):
+        with pytest.raises(SparkRuntimeException, match="rows of t share keys of t"):
+            frame.collect()
 
 
 def test_autocorrect_without_repairs_changes_nothing(spark):

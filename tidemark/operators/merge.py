@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.mapping import quoted
@@ -13,6 +13,15 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*map(quoted, key)).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def unshared(df: DataFrame, key: list[str], message: str, counted: Column | None = None) -> DataFrame:
+    """The rows as they are; a key's second row (of those ``counted``) ends the job with ``message``. The rows are numbered within
+    their key, by the shuffle and the sort that a join by key needs anyhow, so the check costs no scan and no shuffle of its own."""
+    within = Window.partitionBy(*map(quoted, key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nth = F.count("*") if counted is None else F.count_if(counted)
+    fine = F.when(F.col("_nth") > 1, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("_nth", nth.over(within)).where(fine).drop("_nth")
+
+
 def keyed(df: DataFrame, key: list[str], order: Column | None = None) -> DataFrame:
     """One row per key, the one that ``order`` puts last (ties: the greatest row)."""
     columns = [quoted(c) for c in df.columns]
@@ -95,7 +104,5 @@ def arrival_batches(df: DataFrame, size: int) -> DataFrame:
 
 def batches(df: DataFrame, partition_key: list[str], order: list[str], size: int) -> DataFrame:
     """``batch_no`` within the partition key, from 1; a batch never mixes partition keys."""
-    from pyspark.sql import Window
-
     number = F.row_number().over(Window.partitionBy(*map(quoted, partition_key)).orderBy(*map(quoted, order)))
     return df.withColumn("batch_no", F.ceil(number / size).cast("long"))

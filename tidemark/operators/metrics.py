@@ -9,11 +9,25 @@ from pyspark.sql import functions as F
 
 #: The counters of each job and their titles, in the order in which stored metric strings hold them.
 REGISTERED = {
-    "migrate": ["READ", "WRITE", "SKIPPED", "ERROR", "PASSED", "FAILED"],
+    "migrate": ["READ", "WRITE", "SKIPPED", "ERROR", "UNFLUSHED", "PASSED", "FAILED"],
     "validate": ["READ", "MISMATCH", "CORRECTED_MISMATCH", "MISSING", "CORRECTED_MISSING", "VALID", "SKIPPED", "ERROR", "PASSED", "FAILED"],
     "guardrail": ["READ", "VALID", "SKIPPED", "LARGE", "PASSED", "FAILED"],
 }
 TITLES = {"PASSED": "Partitions Passed", "FAILED": "Partitions Failed"}
+#: A counter of what isn't written yet, which stored strings and final lines leave out.
+INTERIM = "UNFLUSHED"
+
+
+def register(kind: str, counters: list[str]) -> None:
+    """Names the counters of a user's kind of job; READ, ERROR and those of the ranges are added. A kind is registered once."""
+    own = [c for c in counters if c not in ("READ", "ERROR", *TITLES)]
+    if REGISTERED.get(kind, names := ["READ", *own, "ERROR", *TITLES]) != names:
+        raise ValueError(f"the counters of {kind} are {', '.join(REGISTERED[kind])}")
+    REGISTERED[kind] = names
+
+
+def stored_counters(kind: str) -> list[str]:
+    return [c for c in REGISTERED[kind] if c != INTERIM]
 
 
 def title(counter: str) -> str:
@@ -37,7 +51,7 @@ def totals(by_range: DataFrame) -> DataFrame:
 
 def lost(job: str) -> Column:
     """What a failed range left uncounted, which goes to its errors."""
-    done = {"migrate": ("write", "skipped", "error"), "guardrail": ("valid", "skipped", "large")}.get(job, ("valid", "missing", "mismatch", "skipped"))
+    done = ("valid", "missing", "mismatch", "skipped") if job == "validate" else [c.lower() for c in stored_counters(job) if c not in ("READ", *TITLES)]
     rest = F.col("n_read")
     for c in done:
         rest = rest - F.col(f"n_{c}")
@@ -78,13 +92,13 @@ def outstanding() -> Column:
 
 def metrics_string(job: str) -> Column:
     """``Read: 10; Write: 9; ...`` over the counters' columns."""
-    return F.concat_ws("; ", *(F.concat(F.lit(f"{title(c)}: "), F.col(column(c)).cast("string")) for c in REGISTERED[job]))
+    return F.concat_ws("; ", *(F.concat(F.lit(f"{title(c)}: "), F.col(column(c)).cast("string")) for c in stored_counters(job)))
 
 
 def final_lines(job: str, run_id: Column | None = None) -> Column:
     rule = F.lit("#" * 81)
     lines = [rule] + ([F.concat(F.lit("RunId: "), run_id.cast("string"))] if run_id is not None else [])
-    for c in REGISTERED[job]:
+    for c in stored_counters(job):
         name = f"Final {title(c)}" + ("" if c in TITLES else " Record Count")
         lines.append(F.concat(F.lit(f"{name}: "), F.col(column(c)).cast("string")))
     return F.array(*lines, rule)

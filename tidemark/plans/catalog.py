@@ -17,7 +17,7 @@ from tidemark.operators import filters, guardrail, merge, metrics, ranges, recon
 from tidemark.operators.mapping import Mapping
 from tidemark.plans import jobs, tracking
 from tidemark.sources import generate, reports, tables
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stored
 from tidemark.spec import Explode, Extract, JobSpec, TableSpec
 from tidemark.streaming import monitor
 
@@ -778,6 +778,47 @@ def migrate_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.migrate(rows, spec, spec, JobSpec(where="o_orderkey % 4 <> 0"), keep=["range_id"]).counters(["range_id"]).drop("n_error")
 
 
+@query(f"""WITH {SPLIT}, o AS (SELECT {TOKEN} AS token, o_totalprice, o_orderkey FROM orders), j AS (SELECT range_id, count(token) AS n, count(*) FILTER (o_totalprice > 200000) AS large FROM r LEFT JOIN o ON token BETWEEN "min" AND "max" GROUP BY 1)
+SELECT range_id, CASE WHEN bad THEN 'FAIL' ELSE 'PASS' END AS status, 'Read: ' || n || '; Large: ' || CASE WHEN bad THEN 0 ELSE large END || '; Small: ' || CASE WHEN bad THEN 0 ELSE n - large END || '; Error: ' || CASE WHEN bad THEN n ELSE 0 END || '; Partitions Passed: ' || CASE WHEN bad THEN 0 ELSE 1 END || '; Partitions Failed: ' || CASE WHEN bad THEN 1 ELSE 0 END AS run_info
+FROM (SELECT *, range_id % 10 = 3 AND n > 0 AS bad FROM j)""")
+def user_range_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's job by range, which raises in every tenth of them: those fail with their rows as errors, and the others end."""
+    log = tracking.RunLog(spark, scratch_path(spark, "runs"))
+    plan = as_long(order_ranges(spark, sf_dir), "range_id", "min", "max").select("range_id", F.col("min").alias("token_min"), F.col("max").alias("token_max"))
+    bad = {r.token_min for r in plan.where("range_id % 10 = 3").select("token_min").collect()}
+    registry = jobs.JobRegistry()
+
+    @registry.range_job("price classes", ["LARGE", "SMALL"])
+    def classes(low, high, batches, counts):
+        if low in bad:
+            raise RuntimeError("this range is to fail")
+        for batch in batches:
+            prices = batch.column("o_totalprice").to_numpy(zero_copy_only=False)
+            counts.add("LARGE", int((prices > 200_000).sum()))
+            counts.add("SMALL", int((prices <= 200_000).sum()))
+
+    rows = table(spark, sf_dir, "orders").select("o_totalprice", tokens.token60("o_orderkey").alias("_token"))
+    done = registry.run_ranges("price classes", log, "orders", 1, plan, rows, "_token")
+    return tracking.latest_ranges(done).join(plan, ["token_min"]).select("range_id", "status", "run_info")
+
+
+@query(f"""WITH {CHECKED}, b AS (SELECT {TOKEN} % 256 AS bucket, outcome FROM v), w AS (SELECT DISTINCT bucket FROM b WHERE outcome <> 'VALID')
+SELECT count(*) AS n_rows, count(*) FILTER (outcome <> 'VALID') AS n_written, (SELECT count(*) FROM w) AS n_buckets, count(*) FILTER (bucket IN (SELECT bucket FROM w)) AS n_rewritten FROM b""")
+def repaired_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A repair of a bucketed target in place: the rows written, the buckets that hold them, and the rows in those, which alone were
+    rewritten."""
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec.of(orders, "orders", ["o_orderkey"])
+    store = tables.BucketedTable(spark, scratch_path(spark, "orders"), ["o_orderkey"], 256)
+    store.create(orders_target(orders))
+    before = stored(store.files(), "files")
+    writes, touched = jobs.repair(orders, store, spec, spec, JobSpec(autocorrect_missing=True, autocorrect_mismatch=True))
+    new = store.files().join(before.select("file"), "file", "left_anti")
+    after = new.agg(F.count("*").alias("n_files"), F.sum("n_rows").cast("long").alias("n_rewritten"))
+    both = store.read().agg(F.count("*").alias("n_rows")).crossJoin(after).crossJoin(writes.agg(F.count("*").alias("n_written")))  # one row each
+    return both.select("n_rows", "n_written", F.col("n_files").alias("n_buckets"), "n_rewritten")
+
+
 KIND = "CASE c_custkey % 3 WHEN 0 THEN 'MIGRATE' WHEN 1 THEN 'VALIDATE' ELSE 'GUARDRAIL' END"
 
 

@@ -1,13 +1,16 @@
 """The jobs a user calls: migrate, validate (with autocorrect), guardrail, convert, profile, and resume.
 
-Each job is one lazy plan over whole tables; counters come from an outcome column of the same plan.
+Each job is one lazy plan over whole tables, which reads each side once; counters come from an outcome column of the same plan. Rows
+that share a key end the job when it runs, with a message that names the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +18,13 @@ from pyspark.sql import types as T
 from tidemark.functions.convert import builtin, convert
 from tidemark.operators import filters, guardrail, metrics, ranges, reconcile
 from tidemark.operators.mapping import Mapping, quoted, row_ttl, row_writetime
-from tidemark.operators.merge import batches, counter_updates, duplicate_keys, keyed, merged_cells, upsert
+from tidemark.operators.merge import batches, counter_updates, keyed, merged_cells, of, unshared, upsert
 from tidemark.plans import tracking
+from tidemark.session import stored
+from tidemark.sources.tables import BucketedTable
 from tidemark.spec import JobSpec, TableSpec
 
 
-class DuplicateKeys(ValueError):
-    pass
-
-
 @dataclass
 class Extensions:
     """What users add to a job: conversions (name, from, to, build), filters (name, accepts, fails or None), transforms of origin
@@ -58,9 +59,12 @@ class Migration:
     def writes(self) -> DataFrame:
         return self.rows.where("outcome = 'WRITE'").drop("outcome", "_errors")
 
-    def counters(self, by: list[str] | None = None) -> DataFrame:
-        """READ counts origin rows; the others count target rows. All from one pass, by group if asked for (columns that were kept)."""
-        counted = [F.count_if("_first").alias("n_read")] + [F.count_if(F.col("outcome") == o).alias(f"n_{o.lower()}") for o in ("WRITE", "SKIPPED", "ERROR")]
+    def counters(self, by: list[str] | None = None, flushed: bool = True) -> DataFrame:
+        """READ counts origin rows; the others count target rows. All from one pass, by group if asked for (columns that were kept).
+        Before the target's new version is in place (not ``flushed``), what is to be written counts as UNFLUSHED, not as WRITE."""
+        counted = [F.count_if("_first").alias("n_read")] + [F.count_if((F.col("outcome") == o) & F.lit(flushed or o != "WRITE")).alias(f"n_{o.lower()}") for o in ("WRITE", "SKIPPED", "ERROR")]
+        if not flushed:
+            counted.append(F.count_if(F.col("outcome") == "WRITE").alias("n_unflushed"))
         return self.every.groupBy(*map(quoted, by or [])).agg(*counted)
 
     def diagnostics(self) -> DataFrame:
@@ -78,7 +82,7 @@ class Migration:
         if on_duplicate == "latest":
             writes = keyed(writes, key, F.struct(F.col("_writetime"), F.xxhash64(*map(quoted, columns)) if columns else F.lit(0)))
         else:
-            refuse_duplicates(writes, key, f"rows of {self.mapping.origin.name} share keys of {self.mapping.target.name}")
+            writes = unshared(writes, key, f"rows of {self.mapping.origin.name} share keys of {self.mapping.target.name}")
         return upsert(target, writes, key, columns, backfilled(self.mapping.job))
 
     def batched(self) -> DataFrame:
@@ -91,11 +95,6 @@ def backfilled(job: JobSpec) -> list[str]:
     return [job.extract.target] if job.extract and not job.extract.overwrite else []
 
 
-def refuse_duplicates(df: DataFrame, key: list[str], message: str) -> None:
-    if not duplicate_keys(df, key).isEmpty():
-        raise DuplicateKeys(message)
-
-
 def filter_chain(origin: DataFrame, spec: TableSpec, job: JobSpec, token: Column | None = None, writetime: bool = True, extensions: Extensions | None = None) -> filters.FilterChain:
     chain = filters.FilterChain()
     if job.where:
@@ -147,7 +146,7 @@ def validate(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, targe
     read = filter_chain(origin, origin_spec, job, token, writetime=False, extensions=extensions).mark(origin).where("_outcome is null")
     key = list(target_spec.key)
     if check_keys:
-        refuse_duplicates(target, key, f"rows of {target_spec.name} share its key")
+        target = unshared(target.select(*map(quoted, dict.fromkeys([*key, *compared_columns(mapping)]))), key, f"rows of {target_spec.name} share its key")
     return reconcile.validate(mapping.apply(read, keep), target, key, compared_columns(mapping), keep=keep, only_if_target_null=backfilled(job), strict_empty=job.strict_empty, hooks=extensions.compare)
 
 
@@ -167,8 +166,8 @@ def autocorrect(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, ta
         return checked, upsert(target, new, key, sorted(target_spec.counters))
     job_rows = migrate(origin, origin_spec, target_spec, replace(job, writetime_window=None), extensions=extensions)
     rows, mapping = job_rows.rows.drop("outcome"), job_rows.mapping
-    refuse_duplicates(rows.where(F.size("_errors") == 0), key, f"rows of {origin_spec.name} share keys of {target_spec.name}")
-    refuse_duplicates(target, key, f"rows of {target_spec.name} share its key")
+    rows = unshared(rows, key, f"rows of {origin_spec.name} share keys of {target_spec.name}", F.size("_errors") == 0)
+    target = unshared(target, key, f"rows of {target_spec.name} share its key")
     both = reconcile.compared(rows, target, key, compared_columns(mapping), None, backfilled(job), job.strict_empty, extensions.compare, "full_outer")
     repaired = [o for o, on in ((reconcile.MISSING, missing), (reconcile.MISMATCH, job.autocorrect_mismatch)) if on]
     written = F.coalesce(F.col("outcome").isin(*repaired), F.lit(False)) if repaired else F.lit(False)
@@ -177,6 +176,22 @@ def autocorrect(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, ta
     return reconcile.validated(both, key), after
 
 
+def repair(origin: DataFrame, store: BucketedTable, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, extensions: Extensions | None = None) -> tuple[DataFrame, list[int]]:
+    """Autocorrect of a bucketed target in place: one left join by key finds the rows to write again, which are stored, and only the
+    buckets that hold such rows are read again and rewritten. Gives the rows written and the numbers of those buckets."""
+    key = list(target_spec.key)
+    job_rows = migrate(origin, origin_spec, target_spec, replace(job, writetime_window=None), extensions=extensions)
+    rows = unshared(job_rows.rows.drop("outcome"), key, f"rows of {origin_spec.name} share keys of {target_spec.name}", F.size("_errors") == 0)
+    columns = [s.target for s in job_rows.mapping.sources if s.target not in key]
+    target = store.read()
+    seen = unshared(target.select(*map(quoted, dict.fromkeys([*key, *compared_columns(job_rows.mapping)]))), key, f"rows of {target_spec.name} share its key")
+    both = reconcile.compared(rows, seen, key, compared_columns(job_rows.mapping), None, backfilled(job), job.strict_empty, (extensions or Extensions()).compare)
+    repaired = [o for o, on in ((reconcile.MISSING, job.autocorrect_missing), (reconcile.MISMATCH, job.autocorrect_mismatch)) if on]
+    wanted = both.where(F.col("outcome").isin(*repaired)).select(*(of("w", c).alias(c) for c in [*key, *columns, "_unset", "_writetime", "_ttl"]))
+    writes = stored(wanted, "repairs")
+    return writes, [] if job.dry_run else store.upsert(writes, columns, backfilled(job))
+
+
 def validation_counters(checked: DataFrame, by: list[str], job: JobSpec, counter_table: bool = False) -> DataFrame:
     """The counters of a validate job by group, with verdicts; what autocorrect is asked for counts as corrected."""
     out = metrics.counters(checked, by, ["MISSING", "MISMATCH", "VALID", "ERROR"])
@@ -243,7 +258,7 @@ def recorded(log: tracking.RunLog, table: str, run_id: int, kind: str, plan: Dat
     of ``by_range`` (token_min, n_...), and the run with their totals. Ranges without rows end with zeros. ``failed``: token_min of
     ranges whose work failed; what they left uncounted goes to their errors. Gives the ended ranges."""
     log.begin(table, run_id, kind, plan, prev_run_id)
-    names = [metrics.column(c) for c in metrics.REGISTERED[kind] if c not in metrics.TITLES]
+    names = [metrics.column(c) for c in metrics.stored_counters(kind) if c not in metrics.TITLES]
     zero = F.lit(0).cast("long")
     known = by_range.select("token_min", *((F.col(c) if c in by_range.columns else zero).cast("long").alias(c) for c in names))
     rows = plan.select("token_min", "token_max").join(known, "token_min", "left").select("token_min", "token_max", *(F.coalesce(c, zero).alias(c) for c in names))
@@ -290,11 +305,78 @@ def resume(log: tracking.RunLog, table: str, prev_run_id: int, run_id: int, mult
     return held_back
 
 
+class Counts:
+    """What a user's job counts while it works on a range; what it counted before it failed stays."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.n = dict.fromkeys(names, 0)
+
+    def add(self, counter: str, n: int = 1) -> None:
+        if counter not in self.n:
+            raise KeyError(f"{counter} is no counter of this job; there are: {', '.join(self.n)}")
+        self.n[counter] += n
+
+
+#: A user's work on a range: its ends, its rows in Arrow batches, and the counters.
+RangeRunner = Callable[[int, int, Iterator[pa.RecordBatch], Counts], None]
+
+
+def run_ranges(rows: DataFrame, token: str, plan: DataFrame, runner: RangeRunner, counters: list[str]) -> DataFrame:
+    """Runs a user's work on each range of a plan (token_min, token_max): one row per range that has rows, with ``failed``,
+    ``error`` and its counters (n_...).
+
+    Ranges are Spark's groups, each in one task; a range's rows come as a stream of batches, so memory follows the batch, not the
+    range. READ counts the range's rows, also those that the runner left unread. An exception ends its range only. A task that is
+    lost is run again from the range's beginning, so what a runner does outside must bear repetition. The result is stored before it
+    is returned, so that the work isn't done again for each reader."""
+    own = [c for c in counters if c not in ("READ", *metrics.TITLES)]
+    names = [f.name for f in rows.schema.fields]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, read, first = Counts(own), 0, next(batches)
+        low, high = first.column("_low")[0].as_py(), first.column("_high")[0].as_py()
+
+        def seen() -> Iterator[pa.RecordBatch]:
+            nonlocal read
+            for batch in itertools.chain([first], batches):
+                read += batch.num_rows
+                yield batch.select(names)
+
+        stream, error = seen(), None
+        try:
+            runner(low, high, stream, counts)
+        except Exception as e:  # whatever a user's code raises is the range's failure
+            error = f"{type(e).__name__}: {e}"
+        for _ in stream:
+            pass
+        columns = {"token_min": pa.array([low], pa.int64()), "failed": pa.array([error is not None]), "error": pa.array([error], pa.string()), "n_read": pa.array([read], pa.int64())}
+        columns |= {metrics.column(c): pa.array([n], pa.int64()) for c, n in counts.n.items()}
+        yield pa.RecordBatch.from_pydict(columns)
+
+    dealt = ranged(rows, token, plan.select("token_min", "token_max")).join(small_plan(plan), "token_min")
+    kept = dealt.select(*map(quoted, names), F.col("token_min").alias("_low"), F.col("_token_max").alias("_high"))
+    schema = "token_min long, failed boolean, error string, n_read long" + "".join(f", {metrics.column(c)} long" for c in own)
+    return stored(kept.groupBy("_low").applyInArrow(work, schema), "ranges")
+
+
+def small_plan(plan: DataFrame) -> DataFrame:
+    return ranges.small(plan.select("token_min", F.col("token_max").alias("_token_max")))
+
+
+def recorded_ranges(log: tracking.RunLog, table: str, run_id: int, kind: str, plan: DataFrame, rows: DataFrame, token: str, runner: RangeRunner, prev_run_id: int = 0) -> DataFrame:
+    """A user's job on record, range by range: a range whose work raises ends as FAIL, with its uncounted rows in ERROR, and the
+    others end as they do. Gives the ended ranges."""
+    done = run_ranges(rows, token, plan, runner, metrics.stored_counters(kind))
+    return recorded(log, table, run_id, kind, plan, done, prev_run_id, done.where("failed").select("token_min"))
+
+
 class JobRegistry:
-    """Jobs that users add, by name: ``run(spark, job, extensions, **arguments)``; and what they add to the built-in ones."""
+    """Jobs that users add, by name: ``run(spark, job, extensions, **arguments)``, or work by range with counters of its own; and
+    what they add to the built-in ones."""
 
     def __init__(self) -> None:
         self.jobs: dict[str, Callable] = {}
+        self.runners: dict[str, RangeRunner] = {}
         self.extensions = Extensions()
 
     def job(self, name: str):
@@ -306,6 +388,23 @@ class JobRegistry:
 
         return add
 
+    def range_job(self, name: str, counters: list[str]):
+        """Registers a kind of job whose work is done range by range (``run_ranges``)."""
+
+        def add(f: RangeRunner) -> RangeRunner:
+            if name in self.runners or name in ("migrate", "validate", "guardrail"):
+                raise ValueError(f"there is a job {name} already")
+            metrics.register(name, counters)
+            self.runners[name] = f
+            return f
+
+        return add
+
+    def run_ranges(self, name: str, log: tracking.RunLog, table: str, run_id: int, plan: DataFrame, rows: DataFrame, token: str, prev_run_id: int = 0) -> DataFrame:
+        if name not in self.runners:
+            raise ValueError(f"there is no job {name}; there are: {', '.join(sorted(self.runners))}")
+        return recorded_ranges(log, table, run_id, name, plan, rows, token, self.runners[name], prev_run_id)
+
     def transform(self, f):
         self.extensions.transforms.append(f)
         return f

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import REGISTERED, column, metrics_string, parsed, title
+from tidemark.operators.metrics import column, metrics_string, parsed, stored_counters, title
 from tidemark.session import remove, scratch_path
 
 #: The statuses and the columns of the tracking tables.
@@ -214,7 +214,8 @@ class RunLog:
 
 def run_totals(ranges: DataFrame, kind: str) -> DataFrame:
     """One row: the metric string of a run, from those of its ranges."""
-    titles = [title(c) for c in REGISTERED[kind]]
+    names = stored_counters(kind)
+    titles = [title(c) for c in names]
     rows = ranges.select(parsed(F.col("run_info")).alias("_n"))
-    sums = rows.agg(*(F.coalesce(F.sum(F.try_element_at("_n", F.lit(t))), F.lit(0)).cast("long").alias(column(c)) for t, c in zip(titles, REGISTERED[kind], strict=True)))
+    sums = rows.agg(*(F.coalesce(F.sum(F.try_element_at("_n", F.lit(t))), F.lit(0)).cast("long").alias(column(c)) for t, c in zip(titles, names, strict=True)))
     return sums.select(metrics_string(kind).alias("run_info"))
