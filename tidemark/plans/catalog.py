@@ -16,7 +16,7 @@ from tidemark.functions import geometry, tokens
 from tidemark.operators import filters, guardrail, merge, metrics, ranges, reconcile
 from tidemark.operators.mapping import Mapping
 from tidemark.plans import jobs, tracking
-from tidemark.sources import generate, reports, tables
+from tidemark.sources import generate, plugin, reports, tables
 from tidemark.session import scratch_path, stored
 from tidemark.spec import Explode, Extract, JobSpec, TableSpec
 from tidemark.streaming import monitor
@@ -819,6 +819,18 @@ def repaired_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("n_rows", "n_written", F.col("n_files").alias("n_buckets"), "n_rewritten")
 
 
+@query(f"WITH o AS (SELECT {TOKEN} AS token, o_totalprice FROM orders) SELECT count(*) AS n_rows, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS cents, count(*) FILTER (token BETWEEN 200000000000000000 AND 500000000000000000) AS n_inside FROM o")
+def user_source_and_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders through a user's sink, which lists its files by token range, and back through a user's source, whole and in part."""
+    root = scratch_path(spark, "kept")
+    plugin.register_sink(spark, "tidemark_kept", plugin.ManifestSink(root, "token"))
+    plugin.register_source(spark, "tidemark_kept_rows", plugin.ManifestSource(root, "token", "token long, cents long", 1 << 57))
+    rows = table(spark, sf_dir, "orders").select(tokens.token60("o_orderkey").alias("token"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    rows.repartitionByRange(8, "token").write.format("tidemark_kept").mode("append").save()
+    inside = plugin.range_rows(spark, "tidemark_kept_rows", 200000000000000000, 500000000000000000).agg(F.count("*").alias("n_inside"))
+    return plugin.range_rows(spark, "tidemark_kept_rows").agg(F.count("*").alias("n_rows"), F.sum("cents").alias("cents")).crossJoin(inside)  # one row each
+
+
 KIND = "CASE c_custkey % 3 WHEN 0 THEN 'MIGRATE' WHEN 1 THEN 'VALIDATE' ELSE 'GUARDRAIL' END"
 
 
