@@ -507,6 +507,46 @@ def extended_migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.every.groupBy("outcome").agg(F.count("*").alias("n_rows"), total.alias("total"))
 
 
+@query("""SELECT count(*) AS n_read, CAST(sum(o_orderkey % 4) AS BIGINT) AS n_write, count(*) FILTER (o_orderkey % 4 = 0) AS n_skipped, CAST(0 AS BIGINT) AS n_error, count(*) FILTER (o_orderkey % 4 > 0) AS first_parts, CAST(sum(CASE WHEN o_orderkey % 4 > 1 THEN 1 ELSE 0 END) AS BIGINT) AS second_parts,
+  CAST(sum(CASE WHEN o_orderkey % 4 > 0 AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM orders""")
+def one_to_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A migration in which a user makes none to three records of each order, and a validation of a target that lacks some of them:
+    READ counts orders, the other counters records."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    parts = F.transform(F.sequence(F.lit(1).cast("long"), F.lit(3).cast("long")), lambda n: F.struct(n.alias("part"), (F.col("o_totalprice") / n).alias("o_totalprice")))
+    own = jobs.Extensions(records=F.slice(parts, F.lit(1), (F.col("o_orderkey") % 4).cast("int")))
+    spec = TableSpec("parts", schema(f"o_orderkey {dict(orders.dtypes)['o_orderkey']}, part bigint, o_totalprice double"), ("o_orderkey",), ("part",))
+    done = jobs.migrate(orders, spec, spec, JobSpec(), extensions=own)
+    target = done.merged(orders.limit(0).withColumn("part", F.lit(0).cast("long")).select("o_orderkey", "part", "o_totalprice"))
+    counted = target.agg(F.count_if(F.col("part") == 1).alias("first_parts"), F.count_if(F.col("part") == 2).alias("second_parts"))
+    checked = jobs.validate(orders, target.where("o_orderkey % 5 <> 0 or part <> 1"), spec, spec, JobSpec(), extensions=own)
+    return done.counters().crossJoin(counted).crossJoin(checked.agg(F.count_if(F.col("outcome") == "MISSING").alias("n_missing")))  # one row each
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(20 AS BIGINT) AS largest, TRUE AS only_last_ones_short FROM lineitem")
+def arrival_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a migration in batches as they arrive: all are full but the last one of each task."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("_nth", F.monotonically_increasing_id())
+    spec = TableSpec.of(lines.select("_nth", "l_orderkey", "l_quantity"), "lines", ["_nth"])
+    done = jobs.migrate(lines.select("_nth", "l_orderkey", "l_quantity"), spec, spec, JobSpec(batch_size=20, batches="arrival")).batched()
+    sizes = done.groupBy(F.shiftright("batch_no", 33).alias("task"), "batch_no").agg(F.count("*").alias("n"))
+    tasks = sizes.groupBy("task").agg(F.sum("n").alias("n_rows"), F.max("n").alias("largest"), F.count_if(F.col("n") < 20).alias("short"))
+    return tasks.agg(F.sum("n_rows").cast("long").alias("n_rows"), F.max("largest").alias("largest"), (F.max("short") <= 1).alias("only_last_ones_short"))
+
+
+@query("SELECT c_custkey AS key, nullif(c_custkey % 2 + CASE WHEN c_nationkey % 3 = 0 THEN 0 ELSE 1 END, 0) AS n_entries, CAST(c_nationkey AS BIGINT) AS nation FROM customer")
+def odd_names_and_null_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose names are a reserved word, hold a dot, a dash and a back quote; null entries of its map are stripped, and a
+    map without entries leaves its cell alone."""
+    customer = table(spark, sf_dir, "customer")
+    nation = F.col("c_nationkey").cast("long")
+    entries = F.create_map(F.lit("a"), F.when(F.col("c_custkey") % 2 == 1, nation), F.lit("b"), F.when(nation % 3 != 0, nation))
+    origin = customer.select(F.col("c_custkey").alias("order"), entries.alias("map-of.x"), nation.alias("na`tion"))
+    spec = TableSpec.of(origin, "odd", ["order"])
+    after = jobs.migrate(origin, spec, spec, JobSpec(strip_null_map_values=True)).merged(origin.limit(0))
+    return after.select(F.col("order").alias("key"), F.size(F.col("`map-of.x`")).alias("n_entries"), F.col("`na``tion`").alias("nation"))
+
+
 @query("SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'MISMATCH' ELSE 'VALID' END AS outcome, count(*) AS n_rows FROM orders GROUP BY 1")
 def extended_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A validation with a user's test for equal prices: cents don't matter."""
@@ -1110,21 +1150,24 @@ def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy(kind.alias("kind")).agg(F.count("_key").alias("n_stored"))
 
 
-@query("SELECT CAST(1700000001 AS BIGINT) AS started, CAST(1700000002 AS BIGINT) AS ended, CAST(1 AS BIGINT) AS seconds, count(*) FILTER (o_orderkey % 3 = 2) AS n_ranges FROM orders")
+@query("SELECT CAST(1700000001 AS BIGINT) AS started, CAST(1700000002 AS BIGINT) AS ended, CAST(1 AS BIGINT) AS seconds, count(*) FILTER (o_orderkey % 3 = 2) AS n_ranges, CAST(sum(o_orderkey % 50) FILTER (o_orderkey % 3 = 2) AS BIGINT) AS n_rows FROM orders")
 def run_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When a run began and ended, and the ranges that its node completed, from its events."""
     counted = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec())
     plan = order_ranges(spark, sf_dir).agg(F.count("*").alias("n_ranges"))
-    one = reports.summary(counted, plan, "orders", reports.range_events(run_details(spark, sf_dir)))
-    return one.select(F.unix_seconds("timing.started").alias("started"), F.unix_seconds("timing.ended").alias("ended"), "timing.seconds", F.col("nodes")[0]["n_ranges"].alias("n_ranges"))
+    one = reports.summary(counted, plan, JobSpec(), reports.range_events(run_details(spark, sf_dir)))
+    return one.select(F.unix_seconds("timing.started").alias("started"), F.unix_seconds("timing.ended").alias("ended"), "timing.seconds", F.col("nodes")[0]["n_ranges"].alias("n_ranges"), F.col("nodes")[0]["n_rows"].alias("n_rows"))
+
+
+SUMMARY_JOB = JobSpec(autocorrect_missing=True, codecs=frozenset({"INT_STRING", "BIGINT_STRING"}), parts=50)
 
 
 @query(f"""WITH {CHECKED}, n AS (SELECT count(*) AS n_read, count(*) FILTER (outcome = 'MISSING') AS n_missing, count(*) FILTER (outcome = 'MISMATCH') AS n_mismatch FROM v), {SPLIT}
-SELECT sha256('orders') AS config_hash, n_read, n_missing + n_mismatch AS outstanding, (SELECT count(*) FROM r) AS n_ranges FROM n""")
+SELECT sha256('{SUMMARY_JOB.canonical()}') AS config_hash, n_read, n_missing AS missing, n_missing AS corrected_missing, n_mismatch AS mismatch, n_mismatch AS outstanding, (SELECT count(*) FROM r) AS n_ranges FROM n""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = jobs.validation_counters(checked_orders(spark, sf_dir), [], JobSpec())
+    counted = jobs.validation_counters(checked_orders(spark, sf_dir), [], SUMMARY_JOB)
     plan = order_ranges(spark, sf_dir).agg(F.count("*").alias("n_ranges"))
-    return reports.summary(counted, plan, "orders").select("config_hash", "counters.n_read", "outstanding", "plan.n_ranges")
+    return reports.summary(counted, plan, SUMMARY_JOB).select("config_hash", "counters.n_read", "discrepancies.missing", "discrepancies.corrected_missing", "discrepancies.mismatch", "discrepancies.outstanding", "plan.n_ranges")
 
 
 # Further operators

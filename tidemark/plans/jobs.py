@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemark.functions.convert import builtin, convert
 from tidemark.operators import filters, guardrail, metrics, ranges, reconcile
 from tidemark.operators.mapping import Mapping, quoted, row_ttl, row_writetime
-from tidemark.operators.merge import batches, counter_updates, keyed, merged_cells, of, unshared, upsert
+from tidemark.operators.merge import arrival_batches, batches, counter_updates, keyed, merged_cells, of, unshared, upsert
 from tidemark.plans import tracking
 from tidemark.session import stored
 from tidemark.sources.tables import BucketedTable
@@ -28,19 +28,36 @@ from tidemark.spec import JobSpec, TableSpec
 @dataclass
 class Extensions:
     """What users add to a job: conversions (name, from, to, build), filters (name, accepts, fails or None), transforms of origin
-    rows (a frame to a frame), guardrails (name, predicate for rows that are fine) and, by column, tests for being equal."""
+    rows (a frame to a frame), guardrails (name, predicate for rows that are fine) and, by column, tests for being equal.
+
+    ``records`` makes several records of one origin row, or none: a column of array<struct>, built of Spark's functions or a user's
+    (Arrow) function, whose structs' fields take the place of the origin's columns of their names, or are added to them."""
 
     codecs: list[tuple] = field(default_factory=list)
     filters: list[tuple] = field(default_factory=list)
     transforms: list[Callable[[DataFrame], DataFrame]] = field(default_factory=list)
     guardrails: list[tuple[str, Column]] = field(default_factory=list)
     compare: dict[str, Callable[[Column, Column], Column]] = field(default_factory=dict)
+    records: Column | None = None
 
     def transformed(self, df: DataFrame) -> DataFrame:
         for f in self.transforms:
             df = df.transform(f)
         return df
 
+    def every_record(self, df: DataFrame, wanted: Column, mapping: Mapping) -> DataFrame:
+        """One row per record (or map entry) of the wanted rows, and one for each other row, with ``_first`` and ``_entry`` as
+        ``Mapping.every_entry`` sets them."""
+        if self.records is None:
+            return mapping.every_entry(df, wanted)
+        if mapping.job.explode:
+            raise ValueError("a job either explodes a map or makes records")
+        out = df.select("*", F.posexplode_outer(F.when(wanted, self.records)).alias("_place", "_record"))
+        names = out.schema["_record"].dataType.names
+        rest = [quoted(c) for c in df.columns if c not in names]
+        first, entry = F.coalesce(F.col("_place") == 0, F.lit(True)), F.col("_place").isNotNull()
+        return out.select(*rest, *(F.col("_record")[n].alias(n) for n in names), first.alias("_first"), entry.alias("_entry"))
+
 
 @dataclass
 class Migration:
@@ -86,7 +103,9 @@ class Migration:
         return upsert(target, writes, key, columns, backfilled(self.mapping.job))
 
     def batched(self) -> DataFrame:
-        """The rows to write, numbered in batches within their partition key."""
+        """The rows to write, numbered in batches: within their partition key, or as they arrive if the job says so."""
+        if self.mapping.job.batches == "arrival":
+            return arrival_batches(self.writes, self.mapping.job.effective_batch(self.mapping.target))
         return batches(self.writes, list(self.mapping.target.partition_key), list(self.mapping.target.clustering_key or self.mapping.target.key), self.mapping.job.effective_batch(self.mapping.target))
 
 
@@ -127,7 +146,7 @@ def migrate(origin: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, j
     origin = extensions.transformed(origin)
     read = filter_chain(origin, origin_spec, job, token, extensions=extensions).mark(origin)
     read = read.withColumn("_large", large_cells(origin, job, extensions)).withColumn("_writetime", row_writetime(origin_spec, job)).withColumn("_ttl", row_ttl(origin_spec, job))
-    every = mapping.every_entry(read, F.col("_outcome").isNull()).withColumn("_tried", F.col("_outcome").isNull() & F.col("_entry"))
+    every = extensions.every_record(read, F.col("_outcome").isNull(), mapping).withColumn("_tried", F.col("_outcome").isNull() & F.col("_entry"))
     rows = mapping.apply(every, ["_writetime", "_ttl", "_outcome", "_rejected_by", "_large", "_first", "_tried", *(keep or [])], exploded=True)
     outcome = F.when(F.col("_outcome").isNotNull(), F.col("_outcome")).when(~F.col("_tried"), "SKIPPED").when(F.size("_errors") > 0, "ERROR").otherwise("WRITE")
     return Migration(mapping, rows.withColumn("outcome", outcome).drop("_outcome"))
@@ -147,7 +166,11 @@ def validate(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, targe
     key = list(target_spec.key)
     if check_keys:
         target = unshared(target.select(*map(quoted, dict.fromkeys([*key, *compared_columns(mapping)]))), key, f"rows of {target_spec.name} share its key")
-    return reconcile.validate(mapping.apply(read, keep), target, key, compared_columns(mapping), keep=keep, only_if_target_null=backfilled(job), strict_empty=job.strict_empty, hooks=extensions.compare)
+    if extensions.records is None:
+        rows = mapping.apply(read, keep)
+    else:
+        rows = mapping.apply(extensions.every_record(read, F.lit(True), mapping).where("_entry"), keep, exploded=True)
+    return reconcile.validate(rows, target, key, compared_columns(mapping), keep=keep, only_if_target_null=backfilled(job), strict_empty=job.strict_empty, hooks=extensions.compare)
 
 
 def autocorrect(origin: DataFrame, target: DataFrame, origin_spec: TableSpec, target_spec: TableSpec, job: JobSpec, extensions: Extensions | None = None) -> tuple[DataFrame, DataFrame]:
@@ -390,11 +413,11 @@ class JobRegistry:
 
     def range_job(self, name: str, counters: list[str]):
         """Registers a kind of job whose work is done range by range (``run_ranges``)."""
+        if name in self.runners or name in ("migrate", "validate", "guardrail"):
+            raise ValueError(f"there is a job {name} already")
+        metrics.register(name, counters)
 
         def add(f: RangeRunner) -> RangeRunner:
-            if name in self.runners or name in ("migrate", "validate", "guardrail"):
-                raise ValueError(f"there is a job {name} already")
-            metrics.register(name, counters)
             self.runners[name] = f
             return f
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.mapping import quoted
 from tidemark.operators.metrics import parsed, title
 from tidemark.operators.reconcile import ERROR, MISMATCH, MISSING, detail
+from tidemark.spec import JobSpec
 
 
 #: The beginnings of log lines, which tools that read the log look for.
@@ -111,16 +112,17 @@ def warning_events(diagnostics: DataFrame, key: list[str], run_id: int, at: Colu
     return events(diagnostics, node, at=at, table_name=F.lit(table), run_id=F.lit(run_id), type=F.lit("Warning"), key=key_text(key), message=F.concat(key_text(key), F.lit(" "), F.col("report")), rows=F.lit(1))
 
 
-def summary(totals: DataFrame, plan: DataFrame, options: str, log: DataFrame | None = None) -> DataFrame:
-    """One row: counters, plan, discrepancies outstanding, and a hash of the job's options; with the run's events (``log``) also its
-    timing (started, ended, seconds) and its nodes, with the ranges that each completed."""
+def summary(totals: DataFrame, plan: DataFrame, job: JobSpec, log: DataFrame | None = None) -> DataFrame:
+    """One row: counters, plan, discrepancies (found, corrected, outstanding), and a hash of all the job's options; with the run's
+    events (``log``) also its timing (started, ended, seconds) and its nodes, with the ranges and rows that each completed."""
     left = (F.col("n_missing") - F.col("n_corrected_missing")) + (F.col("n_mismatch") - F.col("n_corrected_mismatch"))
+    found = F.struct(*(F.col(f"n_{c}").alias(c) for c in ("missing", "mismatch", "corrected_missing", "corrected_mismatch")), left.alias("outstanding"))
     counters = F.struct(*(c for c in totals.columns if c.startswith("n_")))
-    one = totals.select(F.lit(1).alias("_one"), F.sha2(F.lit(options), 256).alias("config_hash"), counters.alias("counters"), left.alias("outstanding"))
+    one = totals.select(F.lit(1).alias("_one"), F.lit(job.config_hash()).alias("config_hash"), counters.alias("counters"), found.alias("discrepancies"), left.alias("outstanding"))
     out = one.join(plan.select(F.lit(1).alias("_one"), F.struct(*plan.columns).alias("plan")), "_one")
     if log is not None:
-        by_node = log.groupBy("node_id").agg(F.min("at").alias("started"), F.max("at").alias("ended"), F.count_if(F.col("type") == "RangeCompleted").alias("n_ranges"))
+        by_node = log.groupBy("node_id").agg(F.min("at").alias("started"), F.max("at").alias("ended"), F.count_if(F.col("type") == "RangeCompleted").alias("n_ranges"), F.coalesce(F.sum(F.when(F.col("type") == "RangeCompleted", F.col("rows"))), F.lit(0)).cast("long").alias("n_rows"))
         span = F.struct(F.min("started").alias("started"), F.max("ended").alias("ended"), (F.unix_seconds(F.max("ended")) - F.unix_seconds(F.min("started"))).alias("seconds"))
-        timed = by_node.agg(F.lit(1).alias("_one"), span.alias("timing"), F.array_sort(F.collect_list(F.struct("node_id", "n_ranges"))).alias("nodes"))
+        timed = by_node.agg(F.lit(1).alias("_one"), span.alias("timing"), F.array_sort(F.collect_list(F.struct("node_id", "n_ranges", "n_rows"))).alias("nodes"))
         out = out.join(timed, "_one")
     return out.drop("_one")

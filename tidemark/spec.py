@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+import json
+from dataclasses import asdict, dataclass, field
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -115,6 +117,14 @@ class JobSpec:
     autocorrect_missing_counter: bool = False
     strict_empty: bool = False
     dry_run: bool = False
+    batches: str = "strict"  # within partition keys, or "arrival": as rows arrive
+
+    def canonical(self) -> str:
+        """All options as one line of JSON, names in order; equal options give the same line."""
+        return json.dumps(asdict(self), sort_keys=True, default=sorted)
+
+    def config_hash(self) -> str:
+        return hashlib.sha256(self.canonical().encode()).hexdigest()
 
     @staticmethod
     def parse_rename(text: str) -> tuple[str, str]:
@@ -146,6 +156,7 @@ class JobSpec:
         unless(1 <= self.coverage <= 100, "coverage", "must be from 1 to 100")
         unless(self.guardrail_kb >= 0, "guardrail", "must be 0 or more")
         unless(self.guardrail_mode in ("check", "warn", "block"), "guardrail", "mode must be check, warn or block")
+        unless(self.batches in ("strict", "arrival"), "batches", "must be strict or arrival")
         if self.explode:
             unless(all((self.explode.column, self.explode.key, self.explode.value)), "explode", "needs the map column and both target names")
         if self.extract:
