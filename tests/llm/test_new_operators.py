@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, line_dedup_sql, periodic, queries, vector_codes, vector_codes_sql
+from tidemark.llm import line_dedup, line_dedup_sql, mixing, periodic, queries, vector_codes, vector_codes_sql
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h1 string, places string, runs int"
 SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -236,3 +236,19 @@ def test_twins(spark, data, name):
 def test_line_removal_uses_no_python_workers(spark, data):
     plan = queries.op11_line_dedup(spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "some", "own"])
+def test_mixtures_keep_budgets_whatever_the_ids(spark, ids):
+    """A small source of 100 documents beside a large one; the small one is read one and a half times."""
+    name = lambda n: {"null": None, "one": 7, "some": n % 9, "own": n}[ids]
+    rows = [(name(n), "w " * (n % 3 + 1), "small") for n in range(100)] + [(1000 + n, "w " * 10, "large") for n in range(400)] + [(None, "", None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    read = lambda df, key: sorted(((r[key[0]], r[key[1]]) for r in df.collect()), key=str)
+    planned = mixing.schedule(docs, target_entropy=1.0, most_repeats=1.5)
+    got = mixing.mixed(docs, target_entropy=1.0, most_repeats=1.5)
+    size = F.size(F.array_remove(F.split("text", " "), "")).cast("long")
+    assert read(got.select("source", size.alias("n")), ("source", "n")) == read(planned, ("source", "n_tokens"))
+    words = {r.source: r.n for r in got.groupBy("source").agg(F.sum(size).alias("n")).collect()}
+    total = sum(n % 3 + 1 for n in range(100))
+    assert words["large"] == 4000 and abs(words["small"] - total * 1.5) <= 3 and got.where("source is null").count() == 3

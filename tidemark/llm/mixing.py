@@ -11,8 +11,9 @@ id), the last pass stops at the source's token budget, and the stream is dealt i
 tokens, in an order that again is a permutation.
 
 The cumulative sums along a permutation are taken in two levels: sums by ranges of the hash, then within a range. So a source that
-holds most rows is spread over ``RANGES`` groups. What is broadcast is a table by source, whose row count is checked; beyond
-``BROADCAST_SOURCES`` it is joined by a shuffle.
+holds most rows is spread over ``RANGES`` groups. Rows are placed by their ids' hash or, where a source has an id more than once
+(null ids included), by a number of their own in a table, so equal ids neither meet in one group nor go beyond a budget together.
+What is broadcast is a table by source, whose row count is checked; beyond ``BROADCAST_SOURCES`` it is joined by a shuffle.
 
 A document's size is its number of words between white space, which stands for its tokens: encoding by a tokenizer's file has no
 form in DataFrame functions. The sources' totals are one row; sources are as many as a catalogue's entries, not as documents. A
@@ -51,6 +52,11 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     return spaced.select("doc_id", "source", F.when(F.col("spaced") == "", 0).otherwise(words).cast("long").alias("n_tokens"))
 
 
+def ids_repeat(rows: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> bool:
+    """Whether a source has an id more than once."""
+    return not rows.groupBy(source_col, id_col).count().where("count > 1").isEmpty()
+
+
 def exponent(shares: Column, target_entropy: float, most_repeats: float) -> Column:
     """The exponent for an array of shares that are positive and sum to 1."""
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda x, y: x + y)
@@ -97,41 +103,48 @@ def plan(rows: DataFrame, target_entropy: float = 0.9, most_repeats: float = 2.0
 
 
 def passes_of(rows: DataFrame, planned: DataFrame, seed: str) -> DataFrame:
-    """Every reading of every document: pass, hash, and the source's tokens before it in the pass's permutation."""
+    """Every reading of every document, named by ``_key``: pass, hash, and the source's tokens before it in the pass's permutation."""
     copies = rows.join(planned, F.col("source").eqNullSafe(F.col("_source"))).withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - F.when(F.col("rest") > 0, 0).otherwise(1))))
-    copies = copies.withColumn("_hash", order_hash(seed, F.col("pass"), F.col("doc_id"))).withColumn("_range", F.shiftright("_hash", HASH_BITS - 12))
+    copies = copies.withColumn("_hash", order_hash(seed, F.col("pass"), F.col("_key"))).withColumn("_range", F.shiftright("_hash", HASH_BITS - 12))
     group = ["source", "pass", "_range"]
     sums = copies.groupBy(*group).agg(F.sum("n_tokens").alias("_sum"))
     before = F.coalesce(F.sum("_sum").over(Window.partitionBy("source", "pass").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select(*(F.col(g).alias(f"{g}_2") for g in group), before.alias("_before"))
     met = copies.join(starts, F.col("source").eqNullSafe(F.col("source_2")) & (F.col("pass") == F.col("pass_2")) & (F.col("_range") == F.col("_range_2")))
-    inside = F.sum("n_tokens").over(Window.partitionBy(*group).orderBy("_hash", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))
+    inside = F.sum("n_tokens").over(Window.partitionBy(*group).orderBy("_hash", "_key", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))
     ended = met.withColumn("_end", F.col("_before") + inside)
     return ended.where((F.col("pass") < F.col("full")) | (F.col("_end") <= F.col("rest")))
 
 
 def schedule(docs: DataFrame, target_entropy: float = 0.9, most_repeats: float = 2.0, block_tokens: int = 1_000_000, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per reading: doc_id, source, n_tokens, pass, block, place (from 0 in the block)."""
-    rows = materialise(sized(docs, id_col, text_col, source_col), "mixing-sizes")
+    rows = materialise(sized(docs, id_col, text_col, source_col).withColumn("_row", F.monotonically_increasing_id()), "mixing-sizes")
+    rows = rows.withColumn("_key", F.col("_row" if ids_repeat(rows) else "doc_id"))
     planned = materialise(plan(rows, target_entropy, most_repeats, block_tokens), "mixing-plan").withColumnRenamed("source", "_source")
     read = passes_of(rows, small(planned), seed)
     place = F.col("pass") * F.col("tokens") + F.col("_end") - F.col("n_tokens")
-    block = F.when(F.col("quota") > 0, F.least(F.floor(place / F.col("quota")), F.col("blocks") - 1)).otherwise(F.lit(0)).cast("long")
-    dealt = read.select("doc_id", "source", "n_tokens", "pass", block.alias("block"), order_hash(f"{seed}-block", F.col("pass"), F.col("doc_id")).alias("_order"))
-    ranked = F.row_number().over(Window.partitionBy("block").orderBy("_order", "doc_id", "pass", "n_tokens", "source")) - 1
+    order = order_hash(f"{seed}-block", F.col("pass"), F.col("_key"))
+    block = F.when(F.col("quota") > 0, F.least(F.floor(place / F.col("quota")), F.col("blocks") - 1)).otherwise(order % F.col("blocks")).cast("long")
+    dealt = read.select("doc_id", "source", "n_tokens", "pass", block.alias("block"), order.alias("_order"), "_key")
+    ranked = F.row_number().over(Window.partitionBy("block").orderBy("_order", "_key", "pass", "n_tokens", "source")) - 1
     return dealt.select("doc_id", "source", "n_tokens", "pass", "block", ranked.cast("long").alias("place"))
 
 
 def mixed(docs: DataFrame, target_entropy: float = 0.9, most_repeats: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents, each as often as the mixture reads it, with all their columns; texts aren't shuffled.
 
-    The last pass of a source is a beginning of its permutation, so the highest hash in it tells which documents it holds."""
+    The last pass of a source is a beginning of its permutation, so the last of it, by hash and id, tells which documents it holds.
+    Where a source has an id more than once, its rows are numbered in a table in the shared folder, and the numbers are the ids."""
     names, docs = docs.columns, numbered(docs)
     id_col, text_col, source_col = (f"c{names.index(c)}" for c in (id_col, text_col, source_col))
-    rows = materialise(sized(docs, id_col, text_col, source_col), "mixing-sizes")
+    if ids_repeat(docs, id_col, source_col):
+        docs = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "mixing-rows")
+        id_col = "_row"
+    rows = materialise(sized(docs, id_col, text_col, source_col), "mixing-sizes").withColumn("_key", F.col("doc_id"))
     planned = materialise(plan(rows, target_entropy, most_repeats), "mixing-plan").withColumnRenamed("source", "_source")
-    last = passes_of(rows, small(planned.where("rest > 0")), seed).where(F.col("pass") == F.col("full")).groupBy("source").agg(F.max("_hash").alias("_cut"))
-    bounds = planned.join(last, F.col("_source").eqNullSafe(F.col("source")), "left").select("_source", F.col("full").alias("_full"), F.coalesce("_cut", F.lit(-1)).alias("_cut"))
+    last = passes_of(rows, small(planned.where("rest > 0")), seed).where(F.col("pass") == F.col("full")).groupBy("source").agg(F.max(F.struct("_hash", "_key")).alias("_cut"))
+    bounds = planned.join(last, F.col("_source").eqNullSafe(F.col("source")), "left").select("_source", F.col("full").alias("_full"), "_cut")
     out = docs.join(small(materialise(bounds, "mixing-bounds")), F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
-    copies = F.col("_full") + F.when(order_hash(seed, F.col("_full"), F.col(id_col)) <= F.col("_cut"), 1).otherwise(0)
+    own = F.struct(order_hash(seed, F.col("_full"), F.col(id_col)).alias("_hash"), F.col(id_col).alias("_key"))
+    copies = F.col("_full") + F.when(F.coalesce(own <= F.col("_cut"), F.lit(False)), 1).otherwise(0)
     return renamed(out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))), names)

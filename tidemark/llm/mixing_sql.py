@@ -40,9 +40,8 @@ WITH RECURSIVE sized AS (
   SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY source, pass ORDER BY h, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM hashed
 ), dealt AS (
   SELECT doc_id, source, n_tokens, pass,
-    CASE WHEN tokens > 0 THEN least(CAST(floor((pass * tokens + upto - n_tokens) / (tokens * passes / blocks)) AS BIGINT), blocks - 1) ELSE 0 END AS block,
-    CAST('0x' || substr(md5('mix-block:' || pass || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS o
-  FROM ended WHERE pass < fulls OR upto <= rest
+    CASE WHEN tokens > 0 THEN least(CAST(floor((pass * tokens + upto - n_tokens) / (tokens * passes / blocks)) AS BIGINT), blocks - 1) ELSE o % blocks END AS block, o
+  FROM (SELECT *, CAST('0x' || substr(md5('mix-block:' || pass || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS o FROM ended) WHERE pass < fulls OR upto <= rest
 )
 SELECT doc_id, source, n_tokens, pass, block,
   row_number() OVER (PARTITION BY block ORDER BY o, doc_id, pass, n_tokens, source) - 1 AS place
