@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import defaultdict
 from fractions import Fraction
@@ -12,8 +13,9 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tidemark.llm import line_dedup, line_dedup_sql, mixing, periodic, queries, vector_codes, vector_codes_sql
+from tidemark.llm import line_dedup, line_dedup_sql, mixing, periodic, queries, token_counts, vector_codes, vector_codes_sql
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h1 string, places string, runs int"
 SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -252,3 +254,19 @@ def test_mixtures_keep_budgets_whatever_the_ids(spark, ids):
     words = {r.source: r.n for r in got.groupBy("source").agg(F.sum(size).alias("n")).collect()}
     total = sum(n % 3 + 1 for n in range(100))
     assert words["large"] == 4000 and abs(words["small"] - total * 1.5) <= 3 and got.where("source is null").count() == 3
+
+
+def test_counts_of_texts_without_spaces():
+    """Long words of any script, with special tokens among them: exact, and linear in their length."""
+    draw = random.Random(8)
+    library = Tokenizer.from_file(queries.BYTE_BPE)
+    count = token_counts.PrefixCounter(queries.BYTE_BPE)
+    scripts = ["".join(chr(draw.randrange(a, b)) for _ in range(6000)) for a, b in ((0x4E00, 0x9FA5), (0x0E01, 0x0E2F), (97, 123), (0x1F600, 0x1F640))] + ["the" * 2000, "a" * 3000]
+    for text in [*scripts, "<|endoftext|>".join(s[:700] for s in scripts), "x  <|endoftext|> 's<|endoftext|>", "<|endoftext|>"]:
+        counts = count.text_counts(text)
+        assert len(counts) == len(text)
+        for n in {*(draw.randrange(len(text)) for _ in range(25)), len(text) - 1, *(m.start() + k for m in re.finditer("<", text) for k in (0, 3, 11))} - {len(text)}:
+            assert counts[n] == len(library.encode(text[: n + 1], add_special_tokens=False).ids), (text[:9], n)
+    began = time.process_time()
+    count.text_counts(scripts[0] * 5 + "<|endoftext|>")
+    assert time.process_time() - began < 4  # 30,000 characters, 90,000 bytes; some 0.3 seconds

@@ -27,6 +27,10 @@ from tidemark.llm.common import SegmentCoder, coder, quoted, raw_bytes, row_slic
 
 #: Prefix tables are kept for the first so many letters of a word.
 HEAD = 6
+#: Words of more letters are counted by the tokens that begin at each place, others by those that end there.
+LONG = 64
+#: Counts of pre-tokens of more characters are kept for a moment, as the end of a text may be split anew several times.
+HUGE = 256
 #: Pairs of tokens of which it is kept whether the second may follow the first.
 MOST_PAIRS = 2_000_000
 _ASCII = re.compile(r" ?[A-Za-z]+")
@@ -54,6 +58,8 @@ class PrefixCounter(SegmentCoder):
         self.states: dict[str, tuple[str, dict[str, bool]]] = {}
         self.heads: dict[str, tuple[list, list[int]]] = {}
         self.whole: dict[str, bool] = {}
+        self.beginnings: dict[str, bool] = {}  # beginnings of tokens, and whether they are tokens; made when a long word comes
+        self.recent: tuple[str, list[int]] = ("", [])
         self.pairs = 0
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
 
@@ -83,6 +89,8 @@ class PrefixCounter(SegmentCoder):
 
         The first letters' part of the table is kept, as many words share it."""
         vocab, longest, size = self.vocab, self.longest, len(word)
+        if size > LONG:
+            return self.long_counts(word)
         if size > HEAD and (head := self.heads.get(word[:HEAD])):
             last, count, done = [*head[0]], [*head[1]], HEAD
         else:
@@ -115,8 +123,55 @@ class PrefixCounter(SegmentCoder):
             self.heads[word[:HEAD]] = last[: HEAD + 1], count[: HEAD + 1]
         return count[1:]
 
+    def fits(self, before: tuple[str, dict[str, bool]] | None, token: str) -> bool:
+        """Whether the token may follow this last token (None: begin a word)."""
+        if before is None:
+            return self.alone(token)
+        found = before[1].get(token)
+        if found is None:
+            found = before[1][token] = self.merged(before[0] + token) == [before[0], token]
+            self.pairs += 1
+        return found
+
+    def long_counts(self, word: str) -> list[int]:
+        """The same as ``counts``. From each place the letters are followed as long as a token begins with them, which is a few
+        letters in any script; so no place is looked at with all the lengths that tokens can have."""
+        if not self.beginnings:
+            for token in self.vocab:
+                for n in range(1, len(token)):
+                    self.beginnings.setdefault(token[:n], False)
+                self.beginnings[token] = True
+        size, begins = len(word), self.beginnings
+        last: list = [None] * (size + 1)
+        count = [0] * (size + 1)
+        ending: list[list[int] | None] = [[] for _ in range(size + 1)]
+        for place in range(size + 1):
+            if place:
+                start = next((s for s in ending[place] if self.fits(last[s] if s else None, word[s:place])), None)
+                if start is None:
+                    raise ValueError(f"the vocabulary has no token for {word[place - 1 : place]!r}")
+                last[place], count[place] = self.state(word[start:place]), count[start] + 1
+                ending[place] = None
+            for stop in range(place + 1, size + 1):
+                if (whole := begins.get(word[place:stop])) is None:
+                    break
+                if whole:
+                    ending[stop].append(place)
+        if self.pairs > MOST_PAIRS:
+            self.states.clear()
+            self.heads.clear()
+            self.pairs = 0
+        return count[1:]
+
     def piece_counts(self, piece: str) -> list[int]:
         """The same by characters of a pre-token of ordinary text."""
+        if len(piece) > HUGE:
+            if self.recent[0] != piece:
+                self.recent = (piece, self.character_counts(piece))
+            return self.recent[1]
+        return self.character_counts(piece)
+
+    def character_counts(self, piece: str) -> list[int]:
         if piece.isascii():
             return self.counts(piece.translate(self.letter))
         raw = piece.encode("utf-8", "surrogatepass")
@@ -131,7 +186,10 @@ class PrefixCounter(SegmentCoder):
             head = text[last : found.start()]
             counts = self.plain_counts(head)
             out += [base + c for c in counts]
-            out += [base + self.plain_counts(head + found[0][:n])[-1] for n in range(1, len(found[0]))]
+            # what follows can't change the pre-tokens of the head but its last two, so only these are split again
+            cut = ([a for _, (a, _) in self.pre_tokenizer.pre_tokenize_str(head)][-2:] or [0])[0] if head else 0
+            settled = base + (counts[cut - 1] if cut else 0)
+            out += [settled + self.ending(head[cut:] + found[0][:n]) for n in range(1, len(found[0]))]
             base += (counts[-1] if counts else 0) + 1
             out.append(base)
             last = found.end()
