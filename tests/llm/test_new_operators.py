@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import line_dedup, line_dedup_sql, mixing, periodic, queries, token_counts, vector_codes, vector_codes_sql
+from tidemark.llm import jaccard_join, line_dedup, line_dedup_sql, mixing, periodic, queries, token_counts, vector_codes, vector_codes_sql
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h1 string, places string, runs int"
 SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -270,3 +270,37 @@ def test_counts_of_texts_without_spaces():
     began = time.process_time()
     count.text_counts(scripts[0] * 5 + "<|endoftext|>")
     assert time.process_time() - began < 4  # 30,000 characters, 90,000 bytes; some 0.3 seconds
+
+
+def test_occurrence_counts_bound_overlaps(monkeypatch):
+    rng = np.random.default_rng(8)
+    for most in (4096, 64):
+        monkeypatch.setattr(jaccard_join, "MOST_WIDTH", most)
+        sizes = [1, 3, 60, 500, 560, 900, 1000, 1100, 4000, 30_000, 33_000]
+        pool = rng.integers(0, 1 << 63, 40_000).astype("u8")
+        sets = [np.sort(rng.choice(pool[: 2 * n], n, replace=False)) for n in sizes]
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        occurrences = jaccard_join.Occurrences(jaccard_join.occurrence_counts(at, np.concatenate(sets)).to_pylist())
+        a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+        bound = occurrences.bound(a, b, np.array(sizes)[a], np.array(sizes)[b])
+        both = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b, strict=True)])
+        assert (bound >= both).all() and (bound[a == b] == np.array(sizes)[a[a == b]]).all()
+
+
+def test_few_different_words_give_few_candidates(spark, monkeypatch):
+    seen = []
+    kept = jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, *more: (seen.append(pairs.count()), kept(pairs, *more))[1])
+    rng = np.random.default_rng(3)
+    words = [f"w{n}" for n in range(7)]
+    by_size = []
+    for n in (300, 600, 1200):
+        seen.clear()
+        rows = [" ".join(rng.choice(words, int(rng.integers(300, 420)))) for _ in range(n)]
+        rows[1] = rows[0] + " w1"
+        df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string").repartition(3)
+        got = {r.doc_id: r.component_id for r in jaccard_join.similarity_components(df).collect()}
+        assert got == {k: 0 if k == 1 else k for k in range(n)}
+        by_size.append(tuple(seen))
+    assert all(later <= 8 for _, later in by_size)  # sets in long lists only: their pairs don't grow with the table's square
+    assert by_size[2][0] <= 5 * by_size[0][0]

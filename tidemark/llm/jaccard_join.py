@@ -19,7 +19,9 @@ of a set, all but the longest T - COMMON are enough to find every partner that s
    candidates, only.
 6. After the components of these links are known, those long lists are searched again that hold several components: each set outside
    a list's most frequent component looks, by a binary search in the list sorted by size, for the sets whose sizes and ranks allow
-   a link; pairs within a component need no look. They are verified too, so no link that joins anything is lost.
+   a link; pairs within a component need no look. A pair leaves the task only if it may reach its T: the sets' occurrence counts
+   (how many shingles fall into each of a set's buckets, about an eighth as many as shingles) stand in the list beside them, and
+   the overlap is at most the sum of the lesser counts. What is left is verified too, so no link that joins anything is lost.
 
 Long lists are kept in parts (about the square root of their length, over LIST_ROWS, is their number), which all have the list's
 hubs, and every step above is dealt by parts, not by shingles: a passage that a third of all documents hold is the work of many tasks.
@@ -43,6 +45,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +57,9 @@ COMMON = 3
 #: A list that should have more rows than this, by the sketch, is split into parts, as many as the square root of the ratio.
 LIST_ROWS = 100
 CHUNK = 1 << 16
+#: The fewest and the most buckets in which a set's shingles are counted. With more than some 200,000 shingles the most are too few to
+#: tell sets apart that share little; the bound holds all the same.
+LEAST_WIDTH, MOST_WIDTH = 64, 4096
 #: Bytes of text whose words are hashed at a time.
 PIECE = 1 << 21
 #: Ids of candidate rows that may be broadcast (about 16 MB).
@@ -156,21 +162,81 @@ class Join:
     def least(self, m, n):
         """In how many lists of both kinds sets of m and n that link stand together. Of the rarest n - need + COMMON shingles of the
         set that ends first in the order, those that aren't shared are missing in the other, and a set may miss at most n - T."""
-        overlap = -(-self.percent * (m + n) // (100 + self.percent))
+        overlap = self.overlap(m, n)
         return np.maximum(np.minimum(overlap - self.need(m), overlap - self.need(n)), 0) + np.minimum(COMMON, np.minimum(self.need(m), self.need(n)))
 
+    def overlap(self, m, n):
+        """T, the least overlap with which sets of m and n link."""
+        return -(-self.percent * (m + n) // (100 + self.percent))
+
     def size_class(self, n: np.ndarray) -> np.ndarray:
         return np.floor(np.log(n) / np.log(100 / self.percent) + 1e-9).astype("i4")
 
 
+def widths(n: np.ndarray) -> np.ndarray:
+    """The number of buckets of a set of n shingles: a power of two, an eighth of n or more, from LEAST_WIDTH to MOST_WIDTH."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(n, 8) / 8)).astype("i8"), LEAST_WIDTH, MOST_WIDTH)
+
+
+def occurrence_counts(at: np.ndarray, sets: np.ndarray) -> pa.Array:
+    """How many shingles of each set fall into each of its buckets, a byte each (255: so many or more). A shingle's bucket of 2 w
+    is one of two that make up its bucket of w, so counts of different widths can be compared. Empty sets have no bytes."""
+    n = np.diff(at)
+    width = np.where(n > 0, widths(n), 0)
+    begin = np.cumsum(width) - width
+    bucket = ((sets * _MIX2) >> np.uint64(40)).astype("i8") & np.repeat(width - 1, n)
+    counts = np.minimum(np.bincount(bucket + np.repeat(begin, n), minlength=int(width.sum())), 255).astype("u1")
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(begin, width.sum()).astype("i4").tobytes()), pa.py_buffer(counts.tobytes())])
+
+
+class Occurrences:
+    """The occurrence counts of some sets, for bounds on the overlaps of many pairs of them."""
+
+    def __init__(self, counts: list[bytes]) -> None:
+        self.width = np.array([len(c) for c in counts], "i8")
+        self.at = np.zeros(len(counts), "i8")
+        self.table: dict[int, np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            own = np.flatnonzero(self.width == w)
+            self.table[w] = np.frombuffer(b"".join(counts[k] for k in own.tolist()), "u1").reshape(len(own), w)
+            self.at[own] = np.arange(len(own))
+
+    def rows(self, sets: np.ndarray, width: int) -> np.ndarray:
+        """The sets' counts in this many buckets, which none of them has fewer of."""
+        out = np.empty((len(sets), width), "u1")
+        for w in np.unique(self.width[sets]).tolist():
+            own = np.flatnonzero(self.width[sets] == w)
+            counts = self.table[w][self.at[sets[own]]]
+            while counts.shape[1] > width:
+                half = counts.shape[1] // 2
+                counts = np.minimum(counts[:, :half].astype("u2") + counts[:, half:], 255).astype("u1")
+            out[own] = counts
+        return out
+
+    def bound(self, a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """What the overlaps of the pairs can be at most; m and n are the sets' sizes. A difference between two counts, even of cut
+        ones, stands for as many shingles that only one of the sets has."""
+        out = np.empty(len(a), "i8")
+        narrow = np.minimum(self.width[a], self.width[b])
+        for w in np.unique(narrow).tolist():
+            pairs = np.flatnonzero(narrow == w)
+            step = max(1, (1 << 22) // w)
+            for k in range(0, len(pairs), step):
+                some = pairs[k : k + step]
+                x, y = self.rows(a[some], w), self.rows(b[some], w)
+                apart = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype="i8")
+                out[some] = (m[some] + n[some] - apart) // 2
+        return out
+
+
 def first_pass(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
-    """Rows of kind 0: id, size, node; of kind 1: a chunk of the shingle counts of one task."""
+    """Rows of kind 0: id, size, node, occurrence counts; of kind 1: a chunk of the shingle counts of one task."""
     kind = dict(docs.dtypes)["doc_id"]
     frame = docs.select("doc_id", text_or_empty().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, "i4")
-        names = ["kind", "doc_id", "n", "node", "part", "counts"]
+        names = ["kind", "doc_id", "n", "node", "part", "counts", "occurs"]
         kind_of_id = None
         for batch in batches:
             kind_of_id = batch.schema.field(0).type
@@ -178,13 +244,13 @@ def first_pass(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
                 at, sets = shingle_sets(batch.column(1).slice(first, end - first), join.words)
                 counts += np.bincount((sets & np.uint64(buckets - 1)).astype("i8"), minlength=buckets).astype("i4")
                 n = end - first
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, "i4")), batch.column(0).slice(first, n), pa.array(np.diff(at)), pa.array(node_ids(at, sets)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, "i4")), batch.column(0).slice(first, n), pa.array(np.diff(at)), pa.array(node_ids(at, sets)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), occurrence_counts(at, sets)], names)
         if kind_of_id is not None:
             chunks = [zlib.compress(counts[k : k + CHUNK].astype("<i8").tobytes(), 1) for k in range(0, buckets, CHUNK)]
             n = len(chunks)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, "i4")), pa.nulls(n, kind_of_id), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.arange(n, dtype="i4")), pa.array(chunks, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, "i4")), pa.nulls(n, kind_of_id), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.arange(n, dtype="i4")), pa.array(chunks, pa.binary()), pa.nulls(n, pa.binary())], names)
 
-    return frame.mapInArrow(tidy(run), f"kind int, doc_id {kind}, n long, node long, part int, counts binary")
+    return frame.mapInArrow(tidy(run), f"kind int, doc_id {kind}, n long, node long, part int, counts binary, occurs binary")
 
 
 def bucket_levels(first: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
@@ -553,8 +619,20 @@ def tiles(name: str, by: str):
     return tidy(run)
 
 
-def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
-    """Pairs of sets in a long list that have different components and sizes and ranks that allow a link.
+def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a list's sets for all tiles that they meet others in (``flag`` 0), and of those outside the list's main component
+    for the tiles in which they look for others (1)."""
+    for batch in batches:
+        away = batch.filter(pc.not_equal(batch.column("root"), batch.column("main")))
+        for rows, by, flag in ((batch, "list", 0), (away, "node", 1)):
+            for out in tiles("tile", by)(iter([rows])):
+                columns = [out.column(c) for c in ("tile", "node", "n", "reach", "root", "occurs")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(out.num_rows, flag, "i4"))], ["tile", "node", "n", "reach", "root", "occurs", "flag"])
+
+
+def apart(merged: DataFrame, roots: DataFrame, first: DataFrame, join: Join) -> DataFrame:
+    """Pairs of sets in a long list that have different components, sizes and ranks that allow a link, and occurrence counts with
+    which the overlap may reach T.
 
     A list's sets outside its most frequent component are sent to each of its parts (in tiles), and look there, by binary searches over the
     sets in the order of their sizes, for those that they may link with; members of one large group aren't paired."""
@@ -564,16 +642,14 @@ def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
     by_root = rows.groupBy("token", "root").agg(F.count("*").alias("_rows"), F.max("parts").alias("parts"))
     lists = by_root.groupBy("token").agg(F.max_by("root", F.struct("_rows", "root")).alias("main"), F.count("*").alias("_roots"), F.max("parts").alias("parts")).where("_roots > 1").drop("_roots")
     mains = lists.mapInArrow(tiles("list", "token"), "list long, token long, main long, parts int").select("list", "main")
-    able = rows.where(100 * F.col("reach") >= join.percent * F.col("n")).join(mains, "list")
-    columns = ["token", "list", "parts", "node", "n", "reach", "root"]
-    schema = "tile long, token long, list long, parts int, node long, n int, reach int, root long"
-    members = able.select(*columns).mapInArrow(tiles("tile", "list"), schema).withColumn("flag", F.lit(0))
-    sent = able.where("root <> main").select(*columns).mapInArrow(tiles("tile", "node"), schema).withColumn("flag", F.lit(1))
+    able = materialise(rows.where(100 * F.col("reach") >= join.percent * F.col("n")).join(mains, "list").select("token", "list", "parts", "node", "n", "reach", "root", "main"), "jaccard-able")
+    occurs = first.where("kind = 0").join(able.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("occurs").alias("occurs"))
+    both = able.join(occurs, "node").mapInArrow(tidy(dealt), "tile long, node long, n int, reach int, root long, occurs binary, flag int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in grouped(batches, "tile"):
             order = np.lexsort((g["n"], g["flag"], g["tile"]))
-            part, flag, node, n, reach, root = (g[c][order] for c in ("tile", "flag", "node", "n", "reach", "root"))
+            part, flag, node, n, reach, root, counts = (g[c][order] for c in ("tile", "flag", "node", "n", "reach", "root", "occurs"))
             begin = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part)).tolist()
             for first, end in zip(begin, begin[1:], strict=False):
                 middle = first + int((flag[first:end] == 0).sum())
@@ -581,6 +657,9 @@ def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
                 probes = np.arange(middle, end)
                 low = np.searchsorted(sizes, join.need(n[probes]), "left")
                 count = np.maximum(np.searchsorted(sizes, reach[probes], "right") - low, 0)
+                if not count.any():
+                    continue
+                occurrences = Occurrences(counts[first:end].tolist())
                 ends = np.cumsum(count)
                 k = 0
                 while k < len(probes):
@@ -590,14 +669,16 @@ def apart(merged: DataFrame, roots: DataFrame, join: Join) -> DataFrame:
                     j = first + np.repeat(low[k:stop], some) + np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some)
                     ok = (root[i] != root[j]) & (n[i] <= reach[j])
                     i, j = i[ok], j[ok]
+                    sizes_i, sizes_j = n[i].astype("i8"), n[j].astype("i8")
+                    ok = occurrences.bound(i - first, j - first, sizes_i, sizes_j) >= join.overlap(sizes_i, sizes_j)
+                    i, j = i[ok], j[ok]
                     if len(i):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
                     k = stop
 
-    both = members.unionByName(sent).drop("token", "list", "parts")
     met = both.repartition("tile").sortWithinPartitions("tile").mapInArrow(tidy(run), "a long, b long")
     pairs = materialise(met.distinct(), "jaccard-pairs")
-    discard(rows)
+    discard(rows, able)
     return pairs
 
 
@@ -613,7 +694,7 @@ def similarity_components(docs: DataFrame, words: int = 4, percent: int = 85, id
     merged = materialise(divided_lists(inverted_lists(docs, join, levels, buckets), join), "jaccard-merged")
     links = verified(candidates(merged, join), docs, first, join).select("a", "b")
     roots = components(links)
-    more = verified(apart(merged, roots, join), docs, first, join).select("a", "b")
+    more = verified(apart(merged, roots, first, join), docs, first, join).select("a", "b")
     if not more.isEmpty():
         old, roots = roots, components(links.unionByName(more))
         discard(old)
