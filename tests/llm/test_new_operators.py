@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import jaccard_join, line_dedup, line_dedup_sql, mixing, periodic, queries, token_counts, vector_codes, vector_codes_sql
+from tidemark.llm import jaccard_join, line_dedup, line_dedup_sql, mixing, packing, periodic, queries, token_counts, vector_codes, vector_codes_sql
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h1 string, places string, runs int"
 SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -304,3 +304,50 @@ def test_few_different_words_give_few_candidates(spark, monkeypatch):
         by_size.append(tuple(seen))
     assert all(later <= 8 for _, later in by_size)  # sets in long lists only: their pairs don't grow with the table's square
     assert by_size[2][0] <= 5 * by_size[0][0]
+
+
+@pytest.mark.parametrize("seed, sources, grain", [(1, 200, 1), (2, 150, 8), (3, 70, 1), (4, 33, 5)])
+def test_sources_dealt_by_a_tree(seed, sources, grain):
+    rng = np.random.default_rng(seed)
+    lengths = np.maximum(rng.pareto(0.7, sources) * 50, 0).astype("i8") % 40_000
+    shares = np.maximum(lengths.astype("f8") ** 0.5, 1e-6) if seed % 2 else rng.random(sources) + 1e-6
+    rounds = packing.Rounds(lengths, shares, 256, grain)
+    k = np.arange(rounds.last + 1)
+    sent = rounds.counts(k)
+    assert (np.diff(sent, axis=0) >= 0).all() and (sent[-1] == lengths).all()
+    assert (sent.sum(axis=1) == np.minimum(k * 256, lengths.sum())).all()
+    credit = np.interp(np.minimum(k * 256, lengths.sum()), rounds.credit, rounds.knots)[:, None] * rounds.shares
+    off = np.abs(sent - np.minimum(credit, lengths))
+    assert off.max() <= grain * (2 + packing.GROUP / 2) and off.mean() < grain  # in all, not by source
+    taken = []
+    for s, n in enumerate(lengths.tolist()):
+        first = np.arange(0, n, 90)
+        doc, start, size, place = rounds.pieces(first, np.minimum(90, n - first), s)
+        assert (place // 256 == (place + size - 1) // 256).all() and size.sum() == n
+        taken += [np.arange(p, p + z) for p, z in zip(place, size, strict=True)]
+    assert (np.sort(np.concatenate(taken)) == np.arange(lengths.sum())).all()
+
+
+def test_whole_products_are_exact():
+    rng = np.random.default_rng(2)
+    g = rng.integers(1, 1 << 49, 2000)
+    d, a = (np.array([int(rng.integers(0, x + 1)) for x in g]) for _ in range(2))
+    assert packing.scaled(d, a, g).tolist() == [(x * y + z // 2) // z for x, y, z in zip(d.tolist(), a.tolist(), g.tolist(), strict=True)]
+
+
+def test_a_hundred_thousand_sources_cost_no_more_by_piece():
+    took = {}
+    for sources in (100, 100_000):
+        rng = np.random.default_rng(7)
+        lengths = rng.integers(1, 3000, sources)
+        rounds = packing.Rounds(lengths, np.sqrt(lengths), 1024)
+        rounds.pieces(np.array([0]), lengths[:1], 0)  # the tree's upper nodes are made
+        some = rng.integers(0, sources, 100)
+        began, pieces = time.perf_counter(), 0
+        for s in some.tolist():
+            _, _, size, _ = rounds.pieces(np.array([0]), lengths[s : s + 1], s)
+            assert size.sum() == lengths[s]
+            pieces += len(size)
+        took[sources] = (time.perf_counter() - began) / pieces
+    print(took)
+    assert took[100_000] < 10 * took[100]
