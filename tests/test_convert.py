@@ -23,6 +23,27 @@ def test_double_text(spark):
     assert got == ["21474836470.7", "1", "-0.000000001", "0.5", "NaN", "∞", "-∞", "-0", "100000000000000000000", "100", None]
 
 
+def test_double_text_has_the_shortest_digits(spark):
+    import random
+    from decimal import ROUND_FLOOR, Decimal
+
+    draw = random.Random(3)
+    values = [590302 * 1e15, -590314 * 1e15, 8.41e21, 2e23, 1e300, -1.7976931348623157e308, 1e15 + 0.5, 4503599627370495.5, 9007199254740993.0, 9.99e18, 1e19, -1e-30, 1e-30, 5e-324, -1e-9, 1.9999999999999999e-9, 0.3, -0.1, 123456.7890123456]
+    values += [float(key) * 1e15 for key in range(590_000, 591_000)]
+    drawn = [draw.uniform(-1, 1) * 10.0 ** draw.randint(-12, 40) for _ in range(3000)]
+
+    def want(v):
+        exact = Decimal(repr(v))
+        text = format(exact.quantize(Decimal("1e-9"), ROUND_FLOOR) if abs(v) < 1e16 else exact, "f")
+        return text.rstrip("0").rstrip(".") if "." in text else text
+
+    got = [x for x, _ in run(spark, values + drawn, "double", "string", "DOUBLE_STRING")]
+    assert [(v, x) for v, x in zip(values, got) if x != want(v)] == []
+    # Java may choose the other one of two decimals of equal length that both read back
+    assert [(v, x) for v, x in zip(drawn, got[len(values) :], strict=True) if x != want(v) and (float(x), len(x)) != (v, len(want(v)))] == []
+    assert [x for x, _ in run(spark, [[590302 * 1e15, -0.5]], "array<double>", "array<string>", "DOUBLE_STRING")] == [["590302000000000000000", "-0.5"]]
+
+
 def test_numbers_in_text_are_not_trimmed(spark):
     assert run(spark, ["12", " 12", "+7", "x", None, "99999999999"], "string", "int", "INT_STRING") == [(12, False), (None, True), (7, False), (None, True), (None, False), (None, True)]
     assert run(spark, [" 1.5 ", "∞", "1,5"], "string", "double", "DOUBLE_STRING") == [(1.5, False), (float("inf"), False), (None, True)]

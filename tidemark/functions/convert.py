@@ -66,17 +66,34 @@ def guarded(pattern: str, cast: str) -> Builder:
     return lambda c: F.when(c.rlike(pattern), c.try_cast(cast))
 
 
+def shortest(c: Column) -> Column:
+    """The shortest decimal that reads back as the double, with an exponent where it has one.
+
+    Java up to 18 may write digits too many (5.903020000000001E20 for 5.90302e20), so 15 digits are tried first, then 16. Of
+    several decimals of 16 digits that all read back, Java's choice stays."""
+    rounded = (F.call_function("format_number", c, F.lit(f"0.{'#' * digits}E0")) for digits in (14, 15))
+    return F.coalesce(*(F.when(text.try_cast("double") == c, text) for text in rounded), c.cast("string"))
+
+
 def double_text(c: Column) -> Column:
     """Up to 9 fraction digits, rounded towards minus infinity, without grouping or exponent."""
-    digits = F.regexp_replace(F.regexp_replace(F.floor(c.try_cast("decimal(38,18)"), F.lit(9)).cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-    large = F.format_string("%.0f", c)
+
+    def digits(text: Column) -> Column:
+        # a double has 17 digits at most: each of these types holds them all
+        exact = F.when(F.abs(c) < 1, F.floor(text.try_cast("decimal(38,25)"), F.lit(9))).otherwise(F.floor(text.try_cast("decimal(38,18)"), F.lit(9)))
+        plain = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+        places = F.regexp_extract(text, r"E([0-9]+)$", 1).cast("int") + 1
+        large = F.concat(F.when(c < 0, "-").otherwise(""), F.rpad(F.regexp_replace(F.regexp_replace(text, "E.*", ""), r"[-.]", ""), places, "0"))
+        return F.when(F.abs(c) >= 1e19, large).otherwise(plain)
+
     return (
         F.when(F.isnan(c), "NaN")
         .when(c == float("inf"), "∞")
         .when(c == float("-inf"), "-∞")
         .when((c == 0.0) & c.cast("string").startswith("-"), "-0")
-        .when(F.abs(c) >= 1e15, large)
-        .otherwise(digits)
+        .when((c < 0) & (c > -1e-9), "-0.000000001")
+        .when((c >= 0) & (c < 1e-9), "0")
+        .otherwise(bound(shortest(c), digits))
     )
 
 
