@@ -37,6 +37,15 @@ def test_events_count_once_however_late(spark, tmp_path):
     assert counted == {(1, "RangeCompleted", "PASS"): (2, 11), (1, "RangeCompleted", "DIFF"): (1, 7), (1, "RangeCompleted", "FAIL"): (1, 20), (2, "RangeCompleted", "PASS"): (1, 2), (1, "Discrepancy", "mismatch"): (25, 25), (1, "Discrepancy", "missing"): (50, 50)}
 
 
+def test_the_earliest_of_a_batch_counts(spark, tmp_path):
+    """The repeats lie in the larger file, which is read first, in one batch with the first ends."""
+    first = [ended(1000, run, token, "PASS", 10) for run in (1, 2) for token in range(40)] + [found(1000, 1, "missing", None)]
+    again = [ended(4600, run, token, "DIFF_CORRECTED", 123456) for run in (1, 2) for token in range(40)] * 3 + [found(4600, 1, "missing", None)]
+    path = log_of(spark, tmp_path / "log", [again, first])
+    got = monitor.run_to_files(monitor.once(monitor.read_events(spark, path)), str(tmp_path / "once"))
+    assert got.count() == 81 and {(r.s, r.status, r.rows) for r in got.select(F.unix_seconds("at").alias("s"), "status", "rows").collect()} == {(1000, "PASS", 10), (1000, None, 1)}
+
+
 def test_progress_adds_up_over_batches(spark, tmp_path):
     path = log_of(spark, tmp_path / "log", batches())
     rows = monitor.run_to_files(monitor.progress(monitor.read_events(spark, path, 1), shards=3), str(tmp_path / "progress"))

@@ -1,7 +1,8 @@
 """Monitoring a run from its event log with Structured Streaming.
 
 Two kinds of state are kept. ``once`` remembers what was counted: the identity of every event, so a range that completes again, be it
-hours later, counts once, and so does a discrepancy that a retried task reports again. It has no watermark, so no event is too late for
+hours later, counts once, and so does a discrepancy that a retried task reports again. Of the events of one batch that have one
+identity the earliest counts, whatever the order in which files and shuffles bring them. It has no watermark, so no event is too late for
 it; its state grows with the plan's ranges and the discrepancies, and lies in the state store (RocksDB on disk if that is set).
 ``progress`` keeps a run's tallies, in shards, so that a run's events needn't meet in one task.
 """
@@ -12,6 +13,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +25,8 @@ from tidemark.sources.reports import EVENTS, IDENTITY
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: A run's events are dealt to so many tasks at most.
 SHARDS = 32
+#: A batch's events are dealt to so many groups by identity, each of which is in memory at once.
+GROUPS = 4096
 #: Seconds that a rate looks back.
 TRAIL = 10
 
@@ -31,11 +36,23 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int | None =
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).json(path)
 
 
+def earliest(events: pa.Table) -> pa.Table:
+    """Of the events of each identity the earliest; of a tie the least by the other columns."""
+    events = events.drop_columns(["_group"])
+    other = [c for c in events.column_names if c not in ("at", *IDENTITY)]
+    ordered = events.take(pc.sort_indices(events, [(c, "ascending") for c in ("at", *other)]))
+    ordered = ordered.append_column("_n", pa.array(range(len(ordered)), pa.int64()))
+    first = ordered.group_by(IDENTITY).aggregate([("_n", "min")])["_n_min"]
+    return ordered.drop_columns(["_n"]).take(first)
+
+
 def once(events: DataFrame) -> DataFrame:
     """Each event once, however often and however late it comes again. A range's first end counts; one that was given up (not ended)
     is no end, and the range may still complete."""
     given_up = (F.col("type") == "RangeCompleted") & F.col("status").isin("STARTED", "NOT_STARTED")
-    return events.where(~F.coalesce(given_up, F.lit(False))).dropDuplicates(IDENTITY)
+    ends = events.where(~F.coalesce(given_up, F.lit(False)))
+    group = F.pmod(F.xxhash64(*IDENTITY), F.lit(GROUPS)).alias("_group")
+    return ends.select("*", group).groupBy("_group").applyInArrow(earliest, events.schema).dropDuplicates(IDENTITY)
 
 
 def per_second(events: DataFrame, late: str = "10 seconds") -> DataFrame:
