@@ -57,6 +57,14 @@ def test_progress_adds_up_over_batches(spark, tmp_path):
     assert got[2].rows_per_second == 0.2
 
 
+def test_rates_do_not_depend_on_shards(spark, tmp_path):
+    """Shards' rates as doubles don't add up to the run's, and shards whose last event is older look back further than the run."""
+    rows = [ended(1000, 1, token, "PASS", token % 7 + 1) for token in range(200)] + [ended(1012, 1, 1000, "PASS", 3)] + [ended(1010, 2, token, "PASS", 1) for token in range(203)]
+    path = log_of(spark, tmp_path / "log", [rows])
+    got = {r.run_id: r.rows_per_second for r in monitor.latest_progress(monitor.run_to_files(monitor.progress(monitor.read_events(spark, path)), str(tmp_path / "progress"))).collect()}
+    assert got == {1: 0.3, 2: 20.3}
+
+
 def test_json_arrays_with_shared_keys(spark):
     rows = spark.createDataFrame([("k", 1), ("k", 1), ("k", 2), ("j", 1), ("j", 1)], "key string, n int")
     for part, want in ((rows, 5), (rows.limit(1), 1), (rows.limit(0), 0)):

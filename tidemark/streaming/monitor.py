@@ -70,7 +70,7 @@ def statuses(events: DataFrame, late: str = "10 seconds", every: str = "1 minute
 
 
 #: What ``progress`` gives: running numbers of a shard of a run after each batch that touched it.
-PROGRESS = "table_name string, run_id long, shard int, batch long, at timestamp, tallies map<string,long>, n_rows long, rows_per_second double"
+PROGRESS = "table_name string, run_id long, shard int, batch long, at timestamp, tallies map<string,long>, n_rows long, rows_per_second double, recent map<long,long>"
 
 
 class Tallies(StatefulProcessor):
@@ -104,11 +104,11 @@ class Tallies(StatefulProcessor):
                 self.seconds.updateValue((second,), (n,))
             elif self.seconds.containsKey((second,)):
                 self.seconds.removeKey((second,))
-        recent = sum(n for second, n in kept.items() if second > last - TRAIL)
+        recent = {second: n for second, n in kept.items() if second > last - TRAIL}
         batch = int(self.batches.get()[0]) + 1 if self.batches.exists() else 1
         self.batches.update((batch,))
         n_rows = counts.pop("rows", 0)
-        yield pd.DataFrame({"table_name": [key[0]], "run_id": [key[1]], "shard": [key[2]], "batch": [batch], "at": [pd.Timestamp(last, unit="s")], "tallies": [counts], "n_rows": [n_rows], "rows_per_second": [recent / TRAIL]})
+        yield pd.DataFrame({"table_name": [key[0]], "run_id": [key[1]], "shard": [key[2]], "batch": [batch], "at": [pd.Timestamp(last, unit="s")], "tallies": [counts], "n_rows": [n_rows], "rows_per_second": [sum(recent.values()) / TRAIL], "recent": [recent]})
 
     def close(self) -> None:
         pass
@@ -126,12 +126,13 @@ def progress(events: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def latest_progress(rows: DataFrame) -> DataFrame:
-    """The last numbers of each run: those of its shards, added up. Shards whose last rows are older than the trail add nothing to
-    the rate."""
-    last = rows.groupBy("table_name", "run_id", "shard").agg(F.max_by(F.struct("at", "tallies", "n_rows", "rows_per_second"), "batch").alias("s"))
+    """The last numbers of each run: those of its shards, added up. The rate is of the rows of all shards in the run's last TRAIL
+    seconds, added up as whole numbers, so that it doesn't depend on the shards."""
+    last = rows.groupBy("table_name", "run_id", "shard").agg(F.max_by(F.struct("at", "tallies", "n_rows", "recent"), "batch").alias("s"))
     ends = last.groupBy("table_name", "run_id").agg(F.max("s.at").alias("at"), F.sum("s.n_rows").cast("long").alias("n_rows"))
-    fresh = last.join(ends.select(F.col("table_name").alias("_t"), F.col("run_id").alias("_r"), F.col("at").alias("_at")), F.col("table_name").eqNullSafe(F.col("_t")) & F.col("run_id").eqNullSafe(F.col("_r")))
-    rate = fresh.where(F.unix_seconds("s.at") > F.unix_seconds("_at") - TRAIL).groupBy("table_name", "run_id").agg(F.sum("s.rows_per_second").alias("rows_per_second"))
+    seconds = last.join(ends.select(F.col("table_name").alias("_t"), F.col("run_id").alias("_r"), F.col("at").alias("_at")), F.col("table_name").eqNullSafe(F.col("_t")) & F.col("run_id").eqNullSafe(F.col("_r"))).select("table_name", "run_id", "_at", F.explode_outer("s.recent").alias("second", "n"))
+    recent = F.coalesce(F.sum(F.when(F.col("second") > F.unix_seconds("_at") - TRAIL, F.col("n"))), F.lit(0))
+    rate = seconds.groupBy("table_name", "run_id").agg((recent / TRAIL).alias("rows_per_second"))
     counts = last.select("table_name", "run_id", F.explode("s.tallies").alias("what", "n")).groupBy("table_name", "run_id", "what").agg(F.sum("n").cast("long").alias("n"))
     tallies = counts.groupBy("table_name", "run_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("what", "n")))).alias("tallies"))
     return ends.join(tallies, ["table_name", "run_id"], "left").join(rate, ["table_name", "run_id"], "left")
