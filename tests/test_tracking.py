@@ -14,6 +14,17 @@ def test_chains_of_any_depth(spark):
     assert sorted(map(tuple, found)) == want  # neither those in a circle nor those after an unknown run
 
 
+def test_links_do_not_pass_through_the_driver(spark):
+    """No round broadcasts: Spark is told to refuse broadcasts of any size."""
+    rows = spark.range(1, 1001).selectExpr("'t' as table_name", "id as run_id", "greatest(id - 7, 0) as prev_run_id")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")
+    try:
+        found = tracking.chain(rows).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert sorted(map(tuple, found)) == [("t", n, (n - 1) % 7 + 1, (n - 1) // 7) for n in range(1, 1001)]
+
+
 def test_runs_of_two_tables_share_ids(spark, tmp_path):
     log = tracking.RunLog(spark, str(tmp_path / "log"))
     plan = spark.createDataFrame([(0, 9), (10, 19), (20, 29)], "token_min long, token_max long")

@@ -96,7 +96,8 @@ def chain(info: DataFrame) -> DataFrame:
     out.
 
     By pointer doubling: in each round a run's link is joined to its ancestor's, so that links double in length. Every round is a
-    table in the shared folder, and the round before it is removed."""
+    table in the shared folder, and the round before it is removed. The join is by sorted shuffles whatever its size: a broadcast would
+    pass all links through the driver in every round."""
     spark = info.sparkSession
     made: list[str] = []
 
@@ -115,7 +116,7 @@ def chain(info: DataFrame) -> DataFrame:
     for _ in range(links.count().bit_length()):
         if links.where("not done").isEmpty():
             break
-        upper = links.select(F.col("table_name").alias("_table"), F.col("run_id").alias("_run"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("done").alias("_done"))
+        upper = links.select(F.col("table_name").alias("_table"), F.col("run_id").alias("_run"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("done").alias("_done")).hint("merge")
         longer = links.where("not done").join(upper, (F.col("table_name") == F.col("_table")) & (F.col("up") == F.col("_run")))
         links = stored(links.where("done").unionByName(longer.select("table_name", "run_id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_done").alias("done"))))
     return links.where("done").select("table_name", "run_id", F.col("up").alias("first_run_id"), "depth")
