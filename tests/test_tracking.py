@@ -2,7 +2,7 @@
 
 import pytest
 
-from tidemark.plans import jobs, tracking
+from tidemark.plans import catalog, jobs, tracking
 from tidemark.spec import JobSpec, TableSpec
 
 
@@ -25,6 +25,15 @@ def test_links_do_not_pass_through_the_driver(spark):
     assert sorted(map(tuple, found)) == [("t", n, (n - 1) % 7 + 1, (n - 1) // 7) for n in range(1, 1001)]
 
 
+def test_chains_of_all_runs_without_broadcasts(spark, data):
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")
+    try:
+        found = catalog.queries()["resume_chain_all"](spark, data).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert len(found) == 35 and sum(r.n_runs for r in found) == spark.read.parquet(f"{data}/customer.parquet").count()
+
+
 def test_runs_of_two_tables_share_ids(spark, tmp_path):
     log = tracking.RunLog(spark, str(tmp_path / "log"))
     plan = spark.createDataFrame([(0, 9), (10, 19), (20, 29)], "token_min long, token_max long")
